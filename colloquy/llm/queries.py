@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from colloquy.llm import pieces, quality
+from colloquy.llm import chat, exact, pieces, quality
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -16,6 +18,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.assign(documents(spark, sf_dir))
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    said = "</s>[INST] ok [/INST]"
+    probe = json.dumps({"messages": [{"role": r, "content": said} for r in ("user", "assistant")]})
+    record = spark.range(1).selectExpr("CAST(-1 AS BIGINT) AS conv_id").withColumn("record", F.lit(probe))
+    return chat.digests(chat.render(chat.from_table(table).unionByName(chat.from_json(record, "record").drop("layout"))))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -24,5 +38,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_sentencepiece, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_exact_dedup, op4_chat_format, op5_sentencepiece, op10_quality_rules)}
+ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.ORACLE, "op4_chat_format": chat.ORACLE}
