@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import chat, exact, pieces, quality
+from colloquy.llm import chat, exact, licenses, mixing, pieces, quality
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -18,6 +18,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.plan(documents(spark, sf_dir), mixing.cycle((3, 1, 2)), budget=1.5, most=2.0))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.assign(documents(spark, sf_dir))
 
@@ -34,9 +38,13 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_exact_dedup, op4_chat_format, op5_sentencepiece, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op4_chat_format, op5_sentencepiece, op7_license_scan, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.ORACLE, "op4_chat_format": chat.ORACLE}

@@ -211,3 +211,8 @@ def filter_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[Slic
                 yield batch.filter(pa.array(np.concatenate(keep)))
 
     return df.mapInArrow(run, df.schema)
+
+
+def word_counts(column: pa.Array) -> pa.Array:
+    """Of each text its number of words, null: 0."""
+    return pa.array(np.concatenate([np.zeros(0, np.int64), *(p.per_text(p.spans(NOT_SPACE)[2]) for p in slices(column))]).astype(np.int64))
