@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import chat, exact, langid, licenses, mixing, pieces, quality
+from colloquy.llm import chat, exact, langid, licenses, mixing, neardup, pieces, quality
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -42,6 +42,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.assign(documents(spark, sf_dir), neardup.Similar(words=2, percent=80))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = langid.fit(docs.filter(~langid.held_out("doc_id", 5)), public_tokenizers.path("piece_bpe_32k.model"))
@@ -52,5 +56,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op4_chat_format, op5_sentencepiece, op7_license_scan, op9_language_id, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op4_chat_format, op5_sentencepiece, op7_license_scan, op8_near_dedup, op9_language_id, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.ORACLE, "op4_chat_format": chat.ORACLE}
