@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import chat, exact, langid, licenses, mixing, neardup, pieces, quality
+from colloquy.llm import chat, exact, langid, licenses, mixing, neardup, passages, pieces, quality
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -26,6 +26,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.assign(documents(spark, sf_dir))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.digests(documents(spark, sf_dir), window=50)
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     said = "</s>[INST] ok [/INST]"
@@ -56,5 +60,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op4_chat_format, op5_sentencepiece, op7_license_scan, op8_near_dedup, op9_language_id, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op3_substring_dedup, op4_chat_format, op5_sentencepiece, op7_license_scan, op8_near_dedup, op9_language_id, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.ORACLE, "op4_chat_format": chat.ORACLE}
