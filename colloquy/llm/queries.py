@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import chat, exact, langid, licenses, mixing, neardup, passages, pieces, quality
+from colloquy.llm import chat, exact, langid, licenses, lm, mixing, neardup, passages, pieces, quality
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -42,6 +42,14 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = langid.held_out("doc_id", 10)
+    model = lm.train(docs.filter(~held_out))
+    train_tokens = F.lit(model.tokens).cast("bigint").alias("train_tokens")
+    return lm.score(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", train_tokens, "base_score", "score")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
@@ -60,5 +68,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op3_substring_dedup, op4_chat_format, op5_sentencepiece, op7_license_scan, op8_near_dedup, op9_language_id, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op3_substring_dedup, op4_chat_format, op5_sentencepiece, op6_lm_scoring, op7_license_scan, op8_near_dedup, op9_language_id, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.ORACLE, "op4_chat_format": chat.ORACLE}
