@@ -4,13 +4,13 @@ A document's set is its distinct word shingles. Documents with one set are a cla
 class goes on. Signatures of BANDS * ROWS minima are cut into bands; documents that share a band's values
 meet in a bucket. At similarity 0.8 a pair shares no band with probability (1 - 0.8**5)**40, about 1e-7.
 
-No bucket is expanded into its pairs. First every member is paired with its bucket's least id. Candidates
-are compared in batches of their signatures; a pair is dropped once the posterior probability (uniform
-prior) of reaching the threshold falls below MISS; survivors are verified on their full sets, and their
-links' components found. Only in buckets that still hold several components are pairs of different
-components compared too, so no link between components is lost: the members outside the bucket's
-largest component ("strays") meet all others in blocks, as blocks of signatures within a task, and
-nothing but survivors comes out.
+No bucket is expanded into its pairs. Candidates are compared in batches of their signatures; a pair is
+dropped once the posterior probability (uniform prior) of reaching the threshold falls below MISS, and
+survivors are verified on their full sets. First every member meets one other, the least id of all its
+buckets, and the components of the verified links are found. Components that still share buckets with
+others are a family. So that no link between components is lost, a family's members outside its largest
+component ("strays") meet all its others, in blocks of signatures and sets within a task; once two
+components are linked their other pairs are skipped, so a block gives fewer links than it has members.
 
 * Null or empty texts, and those without a word, have an empty set and link with nothing; a text with
   fewer words than a shingle has one shingle, its whole sequence. Texts are read whole.
@@ -26,10 +26,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from colloquy.llm import textnum as T
 from colloquy.llm.graph import components
@@ -39,7 +39,7 @@ BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
 BATCH = 25
 MISS = 1e-8
-BLOCK = 256
+BLOCK = 1024
 
 _RNG = np.random.Generator(np.random.Philox(7))
 _A = (_RNG.integers(0, 1 << 31, HASHES, dtype=np.int64) * 2 + 1).astype(np.uint32)
@@ -142,66 +142,71 @@ def survivors(left: np.ndarray, right: np.ndarray, bounds: list[tuple[int, int]]
     return alive
 
 
-def _screen(bounds: list[tuple[int, int]]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                rows = batch.slice(lo, 4096)
-                alive = survivors(_matrix(rows.column(2)), _matrix(rows.column(3)), bounds)
-                yield rows.select([0, 1]).take(pa.array(alive))
-
-    return run
-
-
-def _cross(bounds: list[tuple[int, int]]):
-    """Within a block of a bucket: strays against the others of other components, by their signatures."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        strays, others = rows[rows["stray"]], rows[~rows["stray"]]
-        right, found = np.frombuffer(b"".join(others["signature"]), np.uint16).reshape(-1, HASHES), []
-        for rep, comp, signature in zip(strays["rep"], strays["comp"], strays["signature"]):
-            at = np.flatnonzero((others["comp"] != comp).to_numpy())
-            left = np.broadcast_to(np.frombuffer(signature, np.uint16), (len(at), HASHES))
-            found += [(min(rep, o), max(rep, o)) for o in others["rep"].to_numpy()[at[survivors(left, right[at], bounds)]].tolist()]
-        return pd.DataFrame(found, columns=["a", "b"])
+def _similar(left: list[bytes], right: list[bytes], percent: int) -> list[bool]:
+    """Whether pairs of full sets (sorted hashes) are similar."""
+    out = []
+    for x, y in zip(left, right):
+        x, y = np.frombuffer(x, T.U64), np.frombuffer(y, T.U64)
+        shared = len(np.intersect1d(x, y, assume_unique=True))
+        out.append(100 * shared >= percent * (len(x) + len(y) - shared))
+    return out
 
-    return run
 
+def _star(how: Similar):
+    """Rows (a, b, signatures, sets) to the links (a, b)."""
+    bounds = least_matches(how.percent)
 
-def _check(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), T.U64), np.frombuffer(y.as_buffer(), T.U64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            for lo in range(0, batch.num_rows, 1024):
+                rows = batch.slice(lo, 1024)
+                rows = rows.take(pa.array(survivors(_matrix(rows.column(2)), _matrix(rows.column(3)), bounds)))
+                yield rows.select([0, 1]).filter(pa.array(_similar(rows.column(4).to_pylist(), rows.column(5).to_pylist(), how.percent), pa.bool_()))
 
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, how: Similar, id_type: str) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar."""
-    involved = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "involved")
+def _cross(how: Similar, id_type: pa.DataType):
+    """Within a block of a family: strays against the others of other components, as long as they aren't linked."""
+    bounds = least_matches(how.percent)
 
-    def sets():
-        def work(part: T.Slice, _) -> dict:
-            grams, offs = shingles(part, how.words)
-            return {"grams": pa.array([grams[a:b].tobytes() for a, b in zip(offs[:-1], offs[1:])], pa.binary())}
+    def run(rows: pa.Table) -> pa.Table:
+        stray = rows["stray"].to_numpy()
+        rep, signature = rows["rep"].to_pylist(), _matrix(rows["signature"].combine_chunks())
+        sets = [np.frombuffer(x, T.U64) for x in rows["grams"].to_pylist()]
+        numbers: dict = {}
+        group = np.array([numbers.setdefault(c, len(numbers)) for c in rows["comp"].to_pylist()])
+        others, links = np.flatnonzero(~stray), []
+        for x in np.flatnonzero(stray).tolist():
+            at = others[group[others] != group[x]]
+            at = at[survivors(np.broadcast_to(signature[x], (len(at), HASHES)), signature[at], bounds)]
+            if not len(at):
+                continue
+            sizes = np.array([len(sets[k]) for k in at])
+            joined = np.concatenate([sets[k] for k in at])
+            spot = np.minimum(np.searchsorted(sets[x], joined), len(sets[x]) - 1)
+            shared = np.add.reduceat((sets[x][spot] == joined).astype(np.int64), np.cumsum(sizes) - sizes)
+            for y in at[100 * shared >= how.percent * (sizes + len(sets[x]) - shared)].tolist():
+                if group[y] != group[x]:
+                    links.append((rep[x], rep[y]))
+                    group[group == group[y]] = group[x]
+        return pa.table({"a": pa.array([a for a, _ in links], id_type), "b": pa.array([b for _, b in links], id_type)})
 
-        return work
+    return run
 
-    full = cut(T.map_texts(texts.join(involved, "doc_id", "left_semi"), "doc_id", "text", "grams binary", sets), "sets")
-    met = pairs.join(full.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a").join(full.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
-    return met.select("a", "b", "x", "y").mapInArrow(_check(how.percent), f"a {id_type}, b {id_type}")
+
+def _sets(words: int):
+    def work(part: T.Slice, _) -> dict:
+        grams, offs = shingles(part, words)
+        return {"grams": pa.array([grams[a:b].tobytes() for a, b in zip(offs[:-1], offs[1:])], pa.binary())}
+
+    return lambda: work
 
 
 def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, kept."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    bounds = least_matches(how.percent)
     sketches = cut(T.map_texts(texts, "doc_id", "text", "n_shingles bigint, h1 bigint, h2 bigint, signature binary", _sketch(how.words)), "sketches")
     linkable = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cut(linkable.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
@@ -209,30 +214,36 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
 
     banded = reps.mapInArrow(_bands, f"bucket bigint, rep {id_type}")
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("least")).filter("n > 1").select("bucket", "least")
-    members = cut(banded.join(shared, "bucket"), "members")
-    stars = members.filter("rep != least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
-    met = stars.join(reps.select(F.col("rep").alias("a"), F.col("signature").alias("x")), "a").join(reps.select(F.col("rep").alias("b"), F.col("signature").alias("y")), "b")
-    candidates = cut(met.select("a", "b", "x", "y").mapInArrow(_screen(bounds), f"a {id_type}, b {id_type}"), "candidates")
-    links = cut(_verified(candidates, texts, how, id_type), "verified")
+    members = cut(banded.join(shared, "bucket").select("bucket", "rep", "least"), "members")
+    involved = cut(members.select(F.col("rep").alias("doc_id")).distinct(), "involved")
+    sets = T.map_texts(texts.join(involved, "doc_id", "left_semi"), "doc_id", "text", "grams binary", _sets(how.words))
+    facts = cut(reps.join(sets.filter(F.length("grams") > 0), F.col("rep") == F.col("doc_id")).select("rep", "signature", "grams"), "facts")
+
+    stars = members.groupBy("rep").agg(F.min("least").alias("a")).filter("a != rep").select("a", F.col("rep").alias("b"))
+    side = lambda end, x: facts.select(F.col("rep").alias(end), F.col("signature").alias(f"s{x}"), F.col("grams").alias(f"g{x}"))
+    links = stars.join(side("a", 1), "a").join(side("b", 2), "b").select("a", "b", "s1", "s2", "g1", "g2").mapInArrow(_star(how), f"a {id_type}, b {id_type}")
     # rows of one id with several sets are one document
     several = linkable.groupBy("doc_id").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low != high").select("doc_id")
     same = linkable.join(several, "doc_id").join(classes, ["n_shingles", "h1", "h2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     comps = cut(components(links.unionByName(same)), "components")
 
-    # buckets of several components: every pair of different ones
-    placed = members.select("bucket", "rep").join(comps, F.col("rep") == F.col("id"), "left").select("bucket", "rep", F.coalesce("least", "rep").alias("comp"))
-    counted = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed = counted.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"), F.sum("n").alias("n"), F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.max("n").alias("most")).filter("comps > 1")
-    mixed = mixed.select("bucket", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("stray_blocks"))
-    open_ = cut(placed.join(mixed, "bucket").withColumn("is_stray", F.col("comp") != F.col("largest")), "open")
+    # families: components that share buckets
+    comp_of = lambda end: comps.select(F.col("id").alias(end), F.col("least").alias(f"{end}_comp"))
+    bridges = members.filter("rep != least").select("rep", "least").join(comp_of("rep"), "rep", "left").join(comp_of("least"), "least", "left")
+    bridges = bridges.select(F.coalesce("rep_comp", "rep").alias("a"), F.coalesce("least_comp", "least").alias("b"))
+    families = cut(components(bridges).select(F.col("id").alias("comp"), F.col("least").alias("family")), "families")
+    placed = involved.select(F.col("doc_id").alias("rep")).join(comp_of("rep"), "rep", "left").select("rep", F.coalesce("rep_comp", "rep").alias("comp")).join(families, "comp")
+    counted = placed.groupBy("family", "comp").agg(F.count(F.lit(1)).alias("n"))
+    mixed = counted.groupBy("family").agg(F.sum("n").alias("n"), F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.max("n").alias("most"))
+    mixed = mixed.select("family", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("stray_blocks"))
+    open_ = cut(placed.join(mixed, "family").withColumn("is_stray", F.col("comp") != F.col("largest")), "open")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
-    as_other = open_.select("bucket", "rep", "comp", F.lit(False).alias("stray"), own("blocks").alias("i"), F.explode(every("stray_blocks")).alias("j"))
-    as_stray = open_.filter("is_stray").select("bucket", "rep", "comp", F.lit(True).alias("stray"), F.explode(every("blocks")).alias("i"), own("stray_blocks").alias("j"))
-    meeting = as_other.unionByName(as_stray).join(reps, "rep").select("bucket", "i", "j", "rep", "comp", "stray", "signature")
-    found = meeting.groupBy("bucket", "i", "j").applyInPandas(_cross(bounds), f"a {id_type}, b {id_type}").distinct()
-    rest = cut(found.join(candidates, ["a", "b"], "left_anti"), "rest")
-    more = _verified(rest, texts, how, id_type)
+    as_other = open_.select("family", "rep", "comp", F.lit(False).alias("stray"), own("blocks").alias("i"), F.explode(every("stray_blocks")).alias("j"))
+    as_stray = open_.filter("is_stray").select("family", "rep", "comp", F.lit(True).alias("stray"), F.explode(every("blocks")).alias("i"), own("stray_blocks").alias("j"))
+    meeting = as_other.unionByName(as_stray).join(facts, "rep").select("family", "i", "j", "rep", "comp", "stray", "signature", "grams")
+    id_arrow = to_arrow_type(texts.schema["doc_id"].dataType)
+    more = meeting.groupBy("family", "i", "j").applyInArrow(_cross(how, id_arrow), f"a {id_type}, b {id_type}")
     final = cut(components(comps.select(F.col("id").alias("a"), F.col("least").alias("b")).unionByName(more)), "components")
 
     named = classes.select("n_shingles", "h1", "h2", "rep").join(final, F.col("rep") == F.col("id"), "left").select("n_shingles", "h1", "h2", F.coalesce("least", "rep").alias("component_id"))

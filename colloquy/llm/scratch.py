@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -25,6 +26,9 @@ def new_path(spark: SparkSession, what: str) -> str:
 
 def cut(df: DataFrame, what: str) -> DataFrame:
     """df, written once as Parquet in the shared folder and read back: a lost executor costs no recomputation."""
-    path = new_path(df.sparkSession, what)
+    spark, kind, path = df.sparkSession, df.schema, new_path(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    del df
+    gc.collect()
+    spark._jvm.System.gc()  # lets Spark's cleaner remove the shuffle files that only this table needed
+    return spark.read.schema(kind).parquet(path)
