@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from colloquy.plans import enrichment, reporting, storage
+
+QUERIES = {**reporting.R.queries, **storage.R.queries, **enrichment.R.queries}
+ORACLE_SQL: dict[str, str] = {**reporting.R.sql, **storage.R.sql, **enrichment.R.sql}
