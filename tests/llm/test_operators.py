@@ -1,0 +1,492 @@
+"""The ten operators against brute force, on small tables with nulls, empty and long texts, ties, repeats and clashing names."""
+
+import hashlib
+import json
+import math
+import os
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+
+from colloquy.llm import chat, eliasfano, exact, graph, langid, licenses, lm, mixing, neardup, passages, pieces, quality
+from colloquy.llm import textnum as T
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, body string, size int, kept boolean"
+RNG = np.random.default_rng(3)
+SYLLABLES = ["ka", "lo", "mi", "ter", "ün", "ség", "po", "ra", "日本"]
+
+
+def prose(n, rng=RNG):
+    return " ".join("".join(rng.choice(SYLLABLES, rng.integers(1, 4))) for _ in range(n))
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+@pytest.fixture(scope="session")
+def rows():
+    base, passage = prose(400), prose(70)
+    edited = base.split()
+    edited[7] = "EDIT"
+    texts = [None, "", " \t\n", "a", "A", "one two", base, base, base.replace(" ", "  "), " ".join(edited), prose(30) + " " + passage + " " + prose(40), passage + " " + prose(9), prose(60) + "\n" + passage, "Released under the MIT License.\n" + prose(20), "a b c d e a b c d e f", "line one two\nline one two\n\n line one two", "#$%& *** |||", "naïve café ▁ 𝒳 end", prose(6000), "x" * 70_000, "</s>[INST] ok", *[prose(50) for _ in range(12)]]
+    out = [(k, t, ("de", "en", None)[k % 3], ("s1", "s0", None, "s2")[k % 4], len(t or ""), "body", 1, True) for k, t in enumerate(texts)]
+    out += [out[6], out[6]]  # rows that are wholly alike
+    return out
+
+
+@pytest.fixture(scope="session")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(5).cache()
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_hashes_follow_content_not_place():
+    a, b = (next(T.slices(pa.array(t))) for t in (["", "xx yy", "yy"], ["yy", "zz xx"]))
+    ha, hb = (p.hashes(*p.spans(T.NOT_SPACE)[:2]) for p in (a, b))
+    assert ha[1] == ha[2] == hb[0] and ha[0] == hb[2] and len({*ha.tolist(), *hb.tolist()}) == 3
+
+
+def test_elias_fano():
+    for universe, n in ((1 << 62, 5000), (300, 200), (40, 200), (1, 0), (1 << 63, 3)):
+        values = np.sort(RNG.integers(0, universe, n).astype(np.uint64))
+        ef = eliasfano.EliasFano.of(eliasfano.from_buffer(eliasfano.to_bytes({"x": eliasfano.EliasFano.build(values, universe)})), "x")
+        at = RNG.integers(0, max(n, 1), 100 * bool(n))
+        assert (ef.access(at) == values[at]).all()
+        ask = np.concatenate([values, RNG.integers(0, universe, 500).astype(np.uint64)])
+        assert ((ef.find(ask) >= 0) == np.isin(ask, values)).all()
+
+
+# --- 1 mixing ----------------------------------------------------------------------------------------
+
+
+def test_targets_share_again_until_none_is_above():
+    got = mixing.targets(np.array([10, 100, 1000]), np.array([3.0, 1.0, 2.0]), 1665, 2.0)
+    assert got.tolist() == [20, 200, 1445]
+    assert mixing.targets(np.array([0, 5]), np.array([1.0, 1.0]), 7.5, 2.0).tolist() == [0, 7.5]
+
+
+def test_split_tree_deals_quotas_exactly():
+    leaves = mixing.split_tree(np.array([7, 0, 23]), 5, np.random.default_rng(1))
+    assert leaves.sum(axis=0).tolist() == [7, 0, 23] and leaves.sum(axis=1).max() - leaves.sum(axis=1).min() <= 1
+
+
+def test_mixing(spark, docs, rows, empty):
+    plan = mixing.plan(docs, mixing.cycle((3, 1, 2)))
+    got = mixing.taken(plan).collect()
+    assert Counter((r.doc_id, r["size"]) for r in got) == Counter((r[0], len(words(r[1]))) for r in rows)
+    assert all(r.taken <= 2 * r["size"] for r in got)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.taken(mixing.plan(docs, mixing.cycle((3, 1, 2)))).collect()))
+    mixed = mixing.mixed(docs, plan)
+    assert mixed.columns == docs.columns
+    drawn = Counter(r.doc_id for r in mixed.select("doc_id").collect())
+    wanted = Counter()
+    for r in got:
+        wanted[r.doc_id] += r.taken
+    sizes = {r[0]: len(words(r[1])) for r in rows}
+    assert all(drawn[k] * sizes[k] == n for k, n in wanted.items())
+    assert mixing.taken(mixing.plan(empty, mixing.cycle((3, 1, 2)))).count() == 0
+
+
+def test_mix_comes_near_its_targets(spark):
+    made = [(k, prose(int(RNG.integers(5, 60))), "en", f"s{k % 5 if k % 3 else 0}") for k in range(600)]
+    plan = mixing.plan(spark.createDataFrame(made, "doc_id bigint, text string, lang string, source string"), mixing.cycle((3, 1, 2)))
+    source = {k: s for k, _, _, s in made}
+    sums, target = Counter(), {}
+    for r in mixing.taken(plan).collect():
+        sums[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+    assert all(abs(sums[s] - t) <= max(3, 0.002 * t) for s, t in target.items())
+    assert abs(sum(target.values()) - 1.5 * sum(len(words(t)) for _, t, _, _ in made)) < 1e-6
+
+
+# --- 2 exact dedup -------------------------------------------------------------------------------------
+
+
+def brute_exact(rows):
+    groups = {}
+    for r in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", r[1] or ""), []).append(r)
+    return {b: (min(g, key=lambda r: (-len(r[1] or ""), r[0]))[0], len(g)) for b, g in groups.items()}
+
+
+def test_exact_dedup(docs, rows, empty, monkeypatch):
+    for least in (500, 2):  # also with hot digests
+        monkeypatch.setattr(exact, "LEAST_HOT", least)
+        want, got = brute_exact(rows), exact.assign(docs).collect()
+        texts = {r[0]: re.sub(r"[\x20\x09-\x0D]", "", r[1] or "") for r in rows}
+        assert len(got) == len(rows)
+        for r in got:
+            body = texts[r.doc_id]
+            assert (r.keep_id, r.group_size, r.text_sha256) == (*want[body], hashlib.sha256(body.encode()).hexdigest())
+        kept = [r.doc_id for r in got if r.kept]
+        assert sorted(kept) == sorted(k for k, _ in want.values())
+        left = exact.drop_copies(docs)
+        assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == sorted(kept)
+    assert exact.assign(empty).count() == exact.drop_copies(empty).count() == 0
+
+
+def test_exact_dedup_null_ids(spark):
+    got = exact.assign(spark.createDataFrame([(None, "a b"), (5, "ab"), (None, "ab")], "doc_id bigint, text string")).collect()
+    assert [r.keep_id for r in got] == [None] * 3 and sum(r.kept for r in got) == 1
+
+
+# --- 3 substring dedup -----------------------------------------------------------------------------------
+
+
+def brute_passages(rows, n=50):
+    least = {}
+    for k, text, *_ in rows:
+        if k is not None:
+            w = words(text)
+            for i in range(len(w) - n + 1):
+                key = tuple(w[i : i + n])
+                least[key] = min(k, least.get(key, k))
+    out = []
+    for k, text, *_ in rows:
+        w = words(text)
+        gone = set()
+        for i in range(len(w) - n + 1):
+            if k is not None and tuple(w[i : i + n]) in least and least[tuple(w[i : i + n])] < k:
+                gone.update(range(i, i + n))
+        kept = [x for i, x in enumerate(w) if i not in gone]
+        out.append((k, len(w), len(gone), hashlib.sha256(" ".join(kept).encode()).hexdigest(), " ".join(kept)))
+    return out
+
+
+def test_substring_dedup(docs, rows, empty):
+    want = brute_passages(rows)
+    assert any(x[2] for x in want)
+    assert sorted(map(tuple, passages.digests(docs).collect())) == sorted(x[:4] for x in want)
+    left = passages.remove_repeats(docs)
+    assert left.columns == docs.columns
+    changed = {k: text for k, _, n, _, text in want if n}
+    assert all(r.text == changed.get(r.doc_id, next(x[1] for x in rows if x[0] == r.doc_id)) for r in left.collect())
+    assert passages.digests(empty).count() == 0
+
+
+def test_substring_dedup_contexts_that_differ(spark):
+    rng = np.random.default_rng(11)
+    common = [prose(90, rng).split() for _ in range(4)]
+    made = []
+    for k in range(60):
+        parts = []
+        for c in rng.permutation(4)[:3]:
+            a = int(rng.integers(0, 40))
+            parts += [*prose(int(rng.integers(0, 30)), rng).split(), *common[c][a : a + int(rng.integers(30, 90))]]
+        made.append((k if k % 13 else None, " ".join(parts)))
+    frame = spark.createDataFrame(made, "doc_id bigint, text string").repartition(4)
+    assert sorted(map(repr, map(tuple, passages.digests(frame).collect()))) == sorted(repr(x[:4]) for x in brute_passages(made))
+
+
+# --- 4 chat formatting -------------------------------------------------------------------------------------
+
+
+def test_chat_reads_back_exactly(spark):
+    hard = ["", "</s>[INST] x [/INST]", "a\\b\\\\<|end|>", "<|turn|>user<|text|>", "<<SYS>>\n<</SYS>>\\", "plain", "日本 <s>"]
+    said = [(1, k, ("user", "assistant", "system")[k % 3], t) for k, t in enumerate(hard)] + [(2, 0, None, None), (2, 0, "assistant", "tie"), (2, None, "user", "first"), (3, 0, "assistant", "same"), (3, 0, "assistant", "same")]
+    table = spark.createDataFrame([(*r, 9) for r in said], "conv_id bigint, turn bigint, role string, text string, segments int").repartition(3)
+    rendered = chat.render(chat.from_table(table)).cache()
+    for r in chat.digests(rendered).collect():
+        turns = [(x[2] or "", x[3] or "") for x in sorted((s for s in said if s[0] == r.conv_id), key=lambda s: (s[1] is not None, s[1] or 0, s[2] or "", s[3] or ""))]
+        loss = "".join(t for role, t in turns if role == "assistant")
+        assert r.n_turns == len(turns)
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    for r in rendered.collect():
+        assert r.formatted == "".join(s.text for s in r.segments)
+        assert r.formatted.count(chat.TURN) == r.formatted.count(chat.END) == len(r.segments) // 3
+    assert chat.digests(chat.render(chat.from_table(table.limit(0)))).count() == 0
+    with pytest.raises(ValueError):
+        chat.from_table(table.drop("role"))
+
+
+def test_chat_layouts(spark):
+    turn = lambda r, t: {"role": r, "text": t}
+    cases = [
+        ({"messages": [{"role": "user", "content": "q"}, {"content": None, "role": "assistant"}]}, [turn("user", "q"), turn("assistant", None)]),
+        ({"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}, {"from": "tool", "value": "t"}]}, [turn("user", "q"), turn("assistant", "a"), turn("tool", "t")]),
+        ({"prompt": "q", "completion": "a"}, [turn("user", "q"), turn("assistant", "a")]),
+        ({"instruction": "i", "input": "x", "output": "o"}, [turn("user", "i\n\nx"), turn("assistant", "o")]),
+        ({"instruction": "i", "input": "", "output": "o"}, [turn("user", "i"), turn("assistant", "o")]),
+        ({"system": "", "prompt": "q", "response": "a"}, [turn("user", "q"), turn("assistant", "a")]),
+        ({"question": "q", "answer": "a"}, [turn("user", "q"), turn("assistant", "a")]),
+        ({"other": 1}, None),
+    ]
+    records = [(k, json.dumps(c)) for k, (c, _) in enumerate(cases)] + [(99, "no json"), (98, None)]
+    got = {r.conv_id: r.turns for r in chat.from_json(spark.createDataFrame(records, "conv_id bigint, j string"), "j").collect()}
+    for k, (_, want) in enumerate(cases):
+        assert (None if got[k] is None else [t.asDict() for t in got[k]]) == want
+    assert got[99] is None and got[98] is None
+
+
+# --- 5 SentencePiece ------------------------------------------------------------------------------------
+
+
+def test_sentencepiece_matches_the_library(docs, rows, empty):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = {r[0]: r[1] or "" for r in rows}
+    for r in pieces.digests(docs, MODEL).collect():
+        ids = library.encode(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+        assert r.n_source_bytes == len(texts[r.doc_id].encode())
+    for r in pieces.encode(docs.filter("length(text) < 3000"), MODEL).collect():
+        data = texts[r.doc_id].encode()
+        assert b"".join(data[a:b] for a, b in zip(r.starts, r.ends)) == data
+    assert pieces.digests(empty, MODEL).count() == 0
+
+
+def test_normalizer_aligns_mapped_texts():
+    """A tiny double array with the keys 'ab' -> 'X' and 'a' -> 'yz'."""
+    units = np.zeros(1024, "<u4")
+    units[0] = 256 << 10  # the root's offset
+    at_a = 256 ^ ord("a")
+    units[at_a] = ord("a") | 1 << 8 | (512 ^ at_a) << 10
+    units[512] = 0x80000000 | 2  # leaf of 'a'
+    at_b = 512 ^ ord("b")
+    units[at_b] = ord("b") | 1 << 8 | (768 ^ at_b) << 10
+    units[768] = 0x80000000 | 0  # leaf of 'ab'
+    strings = b"X\0yz\0"
+    blob = units.nbytes.to_bytes(4, "little") + units.tobytes() + strings
+    normal = pieces.Normalizer(blob, dummy_prefix=True, strip_extra=True)
+    text, align = normal(b"  abc  a ")
+    assert text == "▁Xc▁yz".encode()
+    assert align.tolist() == [2, 2, 2, 2, 4, 5, 5, 5, 7, 7, 8]
+    assert normal(b"   ")[0] == b"" and normal(b"")[0] == b""
+
+
+# --- 6 language model --------------------------------------------------------------------------------
+
+
+def brute_lm(train, texts, cutoffs=(1, 2, 2)):
+    grams = [Counter() for _ in range(3)]
+    for t in train:
+        w = ["<>", *words(lower(t)), "</>"]
+        grams[0].update(w[1:])
+        grams[1].update(zip(w, w[1:]))
+        grams[2].update(zip(w, w[1:], w[2:]))
+    n, v = sum(grams[0].values()), len(grams[0])
+    one = {**grams[0], "<>": len(train)}
+    kept = [{g: c for g, c in grams[k].items() if c >= cutoffs[k]} for k in (1, 2)]
+    left = [Counter(), Counter()]
+    for (a, b), c in kept[0].items():
+        left[0][a] += (c - 0.75) / one[a]
+    for (a, b, c3), c in kept[1].items():
+        left[1][a, b] += (c - 0.75) / grams[1][a, b]
+    out = []
+    for t in texts:
+        w = ["<>", *words(lower(t)), "</>"]
+        base = score = known = 0
+        for i in range(1, len(w)):
+            p = (grams[0].get(w[i], 0) + 0.1) / (n + 0.1 * (v + 1))
+            known += w[i] in grams[0]
+            base += math.log10(p)
+            a = w[i - 1]
+            if a in one:
+                p = (max(kept[0][a, w[i]] - 0.75, 0) / one[a] if (a, w[i]) in kept[0] else 0) + (1 - left[0][a]) * p
+            if i > 1 and (pair := (w[i - 2], a)) in kept[0]:
+                p = ((kept[1][*pair, w[i]] - 0.75) / grams[1][pair] if (*pair, w[i]) in kept[1] else 0) + (1 - left[1][pair]) * p
+            score += math.log10(p)
+        out.append((len(w) - 1, known, base, score))
+    return n, v, out
+
+
+@pytest.mark.parametrize("part_tokens", [1 << 21, 400])
+def test_lm(docs, rows, empty, monkeypatch, part_tokens):
+    monkeypatch.setattr(lm, "PART_TOKENS", part_tokens)
+    train = docs.filter("doc_id % 4 <> 0")
+    model = lm.train(train)
+    n, v, want = brute_lm([r[1] for r in rows if r[0] % 4], [r[1] for r in rows])
+    assert (model.tokens, model.words) == (n, v)
+    wanted = {r[0]: w for r, w in zip(rows, want)}
+    got = lm.score(docs, model).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        tokens, known, base, score = wanted[r.doc_id]
+        assert (r.n_tokens, r.n_known) == (tokens, known)
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, abs=0.02 * tokens)
+    assert lm.score(empty, model).count() == 0
+
+
+def test_lm_without_training(docs, empty):
+    got = lm.score(docs, lm.train(empty)).collect()
+    assert all(r.score == pytest.approx(0.0) and r.n_known == 0 for r in got)
+
+
+# --- 7 licences ---------------------------------------------------------------------------------------
+
+
+def test_licenses(spark, docs, empty):
+    cases = {
+        1: "MIT license, the mit LICENSE and Apache  License", 2: "general public\nlicense general public license", 3: "mit licenses", 4: None, 5: "",
+        6: "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction",
+        7: "permission is hereby granted by nobody", 8: "mit", 9: "x " * 5000 + "apache license",
+    }
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(cases.items()), "doc_id bigint, text string")).collect()}
+    assert (got[1].n_base, got[1].first_word, got[1].last_word, got[1].base_labels) == (3, 0, 6, "apache,mit")
+    assert (got[2].n_base, got[2].first_word, got[2].last_word, got[2].labels) == (2, 0, 3, "gpl")
+    for k in (3, 4, 5, 7, 8):
+        assert (got[k].n_base, got[k].first_word, got[k].labels, got[k].score) == (0, None, "", 0)
+    assert (got[6].base_labels, got[6].labels) == ("", "mit") and got[6].score > 0.9
+    assert (got[9].first_word, got[9].n_words) == (5000, 5002)
+    split = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    for r in licenses.scan(docs).join(docs.select("doc_id", "text"), "doc_id").collect():
+        assert r.n_words == len(split.findall(lower(r.text)))
+    assert licenses.scan(empty).count() == 0
+
+
+# --- 8 near dedup ----------------------------------------------------------------------------------------
+
+
+def brute_near(rows, n, percent=80):
+    sets = []
+    for k, text in rows:
+        w = words(lower(text))
+        sets.append((k, {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()))
+    up = {k: k for k, _ in sets}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if x and y and a is not None and b is not None and 100 * len(x & y) >= percent * len(x | y):
+                p, q = sorted((root(a), root(b)))
+                up[q] = p
+    return [(k, len(s), None if k is None else root(k)) for k, s in sets]
+
+
+@pytest.mark.parametrize("n", [2, 5])
+def test_near_dedup(spark, n, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 8)  # many blocks of a family
+    rng = np.random.default_rng(n)
+    bases, made = [prose(120, rng).split() for _ in range(3)], [(1000, None), (1001, ""), (1002, " "), (1003, "Solo"), (1004, "solo"), (1005, "two words"), (1006, "two  WORDS"), (None, " ".join(prose(9, rng)))]
+    for k in range(70):
+        w = list(bases[k % 3])
+        for at in rng.integers(0, len(w), int(rng.integers(0, 14))):
+            w[at] = prose(1, rng)
+        made.append((k, " ".join(w)))
+    made += [(None, made[-1][1]), made[20]]
+    frame = spark.createDataFrame([(k, t, 1) for k, t in made], "doc_id bigint, text string, component_id int").repartition(3)
+    how = neardup.Similar(words=n)
+    want = brute_near(made, n)
+    got = neardup.assign(frame, how).collect()
+    assert sorted((repr(tuple(r)[:3]) for r in got)) == sorted(map(repr, want))
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+    left = neardup.keep(frame, how)
+    assert left.columns == frame.columns
+    assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(k) for k, _, c in want if k == c)
+
+
+def test_near_dedup_ids_that_repeat(spark, empty):
+    a, b = prose(50), prose(50)
+    made = [(7, a), (7, b), (3, b), (9, a)]
+    got = neardup.assign(spark.createDataFrame(made, "doc_id bigint, text string")).collect()
+    assert {r.component_id for r in got} == {3}
+    assert neardup.assign(empty).count() == 0
+
+
+def test_posterior_bounds_keep_pairs_at_the_threshold():
+    for n, least in neardup.least_matches(80):
+        below = sum(math.comb(n, m) * 0.8**m * 0.2 ** (n - m) for m in range(least))
+        assert below < 1e-6
+
+
+def test_components(spark):
+    links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(300, 301)]
+    got = {r.id: r.least for r in graph.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 160)}, 300: 300, 301: 300}
+    assert graph.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+# --- 9 language ID -------------------------------------------------------------------------------------
+
+
+def test_language_id(spark, empty):
+    rng = np.random.default_rng(5)
+    kinds = {"xx": ["sha", "the", "wor", "ing"], "yy": ["lich", "keit", "und", "ß"], "zz": ["ción", "que", "ñor", "ado"]}
+    text = lambda k: " ".join("".join(rng.choice(kinds[k], rng.integers(1, 4))) for _ in range(30))
+    made = [(k, text(("xx", "yy", "zz")[k % 3]), ("xx", "yy", "zz")[k % 3] if k % 10 else None) for k in range(240)]
+    extra = [(900, None, "xx"), (901, "", None), (902, "123 $$$", "xx"), (903, "ß", "yy"), (904, "the" * 20_000, "xx")]
+    frame = spark.createDataFrame([(*r, "src") for r in made + extra], "doc_id bigint, text string, lang string, score string")
+    out = langid.held_out("doc_id", 5)
+    model = langid.fit(frame.filter(~out), MODEL)
+    assert model.languages == ["xx", "yy", "zz"]
+    assert np.allclose(model.theta.sum(axis=0), 1)
+    got = {r.doc_id: r for r in langid.predict(frame, model).collect()}
+    assert all(got[k].lang_pred == ("xx", "yy", "zz")[k % 3] for k, _, _ in made)
+    assert all((got[k].lang_pred, got[k].score) == ("und", 0) for k in (900, 901, 902))
+    assert got[903].lang_pred == "yy" and got[904].lang_pred == "xx" and all(0 <= r.score <= 1 for r in got.values())
+    assert {r.doc_id for r in frame.filter(out).collect()} == {k for k, *_ in made + extra if zlib.crc32(str(k).encode()) % 5 == 0}
+    nothing = langid.predict(frame, langid.fit(empty, MODEL)).collect()
+    assert all(r.lang_pred == "und" for r in nothing)
+
+
+def test_forward_sums_all_segmentations():
+    table = langid.Pieces(MODEL)
+    part = next(T.slices(pa.array(["other"])))
+    inner, initial = table.lattice(part, *part.spans(T.NOT_SPACE)[:2])
+    theta = RNG.random((table.size, 2))
+    theta[0] = 0
+
+    def brute(at, column):
+        if at == 5:
+            return 1.0
+        return sum(theta[inner[0, at, k - 1], column] * brute(at + k, column) for k in range(1, 5 - at + 1) if inner[0, at, k - 1])
+
+    alpha = langid.forward(inner, initial, np.array([5]), theta)
+    for c in range(2):
+        want = theta[1, c] * brute(0, c) + sum(theta[initial[0, k - 1], c] * brute(k, c) for k in range(1, 6) if initial[0, k - 1])
+        assert alpha[5, 0, c] == pytest.approx(want)
+
+
+# --- 10 quality rules ------------------------------------------------------------------------------------
+
+
+def brute_quality(text):
+    text = text or ""
+    w, seen, repeats = words(text), set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            repeats += line in seen
+            seen.add(line)
+    n = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    inside = {j for i in range(len(w) - 4) if n[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), repeats, len(inside), len(w) < 10 or 100 * len(inside) > 20 * len(w)
+
+
+def test_quality_rules(docs, rows, empty):
+    texts = {r[0]: r[1] for r in rows}
+    got = quality.measure(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert tuple(r)[1:7] == brute_quality(texts[r.doc_id])
+        assert not (r.base_failed and r.kept)
+    kept = quality.keep(docs)
+    assert kept.columns == docs.columns and Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in got if r.kept)
+    assert {6, 18} <= {r.doc_id for r in got if r.kept}
+    assert quality.measure(empty).count() == 0
+
+
+def test_nothing_collects_in_local_folders(spark, docs):
+    assert os.path.isdir(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
