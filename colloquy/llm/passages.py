@@ -31,7 +31,7 @@ from colloquy.llm import textnum as T
 from colloquy.llm.scratch import cut
 
 WINDOW = 50
-SEED = 8
+SEED = 25
 
 
 def winnow(grams: np.ndarray, span: int) -> np.ndarray:
@@ -66,7 +66,6 @@ class Seeds:
         run = np.flatnonzero(new)
         self.begin, self.count = at[run], np.diff(np.append(run, len(at)))
         self.anchor = grams[place[run]].view(np.int64)
-        self.windows = T.gram_hashes(words, window)
         with np.errstate(over="ignore"):
             up, down = T._WORD_POWERS(len(words) + 1)
             sums = np.zeros(len(words) + 1, T.U64)
@@ -92,32 +91,39 @@ def _scan(window: int):
 
 
 def _occurrences(window: int):
-    """Rows (doc, text) to a row for each anchor in it: where its run begins, and its windows' hashes."""
+    """Rows (doc, text) to a row for each anchor in it: where its run of windows begins, and how many they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in T.slices(batch.column(1)):
                 seeds = Seeds(part, window)
-                if not len(seeds.begin):
-                    continue
                 text = seeds.text[seeds.begin]
-                hashes = [seeds.windows[b : b + n].tobytes() for b, n in zip(seeds.begin, seeds.count)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(part.lo + text)), pa.array(seeds.anchor, pa.int64()), pa.array(seeds.context, pa.int64()), pa.array((seeds.begin - seeds.first[text]).astype(np.int32)), pa.array(seeds.count.astype(np.int32)), pa.array(hashes, pa.binary())],
-                    ["doc", "anchor", "context", "begin", "n", "windows"],
+                    [batch.column(0).take(pa.array(part.lo + text)), pa.array(seeds.anchor, pa.int64()), pa.array(seeds.context, pa.int64()), pa.array((seeds.begin - seeds.first[text]).astype(np.int32)), pa.array(seeds.count.astype(np.int32))],
+                    ["doc", "anchor", "context", "begin", "n"],
                 )
 
     return run
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (anchor, context, least, windows) to a row for each window."""
-    for batch in batches:
-        sizes = np.array([len(w) // 8 for w in batch.column(3).to_pylist()], np.int64)
-        row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-        nth = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        hashes = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.int64)
-        yield pa.RecordBatch.from_arrays([*(batch.column(k).take(row) for k in range(3)), pa.array(nth.astype(np.int32)), pa.array(hashes)], ["anchor", "context", "least", "nth", "window"])
+def _windows(window: int):
+    """Rows (text, contexts in it) to a row for each context's each window: (anchor, context, least, nth, hash)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in T.slices(batch.column(0)):
+                starts, ends, text = part.spans(T.NOT_SPACE)
+                hashes = T.gram_hashes(part.hashes(starts, ends), window).view(np.int64)
+                n_words = part.per_text(text)
+                lists = batch.column(1).slice(part.lo, part.n)
+                rows, sizes = lists.flatten(), np.diff(np.asarray(lists.offsets))
+                begin, n = np.asarray(rows.field("begin")), np.asarray(rows.field("n")).astype(np.int64)
+                begin = begin + np.repeat(np.cumsum(n_words) - n_words, sizes)
+                row = np.repeat(np.arange(len(n)), n)
+                nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                yield pa.RecordBatch.from_arrays([*(rows.field(c).take(pa.array(row)) for c in ("anchor", "context", "least")), pa.array(nth.astype(np.int32)), pa.array(hashes[begin[row] + nth])], ["anchor", "context", "least", "nth", "window"])
+
+    return run
 
 
 def _removed(window: int):
@@ -150,20 +156,22 @@ def _work(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[Dat
 
     # seeds: documents with an anchor that occurs twice or more
     seeds = scanned.select(F.col("doc.key").alias("key"), F.explode("anchors").alias("anchor"))
-    shared = seeds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # (aggregates are written first: a join of two plain shuffles is one whose hot keys Spark can split)
+    shared = cut(seeds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "shared")
     involved = cut(seeds.join(shared, "anchor", "left_semi").select("key").distinct(), "involved")
-    near = cut(texts.withColumn("key", F.col("doc.key")).join(involved, "key", "left_semi").select("doc", "text"), "near")
+    near = cut(texts.withColumn("key", F.col("doc.key")).join(involved.hint("merge"), "key", "left_semi").select("doc", "text"), "near")
 
     # classes of one context, with the least document, and where an anchor has several, window by window
-    found = cut(near.mapInArrow(_occurrences(window), f"doc {kind}, anchor bigint, context bigint, begin int, n int, windows binary"), "occurrences")
-    classes = cut(found.groupBy("anchor", "context").agg(F.min("doc.id").alias("least"), F.max("doc.id").alias("most"), F.count(F.lit(1)).alias("times"), F.first("windows").alias("windows")), "contexts")
-    several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1").select("anchor")
-    extended = classes.join(several, "anchor", "left_semi").select("anchor", "context", "least", "windows").mapInArrow(_windows, f"anchor bigint, context bigint, least {id_type}, nth int, window bigint")
+    found = cut(near.mapInArrow(_occurrences(window), f"doc {kind}, anchor bigint, context bigint, begin int, n int"), "occurrences")
+    classes = cut(found.groupBy("anchor", "context").agg(F.min("doc.id").alias("least"), F.max("doc.id").alias("most"), F.min(F.struct("doc.key", "begin", "n")).alias("where")), "contexts")
+    several = cut(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1").select("anchor"), "several")
+    chosen = classes.join(several, "anchor", "left_semi").groupBy(F.col("where.key").alias("key")).agg(F.collect_list(F.struct("anchor", "context", "least", "where.begin", "where.n")).alias("contexts"))
+    extended = near.withColumn("key", F.col("doc.key")).join(chosen, "key").select("text", "contexts").mapInArrow(_windows(window), f"anchor bigint, context bigint, least {id_type}, nth int, window bigint")
     extended = cut(extended, "extended")
-    first = extended.groupBy("anchor", "window").agg(F.min("least").alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
+    first = cut(extended.groupBy("anchor", "window").agg(F.min("least").alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times"), "first")
     # only windows that a document with a smaller id than the class's own least has
     earlier = extended.join(first, ["anchor", "window"]).filter(F.col("first") < F.col("least")).groupBy("anchor", "context").agg(F.collect_list(F.struct("nth", "first")).alias("earlier"))
-    known = classes.filter("least < most").select("anchor", "context", "least").join(earlier, ["anchor", "context"], "full_outer")
+    known = cut(classes.filter("least < most").select("anchor", "context", "least").join(earlier, ["anchor", "context"], "full_outer"), "known")
 
     hits = found.select("doc", "anchor", "context", "begin", "n").join(known, ["anchor", "context"])
     span = lambda a, b: F.struct(a.cast("int").alias("first"), b.cast("int").alias("last"))
