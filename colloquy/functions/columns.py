@@ -36,7 +36,7 @@ def utc_timestamp(text: Column) -> Column:
 
 def local_date(text: Column, default: Column | None = None) -> Column:
     """The calendar date a timestamp text begins with (its own offset's day), else `default`."""
-    day = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_date(F.substring(text, 1, 10), F.lit("yyyy-MM-dd")))
+    day = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd"))
     return day if default is None else F.coalesce(day, default)
 
 

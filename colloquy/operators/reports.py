@@ -30,10 +30,10 @@ def pass_rates(df: DataFrame, criteria: dict[str, Column]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in criteria.items()])
 
 
-def summary(df: DataFrame, keys: list[str], score: str, qualified: Column, least: int = 1) -> DataFrame:
+def summary(df: DataFrame, keys: list[str], score: str, qualified: Column, least: int = 1, digits: int = 1) -> DataFrame:
     """By person: meetings, mean score, rate, best and worst; people with at least `least` meetings."""
     n = F.count(F.lit(1))
-    got = df.groupBy(*keys).agg(n.alias("meetings"), F.round(F.avg(score), 1).alias("avg_score"), F.round(percent(F.count_if(qualified), n), 1).alias("rate"), F.max(score).alias("best"), F.min(score).alias("worst"))
+    got = df.groupBy(*keys).agg(n.alias("meetings"), F.round(F.avg(score), digits).alias("avg_score"), F.round(percent(F.count_if(qualified), n), 1).alias("rate"), F.max(score).alias("best"), F.min(score).alias("worst"))
     return got.filter(F.col("meetings") >= least)
 
 

@@ -45,12 +45,12 @@ def sales_performance_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @R.query("""
-SELECT c_custkey, c_name, count(*) AS meetings, round(avg(o_totalprice), 1) AS avg_score,
+SELECT c_custkey, c_name, count(*) AS meetings, round(avg(o_totalprice), 6) AS avg_score,
        round(count(*) FILTER (o_orderstatus = 'F') * 100.0 / count(*), 1) AS rate, max(o_totalprice) AS best, min(o_totalprice) AS worst
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2 HAVING count(*) >= 3""")
 def salesperson_summary(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    return reports.summary(rows, ["c_custkey", "c_name"], "o_totalprice", F.col("o_orderstatus") == "F", 3)
+    return reports.summary(rows, ["c_custkey", "c_name"], "o_totalprice", F.col("o_orderstatus") == "F", 3, digits=6)
 
 
 @R.query("""
@@ -123,11 +123,11 @@ def normalized_view(spark: SparkSession, sf: str) -> DataFrame:
     return names.canonical(table(spark, sf, "nation"), "n_name", _aliases(spark), "client", exact=True).select("n_nationkey", "n_name", "client")
 
 
-@R.query(f"SELECT {_CASE} AS client, count(*) AS meetings, round(avg(c_acctbal), 2) AS avg_balance FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
+@R.query(f"SELECT {_CASE} AS client, count(*) AS meetings, round(avg(c_acctbal), 8) AS avg_balance FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
 def normalized_counts(spark: SparkSession, sf: str) -> DataFrame:
     nations = names.canonical(table(spark, sf, "nation"), "n_name", _aliases(spark), "client", exact=True)
     rows = table(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-    return rows.groupBy("client").agg(F.count(F.lit(1)).alias("meetings"), F.round(F.avg("c_acctbal"), 2).alias("avg_balance"))
+    return rows.groupBy("client").agg(F.count(F.lit(1)).alias("meetings"), F.round(F.avg("c_acctbal"), 8).alias("avg_balance"))
 
 
 @R.query(f"""
