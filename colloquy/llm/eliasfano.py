@@ -1,7 +1,8 @@
 """Elias-Fano sequences in numpy: many accesses or successor searches at a time, over mapped memory.
 
 A sorted sequence keeps the low bits of its values packed, and the high ones in unary: value k sets bit
-(high + k). The k-th one or zero is found from a sample of every 64th, then by population counts.
+(high + k). The k-th one is found from a sample of every 16th, then by population counts. Zeros can be far
+apart where values crowd, so the k-th zero is searched in the counts of zeros before each word.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import mmap
 import numpy as np
 
 U64 = np.uint64
-ONES, SAMPLE = U64(0xFFFFFFFFFFFFFFFF), 64
+ONES, SAMPLE = U64(0xFFFFFFFFFFFFFFFF), 16
 
 
 def _pack(lows: np.ndarray, bits: int) -> np.ndarray:
@@ -26,29 +27,34 @@ def _pack(lows: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([*out, np.zeros(1, U64)])
 
 
+_BYTE_ONES = U64(0x0101010101010101)
+_BYTE_TOPS = U64(0x8080808080808080)
+#: The position of the r-th one of each byte, at 8 * byte + r.
+_IN_BYTE = np.array([([k for k in range(8) if byte >> k & 1] + [0] * 8)[r] for byte in range(256) for r in range(8)], np.int64)
+
+
 def _select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The position of the rank-th one (from 0) of each 64-bit word."""
-    at = np.zeros(len(word), np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        low = word & U64((1 << width) - 1)
-        n = np.bitwise_count(low).astype(np.int64)
-        up = rank >= n
-        rank = rank - np.where(up, n, 0)
-        at += np.where(up, width, 0)
-        word = np.where(up, word >> U64(width), low)
-    return at
-
-
-def _select(bits: np.ndarray, sample: np.ndarray, k: np.ndarray, flip: np.uint64) -> np.ndarray:
+    """The position of the rank-th one (from 0) of each 64-bit word, by the running counts of its bytes."""
+    with np.errstate(over="ignore"):
+        x = word - ((word >> U64(1)) & U64(0x5555555555555555))
+        x = (x & U64(0x3333333333333333)) + ((x >> U64(2)) & U64(0x3333333333333333))
+        sums = ((x + (x >> U64(4))) & U64(0x0F0F0F0F0F0F0F0F)) * _BYTE_ONES
+        rank = rank.astype(U64)
+        shift = np.bitwise_count((((rank * _BYTE_ONES) | _BYTE_TOPS) - sums) & _BYTE_TOPS).astype(U64) << U64(3)
+        before = ((sums << U64(8)) >> shift) & U64(0xFF)
+    return shift.astype(np.int64) + _IN_BYTE[((((word >> shift) & U64(0xFF)) << U64(3)) + rank - before).astype(np.int64)]
+
+
+def _select(bits: np.ndarray, sample: np.ndarray, k: np.ndarray) -> np.ndarray:
     start = sample[k // SAMPLE].astype(np.int64)
     left, at = k % SAMPLE, start >> 6
-    word = (bits[at] ^ flip) & (ONES << (start & 63).astype(U64))
+    word = bits[at] & (ONES << (start & 63).astype(U64))
     n = np.bitwise_count(word).astype(np.int64)
     go = np.flatnonzero(left >= n)
     while len(go):
         left[go] -= n[go]
         at[go] += 1
-        word[go] = bits[at[go]] ^ flip
+        word[go] = bits[at[go]]
         n[go] = np.bitwise_count(word[go])
         go = go[left[go] >= n[go]]
     return (at << 6) + _select_in_word(word, left)
@@ -70,10 +76,11 @@ class EliasFano:
         unary = np.zeros(-(-size // 64) * 64, np.uint8)
         where = (values >> U64(bits)).astype(np.int64) + np.arange(n)
         unary[where] = 1
-        zeros = np.flatnonzero(unary[:size] == 0)
         low = _pack(values & U64((1 << bits) - 1), bits) if bits else np.zeros(1, U64)
-        high = np.append(np.packbits(unary, bitorder="little").view(U64), np.zeros(1, U64))
-        return cls(n, bits, low, high, where[::SAMPLE].astype(np.uint32 if size < 1 << 32 else np.int64), zeros[::SAMPLE].astype(np.uint32 if size < 1 << 32 else np.int64), buckets)
+        high = np.append(np.packbits(unary, bitorder="little").view(U64), np.zeros(2, U64))
+        kind = np.uint32 if size < 1 << 32 else np.int64
+        zeros = np.cumsum(64 - np.bitwise_count(high).astype(np.int64)) - 64 + np.bitwise_count(high)
+        return cls(n, bits, low, high, where[::SAMPLE].astype(kind), zeros.astype(kind), buckets)
 
     def parts(self) -> dict:
         return {"meta": np.array([self.n, self.low_bits, self.buckets], np.int64), "low": self.low, "high": self.high, "ones": self.ones, "zeros": self.zeros}
@@ -95,7 +102,7 @@ class EliasFano:
         """Values at the positions k."""
         if not len(k):
             return np.zeros(0, U64)
-        high = _select(self.high, self.ones, k, U64(0)) - k
+        high = _select(self.high, self.ones, k) - k
         return (high.astype(U64) << U64(self.low_bits)) | self._low(k)
 
     def _begin(self, bucket: np.ndarray) -> np.ndarray:
@@ -103,17 +110,27 @@ class EliasFano:
         out = np.zeros(len(bucket), np.int64)
         some = np.flatnonzero(bucket > 0)
         if len(some):
-            b = bucket[some]
-            out[some] = _select(self.high, self.zeros, b - 1, ONES) - (b - 1)
+            b = bucket[some] - 1
+            word = np.searchsorted(self.zeros, b.astype(self.zeros.dtype), side="right") - 1
+            out[some] = (word << 6) + _select_in_word(~self.high[word], b - self.zeros[word]) - b
         return out
 
+    def _run(self, bit: np.ndarray) -> np.ndarray:
+        """How many ones stand in a row from a bit on, 64 at most."""
+        word, shift = bit >> 6, (bit & 63).astype(U64)
+        here = (self.high[word] >> shift) | ((self.high[word + 1] << U64(1)) << (U64(63) - shift))
+        return np.bitwise_count(here & ~(here + U64(1))).astype(np.int64)
+
     def find(self, values: np.ndarray, lo: np.ndarray | None = None, hi: np.ndarray | None = None) -> np.ndarray:
         """Successor search: the position in [lo, hi) that holds each value, or -1."""
         bucket = (values >> U64(self.low_bits)).astype(np.int64)
         out = np.full(len(values), -1, np.int64)
         ask = np.flatnonzero((bucket >= 0) & (bucket < self.buckets)) if self.n else np.zeros(0, np.int64)
         bucket, want = bucket[ask], values[ask] & U64((1 << self.low_bits) - 1)
-        low, high = self._begin(bucket), self._begin(bucket + 1)
+        low = self._begin(bucket)
+        high = low + self._run(low + bucket)
+        if len(far := np.flatnonzero(high - low >= 64)):
+            high[far] = self._begin(bucket[far] + 1)
         if lo is not None:
             low, high = np.maximum(low, lo[ask]), np.minimum(high, hi[ask])
         open_ = np.flatnonzero(low < high)

@@ -41,6 +41,8 @@ CUTOFFS = (1, 2, 2)
 PART_TOKENS = 1 << 21
 MAX_PARTS = 1024
 SLOTS = 64
+#: Texts taken together, in bytes: more of them ask a part more at a time.
+SLICE = 4 << 20
 HELD_KEYS = 3_000_000
 END = T.mix64(np.array([0xE0D], U64))[0]
 #: A probability p is kept as the byte round(-STEPS * log10(p)).
@@ -112,6 +114,7 @@ class Trie:
         self.bits = max(1, len(self.words)).bit_length() - 1
         self.begin = levels[0].nodes
         self.parts = [[self._part(u) for u in level.uris] for level in levels[1:]]
+        self.hot = [np.flatnonzero(level.splits > 1) for level in levels[1:]]
         self.mass: list[dict[int, np.ndarray]] = []
         for level, parts in zip(levels[1:], self.parts):  # what split slots keep, added up over their parts
             hot = np.flatnonzero(level.splits > 1)
@@ -154,37 +157,44 @@ class Trie:
         known = np.flatnonzero(contexts >= 0)
         if not len(known) or not len(level.uris):
             return node, probability, rest
-        slot = slot_of(below, contexts[known])
-        splits = level.splits[slot]
-        part = level.first_part[slot] + (np.maximum(words[known], 0) * splits) // (self.begin + 1)
+        # each n-gram once, in order, so that a context is looked up once and memory is read in order
+        unknown = 0xFFFFFFFF
+        asked, back = np.unique((contexts[known].astype(U64) << U64(32)) | np.where(words[known] < 0, unknown, words[known]).astype(U64), return_inverse=True)
+        context, word = (asked >> U64(32)).astype(np.int64), (asked & U64(unknown)).astype(np.int64)
+        head = np.flatnonzero(np.diff(context, prepend=-1))
+        size = np.diff(np.append(head, len(context)))
+        slot = slot_of(below, context[head])
+        part = np.repeat(level.first_part[slot], size) + np.where(word == unknown, 0, word) * np.repeat(level.splits[slot], size) // (self.begin + 1)
         order_ = np.argsort(part, kind="stable")
-        known, part = known[order_], part[order_]
-        bases = level.bases
-        for p in np.unique(part):
-            own = known[np.searchsorted(part, p) : np.searchsorted(part, p, side="right")]
-            held = self.parts[order - 2][p]
-            mass = self.mass[order - 2].get(self._family(order, p))
+        cuts = np.flatnonzero(np.diff(part[order_], prepend=-1, append=-1))
+        a_node, a_probability, a_rest = np.full(len(asked), -1, np.int64), np.zeros(len(asked)), np.ones(len(asked))
+        for begin, end in zip(cuts[:-1], cuts[1:]):
+            own = order_[begin:end]
+            p = int(part[own[0]])
+            held, mass = self.parts[order - 2][p], self.mass[order - 2].get(self._family(order, p))
             if held is None and mass is None:
                 continue
-            at = contexts[own] - int((held or self._sibling(order, p))["span"][0])
-            rest[own] = 1 - (held["mass"] if mass is None else mass)[at]
+            head = np.flatnonzero(np.diff(context[own], prepend=-1))
+            size = np.diff(np.append(head, len(own)))
+            at = context[own[head]] - int((held or self._sibling(order, p))["span"][0])
+            a_rest[own] = np.repeat(1 - (held["mass"] if mass is None else mass)[at], size)
             if held is None:
                 continue
-            some = np.flatnonzero((held["mass"][at] > 0) & (words[own] >= 0))
-            own, at = own[some], at[some]
+            some = held["mass"][at] > 0
+            at, size, own = at[some], size[some], own[np.repeat(some, size)]
             lo, hi = held["pointers"].access(at).astype(np.int64), held["pointers"].access(at + 1).astype(np.int64)
-            relative = words[own].astype(U64) + U64(1) + _base(held["successors"], lo)
-            found = held["successors"].find(relative, lo, hi)
+            base = _base(held["successors"], lo)
+            found = held["successors"].find(word[own].astype(U64) + U64(1) + np.repeat(base, size), np.repeat(lo, size), np.repeat(hi, size))
             hit = np.flatnonzero(found >= 0)
-            node[own[hit]] = found[hit] + bases[p]
-            probability[own[hit]] = 10.0 ** (held["bytes"][found[hit]] / -STEPS)
+            a_node[own[hit]] = found[hit] + level.bases[p]
+            a_probability[own[hit]] = 10.0 ** (held["bytes"][found[hit]] / -STEPS)
+        node[known], probability[known], rest[known] = a_node[back], a_probability[back], a_rest[back]
         return node, probability, rest
 
     def _family(self, order: int, part: int) -> int:
         """The first part of the split slot that `part` is of, or -1."""
         level = self.levels[order - 1]
-        hot = np.flatnonzero(level.splits > 1)
-        for s in hot:
+        for s in self.hot[order - 2]:
             if level.first_part[s] <= part < level.first_part[s] + level.splits[s]:
                 return int(level.first_part[s])
         return -1
@@ -259,7 +269,7 @@ def _count(docs: DataFrame, make: Callable[[], Callable[[T.Slice], tuple[np.ndar
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work, held, size = make(), [], 0
         for batch in batches:
-            for part in T.slices(batch.column(0)):
+            for part in T.slices(batch.column(0), SLICE):
                 held.append(work(part))
                 size += len(held[-1][0])
                 if size > HELD_KEYS:
@@ -424,4 +434,4 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
 
         return work
 
-    return T.map_texts(docs, id_col, text_col, SCORED, make)
+    return T.map_texts(docs, id_col, text_col, SCORED, make, SLICE)

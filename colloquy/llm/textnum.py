@@ -178,7 +178,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
         lo = hi
 
 
-def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Callable[[], Callable[[Slice, pa.RecordBatch], dict]]) -> DataFrame:
+def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Callable[[], Callable[[Slice, pa.RecordBatch], dict]], limit: int = SLICE_BYTES) -> DataFrame:
     """Rows (id, columns of `schema`) of what `make()(slice, batch)` returns for each slice of texts.
 
     Only the two columns reach Python, under names of our own, so others may be called anything.
@@ -192,7 +192,7 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Call
         work = make()
         for batch in batches:
             ids = batch.column(0)
-            for part in slices(batch.column(1)):
+            for part in slices(batch.column(1), limit):
                 got = work(part, batch)
                 yield pa.RecordBatch.from_arrays([ids.slice(part.lo, part.n), *(got[x] if isinstance(got[x], pa.Array) else pa.array(got[x]) for x in names)], ["doc_id", *names])
 
