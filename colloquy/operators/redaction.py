@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +59,3 @@ def redact(df: DataFrame, text: str, detect: Callable[[Column], Column], *, mode
         done = done.filter(~dirty)
     return done.drop("__text", "__rounds", "__flags")
 
-
-def any_of(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, columns)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from colloquy.config import Config
 from colloquy.functions import columns as C
-from colloquy.operators import names, redaction, reports, scoring
+from colloquy.operators import clients, names, redaction, reports, scoring, store, talent
 from colloquy.plans.registry import Registry
 from colloquy.sources import table, transcripts
 
@@ -222,3 +222,55 @@ def outcome_classes(spark: SparkSession, sf: str) -> DataFrame:
 def export_fields(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col
     return table(spark, sf, "part").select("p_partkey", C.file_safe(F.concat("p_name", F.lit("/"), "p_type"), 20).alias("name"), C.ellipsis(c("p_name"), 8).alias("short"), C.joined(F.array("p_brand", "p_type")).alias("csv"))
+
+
+TITLES = ["Acme Call x Unknown", "Unknown x Beta Ltd - Topic", "Gamma Group - Intro", "Delta stuff", "sam x bench"]
+_CLIENTS = ["Acme", "Beta Ltd", "Gamma Group", "Delta", None]
+
+
+@R.query("SELECT p_partkey, CASE p_partkey % 5 " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(_CLIENTS) if c) + " END AS client FROM part")
+def client_from_title(spark: SparkSession, sf: str) -> DataFrame:
+    title = F.element_at(F.array(*[F.lit(t) for t in TITLES]), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return table(spark, sf, "part").select("p_partkey", clients.from_title(title).alias("client"))
+
+
+@R.query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Big Client' WHEN 1 THEN 'Acme' END AS client FROM part")
+def client_from_filename(spark: SparkSession, sf: str) -> DataFrame:
+    names_ = F.array(F.lit("meeting-big-client-1693737600"), F.lit("auto-acme-uk-transcript-7"), F.lit("single"))
+    return table(spark, sf, "part").select("p_partkey", clients.from_filename(F.element_at(names_, (F.col("p_partkey") % 3 + 1).cast("int"))).alias("client"))
+
+
+@R.query("""
+SELECT doc_id, CASE WHEN length(text) > 2000 THEN left(text, 2000) || '...' || chr(10) || '[Transcript truncated]' ELSE text END AS context FROM documents""")
+def transcript_cap(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("doc_id", clients.capped(F.col("text"), 2000).alias("context"))
+
+
+@R.query("SELECT event_type AS status, count(*) AS n FROM events GROUP BY 1")
+def outcome_tally(spark: SparkSession, sf: str) -> DataFrame:
+    return store.tally(table(spark, sf, "events").select(F.col("event_type").alias("status")))
+
+
+@R.query("SELECT doc_id AS seq, CASE WHEN length(text) > 100 THEN left(text, 100) || '...' ELSE text END AS error FROM documents ORDER BY doc_id DESC LIMIT 10")
+def recent_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    return store.recent_jobs(table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), F.col("text").alias("error")))
+
+
+@R.query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 1 THEN 'primary_driver' WHEN o_orderkey % 4 = 2 THEN 'openness_to_move' WHEN o_orderkey % 4 = 3 THEN 'no extraction' END AS reject,
+       CASE WHEN o_orderkey % 4 <> 3 AND o_orderkey % 8 <> 0 THEN 'agency' END AS company_type, CASE WHEN o_orderkey % 4 <> 3 THEN o_orderkey % 2 = 0 END AS plausible
+FROM orders""")
+def talent_rows(spark: SparkSession, sf: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    status = F.when(key % 8 == 0, "between_roles").otherwise("employed")
+    driver = F.when(key % 4 == 1, "fame").otherwise("salary")
+    amount = F.when(key % 2 == 0, "450").otherwise("4.5")
+    openness = F.when(key % 4 == 2, "9").otherwise("3")
+    answer = F.concat(
+        F.lit('{"talent_now": {"role": "x", "company_type": "agency", "employment_status": "'), status, F.lit('"}, "talent_motivation": {"primary_driver": "'), driver,
+        F.lit('", "better_description": "b"}, "talent_market": {"openness_to_move": '), openness, F.lit(', "current_comp_structured": {"period": "day", "amount_min": '), amount, F.lit("}}}"),
+    )
+    rows = table(spark, sf, "orders").select("o_orderkey", F.when(key % 4 != 3, answer).otherwise("no json").alias("answer"))
+    empty = spark.createDataFrame([], "variant_name string, canonical_name string")
+    scored = talent.score(rows, "answer", empty, key="o_orderkey")
+    return scored.select("o_orderkey", "reject", "talent_now.company_type", "talent_market.current_comp_structured.plausible")

@@ -44,14 +44,14 @@ CLIENT_INFO = "struct<client_id:string,client:string,domain:string,size:string,s
 SECTION = "struct<qualified:boolean,reason:string,summary:string,evidence:string>"
 FIT = "struct<qualified:boolean,reason:string,summary:string,services:array<string>,evidence:string>"
 SALES = "struct<qualified:boolean,score:int,reason:string,evidence:string,coaching_note:string>"
-TALENT_NOW = "struct<status:string,company_name:string,company_domain:string,company_tenure:string,role:string,seniority:string,team:string,agency_type:string>"
-COMP = "struct<period:string,currency:string,low:double,high:double,plausible:boolean>"
-TALENT_MOTIVATION = f"struct<drivers:array<string>,comp_current:{COMP},comp_expected:{COMP},preferences:array<string>>"
-TALENT_MARKET = "struct<openness_to_move:int,availability:string,locations:array<string>>"
-TALENT_LEADS = "struct<people:array<string>,companies:array<string>>"
-COMPANY = "struct<name:string,canonical_name:string,context:string>"
-THEME = "struct<company_name:string,theme:string,sentiment:string,quote:string>"
-BLOCKER = "struct<company_name:string,category:string,quote:string>"
+TALENT_NOW = "struct<role:string,seniority:string,company_type:string,company_lifecycle:string,company_discipline:string,company_industry:string,current_employer_hiring_signal:boolean,employment_status:string>"
+COMP = "struct<currency:string,amount_min:double,amount_max:double,period:string,basis:string,plausible:boolean>"
+TALENT_MOTIVATION = "struct<primary_driver:string,better_description:string,employment_preference:string>"
+TALENT_MARKET = f"struct<current_comp:string,expected_comp:string,current_comp_structured:{COMP},expected_comp_structured:{COMP},notice_period:string,openness_to_move:int,realistic_time_to_move:string>"
+TALENT_LEADS = "struct<companies_mentioned:array<string>>"
+COMPANY = "struct<name:string,type:string,sentiment:string,evidence_quote:string,source:string>"
+THEME = "struct<company_name:string,theme:string,polarity:string,evidence_quote:string,source:string>"
+BLOCKER = "struct<company_name:string,category:string,evidence_quote:string>"
 FLAG = "struct<category:string,span:string,location:string,confidence:double,redacted:boolean,raw_scrub:string,redact_rounds:int>"
 
 SALES_CRITERIA = ("introduction", "discovery", "scoping", "solution", "commercial", "case_studies", "next_steps", "strategic_context")
