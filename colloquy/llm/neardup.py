@@ -256,3 +256,18 @@ def keep(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id", t
     """The rows of docs but those of documents whose group has a document with a smaller id."""
     dropped = cut(assign(docs, how, id_col=id_col, text_col=text_col).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "dropped")
     return docs.join(dropped, docs[id_col] == dropped["__gone"], "left_anti")
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) > 1 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) ELSE ws END)) AS k FROM w),
+c AS (SELECT k, min(doc_id) AS rep FROM s WHERE len(k) > 0 GROUP BY k),
+e AS (SELECT rep, len(k) AS n, unnest(k) AS g FROM c),
+l AS (SELECT a.rep AS a, b.rep AS b FROM e a JOIN e b ON a.g = b.g AND a.rep < b.rep AND 80 * a.n <= 100 * b.n AND 80 * b.n <= 100 * a.n
+      GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT rep AS id, rep AS place FROM c UNION SELECT r.id, y.b FROM reach r JOIN both_ways y ON y.a = r.place),
+least AS (SELECT id, min(place) AS component_id FROM reach GROUP BY id)
+SELECT s.doc_id, len(s.k) AS n_shingles, coalesce(component_id, s.doc_id) AS component_id, s.doc_id = coalesce(component_id, s.doc_id) AS kept
+FROM s LEFT JOIN c ON s.k = c.k LEFT JOIN least ON least.id = c.rep
+"""

@@ -198,3 +198,16 @@ def remove_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_
     here = (F.xxhash64(docs[id_col], docs[text_col]) == F.col("__left_key")) & docs[id_col].eqNullSafe(F.col("__left_id"))
     met = docs.join(left, here, "left")
     return met.select(*[F.coalesce("__left_text", docs[c]).alias(c) if c == text_col else docs[c] for c in docs.columns])
+
+
+ORACLE = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS h FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 48)) AS i)),
+least AS (SELECT h, min(doc_id) AS m FROM win GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM win JOIN least USING (h), range(50) AS t(j) WHERE m < doc_id),
+n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY 1),
+place AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS p FROM w WHERE doc_id IN (SELECT doc_id FROM n)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM place ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(CASE WHEN n_removed IS NULL THEN array_to_string(ws, ' ') ELSE coalesce(t, '') END) AS kept_sha256
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from colloquy.llm import chat, exact, langid, licenses, lm, mixing, neardup, passages, pieces, quality
 
-WORD = r"[^\x20\x09-\x0D]+"
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -69,4 +67,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op3_substring_dedup, op4_chat_format, op5_sentencepiece, op6_lm_scoring, op7_license_scan, op8_near_dedup, op9_language_id, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.ORACLE, "op4_chat_format": chat.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.ORACLE, "op3_substring_dedup": passages.ORACLE, "op4_chat_format": chat.ORACLE, "op8_near_dedup": neardup.ORACLE}
