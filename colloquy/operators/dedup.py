@@ -22,9 +22,14 @@ def violations(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-def first_claims(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Every row, and whether it is the first to claim its key."""
-    return df.withColumn("claimed", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) == 1)
+def first_claims(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Every row, and whether it is the first to claim its key, by columns that tell all rows of a key apart.
+
+    The firsts are found by an aggregate that combines before its shuffle, so a key that very many rows
+    claim is no single task's sort; Spark can split the join."""
+    firsts = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min(F.struct(*order)).alias("__first"))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return df.join(firsts, same).select(*df.columns, F.struct(*order).eqNullSafe(F.col("__first")).alias("claimed"))
 
 
 def unclaimed(df: DataFrame, claims: DataFrame, keys: list[str]) -> DataFrame:

@@ -19,9 +19,10 @@ def merge(target: DataFrame, source: DataFrame, key: str, *, set_: Iterable[str]
     Null keys match nothing.
     """
     set_, coalesce, insert_only = set(set_), set(coalesce), set(insert_only)
-    t = target.withColumn("__in_target", F.lit(True))
+    # null keys match nothing, and would all meet in one task of the join
+    t = target.filter(F.col(key).isNotNull()).withColumn("__in_target", F.lit(True))
     given = [c for c in source.columns if c != key]
-    s = source.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__s_{c}") for c in given], F.lit(True).alias("__in_source"))
+    s = source.filter(F.col(key).isNotNull()).select(F.col(key).alias("__key"), *[F.col(c).alias(f"__s_{c}") for c in given], F.lit(True).alias("__in_source"))
     s = s.withColumn("__times", F.count(F.lit(1)).over(Window.partitionBy("__key")))
     both = t.join(s, t[key] == s["__key"], "full_outer")
     matched = F.col("__in_target").isNotNull() & F.col("__in_source").isNotNull()
@@ -41,7 +42,11 @@ def merge(target: DataFrame, source: DataFrame, key: str, *, set_: Iterable[str]
 
     twice = F.raise_error(F.lit("MERGE: a target row matches several source rows")).cast("string")
     op = F.when(matched & (F.col("__times") > 1), twice).when(matched, "update").when(came, "insert").otherwise("keep")
-    return both.select(*[column(c) for c in target.columns], op.alias("_op"))
+    merged = both.select(*[column(c) for c in target.columns], op.alias("_op"))
+    written = {key, *set_, *coalesce, *insert_only} & {key, *given}
+    inserted = source.filter(F.col(key).isNull()).select(*[(F.col(c) if c in written else F.lit(None).cast(target.schema[c].dataType)).alias(c) for c in target.columns], F.lit("insert").alias("_op"))
+    kept = target.filter(F.col(key).isNull()).withColumn("_op", F.lit("keep"))
+    return merged.unionByName(kept).unionByName(inserted)
 
 
 def merge_client(target: DataFrame, source: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ def schema_evolution_union(spark: SparkSession, sf: str) -> DataFrame:
 @R.query("SELECT event_id, user_id, event_type, row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY ts, event_id) = 1 AS claimed FROM events")
 def claim_first_writer(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
-    return dedup.first_claims(events, ["user_id", "event_type", "day"], [F.asc("ts"), F.asc("event_id")]).select("event_id", "user_id", "event_type", "claimed")
+    return dedup.first_claims(events, ["user_id", "event_type", "day"], ["ts", "event_id"]).select("event_id", "user_id", "event_type", "claimed")
 
 
 @R.query("SELECT event_id, user_id FROM events e WHERE NOT EXISTS (SELECT 1 FROM events c WHERE c.user_id = e.user_id AND c.event_type = 'purchase' AND c.value > 90)")
