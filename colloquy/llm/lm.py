@@ -251,12 +251,12 @@ def _walk(trie: Trie, tokens: Tokens, order: int) -> tuple[np.ndarray, list[tupl
 # --- counting ----------------------------------------------------------------------------------------
 
 
-def _count(docs: DataFrame, make: Callable[[], Callable[[T.Slice], tuple[np.ndarray, np.ndarray]]]) -> DataFrame:
-    """Keys by part of what make()(slice) gives (keys, parts), added up in each task: rows (part, once, keys, counts)."""
+def _count(docs: DataFrame, make: Callable[[], Callable[[T.Slice], np.ndarray]], part_of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """The keys that make()(slice) gives, added up in each task, by part_of(keys): rows (part, once, keys, counts)."""
 
-    def pack(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        keys, first, n = np.unique(np.concatenate([k for k, _ in held]), return_index=True, return_counts=True)
-        parts = np.concatenate([p for _, p in held])[first]
+    def pack(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys, n = np.unique(np.concatenate(held), return_counts=True)
+        parts = part_of(keys)
         order = np.argsort(parts, kind="stable")
         keys, parts, n = keys[order], parts[order], n[order]
         cuts = np.flatnonzero(np.diff(parts, prepend=-1, append=-1))
@@ -271,7 +271,7 @@ def _count(docs: DataFrame, make: Callable[[], Callable[[T.Slice], tuple[np.ndar
         for batch in batches:
             for part in T.slices(batch.column(0), SLICE):
                 held.append(work(part))
-                size += len(held[-1][0])
+                size += len(held[-1])
                 if size > HELD_KEYS:
                     yield from pack(held)
                     held, size = [], 0
@@ -338,7 +338,10 @@ def train(docs: DataFrame, *, text_col: str = "text", cutoffs: tuple[int, ...] =
     bits = min(10, max(4, (n_texts // 20_000).bit_length()))
 
     def words():
-        return lambda part: (lambda h: (h, (h >> U64(64 - bits)).astype(np.int64)))(Tokens(part).hashes)
+        return lambda part: Tokens(part).hashes
+
+    def top_bits(hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> U64(64 - bits)).astype(np.int64)
 
     def build_words(rows: pa.Table) -> pa.Table:
         part, (keys, n) = rows["part"][0].as_py(), _merged(rows)
@@ -346,7 +349,7 @@ def train(docs: DataFrame, *, text_col: str = "text", cutoffs: tuple[int, ...] =
         save(uri, to_bytes({"keys": EliasFano.build(_inside(keys, bits), 1 << (64 - bits)), "totals": _totals(n)}))
         return _row(part, len(keys), int(n.sum()), _slots(n), uri)
 
-    levels = [_level(_count(texts, words).groupBy("part").applyInArrow(build_words, BUILT).collect(), 1 << bits)]
+    levels = [_level(_count(texts, words, top_bits).groupBy("part").applyInArrow(build_words, BUILT).collect(), 1 << bits)]
     if levels[0].nodes >= 1 << 32:
         raise ValueError("over 2**32 words")
     for order in range(2, len(cutoffs) + 1):
@@ -367,17 +370,19 @@ def _next_level(texts: DataFrame, levels: list[Level], n_texts: int, order: int,
     def grams():
         trie = Trie(levels, n_texts)
 
-        def work(part: T.Slice) -> tuple[np.ndarray, np.ndarray]:
+        def work(part: T.Slice) -> np.ndarray:
             tokens = Tokens(part)
             numbers, steps = _walk(trie, tokens, order - 1)
             contexts = tokens.before(numbers, trie.begin) if order == 2 else tokens.before(steps[-1][0], -1)
             at = np.flatnonzero((contexts >= 0) & (numbers >= 0))
-            contexts, numbers = contexts[at], numbers[at]
-            slot = slot_of(below, contexts)
-            return (contexts.astype(U64) << U64(32)) | numbers.astype(U64), first[slot] + numbers * splits[slot] // (n_words + 1)
+            return (contexts[at].astype(U64) << U64(32)) | numbers[at].astype(U64)
 
         return work
 
+    def part_of(keys: np.ndarray) -> np.ndarray:
+        slot = slot_of(below, (keys >> U64(32)).astype(np.int64))
+        return first[slot] + (keys & U64(0xFFFFFFFF)).astype(np.int64) * splits[slot] // (n_words + 1)
+
     def build(rows: pa.Table) -> pa.Table:
         trie = Trie(levels, n_texts)
         part, (keys, n) = rows["part"][0].as_py(), _merged(rows)
@@ -400,7 +405,7 @@ def _next_level(texts: DataFrame, levels: list[Level], n_texts: int, order: int,
         save(uri, to_bytes({"span": np.array([lo, hi]), "pointers": EliasFano.build(pointers, len(keys)), "successors": EliasFano.build(rising, int(rising[-1]) if len(rising) else 1), "totals": _totals(n), "bytes": np.clip(np.rint(-STEPS * np.log10(share)), 0, 255).astype(np.uint8), "mass": mass}))
         return _row(part, len(keys), int(n.sum()), _slots(n), uri)
 
-    level = _level(_count(texts, grams).groupBy("part").applyInArrow(build, BUILT).collect(), len(spans))
+    level = _level(_count(texts, grams, part_of).groupBy("part").applyInArrow(build, BUILT).collect(), len(spans))
     level.first_part, level.splits = first, splits
     return level
 
