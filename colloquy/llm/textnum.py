@@ -47,7 +47,7 @@ class _Powers:
 
     def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > self.n:
-            self.n = max(n, 2 * self.n, SLICE_BYTES + 64)
+            self.n = -(-n // SLICE_BYTES) * SLICE_BYTES + 64  # little more than is asked for: these stay in memory
             steps = np.ones(self.n, U64)
             steps[1:] = self.base
             self.up = np.cumprod(steps, dtype=U64)
