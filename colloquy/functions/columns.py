@@ -86,4 +86,4 @@ def first_class(text: Column, classes: list[tuple[str, tuple[str, ...]]]) -> Col
 
 def literal_pattern(text: Column) -> Column:
     """A regular expression that matches `text` itself, whatever the case."""
-    return F.concat(F.lit("(?i)\\Q"), F.replace(text, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    return F.concat(F.lit("(?iu)\\Q"), F.replace(text, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))

@@ -15,8 +15,8 @@ def scrub(text: Column, span: Column, placeholder: Column) -> Column:
     words = F.array_join(F.transform(F.filter(F.split(span, r"(?U)\W+"), lambda w: w != ""), lambda w: F.concat(F.lit("\\Q"), w, F.lit("\\E"))), "\\W+")
     exact = literal_pattern(span)
     some = F.coalesce(F.trim(span) != "", F.lit(False))
-    loose = F.when(F.regexp_replace(span, r"(?U)\W+", "") != "", F.regexp_replace(text, F.concat(F.lit("(?iU)"), words), placeholder)).otherwise(text)
-    return F.when(~some, text).when(F.regexp_like(text, exact), F.regexp_replace(text, exact, placeholder)).otherwise(loose)
+    loose = F.when(F.regexp_replace(span, r"(?U)\W+", "") != "", F.regexp_replace(text, F.concat(F.lit("(?iuU)"), words), placeholder)).otherwise(text)
+    return F.when(~some, text).when(F.contains(F.lower(text), F.lower(span)), F.regexp_replace(text, exact, placeholder)).otherwise(loose)
 
 
 def scrub_all(text: Column, flags: Column) -> Column:
@@ -47,15 +47,25 @@ def redact(df: DataFrame, text: str, detect: Callable[[Column], Column], *, mode
     """
     if mode == "flag":
         return df.withColumns({"status": F.lit("flag"), "rounds": F.lit(0)})
-    state = df.withColumns({"__text": F.col(text), "__rounds": F.lit(0), "__flags": detect(F.col(text))})
-    dirty = F.exists("__flags", lambda f: f["confidence"] >= floor)
-    for _ in range(rounds):
+    unsure = lambda s: F.exists(s["flags"], lambda f: f["confidence"] >= floor)
+    made = lambda t, n: F.struct(t.alias("text"), n.alias("rounds"), detect(t).alias("flags"))
+
+    def once_more(s: Column) -> Column:
         # a text that holds no sure flag is clean, and is left as it is
-        state = state.withColumns({"__text": F.when(dirty, scrub_all(F.col("__text"), F.col("__flags"))).otherwise(F.col("__text")), "__rounds": F.col("__rounds") + dirty.cast("int")})
-        state = state.withColumn("__flags", detect(F.col("__text")))
+        scrubbed = _let(scrub_all(s["text"], s["flags"]), lambda t: made(t, s["rounds"] + 1))
+        return F.when(unsure(s), scrubbed).otherwise(s)
+
+    state = made(F.col(text), F.lit(0))
+    for _ in range(rounds):
+        state = _let(state, once_more)
+    # a generator rather than a filter, which would be pushed down and work the rounds out once more
+    kept = F.array(state) if on_failure == "fallback" else F.filter(F.array(state), lambda s: ~F.coalesce(unsure(s), F.lit(False)))
+    done = df.withColumn("__state", F.explode(kept))
+    dirty = F.coalesce(unsure(F.col("__state")), F.lit(False))
     status = F.when(dirty, "redact_fallback").otherwise("redacted")
-    done = state.withColumns({"status": status, "rounds": F.col("__rounds"), text: F.when(dirty, F.col(text)).otherwise(F.col("__text"))})
-    if on_failure == "drop":
-        done = done.filter(~dirty)
-    return done.drop("__text", "__rounds", "__flags")
+    return done.withColumns({"status": status, "rounds": F.col("__state.rounds"), text: F.when(dirty, F.col(text)).otherwise(F.col("__state.text"))}).drop("__state")
+
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))

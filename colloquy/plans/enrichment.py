@@ -168,25 +168,36 @@ def keyword_domain(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SENSITIVE = {"health": ("the and", "der die"), "belief": ("of the",)}
-_ONE_ROUND = "regexp_replace(regexp_replace(regexp_replace(text, 'the and', '[REDACTED:health]', 'gi'), 'der die', '[REDACTED:health]', 'gi'), 'of the', '[REDACTED:belief]', 'gi')"
 
 
-@R.query(f"SELECT doc_id, {_ONE_ROUND} AS text FROM documents")
+def _scrub(t: str, span: str, category: str) -> str:
+    """A flagged span's exact places, else its words with anything between them; spans are taken one after the other."""
+    words = "[^\\pL\\pN_]+".join(span.split())
+    return f"CASE WHEN NOT contains(lower(o), '{span}') THEN {t} WHEN contains(lower({t}), '{span}') THEN regexp_replace({t}, '{span}', '[REDACTED:{category}]', 'gi') ELSE regexp_replace({t}, '{words}', '[REDACTED:{category}]', 'gi') END AS {t}"
+
+
+_SPANS = [(span, category) for category, spans in SENSITIVE.items() for span in spans]
+_SCRUBBED = "(SELECT doc_id, text AS o, text AS t FROM documents)"
+for _span, _category in _SPANS:
+    _SCRUBBED = f"(SELECT doc_id, o, {_scrub('t', _span, _category)} FROM {_SCRUBBED})"
+
+
+@R.query(f"SELECT doc_id, t AS text FROM {_SCRUBBED}")
 def span_redaction(spark: SparkSession, sf: str) -> DataFrame:
     flags = redaction.dictionary_detector(SENSITIVE)(F.col("text"))
     return table(spark, sf, "documents").select("doc_id", redaction.scrub_all(F.col("text"), flags).alias("text"))
 
 
-_FLAGGED = "(contains(lower(text), 'the and') OR contains(lower(text), 'der die') OR contains(lower(text), 'of the'))"
+_FLAGGED = "(contains(lower(o), 'the and') OR contains(lower(o), 'der die') OR contains(lower(o), 'of the'))"
 
 
-@R.query(f"SELECT doc_id, {_ONE_ROUND} AS text, 'redacted' AS status, CAST({_FLAGGED} AS INT) AS rounds FROM documents")
+@R.query(f"SELECT doc_id, t AS text, 'redacted' AS status, CAST({_FLAGGED} AS INT) AS rounds FROM {_SCRUBBED}")
 def redact_to_clean(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return redaction.redact(docs, "text", redaction.dictionary_detector(SENSITIVE), rounds=2)
 
 
-@R.query(f"SELECT doc_id, contains(lower({_ONE_ROUND}), 'the and') OR contains(lower({_ONE_ROUND}), 'of the') AS residue FROM documents")
+@R.query(f"SELECT doc_id, contains(lower(t), 'the and') OR contains(lower(t), 'of the') AS residue FROM {_SCRUBBED}")
 def residue_check(spark: SparkSession, sf: str) -> DataFrame:
     flags = redaction.dictionary_detector(SENSITIVE)(F.col("text"))
     spans = F.array(F.lit("the and"), F.lit("of the"))
