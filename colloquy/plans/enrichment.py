@@ -235,14 +235,14 @@ def export_fields(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", C.file_safe(F.concat("p_name", F.lit("/"), "p_type"), 20).alias("name"), C.ellipsis(c("p_name"), 8).alias("short"), C.joined(F.array("p_brand", "p_type")).alias("csv"))
 
 
-TITLES = ["Acme Call x Unknown", "Unknown x Beta Ltd - Topic", "Gamma Group - Intro", "Delta stuff", "sam x bench"]
+TITLES = ["Acme Call x House", "House x Beta Ltd - Topic", "Gamma Group - Intro", "Delta stuff", "ann x office"]
 _CLIENTS = ["Acme", "Beta Ltd", "Gamma Group", "Delta", None]
 
 
 @R.query("SELECT p_partkey, CASE p_partkey % 5 " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(_CLIENTS) if c) + " END AS client FROM part")
 def client_from_title(spark: SparkSession, sf: str) -> DataFrame:
     title = F.element_at(F.array(*[F.lit(t) for t in TITLES]), (F.col("p_partkey") % 5 + 1).cast("int"))
-    return table(spark, sf, "part").select("p_partkey", clients.from_title(title).alias("client"))
+    return table(spark, sf, "part").select("p_partkey", clients.from_title(title, ("house", "ann", "office")).alias("client"))
 
 
 @R.query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Big Client' WHEN 1 THEN 'Acme' END AS client FROM part")

@@ -18,6 +18,9 @@ GOOD = {
 }
 
 
+OWN = ("house", "ann", "bob")
+
+
 def changed(path, value):
     made = json.loads(json.dumps(GOOD))
     spot = made
@@ -74,18 +77,18 @@ def test_screening(spark):
 
 @pytest.mark.parametrize(
     ("title", "want"),
-    [("Beyond x Unknown Bench", "Beyond"), ("Unknown x Beyond - Q3", "Beyond"), ("Acme sync x Unknown", "Acme"), ("Acme - intro", "Acme"), ("sam x matt", None), ("Unknown", None), ("Foo bar", "Foo"), ("lower case", None), ("", None), (None, None)],
+    [("Zenith x House Team", "Zenith"), ("House x Zenith - Q3", "Zenith"), ("Acme sync x House", "Acme"), ("Acme - intro", "Acme"), ("ann x bob", None), ("House", None), ("Foo bar", "Foo"), ("lower case", None), ("", None), (None, None)],
 )
 def test_client_from_title(spark, title, want):
-    assert spark.range(1).select(clients.from_title(F.lit(title).cast("string"))).first()[0] == want
+    assert spark.range(1).select(clients.from_title(F.lit(title).cast("string"), OWN)).first()[0] == want
 
 
 def test_client_tiers(spark):
     kind = schemas.CLIENT_INFO
     classes = [("saas", ("platform",))]
-    df = spark.createDataFrame([("Told", "T x Unknown", "a-b", "Co", ""), (" ", "Acme x Unknown", "a-b", "Co", ""), (None, "Unknown", "auto-big-client-1693737600", "Co", ""), (None, None, "single", "Co", "our Platform"), (None, None, "single", None, "")], "c string, title string, id string, company string, text string")
+    df = spark.createDataFrame([("Told", "T x House", "a-b", "Co", ""), (" ", "Acme x House", "a-b", "Co", ""), (None, "House", "auto-big-client-1693737600", "Co", ""), (None, None, "single", "Co", "our Platform"), (None, None, "single", None, "")], "c string, title string, id string, company string, text string")
     answer = F.when(F.col("c").isNotNull(), F.struct(F.lit(None).cast("string").alias("client_id"), F.col("c").alias("client"), *[F.lit(None).cast("string").alias(x) for x in ("domain", "size")], F.lit("llm").alias("source")).cast(kind))
-    got = [r.i for r in df.select(clients.info(answer, F.col("title"), F.col("id"), F.col("company"), F.col("text"), classes).alias("i")).collect()]
+    got = [r.i for r in df.select(clients.info(answer, F.col("title"), F.col("id"), F.col("company"), F.col("text"), classes, OWN).alias("i")).collect()]
     assert [(i.client, i.source, i.domain) for i in got] == [("Told", "llm", None), ("Acme", "title", None), ("Big Client", "filename", None), ("Co", "domain", "saas"), ("Unknown", "domain", None)]
 
 
