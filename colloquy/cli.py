@@ -1,13 +1,15 @@
-"""Command line: ingest, merge, dedupe, report."""
+"""Command line: ingest, score, upload, merge, dedupe, report."""
 
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import functions as F
 
-from colloquy.operators import dedup, merge, reports, sinks
-from colloquy.schemas import MEETING_INTEL
+from colloquy.config import Config
+from colloquy.operators import completion, dedup, merge, reports, sinks
+from colloquy.schemas import MEETING_INTEL, SALES_CRITERIA
 from colloquy.session import session
 from colloquy.sources import transcripts
 
@@ -19,6 +21,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("input"), p.add_argument("output"), p.add_argument("--rejects"), p.add_argument("--default-date")
     p = commands.add_parser("merge", help="scored rows into the fact table")
     p.add_argument("table"), p.add_argument("rows"), p.add_argument("--domain", choices=("client", "talent"), required=True)
+    p = commands.add_parser("score", help="transcripts to scored rows, from recorded answers")
+    p.add_argument("transcripts"), p.add_argument("answers", help="JSON object of answers by prompt"), p.add_argument("output")
+    p = commands.add_parser("upload", help="rows into a table")
+    p.add_argument("rows"), p.add_argument("table"), p.add_argument("--disposition", choices=("append", "truncate", "empty"), default="append")
     p = commands.add_parser("dedupe", help="the latest row of each key")
     p.add_argument("table"), p.add_argument("--key", default="meeting_id"), p.add_argument("--order", default="scored_at")
     p = commands.add_parser("report", help="distribution of a column as markdown")
@@ -35,7 +41,18 @@ def main(argv: list[str] | None = None) -> int:
         found, refused = spark.read.parquet(args.output).count(), bad.count()
         print(f"{found} transcripts, {refused} rejected")
         return int(not found)
-    if args.command == "merge":
+    if args.command == "score":
+        with open(args.answers) as file:
+            answers = json.load(file)
+        config = Config.from_env()
+        prompts = {s: s for s in completion.SECTIONS} | ({f"sales_{c}": f"sales_{c}" for c in SALES_CRITERIA} if config.enable_sales_scoring else {})
+        raw = completion.ask(spark.read.parquet(args.transcripts), prompts, "full_transcript", lambda: completion.Recorded(answers), config)
+        scored = completion.opportunity(raw, config)
+        scored = completion.sales(scored, config) if config.enable_sales_scoring else scored
+        scored.drop("raw").write.mode("overwrite").parquet(args.output)
+    elif args.command == "upload":
+        sinks.write(spark.read.parquet(args.rows), args.table, args.disposition)
+    elif args.command == "merge":
         target = merge.add_columns(spark.read.parquet(args.table), MEETING_INTEL)
         merged = merge.merge_by_domain(target, spark.read.schema(MEETING_INTEL).parquet(args.rows), args.domain)
         sinks.replace_table(merged.drop("_op"), args.table)

@@ -89,3 +89,9 @@ def html_page(df: DataFrame, title: str) -> str:
     cell = lambda tag, x: f"<{tag}>{html.escape('' if x is None else str(x))}</{tag}>"
     body = "".join(f"<tr>{''.join(cell('td', c) for c in r)}</tr>" for r in rows)
     return f"<!doctype html><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><table><tr>{''.join(cell('th', c) for c in df.columns)}</tr>{body}</table>"
+
+
+def message(summary: DataFrame, subject: str) -> str:
+    """A mail's text from a summary of one row."""
+    row = summary.first()
+    return "\n".join([f"Subject: {subject}", "", *(f"{c.replace('_', ' ')}: {'' if row[c] is None else row[c]}" for c in summary.columns), ""])

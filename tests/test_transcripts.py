@@ -1,6 +1,10 @@
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from colloquy import cli, schemas
+from colloquy.operators import sinks
 from colloquy.sources import transcripts
 from colloquy.streaming import upserts
 
@@ -68,6 +72,19 @@ def test_scan_ingest_and_dedupe(spark, tmp_path, capsys):
     assert cli.main(["report", f"{tmp_path}/t", "v"]) == 0 and "| b | 1 | 100.0 |" in capsys.readouterr().out
 
 
+def test_score_and_upload_commands(spark, tmp_path):
+    transcripts.parse(files(spark, fenced=FENCED)).drop("reject").write.parquet(f"{tmp_path}/in")
+    good = json.dumps({"qualified": True, "reason": "r", "summary": "s", "evidence": "e"})
+    (tmp_path / "answers.json").write_text(json.dumps({"now": good, "next": good, "measure": good, "sales_discovery": '{"score": 3}'}))
+    assert cli.main(["score", f"{tmp_path}/in", f"{tmp_path}/answers.json", f"{tmp_path}/out"]) == 0
+    row = spark.read.parquet(f"{tmp_path}/out").first()
+    assert (row.total_qualified_sections, row.qualified, row.sales_total_score) == (3, True, 3)
+    assert cli.main(["upload", f"{tmp_path}/out", f"{tmp_path}/table", "--disposition", "empty"]) == 0
+    with pytest.raises(ValueError):
+        cli.main(["upload", f"{tmp_path}/out", f"{tmp_path}/table", "--disposition", "empty"])
+    assert "qualified: True" in sinks.message(spark.read.parquet(f"{tmp_path}/out").select("qualified"), "scores")
+
+
 def test_merge_command(spark, tmp_path):
     rows = lambda **x: spark.createDataFrame([x], schemas.MEETING_INTEL)
     rows(meeting_id="m", title="old", my_notes="kept").write.parquet(f"{tmp_path}/t")
