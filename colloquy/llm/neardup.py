@@ -243,8 +243,8 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
     as_stray = open_.filter("is_stray").select("family", "rep", "comp", F.lit(True).alias("stray"), F.explode(every("blocks")).alias("i"), own("stray_blocks").alias("j"))
     meeting = as_other.unionByName(as_stray).join(facts, "rep").select("family", "i", "j", "rep", "comp", "stray", "signature", "grams")
     id_arrow = to_arrow_type(texts.schema["doc_id"].dataType)
-    more = meeting.groupBy("family", "i", "j").applyInArrow(_cross(how, id_arrow), f"a {id_type}, b {id_type}")
-    final = cut(components(comps.select(F.col("id").alias("a"), F.col("least").alias("b")).unionByName(more)), "components")
+    more = cut(meeting.groupBy("family", "i", "j").applyInArrow(_cross(how, id_arrow), f"a {id_type}, b {id_type}"), "more")
+    final = comps if more.isEmpty() else cut(components(comps.select(F.col("id").alias("a"), F.col("least").alias("b")).unionByName(more)), "components")
 
     named = classes.select("n_shingles", "h1", "h2", "rep").join(final, F.col("rep") == F.col("id"), "left").select("n_shingles", "h1", "h2", F.coalesce("least", "rep").alias("component_id"))
     joined = sketches.drop("signature").join(named, ["n_shingles", "h1", "h2"], "left")
