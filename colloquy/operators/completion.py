@@ -19,6 +19,7 @@ from colloquy import schemas
 from colloquy.config import Config
 from colloquy.functions import columns as C
 from colloquy.operators import names, scoring
+from colloquy.operators.vocabularies import CHALLENGES, OFFERINGS, RESULTS
 
 SECTIONS = ("now", "next", "measure", "blocker", "fit")
 
@@ -124,6 +125,14 @@ def opportunity(df: DataFrame, config: Config = Config()) -> DataFrame:
     return made.withColumns({"total_qualified_sections": n.cast("bigint"), "qualified": enough})
 
 
+def taxonomy(df: DataFrame, answer: str = "taxonomy") -> DataFrame:
+    """Labels of the controlled vocabularies from the answer of that name, the first five of a kind and one offering; none if it is no JSON."""
+    raw = F.try_element_at("raw", F.lit(answer))
+    labels = lambda path, known: names.in_vocabulary(C.json_array(raw, path), list(known))
+    offering = C.json_scalar(raw, "$.offering")
+    return df.withColumns({"challenges": labels("$.challenges", CHALLENGES), "results": labels("$.results", RESULTS), "offering": F.when(offering.isin(*OFFERINGS), offering)})
+
+
 def sales(df: DataFrame, config: Config = Config()) -> DataFrame:
     """Answers in `raw` (sales_<criterion>) as eight assessments with totals, strengths and coaching."""
     made = df.withColumns({f"sales_{c}": sales_section(F.try_element_at("raw", F.lit(f"sales_{c}"))) for c in schemas.SALES_CRITERIA})

@@ -228,6 +228,14 @@ def test_scoring_from_recorded_answers(spark):
     assert row.sales_total_qualified == 6 and row.sales_scoping.qualified
 
 
+def test_taxonomy(spark):
+    answer = json.dumps({"challenges": ["Expand locations", "Made up", "Shrinking margin"], "results": "Revenue Growth", "offering": "Media"})
+    df = spark.createDataFrame([(1, {"taxonomy": answer}), (2, {"taxonomy": "no json"}), (3, {})], "id int, raw map<string,string>")
+    got = {r.id: r for r in completion.taxonomy(df).collect()}
+    assert (got[1].challenges, got[1].results, got[1].offering) == (["Expand locations", "Shrinking margin"], [], "Media")
+    assert all((got[k].challenges, got[k].results, got[k].offering) == ([], [], None) for k in (2, 3))
+
+
 # --- sinks ---------------------------------------------------------------------------------------------
 
 
