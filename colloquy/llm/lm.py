@@ -118,7 +118,8 @@ class Trie:
         self.mass: list[dict[int, np.ndarray]] = []
         for level, parts in zip(levels[1:], self.parts):  # what split slots keep, added up over their parts
             hot = np.flatnonzero(level.splits > 1)
-            self.mass.append({int(level.first_part[s]): sum(parts[p]["mass"] for p in range(level.first_part[s], level.first_part[s] + level.splits[s]) if parts[p]) for s in hot})
+            siblings = {int(level.first_part[s]): [p for p in parts[level.first_part[s] : level.first_part[s] + level.splits[s]] if p] for s in hot}
+            self.mass.append({first: sum(p["mass"] for p in held) for first, held in siblings.items() if held})
 
     @staticmethod
     def _part(uri: str | None) -> dict | None:
