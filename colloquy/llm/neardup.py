@@ -39,7 +39,7 @@ BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
 BATCH = 25
 MISS = 1e-8
-BLOCK = 1024
+BLOCK = 256
 
 _RNG = np.random.Generator(np.random.Philox(7))
 _A = (_RNG.integers(0, 1 << 31, HASHES, dtype=np.int64) * 2 + 1).astype(np.uint32)
