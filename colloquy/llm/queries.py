@@ -43,7 +43,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = langid.held_out("doc_id", 10)
-    model = lm.train(docs.filter(~held_out))
+    model = lm.train(docs.filter(~held_out), cutoffs=(1, 1, 1))
     train_tokens = F.lit(model.tokens).cast("bigint").alias("train_tokens")
     return lm.score(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", train_tokens, "base_score", "score")
 

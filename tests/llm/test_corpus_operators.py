@@ -13,7 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from colloquy.llm import chat, eliasfano, exact, graph, langid, licenses, lm, mixing, neardup, passages, pieces, quality
+from colloquy.llm import chat, eliasfano, exact, graph, langid, licenses, lm, mixing, neardup, passages, pieces, quality, queries
 from colloquy.llm import textnum as T
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -326,6 +326,15 @@ def test_lm(docs, rows, empty, monkeypatch, part_tokens):
     assert lm.score(empty, model).count() == 0
 
 
+def test_lm_query_keeps_ngrams_seen_once(spark, docs, rows, tmp_path):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op6_lm_scoring(spark, str(tmp_path)).collect()}
+    _, _, whole = brute_lm([r[1] for r in rows if not got[r[0]].held_out], [r[1] for r in rows], (1, 1, 1))
+    for r, (tokens, known, _, score) in zip(rows, whole):
+        assert (got[r[0]].n_tokens, got[r[0]].n_known) == (tokens, known)
+        assert got[r[0]].score == pytest.approx(score, abs=0.02 * tokens)
+
+
 def test_lm_without_training(docs, empty):
     got = lm.score(docs, lm.train(empty)).collect()
     assert all(r.score == pytest.approx(0.0) and r.n_known == 0 for r in got)
