@@ -118,6 +118,20 @@ def utterance_parse(spark: SparkSession, sf: str) -> DataFrame:
     return notes.select("conv_id", "turn", "n.speaker", "n.text")
 
 
+#: A trimmed `line` as a note, in SQL; what is none has a null text.
+_NOTE = r"""
+CASE WHEN regexp_matches(line, '^\[(\d{1,2}:\d{2}(?::\d{2})?)\]\s*([^:]+):\s*(.+)$') THEN regexp_extract(line, '^\[(\d{1,2}:\d{2}(?::\d{2})?)\]', 1) END AS t,
+CASE WHEN regexp_matches(line, '^\[(\d{1,2}:\d{2}(?::\d{2})?)\]\s*([^:]+):\s*(.+)$') THEN trim(regexp_extract(line, '^\[[0-9:]+\]\s*([^:]+):', 1), ' ') WHEN regexp_matches(line, '^([^:]+):\s*(.+)$') THEN trim(regexp_extract(line, '^([^:]+):', 1), ' ') END AS speaker,
+CASE WHEN regexp_matches(line, '^\[(\d{1,2}:\d{2}(?::\d{2})?)\]\s*([^:]+):\s*(.+)$') THEN trim(regexp_extract(line, '^\[[0-9:]+\]\s*[^:]+:\s*(.+)$', 1), ' ') WHEN regexp_matches(line, '^([^:]+):\s*(.+)$') THEN trim(regexp_extract(line, '^[^:]+:\s*(.+)$', 1), ' ') WHEN NOT regexp_matches(line, '^[-•*]') THEN line END AS text"""
+
+
+@R.query(f"""
+SELECT * FROM (SELECT conv_id, turn, {_NOTE} FROM (SELECT conv_id, turn, trim(unnest(string_split(text, chr(10))), ' ') AS line FROM conversations) WHERE line <> '' AND NOT starts_with(line, '#') AND line <> '---') WHERE text IS NOT NULL""")
+def utterance_lines(spark: SparkSession, sf: str) -> DataFrame:
+    notes = table(spark, sf, "conversations").select("conv_id", "turn", F.explode(transcripts.utterances(F.col("text"))).alias("n"))
+    return notes.select("conv_id", "turn", "n.*")
+
+
 _FENCED = "'```json' || chr(10) || '{\"granola_note_id\": \"c' || conv_id || '\", \"title\": \"Call ' || turn || '\", \"creator_name\": \"' || role || '\"}' || chr(10) || '```' || chr(10) || '## Enhanced Notes' || chr(10) || 'note ' || turn || chr(10) || '## Full Transcript' || chr(10) || 'Me: ' || role"
 
 

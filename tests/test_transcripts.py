@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from colloquy import cli, schemas
 from colloquy.operators import sinks
+from colloquy.plans import catalogue
 from colloquy.sources import transcripts
 from colloquy.streaming import upserts
 
@@ -112,3 +113,10 @@ def test_streams(spark, tmp_path):
     query = upserts.first_in_day(source, ["k"]).writeStream.format("memory").queryName("claims").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(r.k for r in spark.table("claims").collect()) == [1, 2]
+
+
+def test_utterance_lines_takes_whole_texts(spark, tmp_path):
+    said = "one\n\nAnn: two: more\n[09:00] Bob: three\n- bullet\nfour"
+    spark.createDataFrame([(1, 0, "user", said), (2, 0, "user", "Ann: hi"), (3, 0, "user", None)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    rows = catalogue.QUERIES["utterance_lines"](spark, str(tmp_path)).collect()
+    assert sorted(map(str, (tuple(r) for r in rows))) == sorted(map(str, [(1, 0, None, None, "one"), (1, 0, None, "Ann", "two: more"), (1, 0, "09:00", "Bob", "three"), (1, 0, None, None, "four"), (2, 0, None, "Ann", "hi")]))
