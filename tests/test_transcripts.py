@@ -120,3 +120,23 @@ def test_utterance_lines_takes_whole_texts(spark, tmp_path):
     spark.createDataFrame([(1, 0, "user", said), (2, 0, "user", "Ann: hi"), (3, 0, "user", None)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     rows = catalogue.QUERIES["utterance_lines"](spark, str(tmp_path)).collect()
     assert sorted(map(str, (tuple(r) for r in rows))) == sorted(map(str, [(1, 0, None, None, "one"), (1, 0, None, "Ann", "two: more"), (1, 0, "09:00", "Bob", "three"), (1, 0, None, None, "four"), (2, 0, None, "Ann", "hi")]))
+
+
+def test_filename_and_fallbacks(spark):
+    head = '```json\n{"granola_note_id": "%s"%s}\n```\n## Enhanced Notes\n%s\n## Full Transcript\nAnn: hi\n'
+    made = [
+        ("[Sam] Acme Corp - Intro - 2025-09-03T10_00_00.000Z.txt", head % ("a", "", "x")),
+        ("Sam - Call - 2025-09-04.txt", head % ("b", "", "Summary\nClient: Beta Ltd, London")),
+        ("c.txt", head % ("c", ', "title": "Zenith - Q3", "calendar_event_time": "2025-09-05T10:00:00+00:00"', "x")),
+        ("d.txt", "Date: 2025-09-06\nAnn Lee (CEO), Bob May (CTO)\nAnn: hi"),
+        ("e.txt", "Title\nDate: 2025-09-07\nAttendees: Ann; Bob\nAnn: a, b (c)"),
+    ]
+    df = spark.createDataFrame([(f"file:/x/{n}", n.removesuffix(".txt"), t) for n, t in made], "path string, stem string, text string")
+    got = {r.meeting_id: (str(r.date), r.company, r.title, r.participants, r.reject) for r in transcripts.parse(df).collect()}
+    assert got["a"] == ("2025-09-03", "Acme Corp", "Acme Corp", [], None)
+    assert got["b"] == ("2025-09-04", "Beta Ltd", "Call", [], None)
+    assert got["c"] == ("2025-09-05", "Zenith", "Zenith - Q3", [], None)
+    assert got["d"][0] == "2025-09-06" and got["d"][3] == ["Ann Lee (CEO)", "Bob May (CTO)"]
+    assert got["e"][3] == ["Ann", "Bob"]
+    name = spark.range(1).select(transcripts.from_filename(F.lit("[Sam] Acme - Extra - More - 2025.txt"))).first()[0]
+    assert tuple(name) == ("Sam", "Acme", "More - 2025")
