@@ -167,6 +167,24 @@ def plaintext_state_machine(spark: SparkSession, sf: str) -> DataFrame:
     return transcripts.plain_lines(docs, "key", "text")
 
 
+_WHOLE = "'---' || chr(10) || 'k: ' || conv_id || chr(10) || '---' || chr(10) || 'Date: 2024-01-01' || chr(10) || text || chr(10) || '___' || chr(10) || 'Metrics: ' || turn || chr(10) || 'Agenda:' || chr(10) || '---' || chr(10) || 'end'"
+
+
+@R.query(rf"""
+WITH l AS (SELECT k, conv_id, turn, unnest(ls) AS raw, generate_subscripts(ls, 1) AS pos FROM (SELECT row_number() OVER () AS k, conv_id, turn, string_split({_WHOLE}, chr(10)) AS ls FROM conversations)),
+b AS (SELECT *, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line FROM l),
+d AS (SELECT *, sum(CASE WHEN line = '---' THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY pos) AS dashes FROM b),
+s AS (SELECT *, max(CASE WHEN line = '---' THEN dashes > 2 WHEN dashes = 1 THEN false ELSE line = '___' OR NOT regexp_matches(lower(raw), 'date:|participants:|attendees:') END) OVER (PARTITION BY k ORDER BY pos) AS started FROM d)
+SELECT conv_id, turn, {_NOTE.replace("WHEN NOT regexp_matches(line, '^[-•*]') THEN line", "ELSE line")} FROM s
+WHERE started AND dashes <> 1 AND line NOT IN ('', '---', '___') AND NOT regexp_matches(raw, '^(Date|Participants|Attendees):') AND NOT regexp_matches(raw, 'Key challenges:|Metrics:|Business context:|Performance metrics:')
+  AND (regexp_matches(line, '^([^:]+):\s*(.+)$') OR (NOT regexp_matches(raw, '^[-•*]') AND NOT contains(right(raw, 20), ':')))""")
+def plaintext_notes(spark: SparkSession, sf: str) -> DataFrame:
+    c = F.col
+    body = F.concat(F.lit("---\nk: "), c("conv_id"), F.lit("\n---\nDate: 2024-01-01\n"), c("text"), F.lit("\n___\nMetrics: "), c("turn"), F.lit("\nAgenda:\n---\nend"))
+    notes = table(spark, sf, "conversations").select("conv_id", "turn", F.explode(transcripts.plain_notes(body)).alias("n"))
+    return notes.select("conv_id", "turn", "n.*")
+
+
 # Words by which an industry is told, in the order they are tried.
 INDUSTRIES = [
     ("fintech", ("fintech", "banking", "payments", "crypto")),

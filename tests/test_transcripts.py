@@ -140,3 +140,12 @@ def test_filename_and_fallbacks(spark):
     assert got["e"][3] == ["Ann", "Bob"]
     name = spark.range(1).select(transcripts.from_filename(F.lit("[Sam] Acme - Extra - More - 2025.txt"))).first()[0]
     assert tuple(name) == ("Sam", "Acme", "More - 2025")
+
+
+def test_plain_notes_leave_out_what_is_no_content(spark):
+    text = "---\nk: v\n---\nMeeting date: 2024-01-01\nDate: 2024-01-01\n# Title\nMetrics: 3\n[09:00] Ann: hi\r\nAgenda for:\n- bullet\n  - kept\n___\nBob: Date: x\n---\nend"
+    rows = {r.meeting_id: r for r in transcripts.parse(files(spark, x=text, y="Attendees: a\nhello", z="one\n---\nk: v")).collect()}
+    assert [tuple(n) for n in rows["x"].notes] == [(None, None, "# Title"), ("09:00", "Ann", "hi"), (None, None, "- kept"), (None, "Bob", "Date: x"), (None, None, "end")]
+    assert [tuple(n) for n in rows["y"].notes] == [(None, None, "hello")] and [tuple(n) for n in rows["z"].notes] == [(None, None, "one")]
+    kinds = transcripts.plain_lines(files(spark, x=text), "stem", "text").orderBy("pos").collect()
+    assert [r.kind for r in kinds] == ["fence", "front matter", "fence", "header", "header", "content", "header", *["content"] * 4, "rule", "content", "fence", "content"]
