@@ -39,8 +39,8 @@ def residue(text: Column, spans: Column) -> Column:
     return F.exists(spans, lambda s: F.coalesce(F.lower(text).contains(F.lower(s)), F.lit(False)))
 
 
-def redact(df: DataFrame, text: str, detect: Callable[[Column], Column], *, mode: str = "redact", rounds: int = 5, floor: float = 0.7, on_failure: str = "drop") -> DataFrame:
-    """df with `text` redacted, `status` and `rounds`; detection and scrubbing repeat until no flag reaches the floor.
+def redact(df: DataFrame, text: str, detect: Callable[[Column], Column], *, mode: str = "redact", rounds: int = 5, floor: float = 0.7, on_failure: str = "drop", without: Callable[[Column, Column], Column] = scrub_all) -> DataFrame:
+    """df with `text` redacted (by `without`, which takes the flags' spans out), `status` and `rounds`; detection and scrubbing repeat until no flag reaches the floor.
 
     Rows that still have one after `rounds` are dropped, or keep their text with status redact_fallback. The
     rounds are unrolled into one plan, so a row meets no driver loop.
@@ -52,7 +52,7 @@ def redact(df: DataFrame, text: str, detect: Callable[[Column], Column], *, mode
 
     def once_more(s: Column) -> Column:
         # a text that holds no sure flag is clean, and is left as it is
-        scrubbed = _let(scrub_all(s["text"], s["flags"]), lambda t: made(t, s["rounds"] + 1))
+        scrubbed = _let(without(s["text"], s["flags"]), lambda t: made(t, s["rounds"] + 1))
         return F.when(unsure(s), scrubbed).otherwise(s)
 
     state = made(F.col(text), F.lit(0))

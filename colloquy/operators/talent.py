@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -98,23 +99,42 @@ def score(df: DataFrame, answer: str, mappings: DataFrame, config: Config = Conf
     return rows.withColumns({"talent_now": with_invariants(F.col("talent_now")), "talent_market": market, "scoring_domain": F.lit("talent")})
 
 
-def flags(detected: Column, redacted: Column, rounds: Column) -> Column:
-    """Detected spans as stored flags: once redacted the span itself is gone."""
+def flags(detected: Column, redacted: Column, rounds: Column, place: Callable[[Column], Column] = lambda f: F.lit("full_transcript")) -> Column:
+    """Detected spans as stored flags: once redacted the span itself is gone. `place`: the field that a flag stands in."""
     return F.transform(
         detected,
         lambda f: F.struct(
-            f["category"].alias("category"), F.when(~redacted, f["span"]).alias("span"), F.lit("full_transcript").alias("location"), f["confidence"].alias("confidence"),
+            f["category"].alias("category"), F.when(~redacted, f["span"]).alias("span"), place(f).alias("location"), f["confidence"].alias("confidence"),
             redacted.alias("redacted"), F.when(redacted, "confirmed").alias("raw_scrub"), F.when(redacted, rounds).alias("redact_rounds"),
         ),
     ).cast(f"array<{schemas.FLAG}>")
 
 
+#: The text fields of a transcript besides its main one and the notes' texts.
+TEXTS = ("enhanced_notes", "my_notes")
+
+
 def screen(df: DataFrame, detect, config: Config = Config(), text: str = "full_transcript") -> DataFrame:
-    """Transcripts with flags and status; in redact mode with the spans taken out, failing closed."""
-    seen = df.withColumn("__seen", detect(F.col(text)))
-    done = redaction.redact(seen, text, detect, mode=config.redact_mode, rounds=config.max_redact_rounds, floor=config.min_confidence, on_failure=config.redact_on_failure)
+    """Transcripts with flags and status; in redact mode with the spans taken out of all text fields, failing closed.
+
+    Fields are `text`, TEXTS and the notes' texts, as far as df has them; each is scrubbed of the spans found in any.
+    """
+    fields = [text, *[c for c in TEXTS if c in df.columns and c != text]]
+    noted = "notes" in df.columns
+    parts = F.array(*fields)
+    if noted:
+        parts = F.concat(parts, F.coalesce(F.transform("notes", lambda n: n["text"]), F.array().cast("array<string>")))
+    detect_all = lambda texts: F.array_distinct(F.flatten(F.filter(F.transform(texts, detect), lambda f: f.isNotNull())))
+    scrub_each = lambda texts, found: F.transform(texts, lambda t: redaction.scrub_all(t, found))
+    seen = df.withColumn("__texts", parts).withColumns({"__before": F.col("__texts"), "__seen": detect_all(F.col("__texts"))})
+    done = redaction.redact(seen, "__texts", detect_all, mode=config.redact_mode, rounds=config.max_redact_rounds, floor=config.min_confidence, on_failure=config.redact_on_failure, without=scrub_each)
     clean = F.col("status") == "redacted"
     spans = F.transform("__seen", lambda f: f["span"])
-    left = clean & F.coalesce(redaction.residue(F.col(text), spans), F.lit(False))
-    made = done.withColumns({"article9_flags": flags(F.col("__seen"), clean, F.col("rounds")), "article9_status": F.col("status")})
-    return made.filter(~left).drop("__seen", "status", "rounds")
+    left = clean & F.exists("__texts", lambda t: F.coalesce(redaction.residue(t, spans), F.lit(False)))
+    holds = lambda f, k: F.coalesce(redaction.residue(F.get("__before", F.lit(k)), F.array(f["span"])), F.lit(False))
+    place = lambda f: F.coalesce(*[F.when(holds(f, k), F.lit(c)) for k, c in enumerate(fields)], F.lit("notes" if noted else text))
+    made = {c: F.get("__texts", F.lit(k)) for k, c in enumerate(fields)}
+    if noted:
+        made["notes"] = F.transform("notes", lambda n, k: n.withField("text", F.get("__texts", k + len(fields))))
+    made |= {"article9_flags": flags(F.col("__seen"), clean, F.col("rounds"), place), "article9_status": F.col("status")}
+    return done.filter(~left).withColumns(made).drop("__texts", "__before", "__seen", "status", "rounds")

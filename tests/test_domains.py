@@ -75,6 +75,20 @@ def test_screening(spark):
     assert (red[1].article9_flags[0].raw_scrub, red[1].article9_flags[0].redact_rounds, red[1].article9_status) == ("confirmed", 1, "redacted")
 
 
+def test_screening_scrubs_all_text_fields(spark):
+    row = (1, "I have epilepsy.", "Has Epilepsy; a wheelchair", None, [("09:00", "Ann", "my epilepsy, Epilepsy"), (None, None, None)])
+    df = spark.createDataFrame([row, (2, None, None, "Fine.", None)], "id int, full_transcript string, enhanced_notes string, my_notes string, notes array<struct<t: string, speaker: string, text: string>>")
+    detect = redaction.dictionary_detector({"health": ("epilepsy", "wheelchair")})
+    got = {r.id: r for r in talent.screen(df, detect, Config(redact_mode="redact")).collect()}
+    mark = "[REDACTED:health]"
+    assert (got[1].full_transcript, got[1].enhanced_notes, got[1].my_notes) == (f"I have {mark}.", f"Has {mark}; a {mark}", None)
+    assert [tuple(n) for n in got[1].notes] == [("09:00", "Ann", f"my {mark}, {mark}"), (None, None, None)]
+    assert [(f.location, f.span, f.raw_scrub) for f in got[1].article9_flags] == [("full_transcript", None, "confirmed"), ("enhanced_notes", None, "confirmed")]
+    assert (got[2].my_notes, got[2].notes, got[2].article9_flags) == ("Fine.", None, [])
+    kept = talent.screen(df, detect).filter("id = 1").first()
+    assert kept.enhanced_notes == row[2] and kept.article9_flags[0].span == "epilepsy"
+
+
 @pytest.mark.parametrize(
     ("title", "want"),
     [("Zenith x House Team", "Zenith"), ("House x Zenith - Q3", "Zenith"), ("Acme sync x House", "Acme"), ("Acme - intro", "Acme"), ("ann x bob", None), ("House", None), ("Foo bar", "Foo"), ("lower case", None), ("", None), (None, None)],
