@@ -6,7 +6,9 @@ all that follows from them are columns.
 
 from __future__ import annotations
 
+import json
 import random
+import re
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
@@ -70,22 +72,48 @@ def with_retries(call: Callable[[], str | None], config: Config = Config(), slee
             sleep(wait)
 
 
-def ask(df: DataFrame, prompts: dict[str, str], context: str, make: Callable[[], Completer], config: Config = Config()) -> DataFrame:
+def is_json(answer: str) -> bool:
+    """Whether an answer, without the code fence around it, is JSON."""
+    try:
+        json.loads(re.sub(r"(?s)^```(?:json)?\s*(.*?)\s*```$", r"\1", answer.strip()))
+    except ValueError:
+        return False
+    return True
+
+
+def checked(call: Callable[[], str | None], fallback: Callable[[], str | None] | None = None, as_json: bool = True) -> str | None:
+    """An answer, asked for again while it is empty (three times in all) or once if it is no JSON, then from the fallback."""
+    for tries in range(3):
+        answer = call()
+        if not (answer or "").strip():
+            continue
+        if not as_json or is_json(answer) or tries > 1:
+            return answer
+        if tries == 1:
+            return answer if fallback is None else fallback()
+    return answer
+
+
+def ask(df: DataFrame, prompts: dict[str, str], context: str, make: Callable[[], Completer], config: Config = Config(), *, fallback: Callable[[], Completer] | None = None, prose: tuple[str, ...] = ()) -> DataFrame:
     """df with a column `raw`: a map from each prompt's name to the answer, or null if it failed for good.
 
+    Empty answers and those that are no JSON are asked for again, the latter in the end from the completer that
+    `fallback` gives; `prose` names the prompts whose answers are no JSON.
+
     `make` gives a completer once a task, so that no connection is pickled. At most
     `scoring_max_concurrency` partitions ask at a time.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        completer = make()
+        completer, other = make(), fallback and fallback()
         for batch in batches:
             answers = []
             for text in batch[context]:
                 got = {}
                 for name, prompt in prompts.items():
                     try:
-                        got[name] = with_retries(lambda: completer.complete(prompt, text or ""), config)
+                        asked = lambda c: lambda: with_retries(lambda: c.complete(prompt, text or ""), config)
+                        got[name] = checked(asked(completer), other and asked(other), name not in prose)
                     except Exception:
                         got[name] = None  # one question's failure isn't the row's
                 answers.append(got)

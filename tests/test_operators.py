@@ -255,3 +255,15 @@ def test_sinks(spark, tmp_path):
     assert sinks.table_info(spark, path)["rows"] == 2
     assert "x\\|y" in sinks.markdown(df, "t") and "<td>x|y</td>" in sinks.html_page(df, "t")
     assert one(spark, sinks.content_type(F.lit("a.b.JSON"))) == "application/json" and one(spark, sinks.content_type(F.lit("a.xyz"))) == "text/plain"
+
+
+def test_answers_are_checked_and_asked_again():
+    def ask(*answers, fallback=None, **more):
+        left = list(answers)
+        return completion.checked(lambda: left.pop(0), fallback, **more), len(left)
+
+    good = '```json\n{"a": 1}\n```'
+    assert ask("", None, good, "x") == (good, 1) and ask("", " ", "", "x") == ("", 1)
+    assert ask("{", good, "x") == (good, 1) and ask("{", "[", "x") == ("[", 1)
+    assert ask("{", "[", "x", fallback=lambda: "{}") == ("{}", 1)
+    assert ask("told", "x", as_json=False) == ("told", 1)
