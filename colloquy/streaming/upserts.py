@@ -2,49 +2,89 @@
 
 from __future__ import annotations
 
-import tempfile
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.operators.dedup import latest_wins
-
-
-def _folder(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="colloquy-stream-")
-    return f"{root.rstrip('/')}/colloquy-stream/{uuid.uuid4().hex}"
+from colloquy.sources import files
 
 
 class KeyedTable:
-    """Versions of a Parquet table in one folder; a batch writes the next version from the last.
+    """The latest row of each key, as Parquet in one folder, in BUCKETS parts by key.
 
-    A batch that is run again writes its version again, so each counts once whatever fails."""
+    A batch reads and writes the buckets that its keys fall into, beside those of the batches before, and then
+    commits by a manifest, which says where each bucket is. What isn't in a manifest isn't in the table, so a
+    batch that fails leaves it as it was. The state is the folder's alone: a new object on it goes on from the
+    last manifest, and a batch that was committed isn't run again. The last KEEP manifests and their files stay.
+    """
+
+    BUCKETS = 64
+    KEEP = 2
 
     def __init__(self, spark: SparkSession, folder: str, key: str, order: list[str]):
-        self.spark, self.folder, self.key, self.order, self.version = spark, folder, key, order, -1
+        self.spark, self.folder, self.key, self.order = spark, folder.rstrip("/"), key, order
+
+    def batches(self) -> list[int]:
+        """Committed batches, in order."""
+        return sorted(int(n.removeprefix("manifest-")) for n in files.names(self.spark, f"{self.folder}/manifests") if n.startswith("manifest-"))
+
+    def _manifest(self, batch_id: int) -> dict[str, str]:
+        return json.loads(files.get(self.spark, f"{self.folder}/manifests/manifest-{batch_id}"))
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(self.key), F.lit(self.BUCKETS)).cast("int")
+
+    def _rows(self, where: dict[str, str], schema) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*[f"{self.folder}/{at}/__bucket={bucket}" for bucket, at in where.items()])
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch if self.version < 0 else batch.unionByName(self.read().drop("_batch"))
-        merged = latest_wins(rows, [self.key], [F.desc(c) for c in self.order])
-        merged.write.mode("overwrite").parquet(f"{self.folder}/v{batch_id}")
-        self.version = batch_id
+        done = self.batches()
+        if batch_id in done:
+            return
+        before = {b: at for b, at in self._manifest(done[-1]).items() if b != "schema"} if done else {}
+        touched = {str(r[0]) for r in batch.select(self._bucket()).distinct().collect()}
+        old = {b: at for b, at in before.items() if b in touched}
+        rows = batch.unionByName(self._rows(old, batch.schema)) if old else batch
+        at = f"rows-{batch_id}-{uuid.uuid4().hex}"
+        merged = latest_wins(rows, [self.key], self.order).withColumn("__bucket", self._bucket())
+        merged.repartition("__bucket").write.partitionBy("__bucket").parquet(f"{self.folder}/{at}")
+        now = before | {b: at for b in touched}
+        draft = f"{self.folder}/drafts/{uuid.uuid4().hex}"
+        files.put(self.spark, draft, json.dumps({"schema": batch.schema.jsonValue()} | now))
+        fs, place = files.store(self.spark, f"{self.folder}/manifests")
+        fs.mkdirs(place)
+        files.rename(self.spark, draft, f"{self.folder}/manifests/manifest-{batch_id}")
+        self._clean()
+
+    def _clean(self) -> None:
+        done = self.batches()
+        kept = {at for k in done[-self.KEEP :] for at in self._manifest(k).values() if isinstance(at, str)}
+        for k in done[: -self.KEEP]:
+            files.delete(self.spark, f"{self.folder}/manifests/manifest-{k}")
+        for name in files.names(self.spark, self.folder):
+            if name.startswith("rows-") and name not in kept and int(name.split("-")[1]) <= done[-1]:
+                files.delete(self.spark, f"{self.folder}/{name}")
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/v{self.version}")
+        from pyspark.sql.types import StructType
+
+        manifest = self._manifest(self.batches()[-1])
+        return self._rows({b: at for b, at in manifest.items() if b != "schema"}, StructType.fromJson(manifest["schema"]))
 
 
 def replay(spark: SparkSession, path: str, key: str, order: list[str]) -> DataFrame:
     """The table after a stream over the file at `path` has run to its end: the latest row of each key."""
     schema = spark.read.parquet(path).schema
-    folder = _folder(spark)
+    folder = files.shared_folder(spark, "stream")
     state = KeyedTable(spark, folder, key, order)
     parent, _, name = path.rpartition("/")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8)
     # a table may be one file or a folder of them
-    several = spark._jvm.org.apache.hadoop.fs.Path(path)
-    is_folder = several.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(several).isDirectory()
-    rows = stream.parquet(path) if is_folder else stream.option("pathGlobFilter", name).parquet(parent)
+    store, place = files.store(spark, path)
+    rows = stream.parquet(path) if store.getFileStatus(place).isDirectory() else stream.option("pathGlobFilter", name).parquet(parent)
     query = rows.writeStream.foreachBatch(state.upsert).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return state.read()
