@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colloquy.operators.names import mapping_side
+
 # USD per 1000 tokens (in, out).
 PRICES = {
     "gpt-5": (0.00125, 0.01000),
@@ -31,8 +33,9 @@ def by_longest_prefix(calls: DataFrame, table: DataFrame) -> DataFrame:
     """calls with the rates of the longest prefix of their model (an exact name is the longest); null if none.
 
     The prefix join runs over the distinct models only; `table` is a price list of a few rows."""
+    # a price list of a few rows meets each distinct model once; their list is broadcast only if it is short
     hits = _matching(calls.select("model").distinct(), table, F.max_by(F.struct("prefix", "rate_in", "rate_out"), F.length("prefix")))
-    return calls.join(F.broadcast(hits), "model", "left").select(*calls.columns, "hit.prefix", "hit.rate_in", "hit.rate_out")
+    return calls.join(mapping_side(hits), "model", "left").select(*calls.columns, "hit.prefix", "hit.rate_in", "hit.rate_out")
 
 
 def by_first_prefix(models: DataFrame, table: DataFrame) -> DataFrame:

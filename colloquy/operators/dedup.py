@@ -6,8 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_wins(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key by `order`, which must be total: ties would be broken by chance."""
+def latest_wins(df: DataFrame, keys: list[str], order: list[str] | list[Column]) -> DataFrame:
+    """The latest row of each key, by columns that together are unique in it: an aggregate that combines before its
+    shuffle, so a key of very many rows is no single task's sort.
+
+    For other orders give Columns (the first row is kept); they are ranked in a window, which sorts all rows of a key
+    in one task.
+    """
+    if all(isinstance(c, str) for c in order):
+        last = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.max_by(F.struct(*df.columns), F.struct(*order)).alias("__last"))
+        return last.select(*[F.col("__last").getField(c).alias(c) for c in df.columns])
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
 

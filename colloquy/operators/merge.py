@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy import schemas
@@ -23,7 +23,8 @@ def merge(target: DataFrame, source: DataFrame, key: str, *, set_: Iterable[str]
     t = target.filter(F.col(key).isNotNull()).withColumn("__in_target", F.lit(True))
     given = [c for c in source.columns if c != key]
     s = source.filter(F.col(key).isNotNull()).select(F.col(key).alias("__key"), *[F.col(c).alias(f"__s_{c}") for c in given], F.lit(True).alias("__in_source"))
-    s = s.withColumn("__times", F.count(F.lit(1)).over(Window.partitionBy("__key")))
+    times = s.groupBy(F.col("__key").alias("__counted")).agg(F.count(F.lit(1)).alias("__times")).filter("__times > 1")
+    s = s.join(times, F.col("__key") == F.col("__counted"), "left").drop("__counted")
     both = t.join(s, t[key] == s["__key"], "full_outer")
     matched = F.col("__in_target").isNotNull() & F.col("__in_source").isNotNull()
     came = F.col("__in_source").isNotNull()

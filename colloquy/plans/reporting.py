@@ -16,7 +16,7 @@ AS_OF = "2024-01-31"
 
 @R.query("SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def latest_wins_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.latest_wins(table(spark, sf, "events"), ["user_id"], [F.desc("ts"), F.desc("event_id")])
+    return dedup.latest_wins(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"])
 
 
 @R.query("SELECT count(*) AS total_rows, count(DISTINCT user_id) AS unique_keys, count(*) - count(DISTINCT user_id) AS duplicates FROM events")
