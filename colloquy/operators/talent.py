@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from colloquy import schemas
 from colloquy.config import Config
-from colloquy.operators import names, redaction, scoring
+from colloquy.operators import completion, names, redaction, scoring
 
 # What the closed fields may hold.
 STATUS = ("employed", "between_roles", "on_leave")
@@ -79,26 +79,64 @@ def with_plausible(comp: Column, config: Config) -> Column:
     return F.when(comp.isNotNull(), comp.withField("plausible", scoring.plausible(comp["period"], [comp["amount_min"], comp["amount_max"]], config.comp_bounds)))
 
 
-def canonical_in_array(df: DataFrame, key: str, array: str, field: str | None, mappings: DataFrame) -> DataFrame:
-    """df with the names in an array (of strings, or of structs with `field`) made canonical, in their places."""
-    items = df.select(key, F.posexplode(array).alias("pos", "item")).withColumn("__name", F.col("item") if field is None else F.col(f"item.{field}"))
+def canonical_in_arrays(df: DataFrame, arrays: dict[str, str | None], mappings: DataFrame) -> DataFrame:
+    """df with the names in some arrays (of strings, or of structs with the field given) made canonical, in their places.
+
+    A small alias table is one map, broadcast with its one row, and names are looked up in place. A larger one is
+    joined with the distinct arrays, whose result depends on nothing else, and these with df.
+    """
+    side = mappings.select(F.lower(F.trim("variant_name")).alias("variant"), "canonical_name").filter("variant IS NOT NULL").groupBy("variant").agg(F.min("canonical_name").alias("canonical"))
+    rows = side.limit(names.BROADCAST_ROWS + 1).count()
+    if rows > names.BROADCAST_ROWS:
+        for array, field in arrays.items():
+            df = _canonical_by_content(df, array, field, mappings)
+        return df
+    known = side.agg(F.map_from_entries(F.collect_list(F.struct("variant", "canonical"))).alias("__aliases")).withColumn("__one", F.lit(1))
+    met = df.withColumn("__one", F.lit(1)).join(F.broadcast(known), "__one", "left")
+    of = lambda name: F.coalesce(F.try_element_at("__aliases", F.lower(F.trim(name))), name)
+    made = {array: F.transform(array, of) if field is None else _in_structs(array, field, of) for array, field in arrays.items()}
+    return met.withColumns(made).drop("__one", "__aliases")
+
+
+def _in_structs(array: str, field: str, of: Callable[[Column], Column]) -> Column:
+    return F.transform(array, lambda x: x.withField(field, of(x[field])))
+
+
+def _canonical_by_content(df: DataFrame, array: str, field: str | None, mappings: DataFrame) -> DataFrame:
+    distinct = df.select(F.col(array).alias("__given")).filter("__given IS NOT NULL").distinct()
+    items = distinct.select("__given", F.posexplode("__given").alias("pos", "item")).withColumn("__name", F.col("item") if field is None else F.col(f"item.{field}"))
     made = names.canonical(items, "__name", mappings, "__canonical_name")
     item = F.col("__canonical_name") if field is None else F.col("item").withField(field, F.col("__canonical_name"))
-    back = made.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", item.alias("item")))), lambda x: x["item"]).alias("__array"))
-    return df.join(back, key, "left").withColumn(array, F.coalesce("__array", array)).drop("__array")
+    back = made.groupBy("__given").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", item.alias("item")))), lambda x: x["item"]).alias("__array"))
+    return df.join(back, F.col(array) == F.col("__given"), "left").withColumn(array, F.coalesce("__array", array)).drop("__array", "__given")
 
 
-def score(df: DataFrame, answer: str, mappings: DataFrame, config: Config = Config(), *, key: str = "meeting_id") -> DataFrame:
+def score(df: DataFrame, answer: str, mappings: DataFrame, config: Config = Config()) -> DataFrame:
     """Extraction answers as talent rows, with `reject` for those that break a rule."""
     rows = extracted(df, answer)
-    for array, field in (("mentioned_companies", "name"), ("perception_themes", "company_name"), ("articulated_blockers", "company_name")):
-        rows = canonical_in_array(rows, key, array, field, mappings)
+    rows = canonical_in_arrays(rows, {"mentioned_companies": "name", "perception_themes": "company_name", "articulated_blockers": "company_name"}, mappings)
     market = F.col("talent_market")
     for f in ("current_comp_structured", "expected_comp_structured"):
         market = market.withField(f, with_plausible(F.col("talent_market")[f], config))
     return rows.withColumns({"talent_now": with_invariants(F.col("talent_now")), "talent_market": market, "scoring_domain": F.lit("talent")})
 
 
+#: What a narrative says that the completer gave no text for.
+NO_NARRATIVE = "No summary: the narrative came back empty."
+
+
+def narrative(rows: DataFrame, prompt: str, make: Callable[[], completion.Completer], config: Config = Config()) -> DataFrame:
+    """rows with talent_narrative: what a completer says of the extraction alone, and NO_NARRATIVE if that is nothing.
+
+    Rows that were rejected aren't asked for and have none."""
+    fields = [part.split()[0] for part in EXTRACTION.split(", ") if part.startswith(("talent_", "mentioned", "perception", "articulated"))]
+    given = rows.withColumn("__structured", F.when(F.col("reject").isNull(), F.to_json(F.struct(*fields))))
+    asked = completion.ask(given.filter("__structured IS NOT NULL"), {"talent_narrative": prompt}, "__structured", make, config, prose=("talent_narrative",))
+    text = F.coalesce(F.nullif(F.trim(F.try_element_at("raw", F.lit("talent_narrative"))), F.lit("")), F.lit(NO_NARRATIVE))
+    rest = given.filter("__structured IS NULL").withColumn("talent_narrative", F.lit(None).cast("string"))
+    return asked.withColumn("talent_narrative", text).drop("raw").unionByName(rest).drop("__structured")
+
+
 def flags(detected: Column, redacted: Column, rounds: Column, place: Callable[[Column], Column] = lambda f: F.lit("full_transcript")) -> Column:
     """Detected spans as stored flags: once redacted the span itself is gone. `place`: the field that a flag stands in."""
     return F.transform(

@@ -315,5 +315,5 @@ def talent_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
     rows = table(spark, sf, "orders").select("o_orderkey", F.when(key % 4 != 3, answer).otherwise("no json").alias("answer"))
     empty = spark.createDataFrame([], "variant_name string, canonical_name string")
-    scored = talent.score(rows, "answer", empty, key="o_orderkey")
+    scored = talent.score(rows, "answer", empty)
     return scored.select("o_orderkey", "reject", "talent_now.company_type", "talent_market.current_comp_structured.plausible")
