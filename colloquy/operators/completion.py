@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from colloquy import schemas
 from colloquy.config import Config
 from colloquy.functions import columns as C
-from colloquy.operators import names, scoring
+from colloquy.operators import clients, names, scoring
 from colloquy.operators.vocabularies import CHALLENGES, OFFERINGS, RESULTS
 
 SECTIONS = ("now", "next", "measure", "blocker", "fit")
@@ -40,6 +40,43 @@ class Recorded:
         return self.answers.get(prompt, self.otherwise)
 
 
+#: What is said before every prompt, and after the text.
+SYSTEM = "You judge business meetings. Answer with valid JSON only."
+ANSWER = "Answer in JSON."
+
+
+def family(model: str) -> str:
+    """Which interface a model is asked by: `responses` (gpt-5), `reasoning` (o1) or `chat` (all others)."""
+    return "responses" if model.startswith("gpt-5") else "reasoning" if model.startswith("o1") else "chat"
+
+
+def request(model: str, prompt: str, context: str, *, max_tokens: int = 1000, temperature: float | None = 0.2, token_param: str = "max_tokens") -> dict:
+    """A request in the shape of the model's interface.
+
+    Reasoning models have no system message and no temperature, and get MIN_REASONING_TOKENS at least."""
+    asked = f"{prompt}\n\nTranscript:\n{context}\n\n{ANSWER}"
+    whole, most = f"{SYSTEM}\n\n{asked}", max(max_tokens, MIN_REASONING_TOKENS)
+    if family(model) == "responses":
+        return {"model": model, "input": whole, "reasoning": {"effort": "minimal"}, "text": {"verbosity": "low"}, "max_output_tokens": most}
+    if family(model) == "reasoning":
+        return {"model": model, "messages": [{"role": "user", "content": whole}], "max_completion_tokens": most}
+    made = {"model": model, "messages": [{"role": "system", "content": SYSTEM}, {"role": "user", "content": asked}], token_param: max_tokens}
+    return made if temperature is None else made | {"temperature": temperature}
+
+
+MIN_REASONING_TOKENS = 1500
+
+
+class Routed:
+    """A completer over a function that sends a request of any family and gives the answer's text."""
+
+    def __init__(self, model: str, send: Callable[[str, dict], str | None], **settings):
+        self.model, self.send, self.settings = model, send, settings
+
+    def complete(self, prompt: str, context: str) -> str | None:
+        return self.send(family(self.model), request(self.model, prompt, context, **self.settings))
+
+
 class Transient(Exception):
     """An error worth another try; `status` is that of the response, if there was one."""
 
@@ -100,8 +137,8 @@ def ask(df: DataFrame, prompts: dict[str, str], context: str, make: Callable[[],
     Empty answers and those that are no JSON are asked for again, the latter in the end from the completer that
     `fallback` gives; `prose` names the prompts whose answers are no JSON.
 
-    `make` gives a completer once a task, so that no connection is pickled. At most
-    `scoring_max_concurrency` partitions ask at a time.
+    `make` gives a completer once a task, so that no connection is pickled. Rows are dealt to
+    `scoring_max_concurrency` partitions, as so many may ask at a time; what comes before runs as wide as it is.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,29 +157,44 @@ def ask(df: DataFrame, prompts: dict[str, str], context: str, make: Callable[[],
             yield batch.assign(raw=answers)
 
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.coalesce(max(1, config.scoring_max_concurrency)).mapInPandas(run, f"{kind}, raw map<string,string>")
+    return df.repartition(max(1, config.scoring_max_concurrency)).mapInPandas(run, f"{kind}, raw map<string,string>")
+
+
+def strip_fence(text: Column) -> Column:
+    """An answer without the code fence around it."""
+    return F.regexp_replace(F.trim(text), r"(?s)^```(?:json)?\s*(.*?)\s*```$", "$1")
 
 
-def section(json: Column) -> Column:
+def evidence(json: Column) -> Column:
+    """The evidence of an answer, cut to its first words; a list is joined by spaces, without null and empty entries."""
+    parts = F.from_json(F.get_json_object(json, "$.evidence"), "array<string>")
+    whole = F.when(F.get_json_object(json, "$.evidence").startswith("["), F.array_join(F.filter(parts, lambda p: p != ""), " ")).otherwise(C.json_scalar(json, "$.evidence"))
+    return C.first_words(whole)
+
+
+def section(answer: Column) -> Column:
     """A validated section: exactly the wanted keys and a boolean, else an unqualified one that says so."""
+    json = strip_fence(answer)
     keys = F.array_sort(F.json_object_keys(json))
     wanted = F.array(*[F.lit(k) for k in ("evidence", "qualified", "reason", "summary")])
     ok = F.coalesce((keys == wanted) & C.json_scalar(json, "$.qualified").isin("true", "false"), F.lit(False))
-    valid = F.struct((C.json_scalar(json, "$.qualified") == "true").alias("qualified"), C.json_scalar(json, "$.reason").alias("reason"), C.json_scalar(json, "$.summary").alias("summary"), C.first_words(C.json_scalar(json, "$.evidence")).alias("evidence"))
+    valid = F.struct((C.json_scalar(json, "$.qualified") == "true").alias("qualified"), C.json_scalar(json, "$.reason").alias("reason"), C.json_scalar(json, "$.summary").alias("summary"), evidence(json).alias("evidence"))
     none = F.lit(None).cast("string")
     failed = F.struct(F.lit(False).alias("qualified"), F.lit("invalid response").alias("reason"), none.alias("summary"), none.alias("evidence"))
     return F.when(ok, valid).otherwise(failed).cast(schemas.SECTION)
 
 
-def fit_section(json: Column) -> Column:
+def fit_section(answer: Column) -> Column:
+    json = strip_fence(answer)
     base = section(F.regexp_replace(json, r',?\s*"services"\s*:\s*\[[^\]]*\]', ""))
     return F.struct(base["qualified"].alias("qualified"), base["reason"].alias("reason"), base["summary"].alias("summary"), names.services(C.json_array(json, "$.services")).alias("services"), base["evidence"].alias("evidence")).cast(schemas.FIT)
 
 
-def sales_section(json: Column) -> Column:
+def sales_section(answer: Column) -> Column:
     """A criterion: the score cut to 0..3, and qualified from 2 on whatever the answer says."""
+    json = strip_fence(answer)
     score = C.clamp_score(C.json_scalar(json, "$.score").try_cast("double"))
-    return F.struct((score >= 2).alias("qualified"), score.alias("score"), C.json_scalar(json, "$.reason").alias("reason"), C.first_words(C.json_scalar(json, "$.evidence")).alias("evidence"), C.json_scalar(json, "$.coaching_note").alias("coaching_note")).cast(schemas.SALES)
+    return F.struct((score >= 2).alias("qualified"), score.alias("score"), C.json_scalar(json, "$.reason").alias("reason"), evidence(json).alias("evidence"), C.json_scalar(json, "$.coaching_note").alias("coaching_note")).cast(schemas.SALES)
 
 
 def opportunity(df: DataFrame, config: Config = Config()) -> DataFrame:
@@ -155,7 +207,7 @@ def opportunity(df: DataFrame, config: Config = Config()) -> DataFrame:
 
 def taxonomy(df: DataFrame, answer: str = "taxonomy") -> DataFrame:
     """Labels of the controlled vocabularies from the answer of that name, the first five of a kind and one offering; none if it is no JSON."""
-    raw = F.try_element_at("raw", F.lit(answer))
+    raw = strip_fence(F.try_element_at("raw", F.lit(answer)))
     labels = lambda path, known: names.in_vocabulary(C.json_array(raw, path), list(known))
     offering = C.json_scalar(raw, "$.offering")
     return df.withColumns({"challenges": labels("$.challenges", CHALLENGES), "results": labels("$.results", RESULTS), "offering": F.when(offering.isin(*OFFERINGS), offering)})
@@ -169,6 +221,29 @@ def sales(df: DataFrame, config: Config = Config()) -> DataFrame:
     return made.withColumns({"sales_total_score": total.cast("bigint"), "sales_total_qualified": good.cast("bigint"), "sales_qualified": good >= config.sales_qualification_threshold, "sales_strengths": scoring.strengths(scores), "sales_improvements": scoring.improvements(scores), "sales_overall_coaching": scoring.coaching(total)})
 
 
-def strip_fence(text: Column) -> Column:
-    """An answer without the code fence around it."""
-    return F.regexp_replace(F.trim(text), r"(?s)^```(?:json)?\s*(.*?)\s*```$", "$1")
+def legacy(df: DataFrame) -> DataFrame:
+    """Opportunity sections as the legacy shape has them: one map of checks by name."""
+    checks = F.create_map(*[x for s in SECTIONS for x in (F.lit(s), F.struct(F.col(s)["qualified"].alias("qualified"), F.col(s)["reason"].alias("reason"), F.col(s)["summary"].alias("summary"), F.col(s)["evidence"].alias("evidence")))])
+    return df.withColumn("checks", checks).drop(*SECTIONS)
+
+
+def full(df: DataFrame, prompts: dict[str, str], context: str, make: Callable[[], Completer], config: Config = Config(), *, fallback: Callable[[], Completer] | None = None) -> DataFrame:
+    """Opportunity, taxonomy and sales assessment of each row, from one round of questions."""
+    asked = ask(df, prompts, context, make, config, fallback=fallback)
+    return sales(taxonomy(opportunity(asked, config)), config).drop("raw")
+
+
+def client(answer: Column, classes: list, title: Column, identity: Column, company: Column, text: Column, own: tuple[str, ...] = clients.OWN_NAMES) -> Column:
+    """Client info, whose first tier is a completer's answer."""
+    return clients.info(F.from_json(strip_fence(answer), schemas.CLIENT_INFO), title, identity, company, text, classes, own)
+
+
+def compare(df: DataFrame, key: str, prompts: dict[str, str], context: str, makers: dict[str, Callable[[], Completer]], config: Config = Config()) -> DataFrame:
+    """The score of each row by each model (model, key, score): null where a model failed on a question for good."""
+    out = None
+    for model, make in makers.items():
+        asked = ask(df.select(key, context), prompts, context, make, config)
+        failed = F.exists(F.map_values("raw"), lambda a: a.isNull())
+        scored = opportunity(asked, config).select(F.lit(model).alias("model"), key, F.when(~failed, F.col("total_qualified_sections")).alias("score"))
+        out = scored if out is None else out.unionByName(scored)
+    return out

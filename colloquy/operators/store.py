@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +14,7 @@ from pyspark.sql.types import StructType
 from colloquy import schemas
 from colloquy.config import Config
 from colloquy.operators.merge import missing_columns
+from colloquy.sources import files
 
 
 def _name(name: str) -> str:
@@ -80,11 +84,53 @@ def release(claims: DataFrame, failed: DataFrame, key: str = "key", day: str = "
     return claims.join(failed.select(key, day), [key, day], "left_anti")
 
 
+class Claims:
+    """Claims of a day as files that only one writer can create; a failure of the store itself doesn't keep work back."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _path(self, key: str, day: str) -> str:
+        return f"{self.folder}/{day}/{hashlib.sha256(key.encode()).hexdigest()}"
+
+    def take(self, key: str, day: str) -> bool:
+        """Whether this caller gets the claim."""
+        try:
+            files.put(self.spark, self._path(key, day), key, overwrite=False)
+        except Exception as error:
+            if files.exists(self.spark, self._path(key, day)):
+                return False
+            logging.getLogger(__name__).warning("no claim could be made, going on without: %s", error)
+        return True
+
+    def release(self, key: str, day: str) -> None:
+        try:
+            files.delete(self.spark, self._path(key, day))
+        except Exception:
+            logging.getLogger(__name__).warning("a claim was not released", exc_info=True)
+
+    @contextmanager
+    def held(self, key: str, day: str) -> Iterator[bool]:
+        """Gives whether the claim was taken; it is released if the work ends in any error, or is cancelled."""
+        taken = self.take(key, day)
+        try:
+            yield taken
+        except BaseException:
+            if taken:
+                self.release(key, day)
+            raise
+
+
 def cached(requests: DataFrame, cache: DataFrame, key: str = "key") -> DataFrame:
     """Requests with the cached result (`result`, null on a miss)."""
     return requests.join(cache.select(key, "result"), key, "left")
 
 
+def cache(results: DataFrame, path: str, key: str = "key") -> None:
+    """Adds results (key, result) to the cache table at path."""
+    results.select(key, "result").write.mode("append").parquet(path)
+
+
 def write_each(df: DataFrame, name: Column, path: str) -> None:
     """A folder of JSON for each row, named after it."""
     df.select(name.alias("name"), F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").partitionBy("name").text(path)
