@@ -149,3 +149,40 @@ def test_plain_notes_leave_out_what_is_no_content(spark):
     assert [tuple(n) for n in rows["y"].notes] == [(None, None, "hello")] and [tuple(n) for n in rows["z"].notes] == [(None, None, "one")]
     kinds = transcripts.plain_lines(files(spark, x=text), "stem", "text").orderBy("pos").collect()
     assert [r.kind for r in kinds] == ["fence", "front matter", "fence", "header", "header", "content", "header", *["content"] * 4, "rule", "content", "fence", "content"]
+
+
+def test_compare_status_and_migrate_commands(spark, tmp_path, capsys):
+    transcripts.parse(files(spark, fenced=FENCED)).drop("reject").write.parquet(f"{tmp_path}/in")
+    good = json.dumps({"qualified": True, "reason": "r", "summary": "s", "evidence": "e"})
+    (tmp_path / "a.json").write_text(json.dumps(dict.fromkeys(("now", "next", "measure", "blocker"), good) | {"fit": good[:-1] + ', "services": []}'}))
+    (tmp_path / "b.json").write_text("{}")
+    assert cli.main(["compare-models", f"{tmp_path}/in", f"one={tmp_path}/a.json", f"two={tmp_path}/b.json"]) == 0
+    out = capsys.readouterr().out
+    assert "| one | 1 | 1 | 100.0 | 5.0 | 1 |" in out and "| two | 1 | 0 | 0.0 |  | 0 |" in out
+    with pytest.raises(SystemExit):
+        cli.main(["compare-models", f"{tmp_path}/in", f"one={tmp_path}/a.json"])
+    spark.sql("SELECT 'm' AS meeting_id, DATE '2024-01-05' AS date, 'Ann' AS salesperson_name, 17L AS sales_total_score, true AS sales_qualified").write.parquet(f"{tmp_path}/t")
+    assert cli.main(["sales-status", f"{tmp_path}/t", "--as-of", "2024-01-06"]) == 0 and "| Ann | 1 | 17.0 | 100.0 |" in capsys.readouterr().out
+    assert cli.main(["migrate", f"{tmp_path}/t"]) == 0 and "talent_now" in capsys.readouterr().out
+    assert len(spark.read.parquet(f"{tmp_path}/t").columns) == 5
+    assert cli.main(["migrate", f"{tmp_path}/t", "--apply"]) == 0
+    assert set(schemas.MEETING_INTEL.names) <= set(spark.read.parquet(f"{tmp_path}/t").columns)
+
+
+def test_talent_score_command(spark, tmp_path):
+    transcripts.parse(files(spark, fenced=FENCED)).drop("reject").write.parquet(f"{tmp_path}/in")
+    extraction = {"talent_now": {"role": "r"}, "talent_motivation": {"primary_driver": "salary", "better_description": "b"}}
+    (tmp_path / "a.json").write_text(json.dumps({"talent_extraction": f"```json\n{json.dumps(extraction)}\n```", "talent_narrative": " Said. "}))
+    assert cli.main(["score", f"{tmp_path}/in", f"{tmp_path}/a.json", f"{tmp_path}/out", "--domain", "talent"]) == 0
+    row = spark.read.parquet(f"{tmp_path}/out").first()
+    assert (row.reject, row.talent_now.role, row.talent_narrative, row.scoring_domain) == (None, "r", "Said.", "talent")
+
+
+@pytest.mark.parametrize("text, want", [
+    ('{"title": "a, b", "attendees": x: 1\ny: 2,\n"creator_name": , "zapier_step_id": 7}', ("a, b", "x: 1 y: 2", "", "7")),
+    ('{"title": "q \\"r\\" s", "attendees": , }', ('q "r" s', "", None, None)),
+    ('{"title": null, "attendees": "ok",, "creator_name": "c"}', (None, "ok", "c", None)),
+])
+def test_broken_headers_are_read_by_field(spark, text, want):
+    m = spark.range(1).select(transcripts.by_field(F.lit(text)).alias("m")).first().m
+    assert (m.title, m.attendees, m.creator_name, m.zapier_step_id) == want
