@@ -1,7 +1,9 @@
 """Connected components of links between ids, by alternating large and small stars.
 
 Each round is an aggregate (combined before its shuffle) and a join, so a node with very many links is
-no single task's work; links stay distributed and are written to the shared folder after each round.
+no single task's work; links stay distributed and are written to the shared folder after each round, in
+place of the round's before. Rounds go on until one changes nothing; their number grows with the logarithm
+of the longest chain.
 """
 
 from __future__ import annotations
@@ -9,9 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.scratch import cut
-
-MAX_ROUNDS = 60
+from colloquy.llm.scratch import cut, drop
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -28,12 +28,13 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """Of links (a, b): every id that is linked, with the least id reachable: (id, least)."""
-    links, before = cut(links.select("a", "b").filter("a != b").distinct(), "links"), None
-    for _ in range(MAX_ROUNDS):
-        links = cut(_star(_star(links, True), False), "links")
+    """Of links (a, b): every id that is linked, with the least id reachable: (id, least). The result is a table of `cut`."""
+    links, before, now = cut(links.select("a", "b").filter("a != b").distinct(), "links"), None, ()
+    while now != before:
+        after = cut(_star(_star(links, True), False), "links")
+        drop(links)
+        links, before = after, now
         now = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == before:
-            return links.select(F.col("a").alias("id"), F.col("b").alias("least")).unionByName(links.select(F.col("b").alias("id"), F.col("b").alias("least"))).distinct()
-        before = now
-    raise RuntimeError("components didn't settle")
+    ids = cut(links.select(F.col("a").alias("id"), F.col("b").alias("least")).unionByName(links.select(F.col("b").alias("id"), F.col("b").alias("least"))).distinct(), "components")
+    drop(links)
+    return ids

@@ -14,9 +14,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from colloquy.llm import textnum as T
+from colloquy.llm.scratch import bound_batches
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -86,4 +89,9 @@ def measure(docs: DataFrame, rules: Rules = Rules(), *, id_col: str = "doc_id",
 
 def keep(docs: DataFrame, rules: Rules = Rules(), *, text_col: str = "text") -> DataFrame:
     """The rows of docs that break no rule, with all their columns."""
-    return T.filter_texts(docs, text_col, lambda: lambda part: measure_slice(part, rules)["kept"])
+    bound_batches(docs.sparkSession)
+
+    def kept(texts: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([np.zeros(0, bool), *(measure_slice(part, rules)["kept"] for part in T.slices(texts))]))
+
+    return docs.filter(F.arrow_udf(kept, "boolean")(F.col(f"`{text_col}`")))

@@ -11,12 +11,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colloquy.llm.scratch import bound_batches
+
 U64 = np.uint64
 #: Texts are taken together up to so many bytes; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+#: Hashes are summed up over so many bytes or words at a time.
+BLOCK = 1 << 18
 
 _MULTIPLIER = U64(0x9E3779B97F4A7C15 | 5)
 _WORD_MULTIPLIER = U64(0xD1342543DE82EF95)
@@ -39,21 +44,45 @@ def _inverse(m: int) -> int:
 
 
 class _Powers:
-    """Powers of an odd number and of its inverse modulo 2**64, made as far as they are needed."""
+    """Polynomial hashes of spans of values: sums of value[start + k] * base**k modulo 2**64.
+
+    Powers of the base and of its inverse are kept for BLOCK places; longer values are taken block by block, so
+    that what is held besides the values themselves doesn't grow with them."""
 
     def __init__(self, base: np.uint64):
-        self.base, self.n = base, 0
-        self.up = self.down = np.zeros(0, U64)
+        self.base = base
+        self.up, self.down = (self._table(b) for b in (base, U64(_inverse(base))))
+
+    @staticmethod
+    def _table(base: np.uint64) -> np.ndarray:
+        steps = np.full(BLOCK + 1, base, U64)
+        steps[0] = 1
+        with np.errstate(over="ignore"):
+            return np.cumprod(steps, dtype=U64)
 
-    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > self.n:
-            self.n = -(-n // SLICE_BYTES) * SLICE_BYTES + 64  # little more than is asked for: these stay in memory
-            steps = np.ones(self.n, U64)
-            steps[1:] = self.base
-            self.up = np.cumprod(steps, dtype=U64)
-            steps[1:] = U64(_inverse(self.base))
-            self.down = np.cumprod(steps, dtype=U64)
-        return self.up, self.down
+    def spans(self, n: int, values: Callable[[int, int], np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Of n values, of which values(a, b) gives some: the hash of each span."""
+        with np.errstate(over="ignore"):
+            if n <= BLOCK:
+                sums = np.zeros(n + 1, U64)
+                np.cumsum(values(0, n) * self.up[:n], dtype=U64, out=sums[1:])
+                return (sums[ends] - sums[starts]) * self.down[starts]
+            where = np.concatenate([starts, ends])
+            order = np.argsort(where, kind="stable")
+            sorted_, found = where[order], np.zeros(len(where), U64)
+            total, scale = U64(0), U64(1)
+            shifts = np.ones(n // BLOCK + 1, U64)
+            shifts[1:] = self.down[BLOCK]
+            shifts = np.cumprod(shifts, dtype=U64)
+            for a in range(0, n + 1, BLOCK):
+                b = min(n, a + BLOCK)
+                sums = np.zeros(b - a + 1, U64)
+                np.cumsum(values(a, b) * self.up[: b - a], dtype=U64, out=sums[1:])
+                lo, hi = np.searchsorted(sorted_, [a, a + BLOCK])
+                found[order[lo:hi]] = total + scale * sums[sorted_[lo:hi] - a]
+                total, scale = total + scale * sums[-1], scale * self.up[b - a]
+            first, last = found[: len(starts)], found[len(starts) :]
+            return (last - first) * self.down[starts % BLOCK] * shifts[starts // BLOCK]
 
 
 _BYTE_POWERS, _WORD_POWERS = _Powers(_MULTIPLIER), _Powers(_WORD_MULTIPLIER)
@@ -107,11 +136,9 @@ class Slice:
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = BYTES) -> np.ndarray:
         """A 64-bit hash of the bytes of each span; spans may overlap."""
+        sums = _BYTE_POWERS.spans(len(self.buf), lambda a, b: table[self.buf[a:b]], starts, ends)
         with np.errstate(over="ignore"):
-            up, down = _BYTE_POWERS(len(self.buf) + 1)
-            sums = np.zeros(len(self.buf) + 1, U64)
-            np.cumsum(table[self.buf] * up[: len(self.buf)], dtype=U64, out=sums[1:])
-            return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
+            return mix64(sums + (ends - starts).astype(U64))
 
     def sums(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Of values (one a byte), the sum over each span."""
@@ -124,15 +151,15 @@ class Slice:
         return out if weights is None else np.rint(out).astype(np.int64)
 
 
+def span_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the word hashes of each span."""
+    return mix64(_WORD_POWERS.spans(len(words), lambda a, b: words[a:b], starts, ends))
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit hash of every n consecutive word hashes, whatever text they belong to."""
-    if len(words) < n:
-        return np.zeros(0, U64)
-    with np.errstate(over="ignore"):
-        up, down = _WORD_POWERS(len(words) + 1)
-        sums = np.zeros(len(words) + 1, U64)
-        np.cumsum(words * up[: len(words)], dtype=U64, out=sums[1:])
-        return mix64((sums[n:] - sums[:-n]) * down[: len(words) - n + 1])
+    starts = np.arange(max(0, len(words) - n + 1))
+    return span_hashes(words, starts, starts + n)
 
 
 def whole(text_of_word: np.ndarray, n: int) -> np.ndarray:
@@ -184,6 +211,7 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Call
     Only the two columns reach Python, under names of our own, so others may be called anything.
     `make` runs once a task and may load what it needs there.
     """
+    bound_batches(df.sparkSession)
     pairs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = pairs.schema["doc_id"].dataType.simpleString()
     names = [x.split()[0] for x in schema.split(",")]
@@ -199,18 +227,35 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make: Call
     return pairs.mapInArrow(run, f"doc_id {id_type}, {schema}")
 
 
-def filter_texts(df: DataFrame, text_col: str, make: Callable[[], Callable[[Slice], np.ndarray]]) -> DataFrame:
-    """The rows of df, all columns unchanged, whose text `make()(slice)` says True for."""
-    at = df.columns.index(text_col)
+def map_groups(df: DataFrame, keys: list[str], schema: str, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """What `work` makes of rows that stand in order of `keys`, in tables of some whole groups each.
+
+    A group is held by one task, so groups must be bounded; tables hold about a batch of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = make()
+        held = None
         for batch in batches:
-            keep = [work(part) for part in slices(batch.column(at))]
-            if keep:
-                yield batch.filter(pa.array(np.concatenate(keep)))
-
-    return df.mapInArrow(run, df.schema)
+            if not batch.num_rows:
+                continue
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            same = np.ones(held.num_rows, bool)
+            for key in keys:
+                same &= np.asarray(pc.fill_null(pc.equal(held[key], held[key][-1]), False))
+            done = held.num_rows - int(same.sum())
+            if done:
+                yield from work(held.slice(0, done).combine_chunks()).to_batches()
+                held = held.slice(done)
+        if held is not None:
+            yield from work(held.combine_chunks()).to_batches()
+
+    bound_batches(df.sparkSession)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def binaries(values: np.ndarray, offs: np.ndarray) -> pa.Array:
+    """A binary array whose row k is the bytes of values[offs[k]:offs[k + 1]]."""
+    ends = pa.py_buffer((np.asarray(offs, np.int64) * values.itemsize).astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(offs) - 1, [None, ends, pa.py_buffer(np.ascontiguousarray(values).tobytes())])
 
 
 def word_counts(column: pa.Array) -> pa.Array:
