@@ -13,6 +13,7 @@ share is no single task's work, and no pairs of documents are made.
 
 * Null or empty texts have no word. Texts are read whole; documents under WINDOW words lose nothing.
 * Rows that repeat an id are judged each by its own text: they are no smaller than each other.
+* Ties: of equal windows those in the document with the least id stay, all of them.
 * Null ids are neither smaller nor greater than any: such rows lose nothing and take nothing.
 * Only id and text are read, so other columns may have any name. An empty table gives an empty result.
 """
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm import textnum as T
-from colloquy.llm.scratch import cut
+from colloquy.llm.scratch import bound_batches, cut, drop
 
 WINDOW = 50
 SEED = 25
@@ -66,13 +67,10 @@ class Seeds:
         run = np.flatnonzero(new)
         self.begin, self.count = at[run], np.diff(np.append(run, len(at)))
         self.anchor = grams[place[run]].view(np.int64)
+        content = T.span_hashes(T.mix64(words), self.begin, self.begin + self.count + window - 1)
+        shape = (place[run] - self.begin).astype(T.U64) * T.U64(1 << 20) + self.count.astype(T.U64)
         with np.errstate(over="ignore"):
-            up, down = T._WORD_POWERS(len(words) + 1)
-            sums = np.zeros(len(words) + 1, T.U64)
-            np.cumsum(T.mix64(words) * up[: len(words)], dtype=T.U64, out=sums[1:])
-            content = (sums[self.begin + self.count + window - 1] - sums[self.begin]) * down[self.begin]
-            shape = (place[run] - self.begin).astype(T.U64) * T.U64(1 << 20) + self.count.astype(T.U64)
-            self.context = T.mix64(content ^ T.mix64(shape)).view(np.int64)
+            self.context = (content ^ T.mix64(shape)).view(np.int64)
 
 
 def _joined(raw: bytes) -> bytes:
@@ -126,28 +124,31 @@ def _windows(window: int):
     return run
 
 
-def _removed(window: int):
-    """Rows (doc, text, ranges of window starts) to what is left of the text."""
+def _removed(window: int, with_text: bool):
+    """Rows (doc, text, ranges of window starts) to what is left of the text: how many words went, and a digest or the text."""
+
+    def left(text: str | None, pairs: pa.StructArray) -> tuple[int, str]:
+        words = (text or "").encode().split()
+        edges = np.zeros(len(words) + 1, np.int64)
+        np.add.at(edges, np.asarray(pairs.field("first")), 1)
+        np.add.at(edges, np.asarray(pairs.field("last")) + window, -1)
+        kept = np.flatnonzero(np.cumsum(edges[:-1]) == 0)
+        joined = b" ".join([words[k] for k in kept])
+        return len(words) - len(kept), joined.decode() if with_text else hashlib.sha256(joined).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text, ranges in zip(batch.column(1), batch.column(2)):
-                words = (text.as_py() or "").encode().split()
-                edges = np.zeros(len(words) + 1, np.int64)
-                pairs = ranges.values
-                np.add.at(edges, np.asarray(pairs.field("first")), 1)
-                np.add.at(edges, np.asarray(pairs.field("last")) + window, -1)
-                kept = np.flatnonzero(np.cumsum(edges[:-1]) == 0)
-                out.append((len(words) - len(kept), hashlib.sha256(b" ".join([words[k] for k in kept])).hexdigest(), b" ".join([words[k] for k in kept]).decode()))
-            n, shas, texts = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(shas, pa.string()), pa.array(texts, pa.string())], ["doc", "n_removed", "kept_sha256", "kept_text"])
+            for lo in range(0, batch.num_rows, 128):
+                rows = batch.slice(lo, 128)
+                made = [left(text.as_py(), ranges.values) for text, ranges in zip(rows.column(1), rows.column(2))]
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([n for n, _ in made], pa.int64()), pa.array([x for _, x in made], pa.string())], ["doc", "n_removed", "left"])
 
     return run
 
 
-def _work(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """What each row holds (doc, n_words, whole_sha256), and what is left of those that lose words."""
+def _work(docs: DataFrame, window: int, id_col: str, text_col: str, with_text: bool) -> tuple[DataFrame, DataFrame]:
+    """What each row holds (doc, n_words, whole_sha256), and of those that lose words `n_removed` and `left` (a text, or its digest)."""
+    bound_batches(docs.sparkSession)
     doc = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("key")).alias("doc")
     texts = docs.select(doc, F.col(text_col).alias("text"))
     kind = texts.schema["doc"].dataType.simpleString()
@@ -160,6 +161,7 @@ def _work(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[Dat
     shared = cut(seeds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "shared")
     involved = cut(seeds.join(shared, "anchor", "left_semi").select("key").distinct(), "involved")
     near = cut(texts.withColumn("key", F.col("doc.key")).join(involved.hint("merge"), "key", "left_semi").select("doc", "text"), "near")
+    drop(shared, involved)
 
     # classes of one context, with the least document, and where an anchor has several, window by window
     found = cut(near.mapInArrow(_occurrences(window), f"doc {kind}, anchor bigint, context bigint, begin int, n int"), "occurrences")
@@ -172,6 +174,7 @@ def _work(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[Dat
     # only windows that a document with a smaller id than the class's own least has
     earlier = extended.join(first, ["anchor", "window"]).filter(F.col("first") < F.col("least")).groupBy("anchor", "context").agg(F.collect_list(F.struct("nth", "first")).alias("earlier"))
     known = cut(classes.filter("least < most").select("anchor", "context", "least").join(earlier, ["anchor", "context"], "full_outer"), "known")
+    drop(classes, several, extended, first)
 
     hits = found.select("doc", "anchor", "context", "begin", "n").join(known, ["anchor", "context"])
     span = lambda a, b: F.struct(a.cast("int").alias("first"), b.cast("int").alias("last"))
@@ -180,21 +183,21 @@ def _work(docs: DataFrame, window: int, id_col: str, text_col: str) -> tuple[Dat
     ranges = hits.select("doc", F.coalesce(own, other).alias("ranges")).filter(F.size("ranges") > 0)
     # identical rows give the same ranges, and are dealt with once
     lost = ranges.groupBy("doc").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
-    left = near.dropDuplicates(["doc"]).join(lost, "doc").select("doc", "text", "ranges").mapInArrow(_removed(window), f"doc {kind}, n_removed bigint, kept_sha256 string, kept_text string")
+    left = near.dropDuplicates(["doc"]).join(lost, "doc").select("doc", "text", "ranges").mapInArrow(_removed(window, with_text), f"doc {kind}, n_removed bigint, left string")
     return scanned.drop("anchors"), left
 
 
 def digests(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, n_words, n_removed, kept_sha256."""
-    scanned, left = _work(docs, window, id_col, text_col)
+    scanned, left = _work(docs, window, id_col, text_col, False)
     met = scanned.join(left.withColumnRenamed("doc", "of"), (F.col("doc.key") == F.col("of.key")) & F.col("doc.id").eqNullSafe(F.col("of.id")), "left")
-    return met.select(F.col("doc.id").alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"), F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"))
+    return met.select(F.col("doc.id").alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0).cast("bigint")).alias("n_removed"), F.coalesce("left", "whole_sha256").alias("kept_sha256"))
 
 
 def remove_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs, all rows and columns, with the repeats taken out of the texts that have any (their words joined by one space)."""
-    _, left = _work(docs, window, id_col, text_col)
-    left = left.select(F.col("doc.id").alias("__left_id"), F.col("doc.key").alias("__left_key"), F.col("kept_text").alias("__left_text"))
+    _, left = _work(docs, window, id_col, text_col, True)
+    left = left.select(F.col("doc.id").alias("__left_id"), F.col("doc.key").alias("__left_key"), F.col("left").alias("__left_text"))
     here = (F.xxhash64(docs[id_col], docs[text_col]) == F.col("__left_key")) & docs[id_col].eqNullSafe(F.col("__left_id"))
     met = docs.join(left, here, "left")
     return met.select(*[F.coalesce("__left_text", docs[c]).alias(c) if c == text_col else docs[c] for c in docs.columns])
