@@ -1,22 +1,28 @@
 """Language ID by segmentation-marginalised unigrams.
 
-The pieces of a fixed public vocabulary are the units. Each language has a probability for each piece,
-learned by expectation maximisation on words of a bounded sample of labelled rows; a word's probability
-is the sum over all its segmentations into pieces, by the forward algorithm. A text is given the language
-with the largest product of prior and word probabilities; the score is that language's posterior.
-
-* The sample: about SAMPLE rows of each language, by a hash of the id; at most MAX_LANGUAGES languages.
-  Priors come from all labelled rows. Rows with a null language teach nothing.
+The pieces of a fixed public vocabulary, all of them in lower case, are the units, and every single byte is
+one. Each language has a probability for each piece, learned by expectation maximisation on words of a
+bounded sample of labelled rows; a word's probability is the sum over all its segmentations into pieces, by
+the forward algorithm. A text is given the language with the largest product of prior and word
+probabilities; the score is that language's posterior.
+
+A word is a run without white space, of any length: sums are carried from byte to byte, with a scale of their
+own, and only as many bytes back as the longest piece has. So a text without spaces is one lattice.
+
+* The sample: about SAMPLE rows of each language, by a hash of the id. Priors come from all labelled rows.
+  Rows with a null language teach nothing. Each language is learned by a task of its own and is a file in the
+  shared folder; texts are scored by BLOCK_LANGUAGES languages at a time. The driver holds a name and a count
+  for each language.
 * Null texts, and texts without a letter, are `und` with score 0; so is all if nothing could be learned.
-* Ties go to the language first in order. Texts are scored whole; a run of over RUN bytes without white
-  space is scored as consecutive runs of RUN bytes.
-* Only id, text and (to learn) language are read. Repeated rows are predicted alike.
+* Ties go to the language first in order. Texts are scored whole; what a worker holds grows with the longest.
+* Only id, text and (to learn) language are read, so other columns may have any name. Repeated rows are
+  predicted alike. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -24,21 +30,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm import textnum as T
+from colloquy.llm.eliasfano import load, save, to_bytes
+from colloquy.llm.scratch import bound_batches, new_path, store_uri
 
 SAMPLE = 600
-MAX_LANGUAGES = 1000
-RUN = 32
-LONGEST = 8
+BLOCK_LANGUAGES = 64
 ROUNDS = 4
 SMOOTHING = 0.02
-CHUNK = 8192
+#: Cells (a byte of a word) that are worked on at a time.
+CELLS = 1 << 18
+#: Sums are scaled anew every so many bytes.
+RESCALE = 16
 
 LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = True
+_UP = T._BYTE_POWERS.up
+
+
+class Table:
+    """Numbers of byte strings, found by a rolling hash: -1 for what begins no key, 0 for what only begins some."""
+
+    SHIFT = T.U64(64 - 18)
+
+    def __init__(self, keys: list[bytes], first: int):
+        numbers = {key[:k]: 0 for key in keys for k in range(1, len(key))} | {key: first + k for k, key in enumerate(keys)}
+        hashes = np.zeros(len(numbers), T.U64)
+        for k, key in enumerate(numbers):
+            values = np.frombuffer(key, np.uint8)
+            with np.errstate(over="ignore"):
+                hashes[k] = (T.BYTES_LOWER[values] * _UP[: len(key)]).sum(dtype=T.U64) + T.U64(len(key))
+        hashes = T.mix64(hashes)
+        bucket = (hashes >> self.SHIFT).astype(np.int64)
+        self.count = np.bincount(bucket, minlength=1 << 18).astype(np.uint8)
+        self.known, self.number = np.zeros((int(self.count.max(initial=1)), 1 << 18), T.U64), np.zeros((int(self.count.max(initial=1)), 1 << 18), np.int32)
+        order = np.argsort(bucket, kind="stable")
+        rank = np.arange(len(order)) - np.searchsorted(bucket[order], bucket[order])
+        self.known[rank, bucket[order]], self.number[rank, bucket[order]] = hashes[order], np.fromiter(numbers.values(), np.int32)[order]
+
+    def find(self, sums: np.ndarray, length: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            hashes = T.mix64(sums + T.U64(length))
+        bucket = (hashes >> self.SHIFT).astype(np.int64)
+        out, left = np.full(len(hashes), -1, np.int32), np.arange(len(hashes))
+        for k, (known, number) in enumerate(zip(self.known, self.number)):
+            left = left[self.count[bucket[left]] > k]
+            hit = left[known[bucket[left]] == hashes[left]]
+            out[hit] = number[bucket[hit]]
+        return out
 
 
 class Pieces:
-    """The pieces of at most LONGEST bytes, found by hash; number 0 is no piece, 1 the mark of a word's start."""
+    """The vocabulary in lower case; number 0 is no piece, 1 the mark of a word's start."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -47,113 +89,145 @@ class Pieces:
         texts = (library.id_to_piece(k) for k in range(library.get_piece_size()) if not (library.is_control(k) or library.is_unknown(k) or library.is_byte(k)))
         inner, initial = {bytes([k]) for k in range(256)}, set()
         for text in texts:
-            data = text.lstrip("▁").encode().lower()
-            if 0 < len(data) <= LONGEST:
+            if data := text.lstrip("▁").encode().lower():
                 (initial if text.startswith("▁") else inner).add(data)
         self.size = 2 + len(inner) + len(initial)
-        self.inner = self._table(sorted(inner), 2)
-        self.initial = self._table(sorted(initial), 2 + len(inner))
-
-    @staticmethod
-    def _table(keys: list[bytes], first: int) -> tuple[int, np.ndarray, np.ndarray]:
-        """Buckets by the hash's top bits: shift, hashes and numbers in a few columns."""
-        buf = np.frombuffer(b"".join(keys), np.uint8)
-        ends = np.cumsum([len(k) for k in keys])
-        hashes = T.Slice(0, buf, np.array([0, len(buf)])).hashes(ends - [len(k) for k in keys], ends, T.BYTES_LOWER)
-        shift = 64 - 17
-        bucket = (hashes >> T.U64(shift)).astype(np.int64)
-        width = int(np.bincount(bucket).max())
-        table, numbers = np.zeros((width, 1 << 17), T.U64), np.zeros((width, 1 << 17), np.int32)
-        order = np.argsort(bucket, kind="stable")
-        rank = np.arange(len(order)) - np.searchsorted(bucket[order], bucket[order])
-        table[rank, bucket[order]], numbers[rank, bucket[order]] = hashes[order], first + order
-        return shift, table, numbers
-
-    @staticmethod
-    def find(table: tuple[int, np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
-        shift, known, numbers = table
-        bucket = (hashes >> T.U64(shift)).astype(np.int64)
-        out = np.zeros(hashes.shape, np.int32)
-        for column, number in zip(known, numbers):
-            hit = column[bucket] == hashes
-            out[hit] = number[bucket[hit]]
+        self.longest = max(map(len, inner | initial))
+        self.inner, self.initial = Table(sorted(inner), 2), Table(sorted(initial), 2 + len(inner))
+
+    def arcs(self, buf: np.ndarray, starts: np.ndarray, size: np.ndarray, a: int, b: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of words, longest first: for each length of a piece the places from byte a to b where one begins, with
+        its word and number, in order of place."""
+        alive = np.searchsorted(-size, -np.arange(a, b), side="left")  # words of more bytes
+        place = np.repeat(np.arange(a, b), alive)
+        word = np.arange(len(place)) - np.repeat(np.cumsum(alive) - alive, alive)
+        return self._grown(self.inner, buf, starts, size, place, word)
+
+    def first_arcs(self, buf: np.ndarray, starts: np.ndarray, size: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The same for pieces that hold the mark of the word's start and begin there."""
+        return self._grown(self.initial, buf, starts, size, np.zeros(len(size), np.int64), np.arange(len(size)))
+
+    def _grown(self, table: Table, buf: np.ndarray, starts: np.ndarray, size: np.ndarray, place: np.ndarray, word: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        sums, out = np.zeros(len(place), T.U64), []
+        at = starts[word] + place
+        last = starts[word] + size[word]
+        for length in range(1, self.longest + 1):
+            fits = at < last
+            place, word, sums, at, last = (x[fits] for x in (place, word, sums, at, last))
+            with np.errstate(over="ignore"):
+                sums = sums + T.BYTES_LOWER[buf[at]] * _UP[length - 1]
+            number = table.find(sums, length)
+            hit = number > 0
+            out.append((place[hit], word[hit], number[hit]))
+            more = number >= 0
+            place, word, sums, at, last = (x[more] for x in (place, word, sums, at + 1, last))
+            if not len(place):
+                break
         return out
 
-    def lattice(self, part: T.Slice, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of words: numbers of the pieces inner[word, from, length - 1], and initial[word, length - 1] at the start."""
-        size = ends - starts
-        width = int(size.max())
-        at = np.arange(width)[None, :, None]
-        to = at + np.arange(1, LONGEST + 1)[None, None, :]
-        fits = to <= size[:, None, None]
-        word, begin, length = np.nonzero(fits)
-        begins = starts[word] + begin
-        hashes = part.hashes(begins, begins + length + 1, T.BYTES_LOWER)
-        inner = np.zeros(fits.shape, np.int32)
-        inner[word, begin, length] = self.find(self.inner, hashes)
-        first = begin == 0
-        initial = np.zeros((len(starts), LONGEST), np.int32)
-        initial[word[first], length[first]] = self.find(self.initial, hashes[first])
-        return inner, initial
-
-
-def forward(inner: np.ndarray, initial: np.ndarray, size: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    """alpha[to, word, language]: probability of a word's first `to` bytes, all segmentations together.
-
-    Words are in order of size, longest first; theta[piece, language] is 0 for no piece."""
-    n, width = inner.shape[:2]
-    alpha = np.zeros((width + 1, n, theta.shape[1]))
+
+def blocks(size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of places that hold about CELLS of the words, longest first."""
+    a, width = 0, int(size.max(initial=0))
+    while a < width:
+        alive = int(np.searchsorted(-size, -a, side="left"))
+        b = min(width, a + max(RESCALE, CELLS // max(alive, 1)))
+        yield a, b
+        a = b
+
+
+def forward(pieces: Pieces, buf: np.ndarray, starts: np.ndarray, size: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """log probability [word, language] of words, longest first, all segmentations together; theta[piece, language]."""
+    rows, out = pieces.longest + 1, np.zeros((len(size), theta.shape[1]))
+    alpha, scale = np.zeros((rows, *out.shape)), np.zeros(out.shape)  # alpha[place % rows]: of all that ends there
+    alpha[0] = theta[1]
+    for length, (_, word, number) in enumerate(pieces.first_arcs(buf, starts, size), 1):
+        alpha[length, word] += theta[number]
+    ends = np.searchsorted(-size, -np.arange(int(size.max(initial=0)) + 2), side="left")  # words of more bytes than k
+    for a, b in blocks(size):
+        found = [(np.searchsorted(place, np.arange(a, b + 1)), word, number) for place, word, number in pieces.arcs(buf, starts, size, a, b)]
+        for k in range(a, b):
+            here, n = alpha[k % rows], ends[k]
+            if k and k % RESCALE == 0:
+                most = here[:n].copy()
+                alpha[:, :n] /= most
+                scale[:n] += np.log(most)
+            for length, (cuts, word, number) in enumerate(found, 1):
+                if (lo := cuts[k - a]) < (hi := cuts[k - a + 1]):
+                    own = word[lo:hi]
+                    alpha[(k + length) % rows, own] += here[own] * theta[number[lo:hi]]
+            here[:] = 0
+            if (done := ends[k + 1]) < n:  # words of k + 1 bytes
+                out[done:n] = np.log(alpha[(k + 1) % rows, done:n]) + scale[done:n]
+    return out
+
+
+def expected(pieces: Pieces, buf: np.ndarray, starts: np.ndarray, size: np.ndarray, weight: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece in one language (theta[piece]), by forward and backward sums over words, longest first."""
+    rows, n_words, width = pieces.longest + 1, len(size), int(size.max(initial=0))
+    alpha, scale = np.zeros((width + rows, n_words)), np.zeros((width // RESCALE + 1, n_words))
+    first = pieces.first_arcs(buf, starts, size)
     alpha[0] = theta[1]
-    for to in range(1, width + 1):
-        k = int(np.searchsorted(-size, -to, side="right"))  # words of `to` bytes or more
-        for length in range(1, min(LONGEST, to) + 1):
-            alpha[to, :k] += alpha[to - length, :k] * theta[inner[:k, to - length, length - 1]]
-        if to <= LONGEST:
-            alpha[to, :k] += theta[initial[:k, to - 1]]
-    return alpha
-
-
-def expected(inner: np.ndarray, initial: np.ndarray, size: np.ndarray, weight: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece in one language (theta[:, None]), by forward and backward sums."""
-    n, width = inner.shape[:2]
-    alpha = forward(inner, initial, size, theta)[:, :, 0]
-    probability = theta[:, 0]
-    beta = np.zeros((width + 1, n))
-    beta[size, np.arange(n)] = 1
+    for length, (_, word, number) in enumerate(first, 1):
+        alpha[length, word] += theta[number]
+    ends = np.searchsorted(-size, -np.arange(width + 1), side="left")
+    whole, log_whole = np.zeros(n_words), np.zeros(n_words)
+    ranges = list(blocks(size))
+    arcs = lambda a, b: [(np.searchsorted(place, np.arange(a, b + 1)), word, number) for place, word, number in pieces.arcs(buf, starts, size, a, b)]
+    for a, b in ranges:
+        found = arcs(a, b)
+        for k in range(a, b):
+            n = ends[k]
+            if k and k % RESCALE == 0:
+                most = alpha[k, :n].copy()
+                alpha[k : k + rows, :n] /= most
+                scale[k // RESCALE] = scale[k // RESCALE - 1]
+                scale[k // RESCALE, :n] += np.log(most)
+            for length, (cuts, word, number) in enumerate(found, 1):
+                if (lo := cuts[k - a]) < (hi := cuts[k - a + 1]):
+                    own = word[lo:hi]
+                    alpha[k + length, own] += alpha[k, own] * theta[number[lo:hi]]
+    last = (size - 1) // RESCALE  # the scale that a word's whole sum is in
+    whole, log_whole = alpha[size, np.arange(n_words)], scale[last, np.arange(n_words)]
+    log_whole = np.log(whole) + log_whole
+    beta, behind = np.zeros((rows, n_words)), np.zeros(n_words)
     uses = np.zeros(len(theta))
-    scale = weight / alpha[size, np.arange(n)]
-    for begin in range(width - 1, -1, -1):
-        k = int(np.searchsorted(-size, -(begin + 1), side="right"))
-        for length in range(1, min(LONGEST, width - begin) + 1):
-            pieces = inner[:k, begin, length - 1]
-            through = probability[pieces] * beta[begin + length, :k]
-            beta[begin, :k] += through
-            uses += np.bincount(pieces, through * alpha[begin, :k] * scale[:k], minlength=len(theta))
-    for length in range(1, min(LONGEST, width) + 1):
-        pieces = initial[:, length - 1]
-        uses += np.bincount(pieces, probability[pieces] * beta[length] * scale, minlength=len(theta))
-    uses[1] = (probability[1] * beta[0] * scale).sum()
+    for a, b in reversed(ranges):
+        found = arcs(a, b)
+        for k in range(b - 1, a - 1, -1):
+            n, more = ends[k], ends[k + 1] if k + 1 <= width else 0
+            beta[(k + 1) % rows, more:n] = 1  # words of k + 1 bytes end there
+            here = np.zeros(n_words)
+            share = weight[:n] * np.exp(scale[k // RESCALE, :n] + behind[:n] - log_whole[:n]) * alpha[k, :n]
+            for length, (cuts, word, number) in enumerate(found, 1):
+                if (lo := cuts[k - a]) < (hi := cuts[k - a + 1]):
+                    own, which = word[lo:hi], number[lo:hi]
+                    through = theta[which] * beta[(k + length) % rows, own]
+                    here[own] += through
+                    np.add.at(uses, which, through * share[own])
+            beta[k % rows] = here
+            if k and k % RESCALE == 0:
+                most = here[:n].copy()
+                beta[:, :n] /= most
+                behind[:n] += np.log(most)
+    share = weight * np.exp(behind - log_whole)
+    for length, (_, word, number) in enumerate(first, 1):
+        np.add.at(uses, number, theta[number] * beta[length % rows, word] * share[word])
+    uses[1] = (theta[1] * beta[0] * share).sum()
     uses[0] = 0
     return uses
 
 
-def runs(starts: np.ndarray, ends: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words cut into runs of at most RUN bytes."""
-    n = np.maximum(1, -(-(ends - starts) // RUN))
-    if len(n) == n.sum():
-        return starts, ends, text
-    word = np.repeat(np.arange(len(n)), n)
-    nth = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
-    begin = starts[word] + nth * RUN
-    return begin, np.minimum(begin + RUN, ends[word]), text[word]
-
-
 @dataclass
 class Model:
     languages: list[str]
     prior: np.ndarray  # log
-    theta: np.ndarray  # [piece, language]
-    path: str
+    files: list[str] = field(default_factory=list)  # theta[piece] of each language
+    path: str = ""
+
+    def theta(self, lo: int, hi: int) -> np.ndarray:
+        """theta[piece, language] of some languages."""
+        return np.stack([load(uri)["theta"] for uri in self.files[lo:hi]], axis=1)
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +236,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = batch.column(0).dictionary_encode()
         codes = np.asarray(languages.indices)
         for part in T.slices(batch.column(1)):
-            starts, ends, text = runs(*part.spans(T.NOT_SPACE))
+            starts, ends, text = part.spans(T.NOT_SPACE)
             lower = part.buf.copy()
             lower[(lower >= 65) & (lower < 91)] += 32
             key = part.hashes(starts, ends, T.BYTES_LOWER) ^ T.mix64(codes[part.lo + text] + 1)
@@ -171,67 +245,74 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([languages.dictionary.take(pa.array(codes[part.lo + text[at]])), pa.array(words, pa.binary()), pa.array(n)], ["lang", "word", "n"])
 
 
-def fit(labelled: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learns from rows with a language; see above for the sample."""
-    rows = labelled.filter(F.col(lang_col).isNotNull())
-    counts = sorted((r.lang, r.n) for r in rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect())
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    pieces = Pieces(path)
-    languages = [c[0] for c in counts]
-    if not counts:
-        return Model([], np.zeros(0), np.zeros((pieces.size, 0)), path)
-    share = F.lit(0.0)
-    for language, n in counts:
-        share = F.when(F.col(lang_col) == language, min(1.0, SAMPLE / n)).otherwise(share)
-    sample = rows.filter(F.pmod(F.xxhash64(F.lit(5), F.col(id_col)), F.lit(1_000_000)) < share * 1_000_000).select(lang_col, text_col)
-    words = sample.mapInArrow(_words, "lang string, word binary, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
-    theta = np.zeros((pieces.size, len(languages)))
-    spoken = np.asarray(words["lang"].combine_chunks())
-    for column, language in enumerate(languages):
-        own = words.filter(pa.array(spoken == language))
-        if len(own):
-            theta[:, column] = _maximise(pieces, own["word"].combine_chunks().cast(pa.large_binary()), own["n"].to_numpy())
-        else:
-            theta[1:, column] = 1 / (pieces.size - 1)
-    return Model(languages, np.log([n for _, n in counts]) - np.log(sum(n for _, n in counts)), theta, path)
+def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of words, longest first, that have CELLS or are one word."""
+    lo = 0
+    while lo < len(sizes):
+        hi = min(len(sizes), lo + max(1, CELLS // int(sizes[lo])))
+        yield lo, hi
+        lo = hi
 
 
 def _maximise(pieces: Pieces, words: pa.Array, times: np.ndarray) -> np.ndarray:
-    theta = np.full((pieces.size, 1), 1 / (pieces.size - 1))
+    theta = np.full(pieces.size, 1 / (pieces.size - 1))
     theta[0] = 0
+    words = words.cast(pa.large_binary())
     offs = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
-    order = np.lexsort((np.arange(len(words)), -(offs[1:] - offs[:-1])))
-    groups = []
-    for lo in range(0, len(order), CHUNK):
-        own = order[lo : lo + CHUNK]
-        data = [words[int(k)].as_py() for k in own]
-        ends = np.cumsum([len(d) for d in data])
-        part = T.Slice(0, np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], ends]))
-        size = part.offs[1:] - part.offs[:-1]
-        groups.append((*pieces.lattice(part, part.offs[:-1], part.offs[1:]), size, times[own].astype(float)))
+    buf = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    size = np.diff(offs)
+    order = np.lexsort((offs[:-1], -size))
+    starts, size, times = offs[:-1][order], size[order], times[order].astype(float)
     for _ in range(ROUNDS):
-        uses = sum(expected(*g, theta) for g in groups)
-        theta = ((uses + SMOOTHING) / (uses[1:].sum() + SMOOTHING * (len(uses) - 1)))[:, None]
+        uses = sum((expected(pieces, buf, starts[lo:hi], size[lo:hi], times[lo:hi], theta) for lo, hi in _groups(size)), np.zeros(pieces.size))
+        theta = (uses + SMOOTHING) / (uses[1:].sum() + SMOOTHING * (len(uses) - 1))
         theta[0] = 0
-    return theta[:, 0]
+    return theta
 
 
-def _score(part: T.Slice, model: Model, pieces: Pieces) -> dict:
-    starts, ends, text = runs(*part.spans(T.NOT_SPACE))
+def fit(labelled: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Learns from rows with a language; see above for the sample."""
+    spark = labelled.sparkSession
+    bound_batches(spark)
+    rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang IS NOT NULL")
+    counts = sorted((r.lang, r.n) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect())
+    languages = [c[0] for c in counts]
+    if not counts:
+        return Model([], np.zeros(0))
+    folder = store_uri(spark, new_path(spark, "languages"))
+    facts = F.broadcast(spark.createDataFrame([(language, k, min(1.0, SAMPLE / n)) for k, (language, n) in enumerate(counts)], "lang string, no int, share double"))
+    drawn = F.pmod(F.xxhash64(F.lit(5), F.col("doc_id")), F.lit(1_000_000)) < F.col("share") * 1_000_000
+    sample = rows.join(facts, "lang").filter(drawn).select(F.col("no").cast("string").alias("lang"), "text")
+
+    def learn(words: pa.Table) -> pa.Table:
+        no, pieces = words["lang"][0].as_py(), Pieces(path)
+        save(f"{folder}/{no}", to_bytes({"theta": _maximise(pieces, words["word"].combine_chunks(), words["n"].to_numpy())}))
+        return pa.table({"no": pa.array([int(no)], pa.int32())})
+
+    words = sample.mapInArrow(_words, "lang string, word binary, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    learned = {r.no for r in words.groupBy("lang").applyInArrow(learn, "no int").collect()}
+    if len(learned) < len(languages):  # languages of whose sample no text has a word: all pieces alike
+        n_pieces = Pieces(path).size
+        save(f"{folder}/none", to_bytes({"theta": np.concatenate([[0.0], np.full(n_pieces - 1, 1 / (n_pieces - 1))])}))
+    files = [f"{folder}/{k}" if k in learned else f"{folder}/none" for k in range(len(languages))]
+    return Model(languages, np.log([n for _, n in counts]) - np.log(sum(n for _, n in counts)), files, path)
+
+
+def _score(part: T.Slice, model: Model, pieces: Pieces, thetas: Callable[[int, int], np.ndarray]) -> dict:
+    starts, ends, text = part.spans(T.NOT_SPACE)
     logs = np.tile(model.prior, (part.n, 1))
     if len(starts):
         _, at, word = np.unique(part.hashes(starts, ends, T.BYTES_LOWER), return_index=True, return_inverse=True)
         size = ends[at] - starts[at]
         order = np.argsort(-size, kind="stable")
-        of_word = np.empty((len(at), len(model.languages)))
-        for lo in range(0, len(order), CHUNK):
-            own = order[lo : lo + CHUNK]
-            s = size[own]
-            alpha = forward(*pieces.lattice(part, starts[at[own]], ends[at[own]]), s, model.theta)
-            of_word[own] = np.log(alpha[s, np.arange(len(own))])
-        for k in range(len(model.languages)):
-            logs[:, k] += np.bincount(text, of_word[word, k], minlength=part.n)
+        at, size, place = at[order], size[order], np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        word = place[word]
+        for first in range(0, len(model.languages), BLOCK_LANGUAGES):
+            theta = thetas(first, first + BLOCK_LANGUAGES)
+            of_word = np.concatenate([forward(pieces, part.buf, starts[at[lo:hi]], size[lo:hi], theta) for lo, hi in _groups(size)])
+            for k in range(theta.shape[1]):
+                logs[:, first + k] += np.bincount(text, of_word[word, k], minlength=part.n)
     letters = part.sums(LETTER[part.buf], part.offs[:-1], part.offs[1:]) > 0
     for k in np.flatnonzero(~letters & (part.offs[1:] > part.offs[:-1])):
         letters[k] = any(c.isalpha() for c in part.buf[part.offs[k] : part.offs[k + 1]].tobytes().decode())
@@ -241,13 +322,17 @@ def _score(part: T.Slice, model: Model, pieces: Pieces) -> dict:
 
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, lang_pred, score. The model's size is pieces times languages."""
+    """One row for each row of docs: doc_id, lang_pred, score."""
 
     def make():
         if not model.languages:
             return lambda part, _: {"lang_pred": pa.array(["und"] * part.n, pa.string()), "score": np.zeros(part.n)}
         pieces = Pieces(model.path)
-        return lambda part, _: _score(part, model, pieces)
+        thetas = model.theta
+        if len(model.languages) <= BLOCK_LANGUAGES:  # one block is read once
+            only = model.theta(0, BLOCK_LANGUAGES)
+            thetas = lambda lo, hi: only
+        return lambda part, _: _score(part, model, pieces, thetas)
 
     return T.map_texts(docs, id_col, text_col, "lang_pred string, score double", make)
 
