@@ -1,24 +1,31 @@
 """Chat formatting by schema fingerprints, in DataFrame operations alone.
 
-A record's nested field paths (types left out) are hashed; the hash selects a declarative mapping that
-turns the layout into canonical turns, an array of (role, text). One template renders the turns:
+The nested field paths of a record or of a table's columns are hashed; the hash selects a declarative mapping
+that turns the layout into canonical turns, an array of (role, text). Only paths that the layout names go into
+its hash, so further keys don't matter; of several layouts that fit, the first in LAYOUTS is taken. One
+template renders the turns:
 
     <|turn|>ROLE<|text|>TEXT<|end|>
 
 Inside roles and texts a backslash is doubled, and one is put after the first character of anything that
 could be read as a control string, of this template or of the common ones, so none is left and reading
-back is exact.
+back is exact. The loss mask is a run for each turn, of the formatted text's characters: how many are skipped
+and how many then learned.
 
 * Null roles and texts count as empty. Turns with one number are ordered by role, then text; null first.
 * A record of no known layout, or no JSON, has null turns and a null name of layout; nothing is dropped.
-* Repeated rows are repeated turns. An empty table gives an empty result. Other columns aren't read.
-* A conversation is one row of the result, so its turns meet in one task; nothing else does.
+  A field that holds no text is taken as its JSON.
+* Repeated rows are repeated turns. An empty table gives an empty result. Other columns aren't read, and may
+  have any name.
+* Texts are taken whole. A conversation is one row of the result, so its turns meet in one task; nothing else
+  does, and a turn is formatted and read back in time that doesn't depend on how many there are.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,12 +49,22 @@ def unescape(text: Column) -> Column:
 # --- layouts ---------------------------------------------------------------------------------------
 
 
+def digest(paths: Iterable[str]) -> str:
+    """The fingerprint of nested field paths."""
+    return hashlib.sha256("\n".join(sorted(set(paths))).encode()).hexdigest()
+
+
+def fingerprint(paths: Column, among: tuple[str, ...]) -> Column:
+    """`digest` of those of the paths (an array) that are `among` some."""
+    return F.sha2(F.array_join(F.array_sort(F.array_distinct(F.filter(paths, lambda p: p.isin(*among)))), "\n"), 256)
+
+
 @dataclass(frozen=True)
 class Layout:
-    """A shape (nested field paths in alphabetical order, without types) and how its turns are read."""
+    """Nested field paths, and how turns are read from a record that has them."""
 
     name: str
-    shape: str
+    paths: tuple[str, ...]
     turns: Callable[[Column], Column]
 
 
@@ -55,59 +72,71 @@ def _turn(role: Column | str, text: Column) -> Column:
     return F.struct((F.lit(role) if isinstance(role, str) else role).alias("role"), text.alias("text"))
 
 
-def _listed(key: str, role: str, text: str) -> Callable[[Column], Column]:
+def _listed(key: str, role: str, text: str, roles: dict[str, str] | None = None) -> Layout:
+    """A list of messages under one key; roles may have other names."""
     kind = f"{key} array<struct<{role}:string,{text}:string>>"
-    return lambda json: F.transform(F.from_json(json, kind)[key], lambda m: _turn(m[role], m[text]))
+    named = F.create_map(*[F.lit(x) for pair in roles.items() for x in pair]) if roles else None
+    of = lambda m: m[role] if named is None else F.coalesce(F.try_element_at(named, m[role]), m[role])
+    return Layout(key, (f"{key}[].{role}", f"{key}[].{text}"), lambda json: F.transform(F.from_json(json, kind)[key], lambda m: _turn(of(m), m[text])))
 
 
-def _fields(**roles: str) -> Callable[[Column], Column]:
+def _fields(name: str, **roles: str) -> Layout:
     """Turns of single fields: role=field, in order; fields that are null or empty give no turn, but the last."""
 
     def turns(json: Column) -> Column:
-        said = [_turn(role.rstrip("_"), F.get_json_object(json, f"$.{field}")) for role, field in roles.items()]
+        said = [_turn(role, F.get_json_object(json, f"$.{field}")) for role, field in roles.items()]
         last = len(said) - 1
         return F.filter(F.array(*said), lambda t, k: (F.coalesce(t["text"], F.lit("")) != "") | (k == last))
 
-    return turns
+    return Layout(name, tuple(roles.values()), turns)
+
 
+def _instruction(json: Column) -> Column:
+    asked = F.concat_ws("\n\n", F.get_json_object(json, "$.instruction"), F.nullif(F.get_json_object(json, "$.input"), F.lit("")))
+    return F.array(_turn("user", asked), _turn("assistant", F.get_json_object(json, "$.output")))
 
-LAYOUTS = (
-    Layout("messages", "OBJECT<messages:ARRAY<OBJECT<content,role>>>", _listed("messages", "role", "content")),
-    Layout("conversations", "OBJECT<conversations:ARRAY<OBJECT<from,value>>>", lambda j: F.transform(_listed("conversations", "from", "value")(j), lambda t: _turn(F.coalesce(F.create_map(F.lit("human"), F.lit("user"), F.lit("gpt"), F.lit("assistant"))[t["role"]], t["role"]), t["text"]))),
-    Layout("prompt and completion", "OBJECT<completion,prompt>", _fields(user="prompt", assistant="completion")),
-    Layout("prompt and response", "OBJECT<prompt,response>", _fields(user="prompt", assistant="response")),
-    Layout("question and answer", "OBJECT<answer,question>", _fields(user="question", assistant="answer")),
-    Layout("instruction", "OBJECT<instruction,output>", _fields(user="instruction", assistant="output")),
-    Layout("instruction with input", "OBJECT<input,instruction,output>", lambda j: F.array(_turn("user", F.concat_ws("\n\n", F.get_json_object(j, "$.instruction"), F.nullif(F.get_json_object(j, "$.input"), F.lit("")))), _turn("assistant", F.get_json_object(j, "$.output")))),
-    Layout("system, prompt and response", "OBJECT<prompt,response,system>", _fields(system="system", user="prompt", assistant="response")),
-)
 
+def layouts() -> tuple[Layout, ...]:
+    """Known layouts, those of more fields first."""
+    return (
+        _listed("messages", "role", "content"),
+        _listed("conversations", "from", "value", {"human": "user", "gpt": "assistant"}),
+        _fields("system, prompt and response", system="system", user="prompt", assistant="response"),
+        Layout("instruction with input", ("instruction", "input", "output"), _instruction),
+        _fields("prompt and completion", user="prompt", assistant="completion"),
+        _fields("prompt and response", user="prompt", assistant="response"),
+        _fields("question and answer", user="question", assistant="answer"),
+        _fields("instruction", user="instruction", assistant="output"),
+    )
 
-def shape(json: Column) -> Column:
-    """The nested field paths of a JSON text, as a shape; null if it is no JSON."""
-    schema = F.schema_of_variant(F.try_parse_json(json))
-    return F.regexp_replace(F.regexp_replace(schema, r":? ?(?:STRING|VOID|BIGINT|DOUBLE|FLOAT|BOOLEAN|VARIANT|DECIMAL\([^)]*\))(?=[,>]|$)", ""), r"([:,]) ", "$1")
 
+def json_paths(json: Column, lists: Iterable[str]) -> Column:
+    """The field paths of a JSON text: its keys, and those of the objects in the named lists; null if it is no object."""
+    keys = F.json_object_keys(json)
 
-def fingerprint(shape_: Column) -> Column:
-    return F.xxhash64(shape_)
+    def inside(name: str) -> Column:
+        objects = F.from_json(F.get_json_object(json, f"$.{name}"), "array<map<string,string>>")
+        found = F.transform(F.flatten(F.transform(objects, lambda m: F.map_keys(m))), lambda k: F.concat(F.lit(f"{name}[]."), k))
+        return F.coalesce(found, F.array().cast("array<string>"))
 
+    return F.concat(keys, *[inside(name) for name in lists])
 
-def schema_shape(kind: T.DataType) -> str:
-    """The shape of a column type, by the same rule as `shape`."""
+
+def schema_paths(kind: T.DataType, above: str = "") -> list[str]:
+    """The field paths of a column type."""
     if isinstance(kind, T.StructType):
-        inner = sorted((f.name, schema_shape(f.dataType)) for f in kind.fields)
-        return f"OBJECT<{','.join(n + (':' + s if s else '') for n, s in inner)}>"
-    return f"ARRAY<{schema_shape(kind.elementType)}>" if isinstance(kind, T.ArrayType) else ""
+        return [p for f in kind.fields for p in schema_paths(f.dataType, f"{above}.{f.name}" if above else f.name)]
+    return schema_paths(kind.elementType, f"{above}[]") if isinstance(kind, T.ArrayType) else [above]
 
 
 def from_json(records: DataFrame, json_col: str, *, id_col: str = "conv_id") -> DataFrame:
     """One row for each row of records: conv_id, the layout's name, and turns."""
-    mark = fingerprint(shape(F.col(json_col)))
+    known, json = layouts(), F.col(json_col)
+    paths = json_paths(json, sorted({p.partition("[]")[0] for layout in known for p in layout.paths if "[]" in p}))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    for layout in LAYOUTS:
-        hit = mark == fingerprint(F.lit(layout.shape))
-        name, turns = F.when(hit, F.lit(layout.name)).otherwise(name), F.when(hit, layout.turns(F.col(json_col))).otherwise(turns)
+    for layout in reversed(known):
+        hit = fingerprint(paths, layout.paths) == digest(layout.paths)
+        name, turns = F.when(hit, F.lit(layout.name)).otherwise(name), F.when(hit, layout.turns(json)).otherwise(turns)
     return records.select(F.col(id_col).alias("conv_id"), name.alias("layout"), turns.cast(TURNS).alias("turns"))
 
 
@@ -117,45 +146,61 @@ def _from_rows(rows: DataFrame, id_col: str) -> DataFrame:
     return rows.groupBy(F.col(id_col).alias("conv_id")).agg(F.transform(said, lambda t: _turn(t["role"], t["text"])).alias("turns"))
 
 
-#: By shape of the columns other than the id: how a table's rows become canonical turns.
-TABLES = {"OBJECT<role,text,turn>": _from_rows}
+#: How a table's rows become canonical turns, by the paths of its columns.
+TABLES = ((("role", "text", "turn"), _from_rows),)
 
 
 def from_table(rows: DataFrame, *, id_col: str = "conv_id") -> DataFrame:
-    """Canonical turns (conv_id, turns) of a table whose schema is of a known shape; extra columns don't matter."""
-    for known, mapping in TABLES.items():
-        wanted = re.findall(r"\w+", known)[1:]
-        if set(wanted) <= set(rows.columns) and schema_shape(rows.select(*wanted).schema) == known:
-            return mapping(rows.select(id_col, *wanted), id_col)
-    raise ValueError(f"no mapping for {schema_shape(rows.drop(id_col).schema)}")
+    """Canonical turns (conv_id, turns) of a table of a known layout, found by the fingerprint of its columns."""
+    found = schema_paths(rows.drop(id_col).schema)
+    for paths, mapping in TABLES:
+        if digest(p for p in found if p in paths) == digest(paths):
+            return mapping(rows.select(id_col, *paths), id_col)
+    raise ValueError(f"no mapping for the columns {found}")
 
 
 # --- the template ----------------------------------------------------------------------------------
 
 
 def render(canonical: DataFrame, *, trained: str = "assistant") -> DataFrame:
-    """conv_id, formatted, and segments: pieces of formatted in order, with `loss` where a model is to learn."""
-    part = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
-    no = F.lit(False)
-    segments = F.flatten(F.transform("turns", lambda t: F.array(part(F.concat(F.lit(TURN), escape(t["role"]), F.lit(TEXT)), no), part(escape(t["text"]), F.coalesce(t["role"], F.lit("")) == trained), part(F.lit(END), no))))
-    made = canonical.select("conv_id", segments.alias("segments"))
-    return made.select("conv_id", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "segments")
+    """conv_id, formatted, and loss_runs: for each turn how many of formatted's characters to skip and how many then
+    to learn. Null turns give null."""
+    made = canonical.withColumn("turns", F.transform("turns", lambda t: F.struct(escape(t["role"]).alias("role"), escape(t["text"]).alias("text"), (F.coalesce(t["role"], F.lit("")) == trained).alias("loss"))))
+    formatted = F.array_join(F.transform("turns", lambda t: F.concat(F.lit(TURN), t["role"], F.lit(TEXT), t["text"], F.lit(END))), "")
+    marks = len(TURN + TEXT)
+    before = lambda t: F.char_length(t["role"]) + marks + F.when(t["loss"], 0).otherwise(F.char_length(t["text"]))
+    # what ends one turn is skipped with the next
+    runs = F.transform("turns", lambda t, k: F.struct((before(t) + F.when(k > 0, len(END)).otherwise(0)).alias("skip"), F.when(t["loss"], F.char_length(t["text"])).otherwise(0).alias("learn")))
+    return made.select("conv_id", formatted.alias("formatted"), runs.alias("loss_runs"))
+
+
+def _bodies(formatted: Column) -> Column:
+    """The turns of a formatted conversation, still escaped."""
+    bodies = F.filter(F.split(formatted, re.escape(TURN)), lambda _, k: k > 0)
+    return F.transform(bodies, lambda b: F.struct(F.substring_index(b, TEXT, 1).alias("role"), F.substring_index(F.substring_index(b, TEXT, -1), END, 1).alias("text")))
 
 
 def read_back(formatted: Column) -> Column:
     """The turns of a formatted conversation."""
-    bodies = F.filter(F.split(formatted, re.escape(TURN)), lambda _, k: k > 0)
-    return F.transform(bodies, lambda b: _turn(unescape(F.substring_index(b, TEXT, 1)), unescape(F.substring_index(F.substring_index(b, TEXT, -1), END, 1))))
+    return F.transform(_bodies(formatted), lambda t: _turn(unescape(t["role"]), unescape(t["text"])))
+
+
+def loss_text(formatted: Column, loss_runs: Column) -> Column:
+    """All text under the loss mask, read from formatted and unescaped; a run that isn't exactly a turn's text is an error."""
+    marks = len(TURN + TEXT)
 
+    def learned(both: Column, k: Column) -> Column:
+        turn, run = both["turn"], both["run"]
+        skipped = F.char_length(turn["role"]) + marks + F.when(k > 0, len(END)).otherwise(0)
+        exact = (run["skip"] == skipped) & (run["learn"] == F.char_length(turn["text"]))
+        return F.when(run["learn"] == 0, "").when(exact, turn["text"]).otherwise(F.raise_error(F.lit("the loss mask doesn't fit the text")).cast("string"))
 
-def loss_text(segments: Column) -> Column:
-    """All text under the loss mask, unescaped."""
-    return F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
+    return unescape(F.array_join(F.transform(F.arrays_zip(_bodies(formatted).alias("turn"), loss_runs.alias("run")), learned), ""))
 
 
 def digests(rendered: DataFrame) -> DataFrame:
     """What the rendered conversations hold, read back from them."""
-    read = rendered.select("conv_id", read_back(F.col("formatted")).alias("turns"), loss_text(F.col("segments")).alias("loss"), F.char_length("formatted").cast("bigint").alias("formatted_chars"))
+    read = rendered.select("conv_id", read_back(F.col("formatted")).alias("turns"), loss_text(F.col("formatted"), F.col("loss_runs")).alias("loss"), F.char_length("formatted").cast("bigint").alias("formatted_chars"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.char_length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
