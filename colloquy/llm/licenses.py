@@ -1,20 +1,27 @@
 """License scans by a positional rare-token index.
 
-The index keeps, for each template, its words of highest inverse document frequency over the templates,
-with their positions. A file's occurrences of such words, looked up rarest first, give alignments
-(template, start); postings are intersected by relative position, as words of one copy agree on the
-start. An alignment with enough votes counts if every mandatory phrase of its template stands in the file
-word by word where the alignment puts it. A phrase alone is a template of its own (`PHRASES`).
+The index holds, for every word of the templates, its inverse document frequency over them and all its
+places (template, position). Of a file's words those of the highest IDF are looked up: the ones that at most
+RARE_TEMPLATES templates have, and of a template with few such words its rarest. Each occurrence votes for an
+alignment (template, start); postings are intersected by relative position, as the words of one copy agree on
+the start up to DRIFT words that were put in or left out. An alignment counts if the agreeing words have
+MIN_SHARE of the weight of the template's looked-up words, and if its mandatory phrases stand in the file word
+by word where it puts them. A phrase alone is a template of its own (`PHRASES`, the base), of which every place
+counts.
+
+The templates are the public texts of `license_texts`; others may be given.
 
 * Null and empty texts have no word and no label; texts are read whole, however long.
-* Every place counts, also repeated and overlapping ones. Repeated rows are scanned each on its own.
-* Only the id and the text are read, so other columns may have any name.
+* Every place of a base phrase counts, also repeated and overlapping ones. Repeated rows are scanned each on
+  its own. Ties: of several alignments with one label the largest share is the score.
+* Only the id and the text are read, so other columns may have any name. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,60 +29,60 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from colloquy.llm import textnum as T
+from colloquy.llm.license_texts import TEXTS
 
 
 @dataclass(frozen=True)
 class Template:
     label: str
-    words: str
-    #: Phrases of `words` that must stand in their places; the whole, if none is named.
+    text: str
+    #: Phrases of the text that must stand in their places; the whole, if none is named.
     mandatory: tuple[str, ...] = ()
 
+    @property
+    def words(self) -> list[str]:
+        return split(self.text)
+
+
+def split(text: str) -> list[str]:
+    """Words as files are cut into them."""
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+
 
 PHRASES = (Template("mit", "mit license"), Template("apache", "apache license"), Template("gpl", "general public license"))
-TEMPLATES = (
-    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction", ("permission is hereby granted free of charge", "deal in the software without restriction")),
-    Template("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", ("you may not use this file except in compliance with the license",)),
-    Template("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ("under the terms of the gnu general public license",)),
-    Template("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation", ("gnu lesser general public license",)),
-    Template("agpl", "you should have received a copy of the gnu affero general public license along with this program", ("gnu affero general public license",)),
-    Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use in source and binary forms",)),
-    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("for any purpose with or without fee is hereby granted",)),
-    Template("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", ("subject to the terms of the mozilla public license",)),
-    Template("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
-    Template("cc", "this work is licensed under a creative commons attribution", ("creative commons attribution",)),
-    Template("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", ("eclipse public license",)),
-)
-#: Words of a template that the index keeps, and the share of them that must agree on a start.
-RARE_WORDS = 8
-MIN_AGREEING = 0.5
+TEMPLATES = tuple(Template(*t) for t in TEXTS)
+RARE_TEMPLATES = 3
+#: Words that are looked up for each template at least, if it has as many.
+LEAST_RARE = 3
+DRIFT = 6
+MIN_SHARE = 0.5
 FOUND = "n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double"
 
 
 class Index:
     def __init__(self, phrases: tuple[Template, ...] = PHRASES, templates: tuple[Template, ...] = TEMPLATES):
         self.templates, self.n_base = [*phrases, *templates], len(phrases)
-        split = [t.words.split() for t in self.templates]
-        frequency = Counter(w for words in split for w in set(words))
-        self.idf = {w: math.log(1 + len(split) / n) for w, n in frequency.items()}
+        texts = [t.words for t in self.templates]
+        frequency = Counter(w for words in texts for w in set(words))
         vocabulary = sorted(frequency)
-        data = pa.array(vocabulary)
-        hashes = np.concatenate([p.hashes(p.offs[:-1], p.offs[1:], T.BYTES_LOWER) for p in T.slices(data)])
+        hashes = np.concatenate([p.hashes(p.offs[:-1], p.offs[1:], T.BYTES_LOWER) for p in T.slices(pa.array(vocabulary))])
         order = np.argsort(hashes)
         self.hashes, number = hashes[order], {vocabulary[k]: at for at, k in enumerate(order)}
-        self.codes = [np.array([number[w] for w in words]) for words in split]
-        self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.needed, self.checks = [], []
-        for k, words in enumerate(split):
-            rare = sorted(range(len(words)), key=lambda at: (-self.idf[words[at]], at))[: 1 if k < self.n_base else RARE_WORDS]
-            for at in rare:
-                self.postings[number[words[at]]].append((k, at))
-            self.needed.append(1 if k < self.n_base else math.ceil(MIN_AGREEING * len(rare)))
-            self.checks.append([(words_at, p.split()) for p in (self.templates[k].mandatory or (self.templates[k].words,)) for words_at in [self._place(words, p.split())]])
-        # rarest first
-        self.keys = sorted(self.postings, key=lambda c: -self.idf[vocabulary[order[c]]])
-        self.is_key = np.zeros(len(vocabulary) + 1, bool)
-        self.is_key[self.keys] = True
+        self.codes = [np.array([number[w] for w in words]) for words in texts]
+        self.idf = np.zeros(len(vocabulary))
+        for w, n in frequency.items():
+            self.idf[number[w]] = math.log(1 + len(texts) / n)
+        rare = {number[w] for w, n in frequency.items() if n <= RARE_TEMPLATES}
+        for codes in self.codes:
+            rare |= set(sorted(set(codes.tolist()), key=lambda c: (-self.idf[c], c))[:LEAST_RARE])
+        self.is_rare = np.zeros(len(vocabulary) + 1, bool)  # the last is no word of the index
+        self.is_rare[sorted(rare)] = True
+        # places of each rare word, one word after the other
+        places = sorted((c, k, at) for k, codes in enumerate(self.codes) for at, c in enumerate(codes.tolist()) if self.is_rare[c])
+        self.template, self.at = np.array([p[1] for p in places]), np.array([p[2] for p in places])
+        self.begin = np.searchsorted(np.array([p[0] for p in places]), np.arange(len(vocabulary) + 2))
+        self.weight = np.bincount(self.template, self.idf[[p[0] for p in places]], minlength=len(self.codes))
+        self.checks = [[(self._place(words, p), self.codes[k][self._place(words, p) :][: len(p)]) for p in [split(m) for m in self.templates[k].mandatory] or [words]] for k, words in enumerate(texts)]
 
     @staticmethod
     def _place(words: list[str], phrase: list[str]) -> int:
@@ -86,54 +93,83 @@ class Index:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, at, -1)
 
-    def find(self, codes: np.ndarray, text: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, float]]:
-        """Verified places: template, text, start (as a word of all texts), share of the template's words in place."""
-        where = np.flatnonzero((codes >= 0) & self.is_key[codes])
-        at_key, votes = codes[where], defaultdict(list)
-        for code in self.keys:
-            if len(hits := where[at_key == code]):
-                for k, at in self.postings[code]:
-                    votes[k].append(np.stack([text[hits], hits - at], axis=1))
+    def votes(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each occurrence of a rare word, for each of its places in the index: word, template, position there, start."""
+        word = np.flatnonzero(self.is_rare[codes])
+        n = self.begin[codes[word] + 1] - self.begin[codes[word]]
+        posting = np.repeat(self.begin[codes[word]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        word = np.repeat(word, n)
+        return word, self.template[posting], self.at[posting], word - self.at[posting]
+
+    def phrases(self, codes: np.ndarray, text: np.ndarray, word: np.ndarray, template: np.ndarray, start: np.ndarray) -> list[tuple[int, int, int]]:
+        """All places of the base phrases: template, text, start (as a word of all texts)."""
+        out = []
+        for k in range(self.n_base):
+            want = self.codes[k]
+            begin = np.unique(start[template == k])
+            begin = begin[(begin >= 0) & (begin + len(want) <= len(codes))]
+            begin = begin[(codes[begin[:, None] + np.arange(len(want))] == want).all(axis=1) & (text[begin] == text[begin + len(want) - 1])]
+            out += [(k, int(text[b]), int(b)) for b in begin]
+        return out
+
+    def aligned(self, codes: np.ndarray, text: np.ndarray, word: np.ndarray, template: np.ndarray, at: np.ndarray, start: np.ndarray) -> list[tuple[int, int, float]]:
+        """Verified alignments of the other templates: template, text, share of the weight in place."""
+        own = template >= self.n_base
+        word, template, at, start = word[own], template[own], at[own], start[own]
+        order = np.lexsort((start, template, text[word]))
+        word, template, at, start = word[order], template[order], at[order], start[order]
+        doc = text[word]
+        new = np.ones(len(word), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (template[1:] != template[:-1]) | (start[1:] - start[:-1] > DRIFT)
+        cluster = np.cumsum(new) - 1
+        # each place of a template counts once
+        distinct = np.unique(cluster * (1 << 20) + at, return_index=True)[1]
+        weight = np.bincount(cluster[distinct], self.idf[codes[word[distinct]]], minlength=int(new.sum()))
+        first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(word)) - 1
+        share = weight / self.weight[template[first]] if len(first) else weight
         found = []
-        ends = np.append(first[1:], len(codes))
-        for k, parts in votes.items():
-            aligned, n = np.unique(np.concatenate(parts), axis=0, return_counts=True)
-            aligned = aligned[n >= self.needed[k]]
-            for offset, phrase in self.checks[k]:
-                want = self.codes[k][offset : offset + len(phrase)]
-                begin = aligned[:, 1] + offset
-                fits = (begin >= first[aligned[:, 0]]) & (begin + len(want) <= ends[aligned[:, 0]])
-                aligned, begin = aligned[fits], begin[fits]
-                aligned = aligned[(codes[begin[:, None] + np.arange(len(want))] == want).all(axis=1)]
-            if len(aligned):
-                spots = aligned[:, 1][:, None] + np.arange(len(self.codes[k]))
-                inside = (spots >= first[aligned[:, 0]][:, None]) & (spots < ends[aligned[:, 0]][:, None])
-                share = ((codes[np.clip(spots, 0, len(codes) - 1)] == self.codes[k]) & inside).mean(axis=1)
-                found += [(k, int(d), int(s), float(x)) for (d, s), x in zip(aligned, share)]
+        for c in np.flatnonzero(share >= MIN_SHARE).tolist():
+            k, d = int(template[first[c]]), int(doc[first[c]])
+            lo, hi = int(start[first[c]]), int(start[last[c]])
+            if all(self._stands(codes, text, d, want, lo + offset - DRIFT, hi + offset + DRIFT) for offset, want in self.checks[k]):
+                found.append((k, d, min(1.0, float(share[c]))))
         return found
 
+    @staticmethod
+    def _stands(codes: np.ndarray, text: np.ndarray, doc: int, phrase: np.ndarray, lo: int, hi: int) -> bool:
+        """Whether a phrase begins at one of the words from lo to hi, within a text."""
+        begin = np.arange(max(lo, 0), min(hi, len(codes) - len(phrase)) + 1)
+        if not len(begin):
+            return False
+        begin = begin[(text[begin] == doc) & (text[begin + len(phrase) - 1] == doc)]
+        return bool((codes[begin[:, None] + np.arange(len(phrase))] == phrase).all(axis=1).any())
+
     def scan(self, part: T.Slice) -> dict:
         starts, ends, text = part.spans(T.ALNUM)
         n_words = part.per_text(text)
-        first = np.concatenate([[0], np.cumsum(n_words)[:-1]])
-        found = self.find(self.encode(part.hashes(starts, ends, T.BYTES_LOWER)), text, first) if len(text) else []
+        first = np.cumsum(n_words) - n_words
         places, base, all_, score = [[] for _ in range(part.n)], [set() for _ in range(part.n)], [set() for _ in range(part.n)], np.zeros(part.n)
-        for k, d, start, share in found:
-            all_[d].add(self.templates[k].label)
-            score[d] = max(score[d], share)
-            if k < self.n_base:
+        if len(text):
+            codes = self.encode(part.hashes(starts, ends, T.BYTES_LOWER))
+            word, template, at, start = self.votes(codes)
+            for k, d, begin in self.phrases(codes, text, word, template, start):
                 base[d].add(self.templates[k].label)
-                places[d].append(start - int(first[d]))
+                all_[d].add(self.templates[k].label)
+                places[d].append(begin - int(first[d]))
+                score[d] = 1.0
+            for k, d, share in self.aligned(codes, text, word, template, at, start):
+                all_[d].add(self.templates[k].label)
+                score[d] = max(score[d], share)
         joined = lambda sets: pa.array([",".join(sorted(s)) for s in sets], pa.string())
         whole = lambda values: pa.array(values, pa.int64())
         return {"n_words": n_words, "n_base": whole([len(p) for p in places]), "first_word": whole([min(p, default=None) for p in places]), "last_word": whole([max(p, default=None) for p in places]), "base_labels": joined(base), "labels": joined(all_), "score": score}
 
 
-def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
     """One row for each row of docs: doc_id and FOUND."""
 
     def make():
-        index = Index()
+        index = Index(templates=templates)
         return lambda part, _: index.scan(part)
 
     return T.map_texts(docs, id_col, text_col, FOUND, make)
