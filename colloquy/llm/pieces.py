@@ -2,9 +2,11 @@
 
 The normaliser walks a text by longest prefixes through the model's compiled character map (a
 double-array trie) and records, for every byte of the normalised text, the source byte it stems from.
-The library segments; its pieces tile the normalised text, and the alignment projects each piece to a
-span of source bytes. Models without a character map take the same steps in numpy.
+That text is what is segmented, by the library with the model's pieces and without a normaliser; the pieces
+tile it, and the alignment projects each to a span of source bytes. Models without a character map take the
+same steps in numpy.
 
+* An empty table gives an empty result; ties don't arise.
 * Null texts count as empty; an empty text has no id and decodes to an empty text.
 * Texts are encoded whole, however long; rows are encoded each on its own, repeated ones too.
 * Only the id and the text are read, so other columns may have any name.
@@ -116,7 +118,9 @@ class Normalizer:
 
 
 class Encoder:
-    """Ids of texts with spans of source bytes, by the model file at `path`."""
+    """Ids of texts with spans of source bytes, by the model file at `path`.
+
+    The text that is segmented is the normaliser's here: `plain` is the model without its own."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -130,24 +134,28 @@ class Encoder:
         self.widths = np.array([1 if p.type == p.BYTE else 0 if p.type in (p.CONTROL, p.UNKNOWN) else len(p.piece.encode()) for p in model.pieces])
         self.unknown = self.library.unk_id()
         self.decimal = [str(k) for k in range(len(model.pieces))]
+        spec.precompiled_charsmap, spec.name = b"", "identity"
+        spec.add_dummy_prefix = spec.remove_extra_whitespaces = spec.escape_whitespaces = False
+        self.plain = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.library.encode(texts, num_threads=1)
+    def encode(self, texts: list[bytes]) -> list[tuple[list[int], np.ndarray, np.ndarray]]:
+        """Of each text the ids, and each piece's start and end in the text's bytes."""
+        normal = [self.normalize(data) for data in texts]
+        ids = self.plain.encode([x.decode() for x, _ in normal], num_threads=1)
+        return [(i, *self._spans(x, align, i)) for (x, align), i in zip(normal, ids)]
 
-    def spans(self, data: bytes, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Start and end in the source's bytes of each id's piece."""
-        normal, align = self.normalize(data)
+    def _spans(self, normal: bytes, align: np.ndarray, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
         widths = self.widths[np.asarray(ids, np.int64)] if ids else np.zeros(0, np.int64)
-        if self.unknown in ids:  # its width shows only from what the others leave
-            widths = self._with_unknown(normal, ids)
+        if self.unknown in ids:  # its width shows only in the piece
+            widths = np.array([len(p.piece.encode()) for p in self.plain.encode(normal.decode(), out_type="immutable_proto").pieces])
         cuts = np.concatenate([[0], np.cumsum(widths)])
         if cuts[-1] != len(normal):
             raise ValueError("the pieces don't tile the normalised text")
         return align[cuts[:-1]], align[cuts[1:]]
 
-    def _with_unknown(self, normal: bytes, ids: list[int]) -> np.ndarray:
-        found = self.library.encode(normal.decode().replace("▁", " ")[self.normalize.dummy_prefix :], out_type="immutable_proto")
-        return np.array([len(p.piece.encode()) for p in found.pieces])
+
+def _texts(part: T.Slice) -> list[bytes]:
+    return [part.buf[a:b].tobytes() for a, b in zip(part.offs[:-1], part.offs[1:])]
 
 
 ENCODED = "n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_source_bytes bigint"
@@ -160,11 +168,9 @@ def encode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col
         encoder = Encoder(model_path)
 
         def work(part: T.Slice, _) -> dict:
-            raw = [part.buf[a:b].tobytes() for a, b in zip(part.offs[:-1], part.offs[1:])]
-            ids = encoder.encode([x.decode() for x in raw])
-            spans = [encoder.spans(x, i) for x, i in zip(raw, ids)]
+            ids, starts, ends = zip(*encoder.encode(_texts(part)))
             lists = lambda values, kind: pa.array(values, pa.list_(kind))
-            return {"ids": lists(ids, pa.int32()), "starts": lists([s for s, _ in spans], pa.int64()), "ends": lists([e for _, e in spans], pa.int64())}
+            return {"ids": lists(ids, pa.int32()), "starts": lists(starts, pa.int64()), "ends": lists(ends, pa.int64())}
 
         return work
 
@@ -178,18 +184,13 @@ def digests(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_co
         encoder = Encoder(model_path)
 
         def work(part: T.Slice, _) -> dict:
-            raw = [part.buf[a:b].tobytes() for a, b in zip(part.offs[:-1], part.offs[1:])]
-            ids = encoder.encode([x.decode() for x in raw])
+            found = encoder.encode(_texts(part))
             sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-            reach = []
-            for x, i in zip(raw, ids):
-                starts, ends = encoder.spans(x, i)
-                reach.append(int((ends - starts).sum()))
             return {
-                "n_tokens": np.array([len(i) for i in ids], np.int64),
-                "ids_sha256": pa.array([sha(",".join(map(encoder.decimal.__getitem__, i))) for i in ids], pa.string()),
-                "decoded_sha256": pa.array([sha(encoder.library.decode(i)) for i in ids], pa.string()),
-                "n_source_bytes": np.array(reach, np.int64),
+                "n_tokens": np.array([len(i) for i, _, _ in found], np.int64),
+                "ids_sha256": pa.array([sha(",".join(map(encoder.decimal.__getitem__, i))) for i, _, _ in found], pa.string()),
+                "decoded_sha256": pa.array([sha(encoder.library.decode(i)) for i, _, _ in found], pa.string()),
+                "n_source_bytes": np.array([int((ends - starts).sum()) for _, starts, ends in found], np.int64),
             }
 
         return work
