@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import json
 import mmap
+from collections import OrderedDict
+from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 
@@ -191,17 +194,31 @@ def save(uri: str, data: bytes) -> None:
 
 
 def load(uri: str) -> dict[str, np.ndarray]:
-    """The arrays of a file, mapped: from the shared folder itself, or from a nameless local copy."""
-    import tempfile
-
+    """The arrays of a file: mapped where the store is the shared folder itself, read from any other."""
     from pyarrow import fs
 
     store, path = fs.FileSystem.from_uri(uri)
     if store.type_name == "local":
         with open(path, "rb") as file:
             return from_buffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
-    with tempfile.TemporaryFile() as copy, store.open_input_stream(path) as source:
-        while block := source.read(1 << 22):
-            copy.write(block)
-        copy.flush()
-        return from_buffer(mmap.mmap(copy.fileno(), 0, access=mmap.ACCESS_READ))
+    with store.open_input_stream(path) as source:
+        return from_buffer(source.readall())
+
+
+class Cache:
+    """Files that were opened last, `most` at most and, of those that aren't mapped, `most_bytes`; the others are let go."""
+
+    def __init__(self, most: int = 4096, most_bytes: int = 256 << 20):
+        self.most, self.most_bytes, self.held, self.bytes = most, most_bytes, OrderedDict(), 0
+
+    def __call__(self, uri: str, made: Callable[[dict[str, np.ndarray]], Any]) -> Any:
+        """made(arrays of the file)."""
+        if uri in self.held:
+            self.held.move_to_end(uri)
+            return self.held[uri][0]
+        arrays = load(uri)
+        size = 0 if uri.startswith("file:") else sum(a.nbytes for a in arrays.values())
+        while self.held and (len(self.held) >= self.most or self.bytes + size > self.most_bytes):
+            self.bytes -= self.held.popitem(last=False)[1][1]
+        self.held[uri], self.bytes = (made(arrays), size), self.bytes + size
+        return self.held[uri][0]

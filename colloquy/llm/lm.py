@@ -9,16 +9,18 @@ the context's range.
 
 Probabilities interpolate by absolute discounting: an n-gram seen `c` times after a context seen `t`
 times has (c - DISCOUNT) / t, and what the kept ones leave is spread by the probabilities one level below;
-level 1 is the base, (c + 0.1) / (N + 0.1 * (V + 1)). N-grams seen less than `cutoffs` are not kept, which
-only leaves more to the level below.
+level 1 is the base, (c + 0.1) / (N + 0.1 * (V + 1)). All n-grams are kept; a caller may ask for `cutoffs`,
+which only leaves more to the level below.
 
 Counts are gathered over all training texts: each task adds up its own n-grams before they are shuffled,
-packed by part. Parts grow in number with the words (at most MAX_PARTS), so none is a large share of the
-corpus.
+packed by part. Parts grow in number with the corpus, so that each is built by a task from about PART_TOKENS
+tokens; beyond MAX_PARTS of a level (about 2 * 10**12 tokens) they grow in size, as the driver holds SLOTS
+numbers for each. A worker opens a part when a text asks for it, and holds a bounded number of them.
 
 * Null texts count as empty and hold one token, the end. Texts are scored whole, repeated rows each.
 * Unknown words take the base's share of an unseen word, and no context. With no training text, that is
   the only word.
+* Ties don't arise. Very long texts are taken whole; what a worker holds grows with the longest one.
 * Only id and text are read, so other columns may have any name. An empty table gives an empty result.
 """
 
@@ -33,20 +35,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm import textnum as T
-from colloquy.llm.eliasfano import U64, EliasFano, load, save, to_bytes
-from colloquy.llm.scratch import cut, new_path
+from colloquy.llm.eliasfano import U64, Cache, EliasFano, load, save, to_bytes
+from colloquy.llm.scratch import bound_batches, new_path, store_uri, tidy
 
 DISCOUNT = 0.75
-CUTOFFS = (1, 2, 2)
+CUTOFFS = (1, 1, 1)
 PART_TOKENS = 1 << 21
-MAX_PARTS = 1024
-SLOTS = 64
+#: Texts for each part of the words, which are cut before any token has been counted.
+PART_TEXTS = 2000
+MAX_PARTS = 1 << 20
+SLOTS = 16
+#: Pairs of a context and a word are one number as long as they fit in so many bits, else two.
+KEY_BITS = 64
+PAIR = np.dtype([("context", U64), ("word", U64)])
 #: Texts taken together, in bytes: more of them ask a part more at a time.
 SLICE = 4 << 20
 HELD_KEYS = 3_000_000
 END = T.mix64(np.array([0xE0D], U64))[0]
+SEQUENCES = ("keys", "totals", "pointers", "successors")
 #: A probability p is kept as the byte round(-STEPS * log10(p)).
 STEPS = 32
+CHANCES = 10.0 ** (np.arange(256) / -STEPS)
 
 
 @dataclass
@@ -57,6 +66,7 @@ class Level:
     kept: np.ndarray  # nodes by part
     slots: np.ndarray  # contexts' tokens by part and slot
     tokens: int = 0
+    masses: dict[int, str] = field(default_factory=dict)  # by the first part of a split slot: what all its parts keep
     first_part: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # by slot of the level below
     splits: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
@@ -103,52 +113,74 @@ def deal(slots: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, list[tu
     return first, splits, spans
 
 
+def pairs(contexts: np.ndarray, words: np.ndarray, nodes: int, n_words: int, key_bits: int) -> np.ndarray:
+    """Contexts (below `nodes`) and words (up to n_words) as keys that sort by context, then word."""
+    bits = (n_words + 1).bit_length()
+    if bits + nodes.bit_length() <= key_bits:
+        return (contexts.astype(U64) << U64(bits)) | words.astype(U64)
+    out = np.empty(len(contexts), PAIR)
+    out["context"], out["word"] = contexts, words
+    return out
+
+
+def unpaired(keys: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts and words of pairs."""
+    if keys.dtype == PAIR:
+        return keys["context"].astype(np.int64), keys["word"].astype(np.int64)
+    bits = U64((n_words + 1).bit_length())
+    return (keys >> bits).astype(np.int64), (keys & ((U64(1) << bits) - U64(1))).astype(np.int64)
+
+
 class Trie:
-    """The levels as a worker sees them, mapped."""
-
-    def __init__(self, levels: list[Level], n_texts: int):
-        self.levels, self.n_texts = levels, n_texts
-        self.words = [load(u) if u else None for u in levels[0].uris]
-        self.keys = [a and EliasFano.of(a, "keys") for a in self.words]
-        self.totals = [a and EliasFano.of(a, "totals") for a in self.words]
-        self.bits = max(1, len(self.words)).bit_length() - 1
+    """The levels as a worker sees them; parts are opened as they are asked for."""
+
+    def __init__(self, levels: list[Level], n_texts: int, key_bits: int = KEY_BITS):
+        self.levels, self.n_texts, self.key_bits, self.cache = levels, n_texts, key_bits, Cache()
+        self.bits = max(1, len(levels[0].uris)).bit_length() - 1
         self.begin = levels[0].nodes
-        self.parts = [[self._part(u) for u in level.uris] for level in levels[1:]]
-        self.hot = [np.flatnonzero(level.splits > 1) for level in levels[1:]]
-        self.mass: list[dict[int, np.ndarray]] = []
-        for level, parts in zip(levels[1:], self.parts):  # what split slots keep, added up over their parts
+        self.families = []  # of each split slot: its first part, and the part after its last
+        for level in levels[1:]:
             hot = np.flatnonzero(level.splits > 1)
-            siblings = {int(level.first_part[s]): [p for p in parts[level.first_part[s] : level.first_part[s] + level.splits[s]] if p] for s in hot}
-            self.mass.append({first: sum(p["mass"] for p in held) for first, held in siblings.items() if held})
-
-    @staticmethod
-    def _part(uri: str | None) -> dict | None:
-        if not uri:
-            return None
-        a = load(uri)
-        return {"span": a["span"], "pointers": EliasFano.of(a, "pointers"), "successors": EliasFano.of(a, "successors"), "totals": EliasFano.of(a, "totals"), "bytes": a["bytes"], "mass": a["mass"]}
+            self.families.append((level.first_part[hot], level.first_part[hot] + level.splits[hot]))
+
+    def part(self, order: int, k: int) -> dict | None:
+        """A part's sequences and arrays, or None if it has no n-gram."""
+        uri = self.levels[order - 1].uris[k]
+        return uri and self.cache(uri, lambda a: {name: EliasFano.of(a, name) for name in SEQUENCES if f"{name}.meta" in a} | {name: a[name] for name in ("span", "bytes", "mass") if name in a})
+
+    def kept(self, order: int, k: int) -> tuple[int, np.ndarray] | None:
+        """The first context of a part, and the share that each one's n-grams keep, in all parts of a split slot together."""
+        first, last = self.families[order - 2]
+        at = int(np.searchsorted(first, k, side="right")) - 1
+        if at >= 0 and k < last[at]:
+            uri = self.levels[order - 1].masses.get(int(first[at]))
+            return uri and self.cache(uri, lambda a: (int(a["span"][0]), a["mass"]))
+        held = self.part(order, k)
+        return held and (int(held["span"][0]), held["mass"])
 
     def number(self, hashes: np.ndarray) -> np.ndarray:
         """Words' numbers, -1 for unknown ones."""
         at, back = np.unique(hashes, return_inverse=True)
         out, bases = np.full(len(at), -1, np.int64), self.levels[0].bases
         part = (at >> U64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(at), np.int64)
-        cuts = np.searchsorted(part, np.arange(len(self.keys) + 1))
-        for p, keys in enumerate(self.keys):
-            if keys and cuts[p] < cuts[p + 1]:
-                found = keys.find(_inside(at[cuts[p] : cuts[p + 1]], self.bits))
-                out[cuts[p] : cuts[p + 1]] = np.where(found >= 0, found + bases[p], -1)
+        cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            if held := self.part(1, p := int(part[lo])):
+                found = held["keys"].find(_inside(at[lo:hi], self.bits))
+                out[lo:hi] = np.where(found >= 0, found + bases[p], -1)
         return out[back]
 
     def count(self, order: int, nodes: np.ndarray) -> np.ndarray:
         """How often the n-grams of known nodes were seen; of the begin: the number of texts."""
         level, out = self.levels[order - 1], np.full(len(nodes), self.n_texts, np.int64)
         part, bases = np.searchsorted(level.bases, nodes, side="right") - 1, level.bases
-        totals = self.totals if order == 1 else [p and p["totals"] for p in self.parts[order - 2]]
-        for p in np.unique(part[part < len(level.kept)]):
-            own = np.flatnonzero(part == p)
-            k = nodes[own] - bases[p]
-            out[own] = (totals[p].access(k + 1) - totals[p].access(k)).astype(np.int64)
+        by_part = np.argsort(part, kind="stable")
+        cuts = np.flatnonzero(np.diff(part[by_part], prepend=-1, append=-1))
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            own = by_part[lo:hi]
+            if (p := int(part[own[0]])) < len(level.kept):
+                totals, k = self.part(order, p)["totals"], nodes[own] - bases[p]
+                out[own] = (totals.access(k + 1) - totals.access(k)).astype(np.int64)
         return out
 
     def step(self, order: int, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,9 +191,9 @@ class Trie:
         if not len(known) or not len(level.uris):
             return node, probability, rest
         # each n-gram once, in order, so that a context is looked up once and memory is read in order
-        unknown = 0xFFFFFFFF
-        asked, back = np.unique((contexts[known].astype(U64) << U64(32)) | np.where(words[known] < 0, unknown, words[known]).astype(U64), return_inverse=True)
-        context, word = (asked >> U64(32)).astype(np.int64), (asked & U64(unknown)).astype(np.int64)
+        unknown = self.begin  # no word has this number
+        asked, back = np.unique(pairs(contexts[known], np.where(words[known] < 0, unknown, words[known]), below.nodes + 1, self.begin, self.key_bits), return_inverse=True)
+        context, word = unpaired(asked, self.begin)
         head = np.flatnonzero(np.diff(context, prepend=-1))
         size = np.diff(np.append(head, len(context)))
         slot = slot_of(below, context[head])
@@ -172,39 +204,29 @@ class Trie:
         for begin, end in zip(cuts[:-1], cuts[1:]):
             own = order_[begin:end]
             p = int(part[own[0]])
-            held, mass = self.parts[order - 2][p], self.mass[order - 2].get(self._family(order, p))
-            if held is None and mass is None:
+            kept = self.kept(order, p)
+            if kept is None:
                 continue
             head = np.flatnonzero(np.diff(context[own], prepend=-1))
             size = np.diff(np.append(head, len(own)))
-            at = context[own[head]] - int((held or self._sibling(order, p))["span"][0])
-            a_rest[own] = np.repeat(1 - (held["mass"] if mass is None else mass)[at], size)
+            at = context[own[head]] - kept[0]
+            mass = kept[1][at]
+            a_rest[own] = np.repeat(1 - mass, size)
+            held = self.part(order, p)
             if held is None:
                 continue
-            some = held["mass"][at] > 0
-            at, size, own = at[some], size[some], own[np.repeat(some, size)]
+            some = mass > 0
+            if not some.all():  # contexts that nothing follows
+                at, size, own = at[some], size[some], own[np.repeat(some, size)]
             lo, hi = held["pointers"].access(at).astype(np.int64), held["pointers"].access(at + 1).astype(np.int64)
             base = _base(held["successors"], lo)
             found = held["successors"].find(word[own].astype(U64) + U64(1) + np.repeat(base, size), np.repeat(lo, size), np.repeat(hi, size))
             hit = np.flatnonzero(found >= 0)
             a_node[own[hit]] = found[hit] + level.bases[p]
-            a_probability[own[hit]] = 10.0 ** (held["bytes"][found[hit]] / -STEPS)
+            a_probability[own[hit]] = CHANCES[held["bytes"][found[hit]]]
         node[known], probability[known], rest[known] = a_node[back], a_probability[back], a_rest[back]
         return node, probability, rest
 
-    def _family(self, order: int, part: int) -> int:
-        """The first part of the split slot that `part` is of, or -1."""
-        level = self.levels[order - 1]
-        for s in self.hot[order - 2]:
-            if level.first_part[s] <= part < level.first_part[s] + level.splits[s]:
-                return int(level.first_part[s])
-        return -1
-
-    def _sibling(self, order: int, part: int) -> dict:
-        level, first = self.levels[order - 1], self._family(order, part)
-        slot = int(np.flatnonzero((level.first_part == first) & (level.splits > 1))[0])
-        return next(p for p in self.parts[order - 2][first : first + level.splits[slot]] if p)
-
 
 def _inside(hashes: np.ndarray, bits: int) -> np.ndarray:
     return hashes & U64((1 << (64 - bits)) - 1) if bits else hashes
@@ -282,9 +304,9 @@ def _count(docs: DataFrame, make: Callable[[], Callable[[T.Slice], np.ndarray]],
     return docs.mapInArrow(run, "part int, once binary, keys binary, counts binary")
 
 
-def _merged(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    join = lambda name, kind: np.frombuffer(b"".join(rows[name].to_pylist()), kind)
-    once, keys, counts = join("once", U64), join("keys", U64), join("counts", np.uint32)
+def _merged(rows: pa.Table, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    join = lambda name, kind: np.frombuffer(b"".join(x.as_buffer() for x in rows[name]), kind)
+    once, keys, counts = join("once", kind), join("keys", kind), join("counts", np.uint32)
     keys, n = np.concatenate([once, keys]), np.concatenate([np.ones(len(once), np.int64), counts.astype(np.int64)])
     order = np.argsort(keys)
     keys, n = keys[order], n[order]
@@ -321,6 +343,7 @@ def _level(rows: list, parts: int) -> Level:
 class Model:
     levels: list[Level]
     n_texts: int
+    key_bits: int = KEY_BITS
 
     @property
     def tokens(self) -> int:
@@ -331,66 +354,67 @@ class Model:
         return self.levels[0].nodes
 
 
-def train(docs: DataFrame, *, text_col: str = "text", cutoffs: tuple[int, ...] = CUTOFFS) -> Model:
+def train(docs: DataFrame, *, text_col: str = "text", cutoffs: tuple[int, ...] = CUTOFFS, key_bits: int = KEY_BITS) -> Model:
     """Counts all texts of docs and writes the trie's levels to the shared folder."""
     spark, texts = docs.sparkSession, docs.select(F.col(text_col).alias("text"))
-    folder, n_texts = new_path(spark, "lm"), docs.count()
-    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-    bits = min(10, max(4, (n_texts // 20_000).bit_length()))
-
+    bound_batches(spark)
+    folder = store_uri(spark, new_path(spark, "lm"))
+    with tidy(spark):
+        n_texts = docs.count()
+        levels = [_words(texts, min(MAX_PARTS.bit_length() - 1, max(4, (n_texts // PART_TEXTS).bit_length())), folder)]
+        for order in range(2, len(cutoffs) + 1):
+            below = levels[-1]
+            slots = np.append(below.slots.ravel(), np.append(n_texts if order == 2 else 0, np.zeros(SLOTS - 1, np.int64)))
+            parts = int(min(MAX_PARTS, max(1, slots.sum() // PART_TOKENS)))
+            levels.append(_next_level(texts, levels, n_texts, order, cutoffs[order - 1], *deal(slots, parts), folder, order < len(cutoffs), key_bits))
+    return Model(levels, n_texts, key_bits)
+
+
+def _words(texts: DataFrame, bits: int, folder: str) -> Level:
     def words():
         return lambda part: Tokens(part).hashes
 
     def top_bits(hashes: np.ndarray) -> np.ndarray:
         return (hashes >> U64(64 - bits)).astype(np.int64)
 
-    def build_words(rows: pa.Table) -> pa.Table:
-        part, (keys, n) = rows["part"][0].as_py(), _merged(rows)
+    def build(rows: pa.Table) -> pa.Table:
+        part, (keys, n) = rows["part"][0].as_py(), _merged(rows, U64)
         uri = f"{folder}/1-{part}"
         save(uri, to_bytes({"keys": EliasFano.build(_inside(keys, bits), 1 << (64 - bits)), "totals": _totals(n)}))
         return _row(part, len(keys), int(n.sum()), _slots(n), uri)
 
-    levels = [_level(_count(texts, words, top_bits).groupBy("part").applyInArrow(build_words, BUILT).collect(), 1 << bits)]
-    if levels[0].nodes >= 1 << 32:
-        raise ValueError("over 2**32 words")
-    for order in range(2, len(cutoffs) + 1):
-        below = levels[-1]
-        slots = np.append(below.slots.ravel(), np.append(n_texts if order == 2 else 0, np.zeros(SLOTS - 1, np.int64)))
-        parts = int(min(MAX_PARTS, max(1, slots.sum() // PART_TOKENS)))
-        first, splits, spans = deal(slots, parts)
-        levels.append(_next_level(texts, levels, n_texts, order, cutoffs[order - 1], first, splits, spans, folder))
-    return Model(levels, n_texts)
+    return _level(_count(texts, words, top_bits).groupBy("part").applyInArrow(build, BUILT).collect(), 1 << bits)
 
 
-def _next_level(texts: DataFrame, levels: list[Level], n_texts: int, order: int, cutoff: int, first: np.ndarray, splits: np.ndarray, spans: list[tuple[int, int]], folder: str) -> Level:
-    below = levels[-1]
-    if below.nodes >= 1 << 32:
-        raise ValueError("over 2**32 contexts")
-    n_words = levels[0].nodes
+def _next_level(texts: DataFrame, levels: list[Level], n_texts: int, order: int, cutoff: int, first: np.ndarray, splits: np.ndarray, spans: list[tuple[int, int]], folder: str, is_context: bool, key_bits: int) -> Level:
+    below, n_words = levels[-1], levels[0].nodes
+    kind = pairs(np.zeros(0, np.int64), np.zeros(0, np.int64), below.nodes + 1, n_words, key_bits).dtype
 
     def grams():
-        trie = Trie(levels, n_texts)
+        trie = Trie(levels, n_texts, key_bits)
 
         def work(part: T.Slice) -> np.ndarray:
             tokens = Tokens(part)
             numbers, steps = _walk(trie, tokens, order - 1)
             contexts = tokens.before(numbers, trie.begin) if order == 2 else tokens.before(steps[-1][0], -1)
             at = np.flatnonzero((contexts >= 0) & (numbers >= 0))
-            return (contexts[at].astype(U64) << U64(32)) | numbers[at].astype(U64)
+            return pairs(contexts[at], numbers[at], below.nodes + 1, n_words, key_bits)
 
         return work
 
     def part_of(keys: np.ndarray) -> np.ndarray:
-        slot = slot_of(below, (keys >> U64(32)).astype(np.int64))
-        return first[slot] + (keys & U64(0xFFFFFFFF)).astype(np.int64) * splits[slot] // (n_words + 1)
+        context, word = unpaired(keys, n_words)
+        slot = slot_of(below, context)
+        return first[slot] + word * splits[slot] // (n_words + 1)
 
     def build(rows: pa.Table) -> pa.Table:
-        trie = Trie(levels, n_texts)
-        part, (keys, n) = rows["part"][0].as_py(), _merged(rows)
+        trie = Trie(levels, n_texts, key_bits)
+        part, (keys, n) = rows["part"][0].as_py(), _merged(rows, kind)
         keep = n >= cutoff
         keys, n = keys[keep], n[keep]
         lo, hi = slot_nodes(below, spans[part][0])[0], slot_nodes(below, spans[part][1] - 1)[1]
-        contexts, words = (keys >> U64(32)).astype(np.int64), keys & U64(0xFFFFFFFF)
+        contexts, words = unpaired(keys, n_words)
+        words = words.astype(U64)
         heads, sizes = np.unique(contexts, return_counts=True)
         share = (n - DISCOUNT) / np.repeat(trie.count(order - 1, heads), sizes)
         mass = np.zeros(hi - lo, np.float32)
@@ -402,15 +426,40 @@ def _next_level(texts: DataFrame, levels: list[Level], n_texts: int, order: int,
         lasts = (words[np.cumsum(sizes) - 1] + U64(1)) if len(heads) else words
         bases = np.cumsum(np.concatenate([np.zeros(1, U64), lasts[:-1]]), dtype=U64) if len(heads) else words
         rising = words + U64(1) + np.repeat(bases, sizes)
+        made = {"span": np.array([lo, hi]), "pointers": EliasFano.build(pointers, len(keys)), "successors": EliasFano.build(rising, int(rising[-1]) if len(rising) else 1), "bytes": np.clip(np.rint(-STEPS * np.log10(share)), 0, 255).astype(np.uint8), "mass": mass}
+        if is_context:
+            made["totals"] = _totals(n)
         uri = f"{folder}/{order}-{part}"
-        save(uri, to_bytes({"span": np.array([lo, hi]), "pointers": EliasFano.build(pointers, len(keys)), "successors": EliasFano.build(rising, int(rising[-1]) if len(rising) else 1), "totals": _totals(n), "bytes": np.clip(np.rint(-STEPS * np.log10(share)), 0, 255).astype(np.uint8), "mass": mass}))
+        save(uri, to_bytes(made))
         return _row(part, len(keys), int(n.sum()), _slots(n), uri)
 
     level = _level(_count(texts, grams, part_of).groupBy("part").applyInArrow(build, BUILT).collect(), len(spans))
     level.first_part, level.splits = first, splits
+    level.masses = _masses(texts, level, folder, order)
     return level
 
 
+def _masses(texts: DataFrame, level: Level, folder: str, order: int) -> dict[int, str]:
+    """Of each split slot, what its parts keep of each context, added up by a task of its own; by the slot's first part."""
+    hot = [(int(level.first_part[s]), [u for u in level.uris[level.first_part[s] : level.first_part[s] + level.splits[s]] if u]) for s in np.flatnonzero(level.splits > 1)]
+    hot = [(first, uris) for first, uris in hot if uris]
+    if not hot:
+        return {}
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, uris in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total, span = 0, None
+                for uri in uris:
+                    arrays = load(uri)
+                    total, span = total + arrays["mass"].astype(np.float64), arrays["span"]
+                save(f"{folder}/{order}-mass-{first}", to_bytes({"span": span, "mass": total.astype(np.float32)}))
+                yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([f"{folder}/{order}-mass-{first}"])], ["first", "uri"])
+
+    rows = texts.sparkSession.createDataFrame(hot, "first bigint, uris array<string>").repartition(len(hot))
+    return {r.first: r.uri for r in rows.mapInArrow(add, "first bigint, uri string").collect()}
+
+
 # --- scoring -----------------------------------------------------------------------------------------
 
 SCORED = "n_tokens bigint, n_known bigint, base_score double, score double"
@@ -418,11 +467,11 @@ SCORED = "n_tokens bigint, n_known bigint, base_score double, score double"
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id and SCORED (log10 probabilities of the whole text)."""
-    levels, n_texts = model.levels, model.n_texts
+    levels, n_texts, key_bits = model.levels, model.n_texts, model.key_bits
     whole = model.tokens + 0.1 * (model.words + 1)
 
     def make():
-        trie = Trie(levels, n_texts)
+        trie = Trie(levels, n_texts, key_bits)
 
         def work(part: T.Slice, _) -> dict:
             tokens = Tokens(part)
