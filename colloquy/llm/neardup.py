@@ -1,45 +1,59 @@
 """MinHash near-dedup with sequential Bayesian verification.
 
 A document's set is its distinct word shingles. Documents with one set are a class, and only one of each
-class goes on. Signatures of BANDS * ROWS minima are cut into bands; documents that share a band's values
-meet in a bucket. At similarity 0.8 a pair shares no band with probability (1 - 0.8**5)**40, about 1e-7.
-
-No bucket is expanded into its pairs. Candidates are compared in batches of their signatures; a pair is
-dropped once the posterior probability (uniform prior) of reaching the threshold falls below MISS, and
-survivors are verified on their full sets. First every member meets one other, the least id of all its
-buckets, and the components of the verified links are found. Components that still share buckets with
-others are a family. So that no link between components is lost, a family's members outside its largest
-component ("strays") meet all its others, in blocks of signatures and sets within a task; once two
-components are linked their other pairs are skipped, so a block gives fewer links than it has members.
+class goes on; digests find the classes, and sets that share a digest are compared whole. Signatures of
+BANDS * ROWS minima are cut into bands; documents that share a band's values meet in a bucket. At similarity
+0.8 a pair shares no band with probability (1 - 0.8**5)**40, about 1e-7.
+
+Candidates are pairs of a bucket, and no others. They are compared in batches of their signatures; a pair is
+dropped once the posterior probability (uniform prior) of reaching the threshold falls below MISS. Only the
+survivors' full sets are fetched, and compared exactly.
+
+No bucket is expanded into rows for its pairs. First every member meets one other, the least id of all its
+buckets, and the components of the verified links are found. A bucket that then holds several components is
+open; its members outside its largest component are strays. In rounds, as long as they link an eighth of the
+strays, each bucket draws a pivot from its largest component, and each stray meets the pivot with which it
+shares the most buckets. What is open after that is compared in full: strays meet a bucket's others in blocks
+of BLOCK by BLOCK members, of which a hot bucket has many. A block compares signatures first; only members
+with a surviving pair go on to a second pass with their full sets, in the same blocks. A pair belongs to the
+first bucket it shares; pairs within a component are skipped, as are those that a block has linked meanwhile,
+so a block gives fewer links than it has members. The work left is strays times the others of their open
+buckets; near copies that link with little of their own group make it large.
 
 * Null or empty texts, and those without a word, have an empty set and link with nothing; a text with
   fewer words than a shingle has one shingle, its whole sequence. Texts are read whole.
 * Rows that repeat an id are one document, whose component is that of all its texts.
 * Rows with a null id link with nothing; their component is null and they are kept.
-* An empty table gives an empty result. Only id and text are read; `keep` returns all columns unchanged.
+* Ties: a pair at exactly the threshold is linked; of equal matches the lesser id is tested first, which
+  doesn't show in the result.
+* An empty table gives an empty result. Only id and text are read, so other columns may have any name;
+  `keep` returns all columns unchanged.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from colloquy.llm import textnum as T
 from colloquy.llm.graph import components
-from colloquy.llm.scratch import cut
+from colloquy.llm.scratch import bound_batches, cut, drop
 
 BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
 BATCH = 25
 MISS = 1e-8
-BLOCK = 256
+BLOCK = 128
+#: Pairs of signatures that a worker compares at a time.
+PAIRS = 1 << 17
 
 _RNG = np.random.Generator(np.random.Philox(7))
 _A = (_RNG.integers(0, 1 << 31, HASHES, dtype=np.int64) * 2 + 1).astype(np.uint32)
@@ -88,36 +102,55 @@ def signatures(grams: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketch(words: int):
-    def work(part: T.Slice, _) -> dict:
-        grams, offs = shingles(part, words)
-        sums = np.zeros((2, len(grams) + 1), T.U64)
+def digests(grams: np.ndarray, offs: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit sums of each text's shingles; another seed gives others."""
+    out = []
+    for k in (2 * seed, 2 * seed + 1):
+        sums = np.zeros(len(grams) + 1, T.U64)
         with np.errstate(over="ignore"):
-            np.cumsum(grams, dtype=T.U64, out=sums[0, 1:])
-            np.cumsum(T.mix64(grams ^ T.U64(0x5851F42D4C957F2D)), dtype=T.U64, out=sums[1, 1:])
-            h1, h2 = ((s[offs[1:]] - s[offs[:-1]]).view(np.int64) for s in sums)
-        return {"n_shingles": np.diff(offs), "h1": h1, "h2": h2, "signature": _binary(signatures(grams, offs))}
+            np.cumsum(T.mix64(grams ^ T.mix64(np.full(1, k + 1))[0]), dtype=T.U64, out=sums[1:])
+            out.append((sums[offs[1:]] - sums[offs[:-1]]).view(np.int64))
+    return out[0], out[1]
 
-    return lambda: work
 
-
-def _binary(rows: np.ndarray) -> pa.Array:
-    return pa.array([r.tobytes() for r in rows], pa.binary())
+def _binary(signature: np.ndarray) -> pa.Array:
+    return T.binaries(signature.ravel(), np.arange(len(signature) + 1) * HASHES)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), HASHES)
 
 
+KEY = ["n_shingles", "h1", "h2"]
+
+
+def _sketch(words: int, seed: int, sets: bool):
+    """KEY of each text, with its signature or its whole set."""
+
+    def work(part: T.Slice, _) -> dict:
+        grams, offs = shingles(part, words)
+        h1, h2 = digests(grams, offs, seed)
+        more = {"grams": T.binaries(grams, offs)} if sets else {"signature": _binary(signatures(grams, offs))}
+        return {"n_shingles": np.diff(offs), "h1": h1, "h2": h2} | more
+
+    return lambda: work
+
+
+def _band_values(signature: np.ndarray) -> np.ndarray:
+    """The bucket of each signature's each band."""
+    values = signature.reshape(-1, BANDS, ROWS).astype(T.U64) + T.U64(1)
+    with np.errstate(over="ignore"):
+        return T.mix64((values * _BAND_WEIGHTS).sum(axis=2, dtype=T.U64) + T.mix64(np.arange(BANDS, dtype=T.U64))).view(np.int64)
+
+
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rep, signature) to a row for each band: (bucket, rep)."""
+    """(rep, signature) to a row for each band: (bucket, band, rep)."""
     for batch in batches:
-        for lo in range(0, batch.num_rows, 4096):
-            rows = batch.slice(lo, 4096)
-            values = _matrix(rows.column(1)).reshape(-1, BANDS, ROWS).astype(T.U64) + T.U64(1)
-            with np.errstate(over="ignore"):
-                keys = T.mix64((values * _BAND_WEIGHTS).sum(axis=2, dtype=T.U64) + T.mix64(np.arange(BANDS, dtype=T.U64))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), rows.column(0).take(pa.array(np.repeat(np.arange(rows.num_rows), BANDS)))], ["bucket", "rep"])
+        for lo in range(0, batch.num_rows, 2048):
+            rows = batch.slice(lo, 2048)
+            keys = _band_values(_matrix(rows.column(1)))
+            bands = np.tile(np.arange(BANDS, dtype=np.int8), rows.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(bands), rows.column(0).take(pa.array(np.repeat(np.arange(rows.num_rows), BANDS)))], ["bucket", "band", "rep"])
 
 
 def least_matches(percent: int) -> list[tuple[int, int]]:
@@ -132,122 +165,220 @@ def least_matches(percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def survivors(left: np.ndarray, right: np.ndarray, bounds: list[tuple[int, int]]) -> np.ndarray:
-    """Positions of the pairs of signatures that no batch prunes."""
+def survivors(left: np.ndarray, right: np.ndarray, bounds: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs of signatures that no batch prunes, and how many of their hashes match."""
     alive, matches, seen = np.arange(len(left)), np.zeros(len(left), np.int64), 0
     for n, least in bounds:
         matches = matches + (left[alive, seen:n] == right[alive, seen:n]).sum(axis=1)
         keep = matches >= least
         alive, matches, seen = alive[keep], matches[keep], n
-    return alive
+    return alive, matches
 
 
-def _similar(left: list[bytes], right: list[bytes], percent: int) -> list[bool]:
-    """Whether pairs of full sets (sorted hashes) are similar."""
-    out = []
-    for x, y in zip(left, right):
-        x, y = np.frombuffer(x, T.U64), np.frombuffer(y, T.U64)
-        shared = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(100 * shared >= percent * (len(x) + len(y) - shared))
-    return out
+def _pruned(how: Similar):
+    """Rows (a, b, their signatures) to the pairs that survive."""
+    bounds = least_matches(how.percent)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2048):
+                rows = batch.slice(lo, 2048)
+                yield rows.select([0, 1]).take(pa.array(survivors(_matrix(rows.column(2)), _matrix(rows.column(3)), bounds)[0]))
+
+    return run
 
-def _star(how: Similar):
-    """Rows (a, b, signatures, sets) to the links (a, b)."""
-    bounds = least_matches(how.percent)
+
+def _verified(how: Similar):
+    """Rows (a, b, their full sets as sorted hashes) to (a, b, whether they are similar)."""
+
+    def similar(x: np.ndarray, y: np.ndarray) -> bool:
+        shared = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * shared >= how.percent * (len(x) + len(y) - shared)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                rows = batch.slice(lo, 1024)
-                rows = rows.take(pa.array(survivors(_matrix(rows.column(2)), _matrix(rows.column(3)), bounds)))
-                yield rows.select([0, 1]).filter(pa.array(_similar(rows.column(4).to_pylist(), rows.column(5).to_pylist(), how.percent), pa.bool_()))
+            linked = [similar(np.frombuffer(x.as_py(), T.U64), np.frombuffer(y.as_py(), T.U64)) for x, y in zip(batch.column(2), batch.column(3))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     return run
 
 
-def _cross(how: Similar, id_type: pa.DataType):
-    """Within a block of a family: strays against the others of other components, as long as they aren't linked."""
+ROLE = ("bucket", "i", "j", "as_stray", "is_stray", "band", "rep", "comp")
+
+
+class _Block:
+    """Rows of whole blocks of open buckets: strays (as_stray) and the others that they meet, by number."""
+
+    def __init__(self, rows: pa.Table):
+        number = lambda c: pc.rank(rows[c], tiebreaker="dense").to_numpy().astype(np.int64)
+        self.rep, self.comp, self.band = number("rep"), number("comp"), rows["band"].to_numpy()
+        self.is_stray, self.signature = rows["is_stray"].to_numpy(), _matrix(rows["signature"].combine_chunks())
+        keys = np.stack([rows[c].to_numpy() for c in ("bucket", "i", "j")])
+        self.group = np.concatenate([[0], np.cumsum((keys[:, 1:] != keys[:, :-1]).any(axis=0))])
+        as_stray = rows["as_stray"].to_numpy()
+        self.left, self.right = np.flatnonzero(as_stray), np.flatnonzero(~as_stray)
+
+    def pairs(self, bounds: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Surviving pairs (stray, other) of different components that share this bucket first, PAIRS compared at a time."""
+        left, right = self.left, self.right
+        first, last = (np.searchsorted(self.group[right], self.group[left], side) for side in ("left", "right"))
+        total, lo = np.cumsum(last - first), 0
+        while lo < len(left):
+            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + PAIRS, side="right")))
+            n = last[lo:hi] - first[lo:hi]
+            x = np.repeat(left[lo:hi], n)
+            y = right[np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[lo:hi], n)]
+            # two strays meet twice, in two blocks; one of them counts
+            open_ = (self.comp[x] != self.comp[y]) & (~self.is_stray[y] | (self.rep[x] < self.rep[y]))
+            x, y = x[open_], y[open_]
+            alive, _ = survivors(self.signature[x], self.signature[y], bounds)
+            x, y = x[alive], y[alive]
+            same = (self.signature[x] == self.signature[y]).reshape(-1, BANDS, ROWS).all(axis=2)
+            here = same[np.arange(len(x)), self.band[x]] & (same.argmax(axis=1) == self.band[x])
+            yield x[here], y[here]
+            lo = hi
+
+
+def _asking(how: Similar):
+    """Rows of blocks to those with a surviving pair, without signatures."""
     bounds = least_matches(how.percent)
 
-    def run(rows: pa.Table) -> pa.Table:
-        stray = rows["stray"].to_numpy()
-        rep, signature = rows["rep"].to_pylist(), _matrix(rows["signature"].combine_chunks())
-        sets = [np.frombuffer(x, T.U64) for x in rows["grams"].to_pylist()]
-        numbers: dict = {}
-        group = np.array([numbers.setdefault(c, len(numbers)) for c in rows["comp"].to_pylist()])
-        others, links = np.flatnonzero(~stray), []
-        for x in np.flatnonzero(stray).tolist():
-            at = others[group[others] != group[x]]
-            at = at[survivors(np.broadcast_to(signature[x], (len(at), HASHES)), signature[at], bounds)]
-            if not len(at):
-                continue
-            sizes = np.array([len(sets[k]) for k in at])
-            joined = np.concatenate([sets[k] for k in at])
-            spot = np.minimum(np.searchsorted(sets[x], joined), len(sets[x]) - 1)
-            shared = np.add.reduceat((sets[x][spot] == joined).astype(np.int64), np.cumsum(sizes) - sizes)
-            for y in at[100 * shared >= how.percent * (sizes + len(sets[x]) - shared)].tolist():
-                if group[y] != group[x]:
-                    links.append((rep[x], rep[y]))
-                    group[group == group[y]] = group[x]
-        return pa.table({"a": pa.array([a for a, _ in links], id_type), "b": pa.array([b for _, b in links], id_type)})
+    def work(rows: pa.Table) -> pa.Table:
+        block, wanted = _Block(rows), np.zeros(rows.num_rows, bool)
+        for x, y in block.pairs(bounds):
+            wanted[x] = wanted[y] = True
+        return rows.select(ROLE).filter(pa.array(wanted))
 
-    return run
+    return work
 
 
-def _sets(words: int):
-    def work(part: T.Slice, _) -> dict:
-        grams, offs = shingles(part, words)
-        return {"grams": pa.array([grams[a:b].tobytes() for a, b in zip(offs[:-1], offs[1:])], pa.binary())}
+def _linking(how: Similar):
+    """Rows of blocks with their full sets to verified links; pairs that are joined by links before aren't compared."""
+    bounds = least_matches(how.percent)
 
-    return lambda: work
+    def work(rows: pa.Table) -> pa.Table:
+        block, links = _Block(rows), []
+        sets = [np.frombuffer(x.as_py(), T.U64) for x in rows["grams"]]
+        joined = block.comp + block.group * (int(block.comp.max()) + 1)  # components, block by block
+        for xs, ys in block.pairs(bounds):
+            order = np.argsort(xs, kind="stable")
+            for x, y in zip(*(np.split(z[order], np.flatnonzero(np.diff(xs[order])) + 1) for z in (xs, ys))):
+                y = y[joined[y] != joined[x[0]]] if len(x) else y
+                if not len(y):
+                    continue
+                x = x[0]
+                sizes = np.array([len(sets[k]) for k in y])
+                values = np.concatenate([sets[k] for k in y])
+                spot = np.minimum(np.searchsorted(sets[x], values), len(sets[x]) - 1)
+                shared = np.add.reduceat((sets[x][spot] == values).astype(np.int64), np.cumsum(sizes) - sizes)
+                for other in y[100 * shared >= how.percent * (sizes + len(sets[x]) - shared)].tolist():
+                    if joined[other] != joined[x]:
+                        links.append((x, other))
+                        joined[joined == joined[other]] = joined[x]
+        ends = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": rows["rep"].take(pa.array(ends[:, 0])), "b": rows["rep"].take(pa.array(ends[:, 1]))})
+
+    return work
 
 
 def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, kept."""
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    sketches = cut(T.map_texts(texts, "doc_id", "text", "n_shingles bigint, h1 bigint, h2 bigint, signature binary", _sketch(how.words)), "sketches")
-    linkable = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = cut(linkable.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
-    reps = classes.select("rep", "signature")
-
-    banded = reps.mapInArrow(_bands, f"bucket bigint, rep {id_type}")
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("least")).filter("n > 1").select("bucket", "least")
-    members = cut(banded.join(shared, "bucket").select("bucket", "rep", "least"), "members")
-    involved = cut(members.select(F.col("rep").alias("doc_id")).distinct(), "involved")
-    sets = T.map_texts(texts.join(involved, "doc_id", "left_semi"), "doc_id", "text", "grams binary", _sets(how.words))
-    facts = cut(reps.join(sets.filter(F.length("grams") > 0), F.col("rep") == F.col("doc_id")).select("rep", "signature", "grams"), "facts")
-
-    stars = members.groupBy("rep").agg(F.min("least").alias("a")).filter("a != rep").select("a", F.col("rep").alias("b"))
-    side = lambda end, x: facts.select(F.col("rep").alias(end), F.col("signature").alias(f"s{x}"), F.col("grams").alias(f"g{x}"))
-    links = stars.join(side("a", 1), "a").join(side("b", 2), "b").select("a", "b", "s1", "s2", "g1", "g2").mapInArrow(_star(how), f"a {id_type}, b {id_type}")
+    for seed in itertools.count():  # another seed only where two sets share both digests
+        sketches = cut(T.map_texts(texts, "doc_id", "text", "n_shingles bigint, h1 bigint, h2 bigint, signature binary", _sketch(how.words, seed, False)), "sketches")
+        linkable = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+        classes = cut(linkable.groupBy(*KEY).agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.count(F.lit(1)).alias("n")), "classes")
+
+        banded = classes.select("rep", "signature").mapInArrow(_bands, f"bucket bigint, band tinyint, rep {id_type}")
+        shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("least")).filter("n > 1").select("bucket", "least")
+        members = cut(banded.join(shared, "bucket").select("bucket", "band", "rep", "least"), "members")
+
+        # full sets of all that have a candidate or a copy
+        copies = linkable.join(classes.filter("n > 1").select(*KEY), KEY, "left_semi").select("doc_id", F.lit(True).alias("copy"))
+        needed = cut(members.select(F.col("rep").alias("doc_id"), F.lit(False).alias("copy")).unionByName(copies).groupBy("doc_id").agg(F.max("copy").alias("copy")), "needed")
+        asked = texts.join(needed, "doc_id").select(F.struct("doc_id", "copy").alias("doc_id"), "text")
+        sets = T.map_texts(asked, "doc_id", "text", "n_shingles bigint, h1 bigint, h2 bigint, grams binary", _sketch(how.words, seed, True))
+        facts = cut(sets.select("doc_id.*", *KEY, "grams").filter("n_shingles > 0"), "facts")
+        drop(needed)
+        contents = facts.filter("copy").groupBy(*KEY, "grams").agg(F.count(F.lit(1)).alias("n")).groupBy(*KEY).agg(F.count(F.lit(1)).alias("contents"))
+        if contents.filter("contents > 1").isEmpty():
+            break
+        drop(sketches, classes, members, facts)
+    of_reps = facts.select(F.col("doc_id").alias("rep"), "grams")
+    marks = cut(classes.select("rep", "signature").join(members.select("rep").distinct(), "rep", "left_semi"), "marks")
+
+    def candidates(pairs: DataFrame) -> DataFrame:
+        side = lambda end, x: marks.select(F.col("rep").alias(end), F.col("signature").alias(x))
+        return pairs.join(side("a", "s1"), "a").join(side("b", "s2"), "b").select("a", "b", "s1", "s2").mapInArrow(_pruned(how), f"a {id_type}, b {id_type}")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        pairs = cut(pairs, "survivors")
+        spent.append(pairs)
+        asked = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+        some = of_reps.join(asked, "rep", "left_semi")
+        side = lambda end, x: some.select(F.col("rep").alias(end), F.col("grams").alias(x))
+        met = pairs.join(side("a", "g1"), "a").join(side("b", "g2"), "b").select("a", "b", "g1", "g2")
+        return met.mapInArrow(_verified(how), f"a {id_type}, b {id_type}, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
+
+    def join(links: DataFrame) -> int:
+        """Joins components by links; how many there were."""
+        nonlocal comps
+        n = links.count()
+        if n or comps is None:
+            before = comps
+            comps = components(links.unionByName(same) if before is None else links.unionByName(before.select(F.col("id").alias("a"), F.col("least").alias("b"))))
+            if before is not None:
+                drop(before)
+        return n
+
+    def test(pairs: DataFrame) -> int:
+        spent.append(cut(verify(candidates(pairs)).filter("linked").select("a", "b"), "linked"))
+        return join(spent[-1])
+
+    def opened() -> DataFrame:
+        """Members of buckets that hold several components, with what the bucket is cut into."""
+        placed = open_.select("bucket", "band", "rep").join(comps.select(F.col("id").alias("rep"), F.col("least").alias("comp")), "rep", "left").select("bucket", "band", "rep", F.coalesce("comp", "rep").alias("comp"))
+        counted = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+        mixed = counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
+        mixed = mixed.select("bucket", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("top")) / BLOCK).cast("int").alias("stray_blocks"))
+        made = cut(placed.join(mixed, "bucket").withColumn("is_stray", F.col("comp") != F.col("largest")).drop("largest"), "open")
+        spent.append(made)
+        return made
+
+    ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     # rows of one id with several sets are one document
-    several = linkable.groupBy("doc_id").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).filter("low != high").select("doc_id")
-    same = linkable.join(several, "doc_id").join(classes, ["n_shingles", "h1", "h2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    comps = cut(components(links.unionByName(same)), "components")
-
-    # families: components that share buckets
-    comp_of = lambda end: comps.select(F.col("id").alias(end), F.col("least").alias(f"{end}_comp"))
-    bridges = members.filter("rep != least").select("rep", "least").join(comp_of("rep"), "rep", "left").join(comp_of("least"), "least", "left")
-    bridges = bridges.select(F.coalesce("rep_comp", "rep").alias("a"), F.coalesce("least_comp", "least").alias("b"))
-    families = cut(components(bridges).select(F.col("id").alias("comp"), F.col("least").alias("family")), "families")
-    placed = involved.select(F.col("doc_id").alias("rep")).join(comp_of("rep"), "rep", "left").select("rep", F.coalesce("rep_comp", "rep").alias("comp")).join(families, "comp")
-    counted = placed.groupBy("family", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed = counted.groupBy("family").agg(F.sum("n").alias("n"), F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.max("n").alias("most"))
-    mixed = mixed.select("family", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("stray_blocks"))
-    open_ = cut(placed.join(mixed, "family").withColumn("is_stray", F.col("comp") != F.col("largest")), "open")
-    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
-    as_other = open_.select("family", "rep", "comp", F.lit(False).alias("stray"), own("blocks").alias("i"), F.explode(every("stray_blocks")).alias("j"))
-    as_stray = open_.filter("is_stray").select("family", "rep", "comp", F.lit(True).alias("stray"), F.explode(every("blocks")).alias("i"), own("stray_blocks").alias("j"))
-    meeting = as_other.unionByName(as_stray).join(facts, "rep").select("family", "i", "j", "rep", "comp", "stray", "signature", "grams")
-    id_arrow = to_arrow_type(texts.schema["doc_id"].dataType)
-    more = cut(meeting.groupBy("family", "i", "j").applyInArrow(_cross(how, id_arrow), f"a {id_type}, b {id_type}"), "more")
-    final = comps if more.isEmpty() else cut(components(comps.select(F.col("id").alias("a"), F.col("least").alias("b")).unionByName(more)), "components")
-
-    named = classes.select("n_shingles", "h1", "h2", "rep").join(final, F.col("rep") == F.col("id"), "left").select("n_shingles", "h1", "h2", F.coalesce("least", "rep").alias("component_id"))
-    joined = sketches.drop("signature").join(named, ["n_shingles", "h1", "h2"], "left")
+    several = linkable.groupBy("doc_id").agg(F.min(F.struct(*KEY)).alias("low"), F.max(F.struct(*KEY)).alias("high")).filter("low != high").select("doc_id")
+    same = linkable.join(several, "doc_id").join(classes, KEY).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    comps = None
+    spent: list[DataFrame] = []
+    test(members.groupBy("rep").agg(F.min("least").alias("least")).filter("least != rep").select(*ordered("least", "rep")))
+    open_ = members
+    for k in itertools.count():
+        open_ = opened()
+        strays = open_.filter("is_stray").select("rep").distinct().count()
+        pivots = open_.filter("NOT is_stray").groupBy("bucket").agg(F.max_by("rep", F.xxhash64("rep", F.lit(k))).alias("pivot"))
+        shared = open_.filter("is_stray").join(pivots, "bucket").groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("n"))
+        met = shared.groupBy("rep").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot")).select(*ordered("rep", "pivot")).distinct()
+        if not strays or 8 * test(met) < strays:
+            break
+    every, own = lambda n: F.sequence(F.lit(0), F.col(n) - 1), lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    # (each role is one entry of an array, so that signatures are joined and dealt out once)
+    other = F.transform(every("stray_blocks"), lambda j: F.struct(own("blocks").alias("i"), j.alias("j"), F.lit(False).alias("as_stray")))
+    stray = F.when(F.col("is_stray"), F.transform(every("blocks"), lambda i: F.struct(i.alias("i"), own("stray_blocks").alias("j"), F.lit(True).alias("as_stray"))))
+    roles = F.explode(F.concat(other, F.coalesce(stray, F.array().cast("array<struct<i:int,j:int,as_stray:boolean>>"))))
+    rows = opened().join(marks, "rep").select("bucket", "band", "rep", "comp", "is_stray", "signature", roles.alias("r"))
+    blocks = rows.select("bucket", "r.i", "r.j", "r.as_stray", "is_stray", "band", "rep", "comp", "signature")
+    role_type = f"bucket bigint, i int, j int, as_stray boolean, is_stray boolean, band tinyint, rep {id_type}, comp {id_type}"
+    asking = cut(T.map_groups(blocks, ["bucket", "i", "j"], role_type, _asking(how)), "asking")
+    sets = of_reps.join(asking.select("rep").distinct(), "rep", "left_semi").join(marks, "rep")
+    more = cut(T.map_groups(asking.join(sets, "rep"), ["bucket", "i", "j"], f"a {id_type}, b {id_type}", _linking(how)), "links")
+    join(more)
+    drop(members, facts, marks, asking, more, *spent)
+
+    named = classes.select(*KEY, "rep").join(comps, F.col("rep") == F.col("id"), "left").select(*KEY, F.coalesce("least", "rep").alias("component_id"))
+    joined = sketches.drop("signature").join(named, KEY, "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
