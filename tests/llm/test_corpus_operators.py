@@ -62,6 +62,32 @@ def test_hashes_follow_content_not_place():
     assert ha[1] == ha[2] == hb[0] and ha[0] == hb[2] and len({*ha.tolist(), *hb.tolist()}) == 3
 
 
+def test_hashes_in_blocks_are_the_same(monkeypatch):
+    values = RNG.integers(0, 1 << 62, 400).astype(np.uint64)
+    starts = RNG.integers(0, 400, 300)
+    ends = np.minimum(starts + RNG.integers(0, 90, 300), 400)
+    at_once = T._Powers(np.uint64(12345677)).spans(400, lambda a, b: values[a:b], starts, ends)
+    for block in (1, 7, 64, 399, 400):
+        monkeypatch.setattr(T, "BLOCK", block)
+        assert (T._Powers(np.uint64(12345677)).spans(400, lambda a, b: values[a:b], starts, ends) == at_once).all()
+
+
+def test_groups_stay_whole_over_batches(spark):
+    frame = spark.range(5000).selectExpr("id", "CAST(id % 7 AS INT) AS g")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+
+    def work(rows):
+        groups = rows.group_by("g").aggregate([("id", "sum"), ("id", "count")])
+        return pa.table({"g": groups["g"], "total": groups["id_sum"], "n": groups["id_count"]})
+
+    try:
+        got = T.map_groups(frame, ["g"], "g int, total bigint, n bigint", work).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(map(tuple, got)) == [(g, sum(range(g, 5000, 7)), len(range(g, 5000, 7))) for g in range(7)]
+
+
 def test_elias_fano():
     for universe, n in ((1 << 62, 5000), (300, 200), (40, 200), (1, 0), (1 << 63, 3)):
         values = np.sort(RNG.integers(0, universe, n).astype(np.uint64))
@@ -115,6 +141,43 @@ def test_mix_comes_near_its_targets(spark):
     assert abs(sum(target.values()) - 1.5 * sum(len(words(t)) for _, t, _, _ in made)) < 1e-6
 
 
+def mix_error(spark, made):
+    """By source: taken words, target, size; no document more than twice."""
+    frame = spark.createDataFrame(made, "doc_id bigint, text string, source string")
+    source = {k: s for k, _, s in made}
+    out = {}
+    for r in mixing.taken(mixing.plan(frame, mixing.cycle((3, 1, 2)))).collect():
+        assert r.taken <= 2 * r["size"] and r.taken == r["size"] * len(r.shards)
+        taken, _, _ = out.get(source[r.doc_id], (0, 0, 0))
+        out[source[r.doc_id]] = (taken + r.taken, r.target, r.source_size)
+    return out
+
+
+def test_mix_of_repeated_rows_and_of_huge_documents(spark):
+    made = [(7, "one two three", "same")] * 300 + [(k, prose(20), "many") for k in range(100, 400)] + [(k, prose(9000), "huge") for k in range(900, 903)]
+    for s, (taken, target, size) in mix_error(spark, made).items():
+        assert abs(taken - target) <= {"same": 900, "many": 20, "huge": 4500}[s], (s, taken, target, size)  # half of what can't be split
+
+
+def test_mix_with_shuffled_joins_and_many_sources(spark, monkeypatch):
+    made = [(k, prose(int(RNG.integers(1, 9))), f"s{k % 90}") for k in range(900)] + [(5000 + k, None, None) for k in range(3)]
+    near = mix_error(spark, made)
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    assert mix_error(spark, made) == near
+    assert all(abs(taken - target) <= 4 for taken, target, _ in near.values())  # documents have 8 words at most
+
+
+def test_every_shard_is_a_partition(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 16_000)
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 20)
+    frame = spark.createDataFrame([(k, prose(10), f"s{k % 3}") for k in range(300)], "doc_id bigint, text string, source string")
+    plan = mixing.plan(frame, mixing.cycle((3, 1, 2)))
+    sizes = mixing.mixed(frame, plan).rdd.glom().map(len).collect()
+    assert len(sizes) == plan.shards > 4 and all(sizes)
+    dealt = Counter(k for r in mixing.taken(plan).select("shards").collect() for k in r.shards)
+    assert sorted(dealt.values()) == sorted(sizes)
+
+
 # --- 2 exact dedup -------------------------------------------------------------------------------------
 
 
@@ -146,6 +209,16 @@ def test_exact_dedup_null_ids(spark):
     assert [r.keep_id for r in got] == [None] * 3 and sum(r.kept for r in got) == 1
 
 
+def test_exact_dedup_tells_colliding_digests_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(exact, "first_digest", lambda body: F.substring(F.sha2(body, 256), 1, 0))  # one digest for all
+    monkeypatch.setattr(exact, "second_digest", lambda body, seed: F.length(body).cast("bigint") if seed == 0 else F.xxhash64(F.lit(seed), body))
+    made = [(1, "ab"), (2, "cd"), (3, "a b"), (4, "xyz"), (5, "d c")]
+    got = exact.assign(spark.createDataFrame(made, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.keep_id, r.group_size) for r in got} == {1: (3, 2), 3: (3, 2), 2: (2, 1), 4: (4, 1), 5: (5, 1)}
+
+
 # --- 3 substring dedup -----------------------------------------------------------------------------------
 
 
@@ -209,8 +282,20 @@ def test_chat_reads_back_exactly(spark):
         assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
         assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     for r in rendered.collect():
-        assert r.formatted == "".join(s.text for s in r.segments)
-        assert r.formatted.count(chat.TURN) == r.formatted.count(chat.END) == len(r.segments) // 3
+        assert r.formatted.count(chat.TURN) == r.formatted.count(chat.END) == len(r.loss_runs)
+        at, learned = 0, []
+        for run in r.loss_runs:
+            at += run.skip
+            learned.append(r.formatted[at : at + run.learn])
+            at += run.learn
+        turns = sorted((s for s in said if s[0] == r.conv_id), key=lambda s: (s[1] is not None, s[1] or 0, s[2] or "", s[3] or ""))
+        assert [re.sub(r"\\(\\?)", r"\1", x) for x in learned] == [(s[3] or "") if s[2] == "assistant" else "" for s in turns]
+        assert r.formatted[at:].endswith(chat.END)
+    from pyspark.sql import functions as F
+
+    wrong = rendered.withColumn("loss_runs", F.transform("loss_runs", lambda x: x.withField("skip", x["skip"] + 1)))
+    with pytest.raises(Exception, match="doesn't fit"):
+        chat.digests(wrong).collect()
     assert chat.digests(chat.render(chat.from_table(table.limit(0)))).count() == 0
     with pytest.raises(ValueError):
         chat.from_table(table.drop("role"))
@@ -226,6 +311,12 @@ def test_chat_layouts(spark):
         ({"instruction": "i", "input": "", "output": "o"}, [turn("user", "i"), turn("assistant", "o")]),
         ({"system": "", "prompt": "q", "response": "a"}, [turn("user", "q"), turn("assistant", "a")]),
         ({"question": "q", "answer": "a"}, [turn("user", "q"), turn("assistant", "a")]),
+        ({"id": 7, "meta": {"prompt": "no"}, "messages": [{"role": "user", "content": "q", "name": "n"}, {"role": "assistant", "content": "a"}]}, [turn("user", "q"), turn("assistant", "a")]),
+        ({"messages": [{"role": "user", "content": "m"}], "prompt": "q", "response": "a"}, [turn("user", "m")]),
+        ({"id": "x", "prompt": "q", "response": "a", "score": 1.5}, [turn("user", "q"), turn("assistant", "a")]),
+        ({"prompt": {"k": 1}, "completion": None}, [turn("user", '{"k":1}'), turn("assistant", None)]),
+        ({"messages": []}, None),
+        ({"messages": "text"}, None),
         ({"other": 1}, None),
     ]
     records = [(k, json.dumps(c)) for k, (c, _) in enumerate(cases)] + [(99, "no json"), (98, None)]
@@ -235,6 +326,22 @@ def test_chat_layouts(spark):
     assert got[99] is None and got[98] is None
 
 
+def test_chat_long_and_many_turns(spark):
+    long = "<|end|>\\ x" * 40_000
+    said = [(1, 0, "user", long), (1, 1, "assistant", long)] + [(2, k, "assistant", "</s>" if k % 2 else "a") for k in range(5000)]
+    rows = {r.conv_id: r for r in chat.digests(chat.render(chat.from_table(spark.createDataFrame(said, "conv_id bigint, turn bigint, role string, text string")))).collect()}
+    assert rows[1].loss_sha256 == hashlib.sha256(long.encode()).hexdigest()
+    assert (rows[2].n_turns, rows[2].loss_sha256) == (5000, hashlib.sha256(("a</s>" * 2500).encode()).hexdigest())
+
+
+def test_chat_fingerprint_of_columns():
+    from pyspark.sql import types
+
+    kind = types.StructType([types.StructField("a", types.ArrayType(types.StructType([types.StructField("b", types.StringType())]))), types.StructField("c", types.StructType([types.StructField("d", types.LongType())]))])
+    assert chat.schema_paths(kind) == ["a[].b", "c.d"]
+    assert chat.digest(["x", "y"]) == chat.digest(["y", "x"]) != chat.digest(["x"])
+
+
 # --- 5 SentencePiece ------------------------------------------------------------------------------------
 
 
@@ -276,7 +383,7 @@ def test_normalizer_aligns_mapped_texts():
 # --- 6 language model --------------------------------------------------------------------------------
 
 
-def brute_lm(train, texts, cutoffs=(1, 2, 2)):
+def brute_lm(train, texts, cutoffs=(1, 1, 1)):
     grams = [Counter() for _ in range(3)]
     for t in train:
         w = ["<>", *words(lower(t)), "</>"]
@@ -309,12 +416,13 @@ def brute_lm(train, texts, cutoffs=(1, 2, 2)):
     return n, v, out
 
 
-@pytest.mark.parametrize("part_tokens", [1 << 21, 400])
-def test_lm(docs, rows, empty, monkeypatch, part_tokens):
-    monkeypatch.setattr(lm, "PART_TOKENS", part_tokens)
+@pytest.mark.parametrize("part_tokens, key_bits, cutoffs", [(1 << 21, 64, (1, 1, 1)), (20, 64, (1, 1, 1)), (400, 8, (1, 1, 1)), (400, 64, (1, 2, 2))])
+def test_lm(docs, rows, empty, monkeypatch, part_tokens, key_bits, cutoffs):
+    monkeypatch.setattr(lm, "PART_TOKENS", part_tokens)  # few tokens a part: split slots
     train = docs.filter("doc_id % 4 <> 0")
-    model = lm.train(train)
-    n, v, want = brute_lm([r[1] for r in rows if r[0] % 4], [r[1] for r in rows])
+    model = lm.train(train, cutoffs=cutoffs, key_bits=key_bits)  # few bits a key: two numbers instead of one
+    assert any(level.masses for level in model.levels) == (part_tokens == 20)
+    n, v, want = brute_lm([r[1] for r in rows if r[0] % 4], [r[1] for r in rows], cutoffs)
     assert (model.tokens, model.words) == (n, v)
     wanted = {r[0]: w for r, w in zip(rows, want)}
     got = lm.score(docs, model).collect()
@@ -356,12 +464,56 @@ def test_licenses(spark, docs, empty):
         assert (got[k].n_base, got[k].first_word, got[k].labels, got[k].score) == (0, None, "", 0)
     assert (got[6].base_labels, got[6].labels) == ("", "mit") and got[6].score > 0.9
     assert (got[9].first_word, got[9].n_words) == (5000, 5002)
-    split = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     for r in licenses.scan(docs).join(docs.select("doc_id", "text"), "doc_id").collect():
-        assert r.n_words == len(split.findall(lower(r.text)))
+        assert tuple(r)[1:6] == brute_license(r.text)
     assert licenses.scan(empty).count() == 0
 
 
+def brute_license(text):
+    w, places, labels = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text)), [], set()
+    for label, phrase in (("mit", ["mit", "license"]), ("apache", ["apache", "license"]), ("gpl", ["general", "public", "license"])):
+        found = [k for k in range(len(w)) if w[k : k + len(phrase)] == phrase]
+        places += found
+        labels |= {label} if found else set()
+    return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def test_licenses_of_a_whole_table(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in frame.select("doc_id", "text").collect()}
+    added = 0
+    for r in licenses.scan(frame).collect():
+        assert tuple(r)[1:6] == brute_license(texts[r.doc_id])
+        base, all_ = ({x for x in s.split(",") if x} for s in (r.base_labels, r.labels))
+        assert base <= all_ and (r.score > 0) == bool(all_)
+        added += base < all_
+        assert ("cc-by-nc" in all_) == ("Licensed under CC BY-NC" in (texts[r.doc_id] or ""))
+    assert added
+
+
+def test_licenses_labels_of_the_method(spark):
+    from colloquy.llm import license_texts
+
+    around = prose(200)
+    cases, want = {}, {}
+    for k, (label, text, _) in enumerate(license_texts.TEXTS):
+        cases[k], want[k] = f"{around}\n{text}\n{around}", label
+    cases[100] = license_texts.MIT.replace("THE AUTHORS OR COPYRIGHT HOLDERS", "ANN EXAMPLE AND HER SMALL COMPANY OF FRIENDS")  # a holder put in
+    cases[101] = " ".join(reversed(license_texts.MIT.split()))  # the words in another order
+    cases[102] = license_texts.MIT.replace("without restriction", "with restriction").replace("free of charge", "for a fee")  # without the phrases
+    cases[103] = license_texts.BSD_2 + "\n" + around + "\n" + license_texts.ISC
+    cases[104] = cases[105] = license_texts.ZLIB
+    cases[106] = license_texts.ZLIB[: len(license_texts.ZLIB) // 8]
+    cases[107] = "# " + license_texts.MIT.replace(" ", "\n# ")
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame([(k, t, "x") for k, t in cases.items()], "doc_id bigint, text string, labels string")).collect()}
+    for k, label in want.items():
+        assert label in got[k].labels.split(",") and got[k].score > 0.9, license_texts.TEXTS[k]
+    assert got[100].labels == got[107].labels == "mit" and got[101].labels == got[102].labels == got[106].labels == ""
+    assert got[103].labels == "bsd,isc" and got[104].labels == got[105].labels == "zlib"
+    own = licenses.scan(spark.createDataFrame([(1, "all rights kept by nobody ever")], "doc_id bigint, text string"), templates=(licenses.Template("own", "rights kept by nobody"),)).first()
+    assert (own.labels, own.score) == ("own", 1.0)
+
+
 # --- 8 near dedup ----------------------------------------------------------------------------------------
 
 
@@ -407,6 +559,46 @@ def test_near_dedup(spark, n, monkeypatch):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(k) for k, _, c in want if k == c)
 
 
+def test_near_dedup_compares_sets_of_one_digest(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(neardup, "_sketch", lambda words, seed, sets: seen.append(seed) or weak_sketch(words, seed, sets))
+    made = [(1, "a b c"), (2, "d e f"), (3, "a b c"), (4, "x y z w")]
+    got = {r.doc_id: r.component_id for r in neardup.assign(spark.createDataFrame(made, "doc_id bigint, text string"), neardup.Similar(words=2)).collect()}
+    assert got == {1: 1, 3: 1, 2: 2, 4: 4} and max(seen) == 1
+
+
+def weak_sketch(words, seed, sets, real=neardup._sketch):
+    """Sketches whose digests are all alike under the first seed."""
+
+    def make():
+        work = real(words, seed, sets)()
+
+        def weak(part, batch):
+            got = work(part, batch)
+            return got | ({"h1": np.zeros(part.n, np.int64), "h2": np.zeros(part.n, np.int64)} if seed == 0 else {})
+
+        return weak
+
+    return make
+
+
+@pytest.mark.parametrize("changed", [9, 30])
+def test_near_dedup_of_one_family(spark, monkeypatch, changed):
+    """A family of members that are near the threshold, or unlike one another, and a hot bucket of many blocks."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    rng = np.random.default_rng(changed)
+    base, made = prose(130, rng).split(), []
+    for k in range(160):
+        w = list(base)
+        for at in rng.choice(len(w), changed, replace=False):
+            w[at] = prose(1, rng)
+        made.append((int(rng.integers(0, 10_000)) * 1000 + k, " ".join(w)))
+    frame = spark.createDataFrame(made, "doc_id bigint, text string")
+    got = sorted(tuple(r)[:3] for r in neardup.assign(frame, neardup.Similar(words=1)).collect())
+    assert got == sorted(brute_near(made, 1))
+    assert (len({c for _, _, c in got}) < 100) == (changed == 9)
+
+
 def test_near_dedup_ids_that_repeat(spark, empty):
     a, b = prose(50), prose(50)
     made = [(7, a), (7, b), (3, b), (9, a)]
@@ -441,7 +633,7 @@ def test_language_id(spark, empty):
     out = langid.held_out("doc_id", 5)
     model = langid.fit(frame.filter(~out), MODEL)
     assert model.languages == ["xx", "yy", "zz"]
-    assert np.allclose(model.theta.sum(axis=0), 1)
+    assert np.allclose(model.theta(0, 3).sum(axis=0), 1)
     got = {r.doc_id: r for r in langid.predict(frame, model).collect()}
     assert all(got[k].lang_pred == ("xx", "yy", "zz")[k % 3] for k, _, _ in made)
     assert all((got[k].lang_pred, got[k].score) == ("und", 0) for k in (900, 901, 902))
@@ -451,22 +643,87 @@ def test_language_id(spark, empty):
     assert all(r.lang_pred == "und" for r in nothing)
 
 
+def segmentations(table, data):
+    """All ways to cut a word: lists of piece numbers, by looking every substring up."""
+    def number(kind, a, b):
+        values = np.frombuffer(data[a:b], np.uint8)
+        with np.errstate(over="ignore"):
+            sums = (T.BYTES_LOWER[values] * T._BYTE_POWERS.up[: b - a]).sum(dtype=T.U64)
+        return int(kind.find(np.array([sums], T.U64), b - a)[0])
+
+    def rest(at):
+        return [[]] if at == len(data) else [[k, *more] for to in range(at + 1, len(data) + 1) if (k := number(table.inner, at, to)) > 0 for more in rest(to)]
+
+    return [[1, *r] for r in rest(0)] + [[k, *r] for to in range(1, len(data) + 1) if (k := number(table.initial, 0, to)) > 0 for r in rest(to)]
+
+
 def test_forward_sums_all_segmentations():
     table = langid.Pieces(MODEL)
-    part = next(T.slices(pa.array(["other"])))
-    inner, initial = table.lattice(part, *part.spans(T.NOT_SPACE)[:2])
+    assert table.longest == 24
+    texts = ["other", "Information", "日本", "a", "ñ"]
+    part = next(T.slices(pa.array(texts)))
+    starts, ends, _ = part.spans(T.NOT_SPACE)
+    order = np.argsort(-(ends - starts), kind="stable")
+    size = (ends - starts)[order]
     theta = RNG.random((table.size, 2))
     theta[0] = 0
+    logs = langid.forward(table, part.buf, starts[order], size, theta)
+    weight = np.arange(1.0, 6.0)
+    uses = langid.expected(table, part.buf, starts[order], size, weight, theta[:, 0])
+    want_uses = np.zeros(table.size)
+    for row, k in enumerate(order):
+        cuts = segmentations(table, texts[k].lower().encode())
+        for c in range(2):
+            assert logs[row, c] == pytest.approx(math.log(sum(math.prod(theta[p, c] for p in cut) for cut in cuts)))
+        whole = sum(math.prod(theta[p, 0] for p in cut) for cut in cuts)
+        for cut in cuts:
+            np.add.at(want_uses, cut, weight[row] * math.prod(theta[p, 0] for p in cut) / whole)
+    assert np.allclose(uses, want_uses)
+
+
+def slow_log(table, data, theta):
+    """The forward algorithm byte by byte in Python, in logarithms."""
+    add = lambda x, y: max(x, y) + math.log1p(math.exp(-abs(x - y))) if min(x, y) > -math.inf else max(x, y)
+    alpha = [math.log(theta[1]), *[-math.inf] * len(data)]
+    for kind in (table.initial, table.inner):
+        for at in range(len(data) if kind is table.inner else 1):
+            sums = T.U64(0)
+            for to in range(at + 1, min(len(data), at + table.longest) + 1):
+                with np.errstate(over="ignore"):
+                    sums = sums + T.BYTES_LOWER[data[to - 1]] * T._BYTE_POWERS.up[to - at - 1]
+                k = int(kind.find(np.array([sums], T.U64), to - at)[0])
+                if k > 0:
+                    alpha[to] = add(alpha[to], (alpha[at] if kind is table.inner else 0.0) + math.log(theta[k]))
+    return alpha[-1]
+
+
+def test_long_runs_are_one_lattice(monkeypatch):
+    monkeypatch.setattr(langid, "CELLS", 100)  # many blocks of places
+    table = langid.Pieces(MODEL)
+    texts = ["訳者は翻訳された文章を読みました" * 9, "internationalisation" * 4, "x" * 333, "ab"]
+    part = next(T.slices(pa.array(texts)))
+    starts, ends, _ = part.spans(T.NOT_SPACE)
+    order = np.argsort(-(ends - starts), kind="stable")
+    size = (ends - starts)[order]
+    theta = RNG.random((table.size, 1)) / table.size
+    theta[0] = 0
+    logs = langid.forward(table, part.buf, starts[order], size, theta)
+    assert logs[:, 0].tolist() == pytest.approx([slow_log(table, texts[k].encode(), theta[:, 0]) for k in order])
+    uses = langid.expected(table, part.buf, starts[order], size, np.ones(len(size)), theta[:, 0])
+    again = [langid.expected(table, part.buf, starts[order][k : k + 1], size[k : k + 1], np.ones(1), theta[:, 0]) for k in range(len(size))]
+    assert np.allclose(uses, sum(again)) and uses[0] == 0
 
-    def brute(at, column):
-        if at == 5:
-            return 1.0
-        return sum(theta[inner[0, at, k - 1], column] * brute(at + k, column) for k in range(1, 5 - at + 1) if inner[0, at, k - 1])
 
-    alpha = langid.forward(inner, initial, np.array([5]), theta)
-    for c in range(2):
-        want = theta[1, c] * brute(0, c) + sum(theta[initial[0, k - 1], c] * brute(k, c) for k in range(1, 6) if initial[0, k - 1])
-        assert alpha[5, 0, c] == pytest.approx(want)
+def test_predictions_are_the_largest_posterior(spark):
+    texts = ["訳者は翻訳された文章", "der die das " * 5, "the information", "translation of the text " + "w" * 90]
+    frame = spark.createDataFrame([(k, t, ("ja", "de", "en", "en")[k]) for k, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    model, table = langid.fit(frame, MODEL), langid.Pieces(MODEL)
+    theta = model.theta(0, 9)
+    assert np.allclose(theta.sum(axis=0), 1)
+    for r in langid.predict(frame, model).collect():
+        logs = model.prior + [sum(slow_log(table, w.encode(), theta[:, k]) for w in words(texts[r.doc_id])) for k in range(3)]
+        assert r.lang_pred == model.languages[int(np.argmax(logs))] == ("ja", "de", "en", "en")[r.doc_id]
+        assert r.score == pytest.approx(1 / np.exp(logs - logs.max()).sum())
 
 
 # --- 10 quality rules ------------------------------------------------------------------------------------
@@ -484,6 +741,33 @@ def brute_quality(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), repeats, len(inside), len(w) < 10 or 100 * len(inside) > 20 * len(w)
 
 
+def brute_verdict(text):
+    """Whether the rules keep a text: repeated words, characters inside repeated n-grams and lines, symbols."""
+    text = text or ""
+    w = words(text)
+    chars = max(1, sum(map(len, w)))
+    for n, limit in ((5, 0.25), (7, 0.22), (10, 0.20)):
+        count = Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+        inside = {j for i in range(len(w) - n + 1) if count[tuple(w[i : i + n])] > 1 for j in range(i, i + n)}
+        if sum(len(w[j]) for j in inside) / chars > limit:
+            return False
+    lines = Counter(line for line in text.split("\n") if WORD.search(line))
+    if sum(n * len("".join(words(line))) for line, n in lines.items() if n > 1) / chars > 0.30:
+        return False
+    return not brute_quality(text)[5] and len(re.findall(r"[#*$%&|<>]", text)) <= 0.3 * len(w)
+
+
+def test_quality_verdicts(spark, docs, rows):
+    for r in quality.measure(docs).collect():
+        assert r.kept == brute_verdict(next(x[1] for x in rows if x[0] == r.doc_id))
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: r for r in quality.measure(frame).collect()}
+    verdicts = {r.doc_id: brute_verdict(r.text) for r in frame.select("doc_id", "text").collect()}
+    assert {k: r.kept for k, r in got.items()} == verdicts
+    assert any(not v and not got[k].base_failed for k, v in verdicts.items())  # the method rejects more than the base
+    assert sorted(r.doc_id for r in quality.keep(frame).collect()) == sorted(k for k, v in verdicts.items() if v)
+
+
 def test_quality_rules(docs, rows, empty):
     texts = {r[0]: r[1] for r in rows}
     got = quality.measure(docs).collect()
@@ -497,5 +781,34 @@ def test_quality_rules(docs, rows, empty):
     assert quality.measure(empty).count() == 0
 
 
-def test_nothing_collects_in_local_folders(spark, docs):
-    assert os.path.isdir(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+def test_tables_are_removed_after_use(spark, docs):
+    import os
+
+    from colloquy.llm.scratch import cut, drop, shared_dir
+
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(f"{folder}/colloquy")) if os.path.isdir(f"{folder}/colloquy") else set()
+    result = neardup.assign(docs)
+    left = {x.split("-")[0] for x in set(os.listdir(f"{folder}/colloquy")) - before}
+    assert left <= {"sketches", "classes", "components"}  # what the result reads
+    assert result.count() == docs.count()
+    table = cut(docs.select("doc_id"), "mine")
+    assert table.count() == docs.count()
+    drop(table)
+    assert not any(x.startswith("mine") for x in os.listdir(f"{folder}/colloquy"))
+
+
+def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
+    from colloquy.llm import scratch
+
+    class Remote:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+            getConf = staticmethod(lambda: {})
+
+    with pytest.raises(ValueError):
+        scratch.shared_dir(Remote)
