@@ -2,6 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the one before it kept; all but the last
 return the columns of documents. A document that the mix draws twice is two rows from there on.
+
+For every stage: an empty table gives an empty one of the same columns; texts are taken whole, however long; other
+columns, whatever their names, go along unchanged. Null texts count as empty; a stage says what becomes of them.
 """
 
 from __future__ import annotations
@@ -14,27 +17,30 @@ from colloquy.llm.scratch import cut
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that break no rule."""
+    """Documents that break no rule. Null and empty texts break the one on length; rows that repeat are each judged alone."""
     return quality.keep(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each content."""
+    """One document of each content: that with the longest text, then the least id, null last; of wholly alike rows any one."""
     return exact.drop_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies (five-word shingles, 0.8)."""
+    """The document with the smallest id of each group of near copies (five-word shingles, 0.8 or more).
+
+    Rows with a null id, and those without a word, are in no group and stay; rows that repeat an id are one document."""
     return neardup.keep(docs, neardup.Similar(words=5, percent=80))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix draws them."""
+    """Documents as often as the mix draws them, none more than twice. A null source is one of its own, the last in order;
+    null ids don't matter, and rows alike in id and text are drawn alike."""
     return mixing.mixed(docs, mixing.plan(docs, mixing.cycle((3, 1, 2)), budget=1.5, most=2.0))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and decoded texts as digests."""
+    """Ids and decoded texts as digests, one row for each row; a null or empty text has no id."""
     return pieces.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
