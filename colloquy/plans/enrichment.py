@@ -110,11 +110,11 @@ def meeting_view(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.query("""
 SELECT conv_id, turn, role AS speaker, line AS text FROM (
-SELECT conv_id, turn, role, trim(string_split(text, chr(10))[1]) AS line FROM conversations) WHERE line <> '' AND NOT contains(line, ':')""")
+SELECT conv_id, turn, role, trim(unnest(string_split(text, chr(10)))) AS line FROM conversations) WHERE line <> ''""")
 def utterance_parse(spark: SparkSession, sf: str) -> DataFrame:
-    first = F.trim(F.substring_index("text", "\n", 1))
-    said = table(spark, sf, "conversations").filter((first != "") & ~first.contains(":")).withColumn("line", F.concat("role", F.lit(": "), first))
-    notes = said.select("conv_id", "turn", F.explode(transcripts.utterances(F.col("line"))).alias("n"))
+    """Every line of every turn, with its speaker before it."""
+    said = table(spark, sf, "conversations").withColumn("line", F.explode(F.split("text", "\n"))).filter(F.trim("line") != "")
+    notes = said.select("conv_id", "turn", F.explode(transcripts.utterances(F.concat("role", F.lit(": "), "line"))).alias("n"))
     return notes.select("conv_id", "turn", "n.speaker", "n.text")
 
 
