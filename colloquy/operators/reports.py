@@ -19,10 +19,10 @@ def since(column: str, as_of: str, days: int) -> Column:
 
 
 def distribution(df: DataFrame, by: str) -> DataFrame:
-    """Rows and percent of all by value; the window runs over the small grouped result."""
-    n = F.count(F.lit(1))
-    grouped = df.groupBy(by).agg(n.alias("n"))
-    return grouped.withColumn("pct", F.round(F.col("n") * F.lit(100.0) / F.sum("n").over(Window.partitionBy()), 2))
+    """Rows and percent of all by value. The total is one row, broadcast, so no task gathers all values."""
+    grouped = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    total = df.agg(F.count(F.lit(1)).alias("__total"))
+    return grouped.join(F.broadcast(total)).withColumn("pct", F.round(F.col("n") * F.lit(100.0) / F.col("__total"), 2)).drop("__total")
 
 
 def pass_rates(df: DataFrame, criteria: dict[str, Column]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from colloquy import schemas
 from colloquy.config import Config
 from colloquy.operators import completion, names, redaction, scoring
+from colloquy.sources import files
 
 # What the closed fields may hold.
 STATUS = ("employed", "between_roles", "on_leave")
@@ -176,3 +177,61 @@ def screen(df: DataFrame, detect, config: Config = Config(), text: str = "full_t
         made["notes"] = F.transform("notes", lambda n, k: n.withField("text", F.get("__texts", k + len(fields))))
     made |= {"article9_flags": flags(F.col("__seen"), clean, F.col("rounds"), place), "article9_status": F.col("status")}
     return done.filter(~left).withColumns(made).drop("__texts", "__before", "__seen", "status", "rounds")
+
+
+#: How a detector answers: a JSON array of these.
+DETECTED = "array<struct<category:string,span:string,confidence:double>>"
+
+
+def detected(df: DataFrame, text: str, prompt: str, make: Callable[[], completion.Completer], config: Config = Config()) -> DataFrame:
+    """df with `flags`: what a completer finds in a text; blank texts aren't asked about.
+
+    An answer that is no list of flags is an error and not an empty list: what wasn't scanned must not go on.
+    """
+    asked = completion.ask(df.withColumn("__asked", F.col(text)), {"detection": prompt}, "__asked", lambda: _Unless(make()), config).drop("__asked")
+    answer = completion.strip_fence(F.try_element_at("raw", F.lit("detection")))
+    read = F.when(F.try_parse_json(answer).isNotNull() & answer.startswith("["), F.from_json(answer, DETECTED))
+    failed = F.raise_error(F.lit("detection gave no list of flags")).cast(DETECTED)
+    return asked.withColumn("flags", F.coalesce(read, failed)).drop("raw")
+
+
+class _Unless:
+    """A completer that isn't asked about blank texts."""
+
+    def __init__(self, completer: completion.Completer):
+        self.completer = completer
+
+    def complete(self, prompt: str, context: str) -> str | None:
+        return self.completer.complete(prompt, context) if context.strip() else "[]"
+
+
+def screen_asked(df: DataFrame, text: str, prompt: str, make: Callable[[], completion.Completer], config: Config = Config()) -> DataFrame:
+    """Like redaction.redact, with a completer as the detector: df with `text` scrubbed, `flags`, `status` and `rounds`.
+
+    Each round asks about the texts that aren't clean yet, and is written to the shared folder, so that no question
+    is asked twice; there are config.max_redact_rounds of them. Rows that don't become clean are dropped, or keep
+    their text, as config.redact_on_failure says.
+    """
+    spark, folder = df.sparkSession, files.shared_folder(df.sparkSession, "screen")
+
+    def kept(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    sure = F.exists("flags", lambda f: f["confidence"] >= config.min_confidence)
+    first = kept(detected(df.withColumn("__original", F.col(text)), text, prompt, make, config), "0")
+    if config.redact_mode == "flag":
+        return first.drop("__original").withColumns({"status": F.lit("flag"), "rounds": F.lit(0)})
+    done, dirty = first.filter(~sure).withColumn("rounds", F.lit(0)), first.filter(sure)
+    for k in range(1, config.max_redact_rounds + 1):
+        if dirty.isEmpty():
+            break
+        scrubbed = dirty.withColumn(text, redaction.scrub_all(F.col(text), F.col("flags"))).withColumnRenamed("flags", "__before")
+        again = kept(detected(scrubbed, text, prompt, make, config).withColumn("__all", F.array_distinct(F.concat("__before", "flags"))), str(k))
+        clean, left = again.filter(~sure), again.filter(sure)
+        done = done.unionByName(clean.withColumns({"flags": F.col("__before"), "rounds": F.lit(k)}).drop("__before", "__all"))
+        dirty = left.withColumn("flags", F.col("__all")).drop("__before", "__all")
+    out = done.withColumn("status", F.lit("redacted"))
+    if config.redact_on_failure == "fallback":
+        out = out.unionByName(dirty.withColumns({text: F.col("__original"), "rounds": F.lit(config.max_redact_rounds), "status": F.lit("redact_fallback")}))
+    return out.drop("__original")

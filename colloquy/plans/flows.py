@@ -93,6 +93,25 @@ def participants_lists(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", transcripts.plain_participants(plain).alias("plain"), transcripts.participants(people, creator).alias("fenced"))
 
 
+_BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_MADE = "'**Date:** x' || chr(10) || text || chr(10) || '---' || chr(10) || '# Head' || chr(10) || '* star' || chr(10) || 'Original Granola Link: y'"
+
+
+@R.query(rf"""
+WITH l AS (SELECT conv_id, turn, trim(unnest(string_split({_MADE}, chr(10))), {_BLANK}) AS line FROM conversations),
+b AS (SELECT * FROM l WHERE line <> '' AND NOT starts_with(line, '---'))
+SELECT conv_id, turn, 'content' AS kind, NULL AS speaker, line AS text FROM b WHERE NOT starts_with(line, '#') AND NOT contains(line, '**Date:**')
+UNION ALL
+SELECT conv_id, turn, 'spoken', CASE WHEN named THEN trim(regexp_extract(line, '^([^:]+):', 1), {_BLANK}) END, CASE WHEN named THEN trim(regexp_extract(line, '^[^:]+:\s*(.+)', 1), {_BLANK}) ELSE line END
+FROM (SELECT *, regexp_matches(line, '^([^:]+):\s*(.+)') AS named FROM b WHERE NOT contains(line, 'Original Granola Link:')) WHERE named OR NOT starts_with(line, '*')""")
+def section_notes(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts as a notes section and as a transcript section, with lines of metadata put around them."""
+    made = F.concat(F.lit("**Date:** x\n"), "text", F.lit("\n---\n# Head\n* star\nOriginal Granola Link: y"))
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", made.alias("made"))
+    both = [rows.select("conv_id", "turn", F.lit(kind).alias("kind"), F.explode(notes(c("made"))).alias("n")) for kind, notes in (("content", transcripts.content_notes), ("spoken", transcripts.spoken_notes))]
+    return both[0].unionByName(both[1]).select("conv_id", "turn", "kind", "n.speaker", "n.text")
+
+
 @R.query("""
 SELECT event_id, CASE WHEN event_id % 4 = 0 THEN DATE '2000-01-01' ELSE CAST(ts AS DATE) END AS day FROM events""")
 def plain_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -496,6 +515,26 @@ def redaction_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("doc_id", "status", F.when(c("status") == "redacted", F.replace("text", F.lit("the "), F.lit("the_"))).otherwise(c("text")).alias("text"))
 
 
+class Finder:
+    """A detector: finds `of the` in a text, surely, and `der die`, not surely; its answers are fenced."""
+
+    def complete(self, prompt: str, context: str) -> str | None:
+        low = context.lower()
+        found = [{"category": "x", "span": span, "confidence": sure} for span, sure in (("of the", 0.9), ("der die", 0.3)) if span in low]
+        return f"```json\n{json.dumps(found)}\n```"
+
+
+@R.query("""
+SELECT doc_id, CASE WHEN sure AND weak THEN regexp_replace(regexp_replace(text, 'of the', '[REDACTED:x]', 'gi'), 'der die', '[REDACTED:x]', 'gi') WHEN sure THEN regexp_replace(text, 'of the', '[REDACTED:x]', 'gi') ELSE text END AS text,
+       'redacted' AS status, CAST(sure AS INT) AS rounds, CAST(sure AS INT) + CAST(weak AS INT) AS n_flags
+FROM (SELECT *, contains(lower(text), 'of the') AS sure, contains(lower(text), 'der die') AS weak FROM documents WHERE text IS NOT NULL)""")
+def asked_redaction(spark: SparkSession, sf: str) -> DataFrame:
+    """Detection by a completer, in rounds, until nothing sure is found."""
+    docs = table(spark, sf, "documents").filter("text IS NOT NULL").select("doc_id", "text")
+    done = talent.screen_asked(docs, "text", "find", Finder, Config(redact_mode="redact"))
+    return done.select("doc_id", "text", "status", "rounds", F.size("flags").alias("n_flags"))
+
+
 _DETAIL = "SELECT CAST(o_orderkey AS VARCHAR) AS \"Meeting ID\", o_orderpriority AS \"Title\", CASE WHEN o_orderkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS \"Qualified\", CAST(o_orderkey % 2 = 0 AS INT) AS \"NOW Score\", CASE WHEN o_orderkey % 3 = 0 THEN 'a; b' ELSE '' END AS \"FIT Labels\", o_orderstatus AS \"BLOCKER Reason\", CAST(32 AS INT) AS n_columns FROM orders"
 
 
