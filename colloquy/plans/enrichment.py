@@ -132,25 +132,27 @@ def utterance_lines(spark: SparkSession, sf: str) -> DataFrame:
     return notes.select("conv_id", "turn", "n.*")
 
 
-_FENCED = "'```json' || chr(10) || '{\"granola_note_id\": \"c' || conv_id || '\", \"title\": \"Call ' || turn || '\", \"creator_name\": \"' || role || '\"}' || chr(10) || '```' || chr(10) || '## Enhanced Notes' || chr(10) || 'note ' || turn || chr(10) || '## Full Transcript' || chr(10) || 'Me: ' || role"
-
-
 def _fenced(spark: SparkSession, sf: str) -> DataFrame:
+    """Fenced files around the conversations' texts: as a title, as notes and as a transcript."""
     c = F.col
-    body = F.concat(F.lit('```json\n{"granola_note_id": "c'), c("conv_id"), F.lit('", "title": "Call '), c("turn"), F.lit('", "creator_name": "'), c("role"), F.lit('"}\n```\n## Enhanced Notes\nnote '), c("turn"), F.lit("\n## Full Transcript\nMe: "), c("role"))
+    header = F.to_json(F.struct(F.concat(F.lit("c"), "conv_id").alias("granola_note_id"), c("text").alias("title"), c("role").alias("creator_name")))
+    body = F.concat(F.lit("```json\n"), header, F.lit("\n```\n## Enhanced Notes\n"), "text", F.lit("\n## Full Transcript\n"), "role", F.lit(": "), "text", F.lit("\n"))
     return table(spark, sf, "conversations").select("conv_id", "turn", body.alias("text"))
 
 
-@R.query("SELECT conv_id, turn, 'note ' || turn AS enhanced_notes, '' AS my_notes, 'Me: ' || role AS full_transcript FROM conversations")
+_BLANK = "' ' || chr(9) || chr(10) || chr(13)"
+
+
+@R.query(f"SELECT conv_id, turn, trim(text, {_BLANK}) AS enhanced_notes, '' AS my_notes, trim(role || ': ' || text, {_BLANK}) AS full_transcript FROM conversations WHERE text IS NOT NULL")
 def section_extract(spark: SparkSession, sf: str) -> DataFrame:
     text = F.col("text")
-    return _fenced(spark, sf).select("conv_id", "turn", *[transcripts.section(text, s).alias(n) for s, n in zip(transcripts.SECTIONS, ("enhanced_notes", "my_notes", "full_transcript"))])
+    return _fenced(spark, sf).filter("text IS NOT NULL").select("conv_id", "turn", *[transcripts.section(text, s).alias(n) for s, n in zip(transcripts.SECTIONS, ("enhanced_notes", "my_notes", "full_transcript"))])
 
 
-@R.query("SELECT conv_id, turn, true AS fenced, 'c' || conv_id AS granola_note_id, 'Call ' || turn AS title, role AS creator_name FROM conversations")
+@R.query("SELECT conv_id, turn, true AS fenced, 'c' || conv_id AS granola_note_id, text AS title, role AS creator_name FROM conversations WHERE text IS NOT NULL")
 def metadata_extract(spark: SparkSession, sf: str) -> DataFrame:
     text = F.col("text")
-    return _fenced(spark, sf).select("conv_id", "turn", transcripts.is_fenced(text).alias("fenced"), transcripts.metadata(text).alias("m")).select("conv_id", "turn", "fenced", "m.granola_note_id", "m.title", "m.creator_name")
+    return _fenced(spark, sf).filter("text IS NOT NULL").select("conv_id", "turn", transcripts.is_fenced(text).alias("fenced"), transcripts.metadata(text).alias("m")).select("conv_id", "turn", "fenced", "m.granola_note_id", "m.title", "m.creator_name")
 
 
 _PLAIN = "'---' || chr(10) || 'k: ' || conv_id || chr(10) || '---' || chr(10) || 'Date: 2024-01-01' || chr(10) || chr(10) || role || ' said ' || turn || chr(10) || '---' || chr(10) || 'end'"
@@ -267,20 +269,28 @@ def export_fields(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", C.file_safe(F.concat("p_name", F.lit("/"), "p_type"), 20).alias("name"), C.ellipsis(c("p_name"), 8).alias("short"), C.joined(F.array("p_brand", "p_type")).alias("csv"))
 
 
-TITLES = ["Acme Call x House", "House x Beta Ltd - Topic", "Gamma Group - Intro", "Delta stuff", "ann x office"]
-_CLIENTS = ["Acme", "Beta Ltd", "Gamma Group", "Delta", None]
-
-
-@R.query("SELECT p_partkey, CASE p_partkey % 5 " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(_CLIENTS) if c) + " END AS client FROM part")
+@R.query("""
+SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN n WHEN 1 THEN n WHEN 2 THEN n WHEN 3 THEN n WHEN 4 THEN string_split(n, ' ')[1] END AS client
+FROM (SELECT p_partkey, upper(p_name) AS n FROM part)""")
 def client_from_title(spark: SparkSession, sf: str) -> DataFrame:
-    title = F.element_at(F.array(*[F.lit(t) for t in TITLES]), (F.col("p_partkey") % 5 + 1).cast("int"))
+    """Titles around the parts' names: either side of an x, before a dash with noise, first words, and no name at all."""
+    name, kind, k = F.upper("p_name"), F.col("p_type"), F.col("p_partkey") % 6
+    title = (
+        F.when(k == 0, F.concat(name, F.lit(" Call x House"))).when(k == 1, F.concat(F.lit("house x "), name, F.lit(" - "), kind)).when(k == 2, F.concat(name, F.lit(" catch-up meeting"), F.lit(" x Ann")))
+        .when(k == 3, F.concat(name, F.lit(" – "), kind)).when(k == 4, F.concat(name, F.lit(" "), kind)).otherwise(F.concat(F.lit("ann x office "), F.lower(name)))
+    )
+    title = F.when(k == 5, F.lit("ann x office")).otherwise(title)
     return table(spark, sf, "part").select("p_partkey", clients.from_title(title, ("house", "ann", "office")).alias("client"))
 
 
-@R.query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Big Client' WHEN 1 THEN 'Acme' END AS client FROM part")
+@R.query("""
+SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN n WHEN 1 THEN n END AS client
+FROM (SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS n FROM part)""")
 def client_from_filename(spark: SparkSession, sf: str) -> DataFrame:
-    names_ = F.array(F.lit("meeting-big-client-1693737600"), F.lit("auto-acme-uk-transcript-7"), F.lit("single"))
-    return table(spark, sf, "part").select("p_partkey", clients.from_filename(F.element_at(names_, (F.col("p_partkey") % 3 + 1).cast("int"))).alias("client"))
+    """Ids made of the parts' names: with a kind and a number, with an end and more behind it, and of one part."""
+    name, k = F.replace("p_name", F.lit(" "), F.lit("-")), F.col("p_partkey") % 3
+    identity = F.when(k == 0, F.concat(F.lit("meeting-"), name, F.lit("-1693737600"), "p_partkey")).when(k == 1, F.concat(F.upper(name), F.lit("-transcript-7"))).otherwise(F.substring_index("p_name", " ", 1))
+    return table(spark, sf, "part").select("p_partkey", clients.from_filename(identity).alias("client"))
 
 
 @R.query("""
