@@ -147,7 +147,7 @@ class Encoder:
     def _spans(self, normal: bytes, align: np.ndarray, ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
         widths = self.widths[np.asarray(ids, np.int64)] if ids else np.zeros(0, np.int64)
         if self.unknown in ids:  # its width shows only in the piece
-            widths = np.array([len(p.piece.encode()) for p in self.plain.encode(normal.decode(), out_type="immutable_proto").pieces])
+            widths = np.array([len(p.encode()) for p in self.plain.encode(normal.decode(), out_type=str)])
         cuts = np.concatenate([[0], np.cumsum(widths)])
         if cuts[-1] != len(normal):
             raise ValueError("the pieces don't tile the normalised text")

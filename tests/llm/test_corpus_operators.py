@@ -361,7 +361,7 @@ def test_sentencepiece_matches_the_library(docs, rows, empty):
     assert pieces.digests(empty, MODEL).count() == 0
 
 
-def test_normalizer_aligns_mapped_texts():
+def mapped_charsmap():
     """A tiny double array with the keys 'ab' -> 'X' and 'a' -> 'yz'."""
     units = np.zeros(1024, "<u4")
     units[0] = 256 << 10  # the root's offset
@@ -372,8 +372,41 @@ def test_normalizer_aligns_mapped_texts():
     units[at_b] = ord("b") | 1 << 8 | (768 ^ at_b) << 10
     units[768] = 0x80000000 | 0  # leaf of 'ab'
     strings = b"X\0yz\0"
-    blob = units.nbytes.to_bytes(4, "little") + units.tobytes() + strings
-    normal = pieces.Normalizer(blob, dummy_prefix=True, strip_extra=True)
+    return units.nbytes.to_bytes(4, "little") + units.tobytes() + strings
+
+
+def test_a_model_with_a_character_map(spark, tmp_path):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    model.trainer_spec.model_type = model.trainer_spec.BPE
+    model.trainer_spec.unk_id, model.trainer_spec.bos_id, model.trainer_spec.eos_id, model.trainer_spec.pad_id = 0, 1, 2, -1
+    for text, kind in (("<unk>", 2), ("<s>", 3), ("</s>", 3)):
+        model.pieces.add(piece=text, score=0.0, type=kind)
+    for k, text in enumerate(["yz", "▁X", "▁yz", "▁", "X", "c", "y", "z", "é", "Xc"]):
+        model.pieces.add(piece=text, score=-float(k + 1), type=1)
+    spec = model.normalizer_spec
+    spec.name, spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces = "mapped", mapped_charsmap(), True, True, True
+    path = str(tmp_path / "mapped.model")
+    with open(path, "wb") as file:
+        file.write(model.SerializeToString())
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = np.random.default_rng(4)
+    texts = ["", " ", "  abc  a ", "ab", "é c", "qq ab", "a b", *("".join(rng.choice(list("abcyzXé q "), rng.integers(0, 30))) for _ in range(300))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in pieces.encode(frame, path).collect():
+        assert r.ids == library.encode(texts[r.doc_id]), texts[r.doc_id]
+        data = texts[r.doc_id].encode()
+        shown = [data[a:b].decode() for a, b in zip(r.starts, r.ends)]
+        assert r.starts == sorted(r.starts) and "".join(shown).replace(" ", "") == texts[r.doc_id].replace(" ", "")
+    got = {r.doc_id: r for r in pieces.digests(frame, path).collect()}
+    for k, text in enumerate(texts):
+        assert got[k].decoded_sha256 == hashlib.sha256(library.decode(library.encode(text)).encode()).hexdigest()
+
+
+def test_normalizer_aligns_mapped_texts():
+    normal = pieces.Normalizer(mapped_charsmap(), dummy_prefix=True, strip_extra=True)
     text, align = normal(b"  abc  a ")
     assert text == "▁Xc▁yz".encode()
     assert align.tolist() == [2, 2, 2, 2, 4, 5, 5, 5, 7, 7, 8]
