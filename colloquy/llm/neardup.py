@@ -11,14 +11,14 @@ survivors' full sets are fetched, and compared exactly.
 
 No bucket is expanded into rows for its pairs. First every member meets one other, the least id of all its
 buckets, and the components of the verified links are found. A bucket that then holds several components is
-open; its members outside its largest component are strays. In rounds, as long as they link an eighth of the
-strays, each bucket draws a pivot from its largest component, and each stray meets the pivot with which it
-shares the most buckets. What is open after that is compared in full: strays meet a bucket's others in blocks
-of BLOCK by BLOCK members, of which a hot bucket has many. A block compares signatures first; only members
-with a surviving pair go on to a second pass with their full sets, in the same blocks. A pair belongs to the
-first bucket it shares; pairs within a component are skipped, as are those that a block has linked meanwhile,
-so a block gives fewer links than it has members. The work left is strays times the others of their open
-buckets; near copies that link with little of their own group make it large.
+open; its members outside its largest component are strays. Each open bucket draws PIVOTS members of its
+largest component, and each stray meets as many of these at most, those with which it shares the most buckets.
+What is open after that is compared in full: strays meet a bucket's others in blocks of BLOCK by BLOCK members,
+of which a hot bucket has many. A block compares signatures first; only members with a surviving pair go on to
+a second pass with their full sets, in the same blocks. A pair belongs to the first bucket it shares; pairs
+within a component are skipped, as are those that a block has linked meanwhile, so a block gives fewer links
+than it has members. The work left is strays times the others of their open buckets; near copies that link
+with little of their own group make it large.
 
 * Null or empty texts, and those without a word, have an empty set and link with nothing; a text with
   fewer words than a shingle has one shingle, its whole sequence. Texts are read whole.
@@ -52,6 +52,7 @@ HASHES = BANDS * ROWS
 BATCH = 25
 MISS = 1e-8
 BLOCK = 128
+PIVOTS = 4
 #: Pairs of signatures that a worker compares at a time.
 PAIRS = 1 << 17
 
@@ -298,7 +299,7 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
         # full sets of all that have a candidate or a copy
         copies = linkable.join(classes.filter("n > 1").select(*KEY), KEY, "left_semi").select("doc_id", F.lit(True).alias("copy"))
         needed = cut(members.select(F.col("rep").alias("doc_id"), F.lit(False).alias("copy")).unionByName(copies).groupBy("doc_id").agg(F.max("copy").alias("copy")), "needed")
-        asked = texts.join(needed, "doc_id").select(F.struct("doc_id", "copy").alias("doc_id"), "text")
+        asked = texts.join(needed.hint("merge"), "doc_id").select(F.struct("doc_id", "copy").alias("doc_id"), "text")
         sets = T.map_texts(asked, "doc_id", "text", "n_shingles bigint, h1 bigint, h2 bigint, grams binary", _sketch(how.words, seed, True))
         facts = cut(sets.select("doc_id.*", *KEY, "grams").filter("n_shingles > 0"), "facts")
         drop(needed)
@@ -310,72 +311,62 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
     marks = cut(classes.select("rep", "signature").join(members.select("rep").distinct(), "rep", "left_semi"), "marks")
 
     def candidates(pairs: DataFrame) -> DataFrame:
-        side = lambda end, x: marks.select(F.col("rep").alias(end), F.col("signature").alias(x))
+        side = lambda end, x: marks.select(F.col("rep").alias(end), F.col("signature").alias(x)).hint("merge")
         return pairs.join(side("a", "s1"), "a").join(side("b", "s2"), "b").select("a", "b", "s1", "s2").mapInArrow(_pruned(how), f"a {id_type}, b {id_type}")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs, "survivors")
-        spent.append(pairs)
-        asked = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-        some = of_reps.join(asked, "rep", "left_semi")
-        side = lambda end, x: some.select(F.col("rep").alias(end), F.col("grams").alias(x))
+        side = lambda end, x: of_reps.select(F.col("rep").alias(end), F.col("grams").alias(x)).hint("merge")
         met = pairs.join(side("a", "g1"), "a").join(side("b", "g2"), "b").select("a", "b", "g1", "g2")
-        return met.mapInArrow(_verified(how), f"a {id_type}, b {id_type}, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
+        return met.mapInArrow(_verified(how), f"a {id_type}, b {id_type}, linked boolean").filter("linked").select("a", "b").distinct()
 
-    def join(links: DataFrame) -> int:
-        """Joins components by links; how many there were."""
+    def join(links: DataFrame) -> None:
+        """Joins components by verified links, a table that is removed."""
         nonlocal comps
-        n = links.count()
-        if n or comps is None:
-            before = comps
-            comps = components(links.unionByName(same) if before is None else links.unionByName(before.select(F.col("id").alias("a"), F.col("least").alias("b"))))
-            if before is not None:
-                drop(before)
-        return n
-
-    def test(pairs: DataFrame) -> int:
-        spent.append(cut(verify(candidates(pairs)).filter("linked").select("a", "b"), "linked"))
-        return join(spent[-1])
-
-    def opened() -> DataFrame:
-        """Members of buckets that hold several components, with what the bucket is cut into."""
-        placed = open_.select("bucket", "band", "rep").join(comps.select(F.col("id").alias("rep"), F.col("least").alias("comp")), "rep", "left").select("bucket", "band", "rep", F.coalesce("comp", "rep").alias("comp"))
+        before, links = comps, cut(links, "linked")
+        if before is None:
+            comps = components(links.unionByName(same))
+        elif not links.isEmpty():
+            comps = components(links.unionByName(before.select(F.col("id").alias("a"), F.col("least").alias("b"))))
+            drop(before)
+        drop(links)
+
+    def opened(some: DataFrame) -> DataFrame:
+        """Those of some members whose bucket holds several components, with what the bucket is cut into."""
+        placed = some.select("bucket", "band", "rep").join(comps.select(F.col("id").alias("rep"), F.col("least").alias("comp")), "rep", "left").select("bucket", "band", "rep", F.coalesce("comp", "rep").alias("comp"))
         counted = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
         mixed = counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
         mixed = mixed.select("bucket", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("top")) / BLOCK).cast("int").alias("stray_blocks"))
-        made = cut(placed.join(mixed, "bucket").withColumn("is_stray", F.col("comp") != F.col("largest")).drop("largest"), "open")
-        spent.append(made)
-        return made
+        return cut(placed.join(mixed, "bucket").withColumn("is_stray", F.col("comp") != F.col("largest")).drop("largest"), "open")
 
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     # rows of one id with several sets are one document
     several = linkable.groupBy("doc_id").agg(F.min(F.struct(*KEY)).alias("low"), F.max(F.struct(*KEY)).alias("high")).filter("low != high").select("doc_id")
     same = linkable.join(several, "doc_id").join(classes, KEY).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     comps = None
-    spent: list[DataFrame] = []
-    test(members.groupBy("rep").agg(F.min("least").alias("least")).filter("least != rep").select(*ordered("least", "rep")))
-    open_ = members
-    for k in itertools.count():
-        open_ = opened()
-        strays = open_.filter("is_stray").select("rep").distinct().count()
-        pivots = open_.filter("NOT is_stray").groupBy("bucket").agg(F.max_by("rep", F.xxhash64("rep", F.lit(k))).alias("pivot"))
-        shared = open_.filter("is_stray").join(pivots, "bucket").groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("n"))
-        met = shared.groupBy("rep").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot")).select(*ordered("rep", "pivot")).distinct()
-        if not strays or 8 * test(met) < strays:
-            break
+    join(verify(candidates(members.groupBy("rep").agg(F.min("least").alias("least")).filter("least != rep").select(*ordered("least", "rep")))))
+
+    open_ = opened(members)
+    drawn = F.array_distinct(F.array(*[F.max_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(PIVOTS)]))
+    pivots = open_.filter("NOT is_stray").groupBy("bucket").agg(drawn.alias("pivots"))
+    shared = open_.filter("is_stray").join(pivots, "bucket").select("rep", F.explode("pivots").alias("pivot")).groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("n"))
+    # (a stray is in BANDS buckets at most, so this list is short)
+    most = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("n", "pivot")))), 1, PIVOTS)
+    met = shared.groupBy("rep").agg(most.alias("most")).select("rep", F.explode("most").alias("m")).select(*ordered("rep", "m.pivot")).distinct()
+    join(verify(candidates(met)))
+
+    left = opened(open_)
     every, own = lambda n: F.sequence(F.lit(0), F.col(n) - 1), lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     # (each role is one entry of an array, so that signatures are joined and dealt out once)
     other = F.transform(every("stray_blocks"), lambda j: F.struct(own("blocks").alias("i"), j.alias("j"), F.lit(False).alias("as_stray")))
     stray = F.when(F.col("is_stray"), F.transform(every("blocks"), lambda i: F.struct(i.alias("i"), own("stray_blocks").alias("j"), F.lit(True).alias("as_stray"))))
     roles = F.explode(F.concat(other, F.coalesce(stray, F.array().cast("array<struct<i:int,j:int,as_stray:boolean>>"))))
-    rows = opened().join(marks, "rep").select("bucket", "band", "rep", "comp", "is_stray", "signature", roles.alias("r"))
+    rows = left.join(marks, "rep").select("bucket", "band", "rep", "comp", "is_stray", "signature", roles.alias("r"))
     blocks = rows.select("bucket", "r.i", "r.j", "r.as_stray", "is_stray", "band", "rep", "comp", "signature")
     role_type = f"bucket bigint, i int, j int, as_stray boolean, is_stray boolean, band tinyint, rep {id_type}, comp {id_type}"
     asking = cut(T.map_groups(blocks, ["bucket", "i", "j"], role_type, _asking(how)), "asking")
     sets = of_reps.join(asking.select("rep").distinct(), "rep", "left_semi").join(marks, "rep")
-    more = cut(T.map_groups(asking.join(sets, "rep"), ["bucket", "i", "j"], f"a {id_type}, b {id_type}", _linking(how)), "links")
-    join(more)
-    drop(members, facts, marks, asking, more, *spent)
+    join(T.map_groups(asking.join(sets.hint("merge"), "rep"), ["bucket", "i", "j"], f"a {id_type}, b {id_type}", _linking(how)))
+    drop(members, facts, marks, open_, left, asking)
 
     named = classes.select(*KEY, "rep").join(comps, F.col("rep") == F.col("id"), "left").select(*KEY, F.coalesce("least", "rep").alias("component_id"))
     joined = sketches.drop("signature").join(named, KEY, "left")
