@@ -2,8 +2,8 @@
 
 Each round is an aggregate (combined before its shuffle) and a join, so a node with very many links is
 no single task's work; links stay distributed and are written to the shared folder after each round, in
-place of the round's before. Rounds go on until one changes nothing; their number grows with the logarithm
-of the longest chain.
+place of the round's before. Rounds go on until every component is a star; their number grows with the
+logarithm of the longest chain.
 """
 
 from __future__ import annotations
@@ -27,14 +27,20 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return new.filter("a != b").distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether each node has one link to a lesser one at most, and that leads to a node without such a link."""
+    ends = links.select(F.col("a").alias("id"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(links.select(F.col("b").alias("id"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+    roles = ends.groupBy("id").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return roles.filter("below > 1 OR (below = 1 AND above = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """Of links (a, b): every id that is linked, with the least id reachable: (id, least). The result is a table of `cut`."""
-    links, before, now = cut(links.select("a", "b").filter("a != b").distinct(), "links"), None, ()
-    while now != before:
+    links = cut(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "links")
+    while not _settled(links):
         after = cut(_star(_star(links, True), False), "links")
         drop(links)
-        links, before = after, now
-        now = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        links = after
     ids = cut(links.select(F.col("a").alias("id"), F.col("b").alias("least")).unionByName(links.select(F.col("b").alias("id"), F.col("b").alias("least"))).distinct(), "components")
     drop(links)
     return ids

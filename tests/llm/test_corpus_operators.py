@@ -651,6 +651,17 @@ def test_components(spark):
     got = {r.id: r.least for r in graph.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 160)}, 300: 300, 301: 300}
     assert graph.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+    rng, links = np.random.default_rng(2), []
+    for g in range(60):  # random graphs of all densities
+        n = int(rng.integers(2, 25))
+        links += [(1000 * g + int(x), 1000 * g + int(y)) for x, y in rng.integers(0, n, (int(rng.integers(1, 2 * n)), 2))]
+    least = {x: x for pair in links for x in pair}
+    while any(least[a] != least[b] for a, b in links):
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    got = {r.id: r.least for r in graph.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert got == {x: least[x] for x in linked}
 
 
 # --- 9 language ID -------------------------------------------------------------------------------------
