@@ -36,20 +36,20 @@ from pyspark.sql import functions as F
 
 from colloquy.llm import textnum as T
 from colloquy.llm.eliasfano import U64, Cache, EliasFano, load, save, to_bytes
-from colloquy.llm.scratch import bound_batches, new_path, store_uri, tidy
+from colloquy.llm.scratch import MOST_BYTES, bound_batches, new_path, store_uri, tidy
 
 DISCOUNT = 0.75
 CUTOFFS = (1, 1, 1)
 PART_TOKENS = 1 << 21
 #: Texts for each part of the words, which are cut before any token has been counted.
-PART_TEXTS = 2000
+PART_TEXTS = 4000
 MAX_PARTS = 1 << 20
 SLOTS = 16
 #: Pairs of a context and a word are one number as long as they fit in so many bits, else two.
 KEY_BITS = 64
 PAIR = np.dtype([("context", U64), ("word", U64)])
-#: Texts taken together, in bytes: more of them ask a part more at a time.
-SLICE = 4 << 20
+#: Texts taken together, in bytes: a whole Arrow batch, as more of them ask a part more at a time.
+SLICE = 2 * MOST_BYTES
 HELD_KEYS = 3_000_000
 END = T.mix64(np.array([0xE0D], U64))[0]
 SEQUENCES = ("keys", "totals", "pointers", "successors")
@@ -183,11 +183,12 @@ class Trie:
                 out[own] = (totals.access(k + 1) - totals.access(k)).astype(np.int64)
         return out
 
-    def step(self, order: int, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of n-grams (context, word), -1 for unknown: node or -1, discounted probability, and the share left to the level below."""
+    def step(self, order: int, contexts: np.ndarray, words: np.ndarray, only_nodes: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of n-grams (context, word), -1 for unknown: node or -1, discounted probability, and the share left to the
+        level below (these two as if nothing were known, where only nodes are asked for)."""
         level, below = self.levels[order - 1], self.levels[order - 2]
         node, probability, rest = np.full(len(contexts), -1, np.int64), np.zeros(len(contexts)), np.ones(len(contexts))
-        known = np.flatnonzero(contexts >= 0)
+        known = np.flatnonzero((contexts >= 0) & (words >= 0)) if only_nodes else np.flatnonzero(contexts >= 0)
         if not len(known) or not len(level.uris):
             return node, probability, rest
         # each n-gram once, in order, so that a context is looked up once and memory is read in order
@@ -223,8 +224,11 @@ class Trie:
             found = held["successors"].find(word[own].astype(U64) + U64(1) + np.repeat(base, size), np.repeat(lo, size), np.repeat(hi, size))
             hit = np.flatnonzero(found >= 0)
             a_node[own[hit]] = found[hit] + level.bases[p]
-            a_probability[own[hit]] = CHANCES[held["bytes"][found[hit]]]
-        node[known], probability[known], rest[known] = a_node[back], a_probability[back], a_rest[back]
+            if not only_nodes:
+                a_probability[own[hit]] = CHANCES[held["bytes"][found[hit]]]
+        node[known] = a_node[back]
+        if not only_nodes:
+            probability[known], rest[known] = a_probability[back], a_rest[back]
         return node, probability, rest
 
 
@@ -261,12 +265,12 @@ class Tokens:
         return out
 
 
-def _walk(trie: Trie, tokens: Tokens, order: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+def _walk(trie: Trie, tokens: Tokens, order: int, only_nodes: bool = False) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
     """Numbers of the tokens; and for each level from 2 to `order` what Trie.step says of each token after its context."""
     words = trie.number(tokens.hashes)
     steps, context = [], tokens.before(words, trie.begin)
     for level in range(2, order + 1):
-        steps.append(trie.step(level, context, words))
+        steps.append(trie.step(level, context, words, only_nodes))
         context = tokens.before(steps[-1][0], -1)
     return words, steps
 
@@ -395,7 +399,7 @@ def _next_level(texts: DataFrame, levels: list[Level], n_texts: int, order: int,
 
         def work(part: T.Slice) -> np.ndarray:
             tokens = Tokens(part)
-            numbers, steps = _walk(trie, tokens, order - 1)
+            numbers, steps = _walk(trie, tokens, order - 1, only_nodes=True)
             contexts = tokens.before(numbers, trie.begin) if order == 2 else tokens.before(steps[-1][0], -1)
             at = np.flatnonzero((contexts >= 0) & (numbers >= 0))
             return pairs(contexts[at], numbers[at], below.nodes + 1, n_words, key_bits)
