@@ -335,8 +335,11 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
         placed = some.select("bucket", "band", "rep").join(comps.select(F.col("id").alias("rep"), F.col("least").alias("comp")), "rep", "left").select("bucket", "band", "rep", F.coalesce("comp", "rep").alias("comp"))
         counted = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
         mixed = counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-        mixed = mixed.select("bucket", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("top")) / BLOCK).cast("int").alias("stray_blocks"))
-        return cut(placed.join(mixed, "bucket").withColumn("is_stray", F.col("comp") != F.col("largest")).drop("largest"), "open")
+        # (aggregates are written before the joins, which then are of two plain shuffles; Spark can split a hot bucket's)
+        mixed = cut(mixed.select("bucket", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("top")) / BLOCK).cast("int").alias("stray_blocks")), "mixed")
+        made = cut(placed.join(mixed, "bucket").withColumn("is_stray", F.col("comp") != F.col("largest")).drop("largest"), "open")
+        drop(mixed)
+        return made
 
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     # rows of one id with several sets are one document
@@ -347,7 +350,7 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
 
     open_ = opened(members)
     drawn = F.array_distinct(F.array(*[F.max_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(PIVOTS)]))
-    pivots = open_.filter("NOT is_stray").groupBy("bucket").agg(drawn.alias("pivots"))
+    pivots = cut(open_.filter("NOT is_stray").groupBy("bucket").agg(drawn.alias("pivots")), "pivots")
     shared = open_.filter("is_stray").join(pivots, "bucket").select("rep", F.explode("pivots").alias("pivot")).groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("n"))
     # (a stray is in BANDS buckets at most, so this list is short)
     most = F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("n", "pivot")))), 1, PIVOTS)
@@ -366,7 +369,7 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
     asking = cut(T.map_groups(blocks, ["bucket", "i", "j"], role_type, _asking(how)), "asking")
     sets = of_reps.join(asking.select("rep").distinct(), "rep", "left_semi").join(marks, "rep")
     join(T.map_groups(asking.join(sets.hint("merge"), "rep"), ["bucket", "i", "j"], f"a {id_type}, b {id_type}", _linking(how)))
-    drop(members, facts, marks, open_, left, asking)
+    drop(members, facts, marks, open_, pivots, left, asking)
 
     named = classes.select(*KEY, "rep").join(comps, F.col("rep") == F.col("id"), "left").select(*KEY, F.coalesce("least", "rep").alias("component_id"))
     joined = sketches.drop("signature").join(named, KEY, "left")
