@@ -138,16 +138,14 @@ class EliasFano:
             low, high = np.maximum(low, lo[ask]), np.minimum(high, hi[ask])
         open_ = np.flatnonzero(low < high)
         ask, want, low, high = ask[open_], want[open_], low[open_], high[open_]
-        last = high.copy()
-        go = np.arange(len(ask))
-        while len(go):  # the least position whose low bits reach those wanted
+        go = np.flatnonzero(high - low > 1)
+        while len(go):  # the last position whose low bits don't exceed those wanted, or the first of the range
             mid = (low[go] + high[go]) >> 1
-            less = self._low(mid) < want[go]
-            low[go] = np.where(less, mid + 1, low[go])
-            high[go] = np.where(less, high[go], mid)
-            go = go[low[go] < high[go]]
-        got = np.flatnonzero(low < last)
-        got = got[self._low(low[got]) == want[got]]
+            reached = self._low(mid) <= want[go]
+            low[go] = np.where(reached, mid, low[go])
+            high[go] = np.where(reached, high[go], mid)
+            go = go[high[go] - low[go] > 1]
+        got = np.flatnonzero(self._low(low) == want)
         out[ask[got]] = low[got]
         return out
 

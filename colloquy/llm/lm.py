@@ -199,33 +199,38 @@ class Trie:
         size = np.diff(np.append(head, len(context)))
         slot = slot_of(below, context[head])
         part = np.repeat(level.first_part[slot], size) + np.where(word == unknown, 0, word) * np.repeat(level.splits[slot], size) // (self.begin + 1)
-        order_ = np.argsort(part, kind="stable")
-        cuts = np.flatnonzero(np.diff(part[order_], prepend=-1, append=-1))
+        order_ = None
+        if (part[1:] < part[:-1]).any():  # only where slots are split by word
+            order_ = np.argsort(part, kind="stable")
+            context, word, part = context[order_], word[order_], part[order_]
+        cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
         a_node, a_probability, a_rest = np.full(len(asked), -1, np.int64), np.zeros(len(asked)), np.ones(len(asked))
         for begin, end in zip(cuts[:-1], cuts[1:]):
-            own = order_[begin:end]
-            p = int(part[own[0]])
+            p = int(part[begin])
             kept = self.kept(order, p)
             if kept is None:
                 continue
-            head = np.flatnonzero(np.diff(context[own], prepend=-1))
-            size = np.diff(np.append(head, len(own)))
-            at = context[own[head]] - kept[0]
+            head = np.flatnonzero(np.diff(context[begin:end], prepend=-1))
+            size = np.diff(np.append(head, end - begin))
+            at = context[begin + head] - kept[0]
             mass = kept[1][at]
-            a_rest[own] = np.repeat(1 - mass, size)
+            if not only_nodes:
+                a_rest[begin:end] = np.repeat(1 - mass, size)
             held = self.part(order, p)
             if held is None:
                 continue
-            some = mass > 0
+            some, own = mass > 0, np.arange(begin, end)
             if not some.all():  # contexts that nothing follows
                 at, size, own = at[some], size[some], own[np.repeat(some, size)]
             lo, hi = held["pointers"].access(at).astype(np.int64), held["pointers"].access(at + 1).astype(np.int64)
-            base = _base(held["successors"], lo)
-            found = held["successors"].find(word[own].astype(U64) + U64(1) + np.repeat(base, size), np.repeat(lo, size), np.repeat(hi, size))
+            first = _base(held["successors"], lo) + U64(1)
+            found = held["successors"].find(word[own].astype(U64) + np.repeat(first, size), np.repeat(lo, size), np.repeat(hi, size))
             hit = np.flatnonzero(found >= 0)
             a_node[own[hit]] = found[hit] + level.bases[p]
             if not only_nodes:
                 a_probability[own[hit]] = CHANCES[held["bytes"][found[hit]]]
+        if order_ is not None:
+            back = np.argsort(order_)[back]
         node[known] = a_node[back]
         if not only_nodes:
             probability[known], rest[known] = a_probability[back], a_rest[back]
