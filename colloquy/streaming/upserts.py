@@ -13,7 +13,7 @@ from colloquy.sources import files
 
 
 class KeyedTable:
-    """The latest row of each key, as Parquet in one folder, in BUCKETS parts by key.
+    """The latest row of each key, as Parquet in one folder, in BUCKETS parts by key (a number that must stay for a folder).
 
     A batch reads and writes the buckets that its keys fall into, beside those of the batches before, and then
     commits by a manifest, which says where each bucket is. What isn't in a manifest isn't in the table, so a
@@ -21,7 +21,7 @@ class KeyedTable:
     last manifest, and a batch that was committed isn't run again. The last KEEP manifests and their files stay.
     """
 
-    BUCKETS = 64
+    BUCKETS = 16
     KEEP = 2
 
     def __init__(self, spark: SparkSession, folder: str, key: str, order: list[str]):
