@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import chat, exact, langid, licenses, lm, mixing, neardup, passages, pieces, quality
+from colloquy.llm import chat, exact, importance, langid, licenses, lm, manifest, mixing, neardup, packing, passages, pieces, quality
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,5 +66,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op3_substring_dedup, op4_chat_format, op5_sentencepiece, op6_lm_scoring, op7_license_scan, op8_near_dedup, op9_language_id, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.ORACLE, "op3_substring_dedup": passages.ORACLE, "op4_chat_format": chat.ORACLE, "op8_near_dedup": neardup.ORACLE}
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = documents(spark, sf_dir).select(*fields)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    seen = manifest.leaf(*[F.when(tampered, F.translate("text", "\n", "")).otherwise(F.col("text")) if c == "text" else F.col(c) for c in fields])
+    found = manifest.folded(manifest.build(docs, fields, group_col="source", order_col="doc_id", along={"seen": seen}), "seen")
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.assign(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mixing, op2_exact_dedup, op3_substring_dedup, op4_chat_format, op5_sentencepiece, op6_lm_scoring, op7_license_scan, op8_near_dedup, op9_language_id, op10_quality_rules, op11_packing, op12_merkle_manifest, op13_importance_resampling)}
+ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.ORACLE, "op3_substring_dedup": passages.ORACLE, "op4_chat_format": chat.ORACLE, "op8_near_dedup": neardup.ORACLE, "op12_merkle_manifest": manifest.ORACLE, "op13_importance_resampling": importance.ORACLE}
