@@ -7,7 +7,7 @@ bucket without gaps: each task counts its own pieces of each length, and the cou
 task and length) give the offsets. So a range of sequence ids is a run of sequences of equal length.
 
 Ids are the library's. Byte-level BPE merges only inside the tokens of its first split, and that split always
-ends where a letter is followed by something that isn't one; texts are cut there, each distinct piece is encoded
+ends in places such as between a letter and something that isn't one; texts are cut there, each distinct piece is encoded
 once, and what is held is bounded however long a text is. Only characters whose class hasn't changed since
 Unicode 3.2 make a cut, so it doesn't depend on the library's version of Unicode. A tokenizer whose split isn't
 that one encodes whole texts.
@@ -20,6 +20,7 @@ that one encodes whole texts.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import unicodedata
@@ -39,31 +40,39 @@ from colloquy.llm.scratch import bound_batches, cut
 MOST = 2048
 END = 1
 #: Distinct pieces of text that a worker keeps, and their bytes.
-KEPT, KEPT_BYTES = 1 << 18, 32 << 20
+KEPT, KEPT_BYTES = 1 << 20, 32 << 20
 
-LETTER, OTHER = 1, 2
+#: Classes of characters; a mark is punctuation or a symbol.
+LETTER, NUMBER, MARK, BLANK, BREAK = 1, 2, 3, 4, 5
 
 
 @lru_cache(1)
 def _classes() -> np.ndarray:
-    """For each code point: LETTER or OTHER where Unicode 3.2 and this Python agree on it, else 0."""
+    """The class of each code point, where Unicode 3.2 and this Python agree on it, else 0."""
     out = np.zeros(0x110000, np.uint8)
+    kinds = {"L": LETTER, "N": NUMBER, "P": MARK, "S": MARK}
     for cp in range(0x10000):
         old, new = unicodedata.ucd_3_2_0.category(chr(cp)), unicodedata.category(chr(cp))
-        if old[0] == new[0] and old not in ("Cn", "Cs", "Co"):
-            out[cp] = LETTER if new[0] == "L" else OTHER
+        out[cp] = kinds.get(new[0], 0) if old[0] == new[0] else 0
+    out[ord(" ")], out[[9, 10, 13]] = BLANK, BREAK
     return out
 
 
 def text_cuts(part: T.Slice) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes at which texts begin or a letter is followed by something else, and the end of all; how many each text has."""
-    leads = np.flatnonzero(T.LEADS[part.buf])
+    """Bytes at which texts begin or a token of the split surely ends, and the end of all; how many each text has.
+
+    A token ends between a letter and anything else, a mark and white space, a mark that isn't an apostrophe and a
+    letter, and a single line break (or a tab) and a letter or mark; of several, the last is split off by what follows."""
     points = np.frombuffer(part.buf.tobytes().decode().encode("utf-32-le"), "<u4")
     kind = _classes()[points]
-    inner = leads[1:][(kind[:-1] == LETTER) & (kind[1:] == OTHER)]
-    begins = part.offs[:-1][part.offs[1:] > part.offs[:-1]]
-    cuts = np.union1d(begins, inner)
-    return np.append(cuts, part.offs[-1]), np.bincount(part.text_of(cuts), minlength=part.n)
+    left, right = kind[:-1], kind[1:]
+    ends = (left == LETTER) & (right > LETTER) | (left == MARK) & ((right >= BLANK) | (right == LETTER) & (points[:-1] != 39))
+    ends[1:] |= (left[1:] == BREAK) & ((right[1:] == LETTER) | (right[1:] == MARK)) & (left[:-1] > 0) & (left[:-1] <= MARK)
+    is_cut = np.zeros(len(part.buf) + 1, bool)
+    is_cut[np.flatnonzero(T.LEADS[part.buf])[1:][ends]] = True
+    is_cut[part.offs] = True
+    cuts = np.flatnonzero(is_cut)
+    return cuts, np.diff(np.searchsorted(cuts, part.offs))
 
 
 class Ids:
@@ -81,39 +90,55 @@ class Ids:
         self.library.encode_special_tokens = True
         self.forget()
 
-    def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.held, self.ids, self.ends = 0, [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+    def forget(self, least: int = 0) -> None:
+        """Keeps the pieces that were used so often; least 0 forgets all."""
+        if not least:
+            self.number: dict[bytes, int] = {}
+            self.ids, self.ends, self.uses, self.held = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, np.int64), 0
+            return
+        keep = self.uses >= least
+        size = np.diff(self.ends)
+        pieces = [x for x, k in zip(self.number, keep.tolist()) if k]
+        self.ids, self.ends = self.ids[np.repeat(keep, size)], np.concatenate([[0], np.cumsum(size[keep])])
+        self.number, self.uses, self.held = dict(zip(pieces, itertools.count())), np.zeros(len(pieces), np.int64), sum(map(len, pieces))
 
     def _learn(self, new: list[bytes]) -> None:
+        ids, sizes = [self.ids], []
         for lo in range(0, len(new), 1024):
-            found = [np.array(e.ids, np.uint32) for e in self.library.encode_batch([x.decode() for x in new[lo : lo + 1024]], add_special_tokens=False)]
-            self.ids += found
-            self.ends.append(self.ends[-1][-1] + np.cumsum([len(x) for x in found]))
-        for x in new:
-            self.number[x] = len(self.number)
+            some = [x.decode() for x in new[lo : lo + 1024]]
+            if self.by_pieces:  # as given pieces of one text
+                found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
+                ids.append(np.array(found.ids, np.uint32))
+                sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+            else:
+                found = [e.ids for e in self.library.encode_batch(some, add_special_tokens=False)]
+                ids.append(np.fromiter(itertools.chain.from_iterable(found), np.uint32))
+                sizes.append(np.array([*map(len, found)]))
+        self.ids, self.ends = np.concatenate(ids), np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
         self.held += sum(map(len, new))
-        self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
 
     def __call__(self, part: T.Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids, text after text, and where each text's begin and end."""
-        if self.by_pieces:
-            cuts, n = text_cuts(part)
-        else:
-            full = part.offs[1:] > part.offs[:-1]
-            cuts, n = np.append(part.offs[:-1][full], part.offs[-1]), full.astype(np.int64)
-        data, at = part.buf.tobytes(), cuts.tolist()
-        pieces = [data[a:b] for a, b in zip(at[:-1], at[1:])]
+        cuts, n = text_cuts(part) if self.by_pieces else (np.unique(part.offs), np.minimum(np.diff(part.offs), 1))
+        spans = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(part.buf))])
+        spans = spans.dictionary_encode()
+        pieces, spot = spans.dictionary.to_pylist(), spans.indices.to_numpy()
         if len(self.number) > KEPT or self.held > KEPT_BYTES:
-            self.forget()
-        if new := [x for x in dict.fromkeys(pieces) if x not in self.number]:
-            self._learn(new)
-        which = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
-        ids, ends = self.ids[0], self.ends[0]
-        first, size = ends[which], ends[which + 1] - ends[which]
+            self.forget(2)
+            if len(self.number) > KEPT // 2 or self.held > KEPT_BYTES // 2:
+                self.forget()
+        known = np.fromiter(map(self.number.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+        if len(unknown := np.flatnonzero(known < 0)):
+            known[unknown] = len(self.number) + np.arange(len(unknown))
+            self._learn([pieces[k] for k in unknown.tolist()])
+        self.uses[known] += np.bincount(spot, minlength=len(known))
+        which = known[spot]
+        first, size = self.ends[which], self.ends[which + 1] - self.ends[which]
         total = np.concatenate([[0], np.cumsum(size)])
         where = np.arange(total[-1]) - np.repeat(total[:-1] - first, size)
-        return ids[where], total[np.concatenate([[0], np.cumsum(n)])]
+        return self.ids[where], total[np.concatenate([[0], np.cumsum(n)])]
 
 
 @lru_cache(4)
@@ -157,7 +182,7 @@ def pieces(docs: DataFrame, path: str, *, most: int = MOST, end: int = END, with
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, seen, part_id = _tokenizer(path), {}, TaskContext.get().partitionId()
         for batch in batches:
-            for part in T.slices(batch.column(1), 1 << 18):
+            for part in T.slices(batch.column(1), 1 << 20):
                 found, offs = tokenizer(part)
                 ids = np.insert(found, offs[1:], end).astype("<u4")  # each document's, then its end
                 lengths = np.diff(offs) + 1
