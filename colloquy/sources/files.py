@@ -46,8 +46,20 @@ def put(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> No
         out.close()
 
 
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a file if there is none; of several writers one does. Whether this one did."""
+    try:
+        put(spark, path, text, overwrite=False)
+    except Exception:
+        if exists(spark, path):
+            return False
+        raise
+    return True
+
+
 def get(spark: SparkSession, path: str) -> str:
-    return spark.read.text(path, wholetext=True).first()[0]
+    first = spark.read.text(path, wholetext=True).first()
+    return first[0] if first else ""
 
 
 def shared_folder(spark: SparkSession, what: str) -> str:
