@@ -22,6 +22,8 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +36,8 @@ from colloquy.sources import files
 BUCKETS = 16
 #: Up to so many hashes go to the index as a list, which Parquet's own ranges answer, and for a few its Bloom filters.
 LISTED = 1000
-#: A part is compacted beyond so many runs, or this share of dead rows.
-RUNS, DEAD = 16, 0.3
+#: A part is compacted beyond so many runs, or this share of dead rows if these are so many.
+RUNS, DEAD, LEAST_DEAD = 16, 0.5, 10_000
 DRAFTS, VERSIONS = "drafts", "versions"
 INDEX_ROWS, DEAD_ROWS = StructType().add("h", LongType()), StructType().add("h", LongType()).add("of", StringType())
 
@@ -112,10 +114,19 @@ class Transaction:
 
     def _load(self, name: str, kind: str, held: dict[str, list[str]], schema: StructType) -> DataFrame | None:
         """The runs of some parts, with __run and __bucket; None if there are none."""
-        at = f"{self.folder.path}/{name}/{kind}"
-        paths = [f"{at}/__run={run}/__bucket={b}" for b, runs in held.items() for run in runs]
+        at, parts = f"{self.folder.path}/{name}/{kind}", {}
+        for b, runs in held.items():
+            for run in runs:
+                parts.setdefault(run, []).append(int(b))
+        if not parts:
+            return None
         whole = StructType([*schema.fields]).add("__run", StringType()).add("__bucket", IntegerType())
-        return self.spark.read.schema(whole).option("basePath", at).parquet(*paths) if paths else None
+        alike: dict[tuple[int, ...], list[str]] = {}
+        for run, buckets in parts.items():
+            alike.setdefault(tuple(sorted(buckets)), []).append(run)
+        # (both are partition columns, so files of other parts aren't read)
+        wanted = reduce(or_, [F.col("__run").isin(runs) & F.col("__bucket").isin([*buckets]) for buckets, runs in alike.items()])
+        return self.spark.read.schema(whole).option("basePath", at).parquet(*[f"{at}/__run={run}" for run in parts]).filter(wanted)
 
     def _dead(self, name: str, buckets: Iterable[str]) -> DataFrame | None:
         parts = self._table(name)["parts"]
@@ -135,10 +146,10 @@ class Transaction:
         rows = self._alive(name, {b: part["runs"] for b, part in table["parts"].items()})
         return self.spark.createDataFrame([], schema) if rows is None else rows.select(*map(_quoted, schema.names))
 
-    def _matched(self, name: str, keys: DataFrame, buckets: list[str]) -> DataFrame | None:
+    def _matched(self, name: str, keys: DataFrame, buckets: Iterable[str]) -> DataFrame | None:
         """Rows with one of the keys (a column of the key's name), with __run and __bucket; reads the parts' index and the
-        runs that it names."""
-        table = self._table(name)
+        runs that it names. `dying` has how many there are in each part."""
+        table, self.dying = self._table(name), {}
         held = {b: table["parts"][b]["runs"] for b in buckets if b in table["parts"]}
         index = self._load(name, "index", held, INDEX_ROWS)
         if index is None:
@@ -150,8 +161,9 @@ class Transaction:
         if (dead := self._dead(name, held)) is not None:
             hits = hits.join(dead, (F.col("h") == F.col("__gone")) & (F.col("__run") == F.col("__of")), "left_anti")
         runs: dict[str, list[str]] = {}
-        for r in hits.select("__bucket", "__run").distinct().collect():  # at most the touched parts' runs
+        for r in hits.groupBy("__bucket", "__run").count().collect():  # at most the touched parts' runs
             runs.setdefault(str(r[0]), []).append(r[1])
+            self.dying[str(r[0])] = self.dying.get(str(r[0]), 0) + r[2]
         rows = self._alive(name, runs) if runs else None
         return None if rows is None else rows.join(wanted, _quoted(table["key"]) == F.col("__wanted"), "left_semi")
 
@@ -167,52 +179,51 @@ class Transaction:
         rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def _taken(self, name: str, rows: DataFrame) -> tuple[DataFrame, list[str]]:
-        """rows, staged, and the parts that they fall into; the table has their columns from now on."""
+    def _taken(self, name: str, rows: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+        """rows, staged, and how many fall into each part; the table has their columns from now on."""
         table = self._table(name)
         kept = self._stage(rows)
-        buckets = sorted(str(r[0]) for r in kept.select(_bucket(table)).distinct().collect())
-        self.touched |= {(name, b) for b in buckets}
+        sizes = {str(r[0]): r[1] for r in kept.groupBy(_bucket(table).alias("b")).count().collect()}
+        self.touched |= {(name, b) for b in sizes}
         self._change(name, schema=_wider(table["schema"], rows.schema.jsonValue()))
-        return kept, buckets
+        return kept, sizes
 
-    def _add(self, name: str, rows: DataFrame | None, dead: DataFrame | None) -> None:
-        """A run of rows and their index, and the places of the rows (with __run and __bucket) that are dead now."""
+    def _add(self, name: str, rows: DataFrame | None, sizes: dict[str, int], keys: DataFrame, dead: DataFrame | None) -> None:
+        """A run of rows, so many in each part, with the index of their keys, and the places of the rows (with __run and
+        __bucket) that are dead now."""
         table, run = self._table(name), uuid.uuid4().hex
         parts = dict(table["parts"])
         at = lambda kind: f"{self.folder.path}/{name}/{kind}/__run={run}"
-        h = _hash(table["key"])
-
-        def count(kind: str, schema: StructType, n: str) -> int:
-            found = self.spark.read.schema(StructType([*schema.fields]).add("__bucket", IntegerType())).parquet(at(kind)).groupBy("__bucket").count().collect()
-            for r in found:
-                old = parts.get(str(r[0]), {"runs": [], "dead": [], "n": 0, "n_dead": 0})
-                which = "runs" if n == "n" else "dead"
-                parts[str(r[0])] = old | {which: [*old[which], run], n: old[n] + r[1]}
-            return sum(r[1] for r in found)
-
-        if rows is not None:
-            placed = rows.withColumn("__bucket", _bucket(table)).repartition("__bucket")
-            placed.write.partitionBy("__bucket").parquet(at("rows"))
-            back = self.spark.read.schema(placed.schema).parquet(at("rows"))
-            index = back.select(h.alias("h"), "__bucket").repartition("__bucket").sortWithinPartitions("__bucket", "h")
+        h, bucket = _hash(table["key"]).alias("h"), _bucket(table).alias("__bucket")
+
+        def note(which: str, n: str, counts: dict[str, int]) -> None:
+            for b, k in counts.items():
+                old = parts.get(b, {"runs": [], "dead": [], "n": 0, "n_dead": 0})
+                parts[b] = old | {which: [*old[which], run], n: old[n] + k}
+
+        if rows is not None and sizes:
+            rows.withColumn("__bucket", bucket).repartition("__bucket").write.partitionBy("__bucket").parquet(at("rows"))
+            index = keys.select(h, bucket).repartition("__bucket").sortWithinPartitions("__bucket", "h")
             index.write.options(**{"parquet.bloom.filter.enabled#h": "true", "parquet.bloom.filter.adaptive.enabled": "true"}).partitionBy("__bucket").parquet(at("index"))
-            self.written += count("rows", rows.schema, "n")
+            note("runs", "n", sizes)
+            self.written += sum(sizes.values())
         if dead is not None:
-            dead.select(h.alias("h"), F.col("__run").alias("of"), "__bucket").repartition("__bucket").write.partitionBy("__bucket").parquet(at("dead"))
-            count("dead", DEAD_ROWS, "n_dead")
+            dead.select(h, F.col("__run").alias("of"), "__bucket").repartition("__bucket").write.partitionBy("__bucket").parquet(at("dead"))
+            note("dead", "n_dead", self.dying)
         self._change(name, parts=parts)
 
     def merge(self, name: str, source: DataFrame, *, set_: Iterable[str] = (), coalesce: Iterable[str] = (), insert_only: Iterable[str] = ()) -> None:
         """`operators.merge.merge` on the table: reads the runs that hold a key of source, writes one of source's rows."""
-        kept, buckets = self._taken(name, source)
+        kept, sizes = self._taken(name, source)
+        if not sizes:
+            return
         table = self._table(name)
         schema = StructType.fromJson(table["schema"])
-        old = self._matched(name, kept, buckets)
+        old = self._matched(name, kept, sizes)
         target = self.spark.createDataFrame([], schema) if old is None else old.select(*map(_quoted, schema.names))
         made = merge(target, kept, table["key"], set_=set_, coalesce=coalesce, insert_only=insert_only)
         # (the filter also works out `_op`, which refuses keys that match twice)
-        self._add(name, made.filter("_op != 'keep'").drop("_op"), old)
+        self._add(name, made.filter("_op != 'keep'").drop("_op"), sizes, kept, old)
 
     def upsert(self, name: str, source: DataFrame, order: list[str] | None = None) -> None:
         """Rows of source in place of those with the same keys, whose other columns stay. With `order`, the latest row of
@@ -221,39 +232,45 @@ class Transaction:
         if order is None:
             self.merge(name, source, set_=[c for c in source.columns if c != key])
             return
-        kept, buckets = self._taken(name, source)
+        kept, sizes = self._taken(name, source)
+        if not sizes:
+            return
         names = StructType.fromJson(self._table(name)["schema"]).names
-        old = self._matched(name, kept, buckets)
+        old = self._matched(name, kept, sizes)
         both = kept if old is None else old.select(*map(_quoted, names)).unionByName(kept, allowMissingColumns=True)
-        self._add(name, latest_wins(both.select(*[_quoted(c) if c in both.columns else F.lit(None).alias(c) for c in names]), [key], order), old)
+        latest = latest_wins(both.select(*[_quoted(c) if c in both.columns else F.lit(None).alias(c) for c in names]), [key], order)
+        self._add(name, latest, sizes, kept.select(_quoted(key)).distinct(), old)
 
     def delete(self, name: str, keys: DataFrame) -> None:
         """Rows whose key is in the one column of keys are dead; nothing is rewritten."""
-        kept, buckets = self._taken(name, keys.toDF(self._table(name)["key"]))
-        if (old := self._matched(name, kept, buckets)) is not None:
-            self._add(name, None, old)
+        kept, sizes = self._taken(name, keys.toDF(self._table(name)["key"]))
+        if sizes and (old := self._matched(name, kept, sizes)) is not None:
+            self._add(name, None, {}, kept, old)
 
     def append_unique(self, name: str, rows: DataFrame) -> None:
         """Adds rows, or none of them: Refused if a key is in the table already, or twice in rows. Reads only the index,
         and, for hashes that are there, the rows."""
-        kept, buckets = self._taken(name, rows)
+        kept, sizes = self._taken(name, rows)
         key = self._table(name)["key"]
+        if not sizes:
+            return
         if twice := violations(kept.filter(_quoted(key).isNotNull()), key).limit(3).collect():
             raise Refused(f"{name}: keys given twice, such as {[r[0] for r in twice]}")
-        known = self._matched(name, kept, buckets)
+        known = self._matched(name, kept, sizes)
         if known is not None and (there := known.select(_quoted(key)).limit(3).collect()):
             raise Refused(f"{name}: keys that are there already, such as {[r[0] for r in there]}")
-        self._add(name, kept, None)
+        self._add(name, kept, sizes, kept, None)
 
     def compact(self, name: str, runs: int = RUNS, dead: float = DEAD) -> list[str]:
         """Rewrites the parts that have more runs, or a greater share of dead rows; gives these parts."""
         parts = self._table(name)["parts"]
-        wanted = [b for b, p in parts.items() if len(p["runs"]) > runs or p["n_dead"] > dead * p["n"]]
+        wanted = [b for b, p in parts.items() if len(p["runs"]) > runs or p["n_dead"] > max(dead * p["n"], LEAST_DEAD)]
         if wanted:
-            rows = self._stage(self._alive(name, {b: parts[b]["runs"] for b in wanted}).drop("__run", "__bucket"))
-            self.touched |= {(name, b) for b in wanted}
+            alive = self._alive(name, {b: parts[b]["runs"] for b in wanted}).drop("__run", "__bucket")
             self._change(name, parts={b: p for b, p in parts.items() if b not in wanted})
-            self._add(name, rows, None)
+            rows, sizes = self._taken(name, alive)
+            self.touched |= {(name, b) for b in wanted}
+            self._add(name, rows, sizes, rows, None)
         return wanted
 
     # --- the end
