@@ -13,12 +13,14 @@ No bucket is expanded into rows for its pairs. First every member meets one othe
 buckets, and the components of the verified links are found. A bucket that then holds several components is
 open; its members outside its largest component are strays. Each open bucket draws PIVOTS members of its
 largest component, and each stray meets as many of these at most, those with which it shares the most buckets.
-What is open after that is compared in full: strays meet a bucket's others in blocks of BLOCK by BLOCK members,
-of which a hot bucket has many. A block compares signatures first; only members with a surviving pair go on to
-a second pass with their full sets, in the same blocks. A pair belongs to the first bucket it shares; pairs
-within a component are skipped, as are those that a block has linked meanwhile, so a block gives fewer links
-than it has members. The work left is strays times the others of their open buckets; near copies that link
-with little of their own group make it large.
+What is open after that first passes an exact prefix filter: of members whose rarest shingles no other component has,
+as in families that share a boilerplate and no more, none can have a link left, and none is looked at again. The others
+are compared in full: strays meet a bucket's others in blocks of BLOCK by BLOCK members, of which a hot bucket has
+many. A block compares signatures first; only members with a surviving pair go on to a second pass with their full
+sets, in the same blocks. A pair belongs to the first bucket it shares; pairs within a component are skipped, as are
+those that a block has linked meanwhile, so a block gives fewer links than it has members. The work left is strays
+times the others of their open buckets, for members that share rare shingles with another component without being
+similar to it.
 
 * Null or empty texts, and those without a word, have an empty set and link with nothing; a text with
   fewer words than a shingle has one shingle, its whole sequence. Texts are read whole.
@@ -282,6 +284,39 @@ def _linking(how: Similar):
     return work
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rep, comp, full set) to a row for each shingle."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):
+            rows = batch.slice(lo, 256)
+            sets = [np.frombuffer(x.as_py(), np.int64) for x in rows.column(2)]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            at = pa.array(np.repeat(np.arange(len(sets)), sizes))
+            yield pa.RecordBatch.from_arrays([rows.column(0).take(at), rows.column(1).take(at), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate(sets))], ["rep", "comp", "size", "gram"])
+
+
+def _able(open_: DataFrame, of_reps: DataFrame, how: Similar) -> DataFrame:
+    """Those of some members that may still be similar to one of another component, by a prefix filter: (rep), a table of `cut`.
+
+    Take all shingles in one order. Two sets that share percent/100 of their union share a shingle among the first
+    n - ceil(percent * n / 100) + 1 of each. The order here has those first that only one component has, then the
+    others from rare to common; only the latter can be shared with another component."""
+    comp_type = open_.schema["comp"].dataType.simpleString()
+    members = open_.select("rep", "comp").distinct()
+    rows = cut(members.join(of_reps.hint("merge"), "rep").select("rep", "comp", "grams").mapInArrow(_shingle_rows, f"rep {comp_type}, comp {comp_type}, size bigint, gram bigint"), "shingles")
+    several = lambda r: r.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high").select("gram", "n")
+    spread = cut(several(rows), "spread")
+    # (a row for each document, with its own shingles)
+    mine = rows.join(spread.hint("merge"), "gram").groupBy("rep", "comp", "size").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("grams"))
+    own = F.col("size") - F.size("grams")
+    room = F.col("size") - F.floor((how.percent * F.col("size") + 99) / 100) + 1 - own
+    first = cut(mine.filter(room > 0).select("rep", "comp", F.explode(F.slice("grams", F.lit(1), room.cast("int"))["gram"]).alias("gram")), "first")
+    met = cut(several(first), "met")
+    able = cut(first.join(met.select("gram").hint("merge"), "gram", "left_semi").select("rep").distinct(), "able")
+    drop(rows, spread, first, met)
+    return able
+
+
 def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, kept."""
     bound_batches(docs.sparkSession)
@@ -293,8 +328,10 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
         classes = cut(linkable.groupBy(*KEY).agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.count(F.lit(1)).alias("n")), "classes")
 
         banded = classes.select("rep", "signature").mapInArrow(_bands, f"bucket bigint, band tinyint, rep {id_type}")
-        shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("least")).filter("n > 1").select("bucket", "least")
+        # (aggregates are written before the joins, which then are of two plain shuffles; Spark can split a hot bucket's)
+        shared = cut(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("least")).filter("n > 1").select("bucket", "least"), "shared")
         members = cut(banded.join(shared, "bucket").select("bucket", "band", "rep", "least"), "members")
+        drop(shared)
 
         # full sets of all that have a candidate or a copy
         copies = linkable.join(classes.filter("n > 1").select(*KEY), KEY, "left_semi").select("doc_id", F.lit(True).alias("copy"))
@@ -335,7 +372,6 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
         placed = some.select("bucket", "band", "rep").join(comps.select(F.col("id").alias("rep"), F.col("least").alias("comp")), "rep", "left").select("bucket", "band", "rep", F.coalesce("comp", "rep").alias("comp"))
         counted = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
         mixed = counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-        # (aggregates are written before the joins, which then are of two plain shuffles; Spark can split a hot bucket's)
         mixed = cut(mixed.select("bucket", "largest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("top")) / BLOCK).cast("int").alias("stray_blocks")), "mixed")
         made = cut(placed.join(mixed, "bucket").withColumn("is_stray", F.col("comp") != F.col("largest")).drop("largest"), "open")
         drop(mixed)
@@ -357,7 +393,9 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
     met = shared.groupBy("rep").agg(most.alias("most")).select("rep", F.explode("most").alias("m")).select(*ordered("rep", "m.pivot")).distinct()
     join(verify(candidates(met)))
 
-    left = opened(open_)
+    open_left = opened(open_)
+    able = _able(open_left, of_reps, how)
+    left = opened(open_left.join(able.hint("merge"), "rep", "left_semi"))
     every, own = lambda n: F.sequence(F.lit(0), F.col(n) - 1), lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     # (each role is one entry of an array, so that signatures are joined and dealt out once)
     other = F.transform(every("stray_blocks"), lambda j: F.struct(own("blocks").alias("i"), j.alias("j"), F.lit(False).alias("as_stray")))
@@ -369,7 +407,7 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
     asking = cut(T.map_groups(blocks, ["bucket", "i", "j"], role_type, _asking(how)), "asking")
     sets = of_reps.join(asking.select("rep").distinct(), "rep", "left_semi").join(marks, "rep")
     join(T.map_groups(asking.join(sets.hint("merge"), "rep"), ["bucket", "i", "j"], f"a {id_type}, b {id_type}", _linking(how)))
-    drop(members, facts, marks, open_, pivots, left, asking)
+    drop(members, facts, marks, open_, pivots, open_left, able, left, asking)
 
     named = classes.select(*KEY, "rep").join(comps, F.col("rep") == F.col("id"), "left").select(*KEY, F.coalesce("least", "rep").alias("component_id"))
     joined = sketches.drop("signature").join(named, KEY, "left")

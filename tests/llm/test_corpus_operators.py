@@ -856,3 +856,22 @@ def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         scratch.shared_dir(Remote)
+
+
+def test_near_dedup_families_that_share_a_boilerplate_make_no_blocks(spark, monkeypatch):
+    """Pairs of one family share two thirds of their shingles and rare ones with nobody, so none is looked at in blocks; all links are found."""
+    met, real = [], T.map_groups
+    monkeypatch.setattr(T, "map_groups", lambda df, *a: (met.append(df.count()), real(df, *a))[1])
+    common, count = prose(200), 300
+    own = [prose(100) for _ in range(count)]
+    near = [f"{x} {' '.join(y.split()[:-2])}" for x, y in zip([common] * 20, own)]
+    rows = [(k, f"{common} {x}") for k, x in enumerate(own)] + [(1000 + k, x) for k, x in enumerate(near)]
+    got = {r.doc_id: r.component_id for r in neardup.assign(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), neardup.Similar(1, 80)).collect()}
+    assert all(got[1000 + k] == got[k] for k in range(20))
+    sets = {k: set(lower(x).split()) for k, x in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    least = {k: k for k in sets}
+    for _ in range(9):
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    assert got == least and sum(met) <= 5 * len(rows)
