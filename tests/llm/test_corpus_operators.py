@@ -862,8 +862,8 @@ def test_near_dedup_families_that_share_a_boilerplate_make_no_blocks(spark, monk
     """Pairs of one family share two thirds of their shingles and rare ones with nobody, so none is looked at in blocks; all links are found."""
     met, real = [], T.map_groups
     monkeypatch.setattr(T, "map_groups", lambda df, *a: (met.append(df.count()), real(df, *a))[1])
-    common, count = prose(200), 300
-    own = [prose(100) for _ in range(count)]
+    common, count = " ".join(f"c{j}" for j in range(200)), 300
+    own = [" ".join(f"w{k}x{j}" for j in range(100)) for k in range(count)]
     near = [f"{x} {' '.join(y.split()[:-2])}" for x, y in zip([common] * 20, own)]
     rows = [(k, f"{common} {x}") for k, x in enumerate(own)] + [(1000 + k, x) for k, x in enumerate(near)]
     got = {r.doc_id: r.component_id for r in neardup.assign(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), neardup.Similar(1, 80)).collect()}
