@@ -7,7 +7,9 @@ the forward algorithm. A text is given the language with the largest product of
 probabilities; the score is that language's posterior.
 
 A word is a run without white space, of any length: sums are carried from byte to byte, with a scale of their
-own, and only as many bytes back as the longest piece has. So a text without spaces is one lattice.
+own, and only as many bytes back as the longest piece has. So a text without spaces is one lattice. Where no piece
+spans a place, its sum is that of what is before times that of what is behind; long words are cut there, which changes
+nothing, and their parts are walked side by side.
 
 * The sample: about SAMPLE rows of each language, by a hash of the id. Priors come from all labelled rows.
   Rows with a null language teach nothing. Each language is learned by a task of its own and is a file in the
@@ -41,6 +43,8 @@ SMOOTHING = 0.02
 CELLS = 1 << 18
 #: Sums are scaled anew every so many bytes.
 RESCALE = 16
+#: Words of more bytes are cut where no piece spans.
+LONG = 32
 
 LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = True
@@ -136,13 +140,58 @@ def blocks(size: np.ndarray) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def forward(pieces: Pieces, buf: np.ndarray, starts: np.ndarray, size: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    """log probability [word, language] of words, longest first, all segmentations together; theta[piece, language]."""
+@dataclass
+class Parts:
+    """Words, cut where no piece spans: spans of a buffer, longest first, each with its word and whether it begins it."""
+
+    starts: np.ndarray
+    size: np.ndarray
+    word: np.ndarray
+    begins: np.ndarray
+
+    def some(self, lo: int, hi: int) -> Parts:
+        return Parts(self.starts[lo:hi], self.size[lo:hi], self.word[lo:hi], self.begins[lo:hi])
+
+
+def parts(pieces: Pieces, buf: np.ndarray, starts: np.ndarray, size: np.ndarray) -> Parts:
+    """Of words that don't overlap, longest first: those longer than LONG in parts, the others whole."""
+    whole = Parts(starts, size, np.arange(len(size)), np.ones(len(size), bool))
+    n = int(np.searchsorted(-size, -LONG, side="left"))
+    if not n:
+        return whole
+    edges, inner = np.zeros(len(buf) + 1, np.int32), np.zeros(len(buf) + 1, np.int32)
+    np.add.at(inner, starts[:n] + 1, 1)
+    np.add.at(inner, starts[:n] + size[:n], -1)
+    for lo, hi in _groups(size[:n]):
+        own = starts[lo:hi], size[lo:hi]
+        for found in (pieces.first_arcs(buf, *own), *(pieces.arcs(buf, *own, a, b) for a, b in blocks(own[1]))):
+            for length, (place, word, _) in enumerate(found, 1):
+                if length > 1:
+                    np.add.at(edges, own[0][word] + place + 1, 1)
+                    np.add.at(edges, own[0][word] + place + length, -1)
+    cuts = np.flatnonzero((np.cumsum(inner[:-1]) > 0) & (np.cumsum(edges[:-1]) == 0))
+    order = np.argsort(starts[:n])
+    word = np.concatenate([whole.word, order[np.searchsorted(starts[:n][order], cuts, side="right") - 1]])
+    begins = np.concatenate([whole.begins, np.zeros(len(cuts), bool)])
+    start = np.concatenate([starts, cuts])
+    order = np.argsort(start, kind="stable")
+    start, word, begins = start[order], word[order], begins[order]
+    end = starts[word] + size[word]
+    same = np.flatnonzero(word[1:] == word[:-1])
+    end[same] = start[same + 1]
+    order = np.argsort(start - end, kind="stable")
+    return Parts(start[order], (end - start)[order], word[order], begins[order])
+
+
+def forward(pieces: Pieces, buf: np.ndarray, starts: np.ndarray, size: np.ndarray, theta: np.ndarray, begins: np.ndarray | None = None) -> np.ndarray:
+    """log probability [word, language] of words or parts of them, longest first, all segmentations together;
+    theta[piece, language]. `begins` says which begin a word; all, if it isn't given."""
     rows, out = pieces.longest + 1, np.zeros((len(size), theta.shape[1]))
     alpha, scale = np.zeros((rows, *out.shape)), np.zeros(out.shape)  # alpha[place % rows]: of all that ends there
-    alpha[0] = theta[1]
-    for length, (_, word, number) in enumerate(pieces.first_arcs(buf, starts, size), 1):
-        alpha[length, word] += theta[number]
+    alpha[0] = theta[1] if begins is None else np.where(begins[:, None], theta[1], 1.0)
+    initial = np.arange(len(size)) if begins is None else np.flatnonzero(begins)
+    for length, (_, word, number) in enumerate(pieces.first_arcs(buf, starts[initial], size[initial]), 1):
+        alpha[length, initial[word]] += theta[number]
     ends = np.searchsorted(-size, -np.arange(int(size.max(initial=0)) + 2), side="left")  # words of more bytes than k
     for a, b in blocks(size):
         found = [(np.searchsorted(place, np.arange(a, b + 1)), word, number) for place, word, number in pieces.arcs(buf, starts, size, a, b)]
@@ -162,13 +211,15 @@ def forward(pieces: Pieces, buf: np.ndarray, starts: np.ndarray, size: np.ndarra
     return out
 
 
-def expected(pieces: Pieces, buf: np.ndarray, starts: np.ndarray, size: np.ndarray, weight: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece in one language (theta[piece]), by forward and backward sums over words, longest first."""
+def expected(pieces: Pieces, buf: np.ndarray, starts: np.ndarray, size: np.ndarray, weight: np.ndarray, theta: np.ndarray, begins: np.ndarray | None = None) -> np.ndarray:
+    """Expected uses of each piece in one language (theta[piece]), by forward and backward sums over words or parts, longest first."""
     rows, n_words, width = pieces.longest + 1, len(size), int(size.max(initial=0))
     alpha, scale = np.zeros((width + rows, n_words)), np.zeros((width // RESCALE + 1, n_words))
-    first = pieces.first_arcs(buf, starts, size)
-    alpha[0] = theta[1]
-    for length, (_, word, number) in enumerate(first, 1):
+    begins = np.ones(n_words, bool) if begins is None else begins
+    initial = np.flatnonzero(begins)
+    first = [(initial[word], number) for _, word, number in pieces.first_arcs(buf, starts[initial], size[initial])]
+    alpha[0] = np.where(begins, theta[1], 1.0)
+    for length, (word, number) in enumerate(first, 1):
         alpha[length, word] += theta[number]
     ends = np.searchsorted(-size, -np.arange(width + 1), side="left")
     whole, log_whole = np.zeros(n_words), np.zeros(n_words)
@@ -211,9 +262,9 @@ def expected(pieces: Pieces, buf: np.ndarray, starts: np.ndarray, size: np.ndarr
                 beta[:, :n] /= most
                 behind[:n] += np.log(most)
     share = weight * np.exp(behind - log_whole)
-    for length, (_, word, number) in enumerate(first, 1):
+    for length, (word, number) in enumerate(first, 1):
         np.add.at(uses, number, theta[number] * beta[length % rows, word] * share[word])
-    uses[1] = (theta[1] * beta[0] * share).sum()
+    uses[1] = (theta[1] * beta[0] * share)[begins].sum()
     uses[0] = 0
     return uses
 
@@ -262,9 +313,10 @@ def _maximise(pieces: Pieces, words: pa.Array, times: np.ndarray) -> np.ndarray:
     buf = np.frombuffer(words.buffers()[2] or b"", np.uint8)
     size = np.diff(offs)
     order = np.lexsort((offs[:-1], -size))
-    starts, size, times = offs[:-1][order], size[order], times[order].astype(float)
+    cut = parts(pieces, buf, offs[:-1][order], size[order])
+    times = times[order].astype(float)[cut.word]
     for _ in range(ROUNDS):
-        uses = sum((expected(pieces, buf, starts[lo:hi], size[lo:hi], times[lo:hi], theta) for lo, hi in _groups(size)), np.zeros(pieces.size))
+        uses = sum((expected(pieces, buf, some.starts, some.size, times[lo:hi], theta, some.begins) for lo, hi in _groups(cut.size) for some in [cut.some(lo, hi)]), np.zeros(pieces.size))
         theta = (uses + SMOOTHING) / (uses[1:].sum() + SMOOTHING * (len(uses) - 1))
         theta[0] = 0
     return theta
@@ -307,12 +359,13 @@ def _score(part: T.Slice, model: Model, pieces: Pieces, thetas: Callable[[int, i
         order = np.argsort(-size, kind="stable")
         at, size, place = at[order], size[order], np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        word = place[word]
+        word, cut = place[word], parts(pieces, part.buf, starts[at], size)
         for first in range(0, len(model.languages), BLOCK_LANGUAGES):
             theta = thetas(first, first + BLOCK_LANGUAGES)
-            of_word = np.concatenate([forward(pieces, part.buf, starts[at[lo:hi]], size[lo:hi], theta) for lo, hi in _groups(size)])
+            of_part = np.concatenate([forward(pieces, part.buf, some.starts, some.size, theta, some.begins) for lo, hi in _groups(cut.size) for some in [cut.some(lo, hi)]])
             for k in range(theta.shape[1]):
-                logs[:, first + k] += np.bincount(text, of_word[word, k], minlength=part.n)
+                of_word = np.bincount(cut.word, of_part[:, k], minlength=len(size))
+                logs[:, first + k] += np.bincount(text, of_word[word], minlength=part.n)
     letters = part.sums(LETTER[part.buf], part.offs[:-1], part.offs[1:]) > 0
     for k in np.flatnonzero(~letters & (part.offs[1:] > part.offs[:-1])):
         letters[k] = any(c.isalpha() for c in part.buf[part.offs[k] : part.offs[k + 1]].tobytes().decode())
