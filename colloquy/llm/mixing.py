@@ -74,9 +74,11 @@ def split_tree(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.
 class Mix:
     """A plan: `sources` and `blocks` are small tables on the driver, `sized` one row for each document."""
 
-    sources: pd.DataFrame  # source, no, words, target, n_blocks, cutoff, extras
+    sources: pd.DataFrame  # source, no, words, target, n_blocks, cutoff
     blocks: pd.DataFrame  # no, block, shards (of whole draws), part (the shard of the partial draw, or null)
     sized: DataFrame
+    extras: DataFrame  # no, key: what a partial draw takes besides the keys up to its cutoff
+    n_extras: int
     shards: int
     seed: int
 
@@ -97,21 +99,29 @@ def _placed(rows: DataFrame, sources: DataFrame, n: int, source: str, key: str,
 
 
 def _last_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of a source's last block (one row a key): the last key in hash order before the first that doesn't fit, and
-    of the others the largest that do, one after the other; at last one more if that is nearer to the room."""
+    """Of a source's last block (one row a key): the last key in hash order before the first that doesn't fit (not an
+    extra), and of the others the largest that do, one after the other; at last one more if that is nearer to the room."""
     rows = rows.sort_values("key")
     keys, sizes, room = rows["key"].to_numpy(), rows["size"].to_numpy(), int(rows["room"].iloc[0])
     n = int(np.searchsorted(np.cumsum(sizes), room, side="right"))
-    left, extras = room - int(sizes[:n].sum()), []
+    left, taken = room - int(sizes[:n].sum()), []
     rest = np.arange(n, len(keys))
+    rest = rest[sizes[rest] > 0]
     rest = rest[np.argsort(-sizes[rest], kind="stable")]  # largest first
-    for k in rest[sizes[rest] > 0].tolist():
-        if sizes[k] <= left:
-            extras.append(int(keys[k]))
-            left -= int(sizes[k])
-    others = [k for k in rest[::-1].tolist() if int(keys[k]) not in set(extras) and sizes[k] > 0][:1] if left else []
-    extras += [int(keys[k]) for k in others if sizes[k] - left < left]
-    return pd.DataFrame({"no": [int(rows["no"].iloc[0])], "cutoff": pd.array([int(keys[n - 1]) if n else None], dtype="Int64"), "extras": [extras]})
+    own, at = sizes[rest], 0
+    while left and (at := max(at, int(np.searchsorted(-own, -left)))) < len(rest):  # the next that fits, and all after it up to the first that doesn't
+        run = int(np.searchsorted(np.cumsum(own[at:]), left, side="right"))
+        taken.append(np.arange(at, at + run))
+        left -= int(own[at : at + run].sum())
+        at += run
+    free = np.ones(len(rest), bool)
+    for run in taken:
+        free[run] = False
+    if left and free.any() and own[last := int(np.flatnonzero(free)[-1])] - left < left:
+        free[last] = False
+    extras = keys[rest[~free]]
+    found = np.concatenate([keys[n - 1 : n], extras])
+    return pd.DataFrame({"no": int(rows["no"].iloc[0]), "key": found, "extra": np.arange(len(found)) >= min(n, 1)})
 
 
 def plan(docs: DataFrame, weigh, *, budget: float = 1.5, most: float = 2.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> Mix:
@@ -155,7 +165,9 @@ def plan(docs: DataFrame, weigh, *, budget: float = 1.5, most: float = 2.0, seed
                 edges.append((no, edge, int(round(left))))
     edge_rows = spark.createDataFrame(edges, "no int, __mix_block int, room bigint")
     inside = placed.join(_side(edge_rows, len(edges)), ["no", "__mix_block"]).groupBy("no", "key", "room").agg(F.sum("size").alias("size"))
-    cuts = {r.no: (r.cutoff, r.extras) for r in inside.groupBy("no").applyInPandas(_last_block, "no int, cutoff bigint, extras array<bigint>").collect()}
+    last = cut(inside.groupBy("no").applyInPandas(_last_block, "no int, key bigint, extra boolean"), "last")
+    cutoffs = {r.no: r.key for r in last.filter("NOT extra").collect()}  # one a source
+    extras = last.filter("extra").select("no", "key")
 
     total = float(target.sum())
     shards = max(math.ceil(total / SHARD_WORDS), min(math.ceil(total / (SHARD_WORDS >> 5)), 128), 1)
@@ -169,8 +181,8 @@ def plan(docs: DataFrame, weigh, *, budget: float = 1.5, most: float = 2.0, seed
         seen[no] += 1
         by_block.setdefault((no, block), ([], []))[0 if full else 1].append(shard)
     blocks = pd.DataFrame([(no, block, whole, part[0] if part else None) for (no, block), (whole, part) in by_block.items()], columns=["no", "block", "shards", "part"])
-    sources = pd.DataFrame({"source": names, "no": range(len(rows)), "words": words, "target": target, "n_blocks": n_blocks, "cutoff": pd.Series([cuts.get(k, (None, []))[0] for k in range(len(rows))], dtype=object), "extras": [cuts.get(k, (None, []))[1] for k in range(len(rows))]})
-    return Mix(sources, blocks, sized, shards, seed)
+    sources = pd.DataFrame({"source": names, "no": range(len(rows)), "words": words, "target": target, "n_blocks": n_blocks, "cutoff": pd.Series([cutoffs.get(k) for k in range(len(rows))], dtype=object)})
+    return Mix(sources, blocks, sized, extras, extras.count(), shards, seed)
 
 
 def _drawn(rows: DataFrame, mix: Mix, source: str, key: str) -> DataFrame:
@@ -178,11 +190,13 @@ def _drawn(rows: DataFrame, mix: Mix, source: str, key: str) -> DataFrame:
     spark = rows.sparkSession
     kind = rows.schema[source].dataType.simpleString()
     s = mix.sources
-    facts = spark.createDataFrame([(r.source, int(r.no), int(r.words), float(r.target), int(r.n_blocks), None if pd.isna(r.cutoff) else int(r.cutoff), list(r.extras)) for r in s.astype(object).itertuples()], f"source {kind}, no int, words bigint, target double, n_blocks bigint, cutoff bigint, extras array<bigint>")
-    names = {c: f"__mix_{c}" for c in ("no", "words", "target", "n_blocks", "cutoff", "extras")}
+    facts = spark.createDataFrame([(r.source, int(r.no), int(r.words), float(r.target), int(r.n_blocks), None if pd.isna(r.cutoff) else int(r.cutoff)) for r in s.astype(object).itertuples()], f"source {kind}, no int, words bigint, target double, n_blocks bigint, cutoff bigint")
+    names = {c: f"__mix_{c}" for c in ("no", "words", "target", "n_blocks", "cutoff")}
     blocks = spark.createDataFrame([(int(r.no), int(r.block), list(r.shards), None if pd.isna(r.part) else int(r.part)) for r in mix.blocks.astype(object).itertuples()], "__mix_no int, __mix_block int, __mix_whole array<int>, __mix_part int")
     placed = _placed(rows, facts, len(s), source, key, names).join(_side(blocks, len(mix.blocks)), ["__mix_no", "__mix_block"], "left")
-    part = F.col("__mix_part").isNotNull() & (F.coalesce(F.col(key) <= F.col("__mix_cutoff"), F.lit(False)) | F.array_contains("__mix_extras", F.col(key)))
+    extras = mix.extras.select(F.col("no").alias("__mix_no"), F.col("key").alias(key), F.lit(True).alias("__mix_extra"))
+    placed = placed.join(_side(extras, mix.n_extras), ["__mix_no", key], "left")
+    part = F.col("__mix_part").isNotNull() & (F.coalesce(F.col(key) <= F.col("__mix_cutoff"), F.lit(False)) | F.coalesce("__mix_extra", F.lit(False)))
     none = F.array().cast("array<int>")
     return placed.withColumn("__mix_shards", F.concat(F.coalesce("__mix_whole", none), F.when(part, F.array("__mix_part")).otherwise(none)))
 
