@@ -14,7 +14,9 @@ and how many then learned.
 
 * Null roles and texts count as empty. Turns with one number are ordered by role, then text; null first.
 * A record of no known layout, or no JSON, has null turns and a null name of layout; nothing is dropped.
-  A field that holds no text is taken as its JSON.
+  A field that holds no text is taken as its JSON. A text beside a layout's own fields under `system` is a system turn
+  before all others. A message whose content is a list of parts has the parts' texts, a line each; with a part that
+  holds no text the record's layout isn't known.
 * Repeated rows are repeated turns. An empty table gives an empty result. Other columns aren't read, and may
   have any name.
 * Texts are taken whole. A conversation is one row of the result, so its turns meet in one task; nothing else
@@ -73,11 +75,17 @@ def _turn(role: Column | str, text: Column) -> Column:
 
 
 def _listed(key: str, role: str, text: str, roles: dict[str, str] | None = None) -> Layout:
-    """A list of messages under one key; roles may have other names."""
-    kind = f"{key} array<struct<{role}:string,{text}:string>>"
+    """A list of messages under one key; roles may have other names, and texts may be lists of parts."""
     named = F.create_map(*[F.lit(x) for pair in roles.items() for x in pair]) if roles else None
     of = lambda m: m[role] if named is None else F.coalesce(F.try_element_at(named, m[role]), m[role])
-    return Layout(key, (f"{key}[].{role}", f"{key}[].{text}"), lambda json: F.transform(F.from_json(json, kind)[key], lambda m: _turn(of(m), m[text])))
+
+    def turns(json: Column) -> Column:
+        said = F.from_json(json, f"{key} array<struct<{role}:string,{text}:string>>")[key]
+        parts = F.transform(F.from_json(json, f"{key} array<struct<{text}:array<struct<text:string>>>>")[key], lambda m: F.transform(m[text], lambda p: p["text"]))
+        whole = F.coalesce(~F.exists(parts, lambda p: F.exists(p, lambda t: t.isNull())), F.lit(True))
+        return F.when(whole, F.transform(said, lambda m, k: _turn(of(m), F.coalesce(F.array_join(F.get(parts, k), "\n"), m[text]))))
+
+    return Layout(key, (f"{key}[].{role}", f"{key}[].{text}"), turns)
 
 
 def _fields(name: str, **roles: str) -> Layout:
@@ -135,8 +143,11 @@ def from_json(records: DataFrame, json_col: str, *, id_col: str = "conv_id") ->
     paths = json_paths(json, sorted({p.partition("[]")[0] for layout in known for p in layout.paths if "[]" in p}))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for layout in reversed(known):
-        hit = fingerprint(paths, layout.paths) == digest(layout.paths)
-        name, turns = F.when(hit, F.lit(layout.name)).otherwise(name), F.when(hit, layout.turns(json)).otherwise(turns)
+        hit, own = fingerprint(paths, layout.paths) == digest(layout.paths), layout.turns(json)
+        if "system" not in layout.paths:
+            system = F.get_json_object(json, "$.system")
+            own = F.when(F.coalesce(system, F.lit("")) != "", F.concat(F.array(_turn("system", system)), own)).otherwise(own)
+        name, turns = F.when(hit, F.when(own.isNotNull(), layout.name)).otherwise(name), F.when(hit, own).otherwise(turns)
     return records.select(F.col(id_col).alias("conv_id"), name.alias("layout"), turns.cast(TURNS).alias("turns"))
 
 

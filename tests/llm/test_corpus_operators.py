@@ -5,10 +5,12 @@ import json
 import math
 import os
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -875,3 +877,71 @@ def test_near_dedup_families_that_share_a_boilerplate_make_no_blocks(spark, monk
         for a, b in links:
             least[a] = least[b] = min(least[a], least[b])
     assert got == least and sum(met) <= 5 * len(rows)
+
+
+def test_chat_keeps_system_texts_and_parts(spark):
+    records = [
+        {"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}], "system": "s"},
+        {"messages": [{"role": "user", "content": [{"type": "text", "text": "one"}, {"type": "text", "text": "two"}]}, {"role": "assistant", "content": "[not parts]"}], "system": ""},
+        {"messages": [{"role": "user", "content": [{"type": "text", "text": "see"}, {"type": "image", "url": "u"}]}, {"role": "assistant", "content": "a"}]},
+        {"system": "s", "instruction": "i", "input": "", "output": "o"},
+        {"system": "s", "prompt": "p", "response": "r"},
+        {"messages": [{"role": "user", "content": []}, {"role": "assistant", "content": None}]},
+    ]
+    frame = spark.createDataFrame([(k, json.dumps(r)) for k, r in enumerate(records)], "conv_id bigint, record string")
+    got = {r.conv_id: (r.layout, r.turns and [tuple(t) for t in r.turns]) for r in chat.from_json(frame, "record").collect()}
+    assert got == {
+        0: ("conversations", [("system", "s"), ("user", "q"), ("assistant", "a")]),
+        1: ("messages", [("user", "one\ntwo"), ("assistant", "[not parts]")]),
+        2: (None, None),
+        3: ("instruction with input", [("system", "s"), ("user", "i"), ("assistant", "o")]),
+        4: ("system, prompt and response", [("system", "s"), ("user", "p"), ("assistant", "r")]),
+        5: ("messages", [("user", ""), ("assistant", None)]),
+    }
+
+
+@pytest.mark.parametrize("long", [1, 5, 1 << 30])
+def test_cut_words_have_the_sums_of_whole_ones(monkeypatch, long):
+    monkeypatch.setattr(langid, "LONG", long)
+    monkeypatch.setattr(langid, "CELLS", 200)
+    table = langid.Pieces(MODEL)
+    texts = ["訳者は翻訳された文章を読みました" * 9, "internationalisation" * 4, "перевод" * 20, "x" * 90, "ก็ไทย" * 20, "ab", "a"]
+    part = next(T.slices(pa.array(texts)))
+    starts, ends, _ = part.spans(T.NOT_SPACE)
+    order = np.argsort(starts - ends, kind="stable")
+    starts, size = starts[order], (ends - starts)[order]
+    theta, weight = RNG.random((table.size, 2)) / table.size, np.arange(1.0, len(texts) + 1)
+    theta[0] = 0
+    cut = langid.parts(table, part.buf, starts, size)
+    assert (np.bincount(cut.word, cut.size) == size).all() and cut.begins.sum() == len(texts) and (np.diff(cut.size) <= 0).all()
+    logs = langid.forward(table, part.buf, cut.starts, cut.size, theta, cut.begins)
+    whole = langid.forward(table, part.buf, starts, size, theta)
+    assert np.allclose(np.stack([np.bincount(cut.word, logs[:, k]) for k in range(2)], axis=1), whole)
+    uses = langid.expected(table, part.buf, cut.starts, cut.size, weight[cut.word], theta[:, 0], cut.begins)
+    assert np.allclose(uses, langid.expected(table, part.buf, starts, size, weight, theta[:, 0]))
+    assert (len(cut.size) == len(texts)) == (long > 1000)
+
+
+def test_texts_without_spaces_take_no_longer():
+    table = langid.Pieces(MODEL)
+    theta = np.full((table.size, 4), 1 / table.size)
+    spaced = " ".join("".join(RNG.choice(list("etaoinshr"), 6)) for _ in range(8500))
+    seconds = []
+    for text in (spaced, "".join(chr(c) for c in RNG.integers(0x4E00, 0x9FA5, 20_000))):
+        part = next(T.slices(pa.array([text])))
+        began = time.process_time()
+        langid._score(part, langid.Model([*"abcd"], np.zeros(4)), table, lambda lo, hi: theta)
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < 3 * seconds[0] + 0.2
+
+
+def test_mixing_fills_a_block_of_very_many_small_documents():
+    n = 16_000
+    rows = pd.DataFrame({"no": 3, "key": RNG.permutation(n), "room": 12_000, "size": np.r_[9000, np.ones(n - 1, int)]})
+    began = time.process_time()
+    got = mixing._last_block(rows)
+    assert time.process_time() - began < 0.1
+    sizes = dict(zip(rows["key"], rows["size"]))
+    cutoff = got.loc[~got["extra"], "key"]
+    taken = {k for k in sizes if len(cutoff) and k <= cutoff.iloc[0]} | set(got.loc[got["extra"], "key"])
+    assert sum(sizes[k] for k in taken) == 12_000
