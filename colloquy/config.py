@@ -21,6 +21,8 @@ class Config:
     sales_qualification_threshold: int = 5
     enable_sales_scoring: bool = True
     scoring_max_concurrency: int = 3
+    questions_in_flight: int = 4
+    requests_per_second: float = 0.0
     comp_bounds: dict[str, tuple[float, float]] = field(default_factory=lambda: {"day": (50.0, 5000.0), "hour": (5.0, 500.0), "year": (10000.0, 2000000.0)})
     redact_mode: str = "flag"
     redact_on_failure: str = "drop"
@@ -41,6 +43,8 @@ class Config:
             sales_qualification_threshold=int(_number("SALES_QUALIFICATION_THRESHOLD", 5)),
             enable_sales_scoring=os.environ.get("ENABLE_SALES_SCORING", "true").lower() in truthy,
             scoring_max_concurrency=int(_number("SCORING_MAX_CONCURRENCY", 3)),
+            questions_in_flight=int(_number("QUESTIONS_IN_FLIGHT", 4)),
+            requests_per_second=_number("REQUESTS_PER_SECOND", 0.0),
             comp_bounds=bands,
             redact_mode=_choice("ARTICLE9_MODE", ("flag", "redact"), "flag"),
             redact_on_failure=_choice("ARTICLE9_REDACT_ON_FAILURE", ("drop", "fallback"), "drop"),

@@ -6,11 +6,15 @@ all that follows from them are columns.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import random
 import re
+import threading
 import time
+import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 import pandas as pd
@@ -22,6 +26,7 @@ from colloquy.config import Config
 from colloquy.functions import columns as C
 from colloquy.operators import clients, names, scoring
 from colloquy.operators.vocabularies import CHALLENGES, OFFERINGS, RESULTS
+from colloquy.sources import landing
 
 SECTIONS = ("now", "next", "measure", "blocker", "fit")
 
@@ -109,10 +114,13 @@ def with_retries(call: Callable[[], str | None], config: Config = Config(), slee
             sleep(wait)
 
 
+_FENCE = re.compile(r"(?s)^```(?:json)?\s*(.*?)\s*```$")
+
+
 def is_json(answer: str) -> bool:
     """Whether an answer, without the code fence around it, is JSON."""
     try:
-        json.loads(re.sub(r"(?s)^```(?:json)?\s*(.*?)\s*```$", r"\1", answer.strip()))
+        json.loads(_FENCE.sub(r"\1", answer.strip()))
     except ValueError:
         return False
     return True
@@ -131,33 +139,134 @@ def checked(call: Callable[[], str | None], fallback: Callable[[], str | None] |
     return answer
 
 
-def ask(df: DataFrame, prompts: dict[str, str], context: str, make: Callable[[], Completer], config: Config = Config(), *, fallback: Callable[[], Completer] | None = None, prose: tuple[str, ...] = ()) -> DataFrame:
+#: Keys of an answer by the kind of its prompt; a section has just these, an assessment may have more.
+SECTION_KEYS = ("evidence", "qualified", "reason", "summary")
+SALES_KEYS = ("coaching_note", "evidence", "qualified", "reason", "score")
+#: What is said below a prompt that is asked again because the answer had another shape.
+AGAIN = "The answer before didn't have the wanted shape. Answer with JSON of exactly these keys and types: "
+# What stored rows say of answers that never had the shape.
+INVALID, INVALID_SECTION, INVALID_QUALIFIED, INVALID_NOTE = "Invalid JSON from model", "Model returned invalid response format", "Model returned non-boolean qualified field", "Unable to assess - model returned invalid response"
+
+
+def shape(name: str) -> tuple[str, Callable[[dict], bool]] | None:
+    """What the answer to a prompt of this name must be: in words, and as a test; None if anything will do."""
+    if name in SECTIONS:
+        wanted = {*SECTION_KEYS, *(["services"] if name == "fit" else [])}
+        return f"{', '.join(sorted(wanted))}; qualified is true or false", lambda a: {*a} | ({"services"} if name == "fit" else set()) == wanted and isinstance(a["qualified"], bool)
+    if name.startswith("sales_"):
+        return f"{', '.join(SALES_KEYS)}; score is a number from 0 to 3", lambda a: {*a} >= {*SALES_KEYS}
+    return None
+
+
+def shaped(once: Callable[[str], str | None], name: str, prompt: str) -> str | None:
+    """The answer to a prompt; one that is JSON of another shape is asked for once more, with what is wanted."""
+    answer, wanted = once(prompt), shape(name)
+    if wanted is None or answer is None or not is_json(answer):
+        return answer
+    value = json.loads(_FENCE.sub(r"\1", answer.strip()))
+    return answer if isinstance(value, dict) and wanted[1](value) else once(f"{prompt}\n\n{AGAIN}{wanted[0]}.")
+
+
+def answer_all(text: str | None, prompts: dict[str, str], completer: Completer, other: Completer | None, config: Config, prose: tuple[str, ...]) -> dict[str, str | None]:
+    """The answers to all prompts about one text; one question's failure isn't the row's."""
+    got = {}
+    for name, prompt in prompts.items():
+        tried = lambda c, p: lambda: with_retries(lambda: c.complete(p, text or ""), config)
+        once = lambda p: checked(tried(completer, p), other and tried(other, p), name not in prose)
+        try:
+            got[name] = shaped(once, name, prompt)
+        except Exception:
+            got[name] = None
+    return got
+
+
+class Pace:
+    """Lets requests of many threads through, so many a second."""
+
+    def __init__(self, per_second: float, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic):
+        self.gap, self.next, self.sleep, self.clock, self.lock = 1 / per_second, 0.0, sleep, clock, threading.Lock()
+
+    def wait(self) -> None:
+        with self.lock:
+            now = self.clock()
+            at = max(now, self.next)
+            self.next = at + self.gap
+        if at > now:
+            self.sleep(at - now)
+
+
+class Paced:
+    """A completer whose requests wait for their turn."""
+
+    def __init__(self, completer: Completer, pace: Pace):
+        self.completer, self.pace = completer, pace
+
+    def complete(self, prompt: str, context: str) -> str | None:
+        self.pace.wait()
+        return self.completer.complete(prompt, context)
+
+
+class Journal:
+    """Answers that were paid for, a file for each question in a folder that all executors share, so that a task that is
+    run again, or another job, asks only what is missing. `label` is what else an answer depends on, such as the model.
+
+    Failures and empty answers aren't kept. Files are written whole under another name and moved, so a lost executor leaves none half-written."""
+
+    def __init__(self, completer: Completer, folder: str, label: str = ""):
+        self.completer, self.label = completer, label
+        self.store, self.folder = landing.store_of(folder.rstrip("/"))
+
+    def path(self, prompt: str, context: str) -> str:
+        key = hashlib.sha256(json.dumps([self.label, prompt, context]).encode()).hexdigest()
+        return f"{self.folder}/{key[:2]}/{key}"
+
+    def complete(self, prompt: str, context: str) -> str | None:
+        path = self.path(prompt, context)
+        try:
+            with self.store.open_input_stream(path) as held:
+                return held.read().decode()
+        except FileNotFoundError:
+            pass
+        answer = self.completer.complete(prompt, context)
+        if (answer or "").strip():
+            self.store.create_dir(path.rpartition("/")[0], recursive=True)
+            draft = f"{path}-{uuid.uuid4().hex}"
+            with self.store.open_output_stream(draft) as out:
+                out.write(answer.encode())
+            self.store.move(draft, path)
+        return answer
+
+
+def ask(df: DataFrame, prompts: dict[str, str], context: str, make: Callable[[], Completer], config: Config = Config(), *, fallback: Callable[[], Completer] | None = None, prose: tuple[str, ...] = (), journal: str | None = None, label: str = "") -> DataFrame:
     """df with a column `raw`: a map from each prompt's name to the answer, or null if it failed for good.
 
     Empty answers and those that are no JSON are asked for again, the latter in the end from the completer that
-    `fallback` gives; `prose` names the prompts whose answers are no JSON.
+    `fallback` gives; JSON of another shape than the prompt's kind has is asked for once more. `prose` names the
+    prompts whose answers are no JSON.
 
     `make` gives a completer once a task, so that no connection is pickled. Rows are dealt to
-    `scoring_max_concurrency` partitions, as so many may ask at a time; what comes before runs as wide as it is.
+    `scoring_max_concurrency` partitions, each of which has `questions_in_flight` questions under way (a completer
+    must bear as many threads); all partitions together send `requests_per_second` at most, if that is set. With
+    `journal`, a folder that all executors share, answers are kept there as they come, by `label`, prompt and text, and
+    none is asked for twice. What comes before runs as wide as it is.
     """
+    tasks = max(1, config.scoring_max_concurrency)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        completer, other = make(), fallback and fallback()
-        for batch in batches:
-            answers = []
-            for text in batch[context]:
-                got = {}
-                for name, prompt in prompts.items():
-                    try:
-                        asked = lambda c: lambda: with_retries(lambda: c.complete(prompt, text or ""), config)
-                        got[name] = checked(asked(completer), other and asked(other), name not in prose)
-                    except Exception:
-                        got[name] = None  # one question's failure isn't the row's
-                answers.append(got)
-            yield batch.assign(raw=answers)
+        pace = Pace(config.requests_per_second / tasks) if config.requests_per_second else None
+
+        def wrapped(made: Completer, of: str) -> Completer:
+            made = Paced(made, pace) if pace else made
+            return Journal(made, journal, f"{label}{of}") if journal else made
+
+        completer, other = wrapped(make(), ""), fallback and wrapped(fallback(), " (fallback)")
+        one = lambda text: answer_all(text, prompts, completer, other, config, prose)
+        with ThreadPoolExecutor(max(1, config.questions_in_flight)) as pool:
+            for batch in batches:
+                yield batch.assign(raw=[*pool.map(one, batch[context])])
 
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.repartition(max(1, config.scoring_max_concurrency)).mapInPandas(run, f"{kind}, raw map<string,string>")
+    return df.repartition(tasks).mapInPandas(run, f"{kind}, raw map<string,string>")
 
 
 def strip_fence(text: Column) -> Column:
@@ -172,29 +281,40 @@ def evidence(json: Column) -> Column:
     return C.first_words(whole)
 
 
-def section(answer: Column) -> Column:
-    """A validated section: exactly the wanted keys and a boolean, else an unqualified one that says so."""
-    json = strip_fence(answer)
-    keys = F.array_sort(F.json_object_keys(json))
-    wanted = F.array(*[F.lit(k) for k in ("evidence", "qualified", "reason", "summary")])
-    ok = F.coalesce((keys == wanted) & C.json_scalar(json, "$.qualified").isin("true", "false"), F.lit(False))
+def _kind(json: Column, key: str) -> Column:
+    """The type of a key's value, as variants name it; null if it is missing or null."""
+    return F.schema_of_variant(F.try_variant_get(F.try_parse_json(json), f"$.{key}", "variant"))
+
+
+def _section(json: Column, more: tuple[str, ...] = ()) -> Column:
+    """A validated section: exactly the wanted keys (and some of `more`) and a boolean, else an unqualified one that says why."""
+    keys = F.filter(F.array_sort(F.json_object_keys(json)), lambda k: ~k.isin(*more)) if more else F.array_sort(F.json_object_keys(json))
+    wanted, none = F.array(*[F.lit(k) for k in SECTION_KEYS]), F.lit(None).cast("string")
+    failed = lambda reason, summary: F.struct(F.lit(False).alias("qualified"), F.lit(reason).alias("reason"), summary.alias("summary"), none.alias("evidence"))
     valid = F.struct((C.json_scalar(json, "$.qualified") == "true").alias("qualified"), C.json_scalar(json, "$.reason").alias("reason"), C.json_scalar(json, "$.summary").alias("summary"), evidence(json).alias("evidence"))
-    none = F.lit(None).cast("string")
-    failed = F.struct(F.lit(False).alias("qualified"), F.lit("invalid response").alias("reason"), none.alias("summary"), none.alias("evidence"))
-    return F.when(ok, valid).otherwise(failed).cast(schemas.SECTION)
+    return F.when(keys.isNull(), failed("invalid response", none)).when(keys != wanted, failed(INVALID, F.lit(INVALID_SECTION))).when(F.coalesce(_kind(json, "qualified") != "BOOLEAN", F.lit(True)), failed(INVALID, F.lit(INVALID_QUALIFIED))).otherwise(valid)
+
+
+def section(answer: Column) -> Column:
+    return _section(strip_fence(answer)).cast(schemas.SECTION)
 
 
 def fit_section(answer: Column) -> Column:
     json = strip_fence(answer)
-    base = section(F.regexp_replace(json, r',?\s*"services"\s*:\s*\[[^\]]*\]', ""))
+    base = _section(json, ("services",))
     return F.struct(base["qualified"].alias("qualified"), base["reason"].alias("reason"), base["summary"].alias("summary"), names.services(C.json_array(json, "$.services")).alias("services"), base["evidence"].alias("evidence")).cast(schemas.FIT)
 
 
 def sales_section(answer: Column) -> Column:
-    """A criterion: the score cut to 0..3, and qualified from 2 on whatever the answer says."""
+    """A criterion: a number as score, cut to 0..3, and qualified from 2 on whatever the answer says. JSON without one of
+    the wanted keys is an assessment that says so."""
     json = strip_fence(answer)
-    score = C.clamp_score(C.json_scalar(json, "$.score").try_cast("double"))
-    return F.struct((score >= 2).alias("qualified"), score.alias("score"), C.json_scalar(json, "$.reason").alias("reason"), evidence(json).alias("evidence"), C.json_scalar(json, "$.coaching_note").alias("coaching_note")).cast(schemas.SALES)
+    number = _kind(json, "score").rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)")
+    score = C.clamp_score(F.when(number, C.json_scalar(json, "$.score").try_cast("double")))
+    made = F.struct((score >= 2).alias("qualified"), score.alias("score"), C.json_scalar(json, "$.reason").alias("reason"), evidence(json).alias("evidence"), C.json_scalar(json, "$.coaching_note").alias("coaching_note"))
+    failed = F.struct(F.lit(False).alias("qualified"), F.lit(0).alias("score"), F.lit(INVALID).alias("reason"), F.lit(None).cast("string").alias("evidence"), F.lit(INVALID_NOTE).alias("coaching_note"))
+    lacking = F.size(F.array_except(F.array(*[F.lit(k) for k in SALES_KEYS]), F.json_object_keys(json))) > 0
+    return F.when(F.coalesce(lacking, F.lit(False)), failed.cast(schemas.SALES)).otherwise(made.cast(schemas.SALES))
 
 
 def opportunity(df: DataFrame, config: Config = Config()) -> DataFrame:

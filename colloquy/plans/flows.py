@@ -360,18 +360,23 @@ def transient_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 class Echo:
-    """A completer whose answers follow from the question and the text: fenced, as a list, with a key too many, or broken."""
+    """A completer whose answers follow from the question and the text: fenced, as a list, broken, or of another shape (a
+    key too many, a quoted boolean or score, a key missing), which it mends for even numbers when it is asked again."""
 
     def __init__(self, broken: bool = True):
         self.broken = broken
 
     def complete(self, prompt: str, context: str) -> str | None:
         number, _, text = context.partition(" ")
-        k = int(number)
+        k, (prompt, _, again) = int(number), prompt.partition("\n")
+        odd = not (again and k % 2 == 0)  # whether it keeps to its shape
         if self.broken and k % 7 == 0:
             return "" if k % 2 else "no json"
         if prompt.startswith("sales_"):
-            return json.dumps({"score": k % 5, "reason": prompt, "evidence": text, "coaching_note": None, "more": 1})
+            said = {"score": str(k % 5) if k % 13 == 0 else k % 5, "qualified": True, "reason": prompt, "evidence": text, "coaching_note": None, "more": 1}
+            if odd and k % 11 == 0:
+                del said["coaching_note"]
+            return json.dumps(said)
         if prompt == "taxonomy":
             return json.dumps({"challenges": ["x", completion.CHALLENGES[k % len(completion.CHALLENGES)]], "results": [completion.RESULTS[k % len(completion.RESULTS)]], "offering": "unknown"})
         if prompt == "talent_narrative":
@@ -379,8 +384,10 @@ class Echo:
         said = {"qualified": (k + len(prompt)) % 2 == 0, "reason": prompt, "summary": None, "evidence": [text, None, "end"] if k % 3 == 0 else text}
         if prompt == "fit":
             said["services"] = ["talent", "Evolve", "x", "ACCESS"]
-        if prompt == "next" and k % 4 == 0:
+        if odd and prompt == "next" and k % 3 == 0:
             said["more"] = 1
+        if odd and prompt == "now" and k % 5 == 0:
+            said["qualified"] = "true"
         answer = json.dumps(said)
         return f"```json\n{answer}\n```" if k % 2 else answer
 
@@ -397,21 +404,28 @@ _EVIDENCE = _CUT.format("CASE WHEN doc_id % 3 = 0 THEN coalesce(nullif(text, '')
 _ANSWERED = "NOT (doc_id % 7 = 0 AND doc_id % 2 = 1)"
 
 
-def _section(prompt: str, ok: str = _ANSWERED) -> str:
-    return f"CASE WHEN {ok} THEN (doc_id + {len(prompt)}) % 2 = 0 ELSE false END AS {prompt}_qualified, CASE WHEN {ok} THEN '{prompt}' ELSE 'invalid response' END AS {prompt}_reason, CASE WHEN {ok} THEN {_EVIDENCE} END AS {prompt}_evidence"
+#: Answers that never get the shape they should have, by prompt.
+_MISSHAPEN = {"now": "doc_id % 5 = 0 AND doc_id % 2 = 1", "next": "doc_id % 3 = 0 AND doc_id % 2 = 1"}
+
+
+def _section(prompt: str) -> str:
+    odd = _MISSHAPEN.get(prompt, "false")
+    summary = "Model returned non-boolean qualified field" if prompt == "now" else "Model returned invalid response format"
+    return f"""CASE WHEN {_ANSWERED} AND NOT ({odd}) THEN (doc_id + {len(prompt)}) % 2 = 0 ELSE false END AS {prompt}_qualified, CASE WHEN NOT {_ANSWERED} THEN 'invalid response' WHEN {odd} THEN 'Invalid JSON from model' ELSE '{prompt}' END AS {prompt}_reason,
+       CASE WHEN {_ANSWERED} AND NOT ({odd}) THEN {_EVIDENCE} END AS {prompt}_evidence, CASE WHEN {_ANSWERED} AND {odd} THEN '{summary}' END AS {prompt}_summary"""
 
 
 @R.query(f"""
-WITH s AS (SELECT doc_id, {_section('now')}, {_section('next', _ANSWERED + ' AND doc_id % 4 <> 0')}, {_section('fit')} FROM documents)
+WITH s AS (SELECT doc_id, {_section('now')}, {_section('next')}, {_section('fit')} FROM documents)
 SELECT *, {_ANSWERED} AS has_services FROM s""")
 def section_answers(spark: SparkSession, sf: str) -> DataFrame:
     """Asked, retried, asked of the fallback, unfenced and validated: sections of the documents."""
     scored = completion.opportunity(_asked(spark, sf, ["now", "next", "measure", "blocker", "fit"]))
-    out = [c(f"{s}.{f}").alias(f"{s}_{f}") for s in ("now", "next", "fit") for f in ("qualified", "reason", "evidence")]
+    out = [c(f"{s}.{f}").alias(f"{s}_{f}") for s in ("now", "next", "fit") for f in ("qualified", "reason", "evidence", "summary")]
     return scored.select("doc_id", *out, (F.size(F.coalesce("fit.services", F.array().cast("array<string>"))) == 2).alias("has_services"))
 
 
-_QUALIFIED = " + ".join(f"CAST({_ANSWERED}{' AND doc_id % 4 <> 0' if p == 'next' else ''} AND (doc_id + {len(p)}) % 2 = 0 AS INT)" for p in completion.SECTIONS)
+_QUALIFIED = " + ".join(f"CAST({_ANSWERED} AND NOT ({_MISSHAPEN.get(p, 'false')}) AND (doc_id + {len(p)}) % 2 = 0 AS INT)" for p in completion.SECTIONS)
 
 
 @R.query(f"SELECT doc_id, CAST(n AS BIGINT) AS total_qualified_sections, n >= 3 AS qualified, [{', '.join(repr(p) for p in sorted(completion.SECTIONS))}] AS checks FROM (SELECT doc_id, {_QUALIFIED} AS n FROM documents)")
@@ -421,16 +435,21 @@ def sections_qualified(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", "total_qualified_sections", "qualified", F.array_sort(F.map_keys("checks")).alias("checks"))
 
 
+#: Assessments that lack a key for good, and the score of all others: 0 where it is a string.
+_LACKING = "(doc_id % 11 = 0 AND doc_id % 2 = 1)"
+_SALES_SCORE = f"CASE WHEN {_ANSWERED} AND NOT {_LACKING} AND doc_id % 13 <> 0 THEN least(3, doc_id % 5) ELSE 0 END"
+
+
 @R.query(f"""
-SELECT doc_id, CAST(8 * s AS BIGINT) AS sales_total_score, CAST(CASE WHEN s >= 2 THEN 8 ELSE 0 END AS BIGINT) AS sales_total_qualified, s >= 2 AS sales_qualified, CASE WHEN {_ANSWERED} THEN 'sales_scoping' END AS reason,
-       CASE WHEN {_ANSWERED} THEN {_CUT.format("coalesce(text, '')")} END AS evidence
-FROM (SELECT *, CASE WHEN {_ANSWERED} THEN least(3, doc_id % 5) ELSE 0 END AS s FROM documents)""")
+SELECT doc_id, CAST(8 * s AS BIGINT) AS sales_total_score, CAST(CASE WHEN s >= 2 THEN 8 ELSE 0 END AS BIGINT) AS sales_total_qualified, s >= 2 AS sales_qualified, CASE WHEN {_ANSWERED} THEN CASE WHEN lacking THEN 'Invalid JSON from model' ELSE 'sales_scoping' END END AS reason,
+       CASE WHEN {_ANSWERED} AND NOT lacking THEN {_CUT.format("coalesce(text, '')")} END AS evidence
+FROM (SELECT *, {_SALES_SCORE} AS s, {_LACKING} AS lacking FROM documents)""")
 def sales_assessment(spark: SparkSession, sf: str) -> DataFrame:
     scored = completion.sales(_asked(spark, sf, [f"sales_{x}" for x in schemas.SALES_CRITERIA]))
     return scored.select("doc_id", "sales_total_score", "sales_total_qualified", "sales_qualified", c("sales_scoping.reason").alias("reason"), c("sales_scoping.evidence").alias("evidence"))
 
 
-@R.query(f"SELECT doc_id, CAST(n AS BIGINT) AS total_qualified_sections, CAST(CASE WHEN {_ANSWERED} THEN 8 * least(3, doc_id % 5) ELSE 0 END AS BIGINT) AS sales_total_score, CASE WHEN {_ANSWERED} THEN 1 ELSE 0 END AS n_challenges, true AS no_offering FROM (SELECT *, {_QUALIFIED} AS n FROM documents)")
+@R.query(f"SELECT doc_id, CAST(n AS BIGINT) AS total_qualified_sections, CAST(8 * ({_SALES_SCORE}) AS BIGINT) AS sales_total_score, CASE WHEN {_ANSWERED} THEN 1 ELSE 0 END AS n_challenges, true AS no_offering FROM (SELECT *, {_QUALIFIED} AS n FROM documents)")
 def full_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Both assessments and labels from one round of questions."""
     docs = table(spark, sf, "documents").select("doc_id", F.concat_ws(" ", c("doc_id"), F.coalesce("text", F.lit(""))).alias("context"))

@@ -39,6 +39,16 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(Landing)
 
 
+def store_of(uri: str):
+    """The file system of a folder as pyarrow has it, and the folder's path in it."""
+    from pyarrow import fs
+
+    if "://" not in uri and not uri.startswith("file:"):
+        return fs.LocalFileSystem(), uri
+    uri = uri.replace("s3a://", "s3://", 1)
+    return fs.FileSystem.from_uri("file:///" + uri.removeprefix("file:").lstrip("/") if uri.startswith("file:") else uri)
+
+
 @dataclass(frozen=True, order=True)
 class File:
     modified_ns: int
@@ -78,14 +88,7 @@ class Folder:
 
     def store(self):
         """The file system, and the folder's path in it."""
-        from pyarrow import fs
-
-        if "://" not in self.uri and not self.uri.startswith("file:"):
-            return fs.LocalFileSystem(), self.uri
-        uri = self.uri.replace("s3a://", "s3://", 1)
-        if uri.startswith("file:"):
-            uri = "file:///" + uri.removeprefix("file:").lstrip("/")
-        return fs.FileSystem.from_uri(uri)
+        return store_of(self.uri)
 
     def files(self) -> list[File]:
         """All transcript files, oldest first."""
