@@ -7,8 +7,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from colloquy.operators import sinks
 from colloquy.operators.store import tally
+from colloquy.sources import files
 
 RESULT = "status string, error string"
 
@@ -43,6 +43,11 @@ def run(rows: DataFrame, key: str, make: Callable[[], Callable[[dict], None]], w
 
 
 def report(results: DataFrame, path: str, key: str) -> dict[str, int]:
-    """Writes the results as one JSON file, in order of key, and gives how many there are of each status."""
-    sinks.put_json(results.sparkSession, path, [r.asDict() for r in results.orderBy(key).toLocalIterator()])
-    return {r.status: r.n for r in tally(results).collect()}
+    """Writes the results as JSON lines, in order of key, by the tasks that have them, and gives how many there are of each status."""
+    spark, kind = results.sparkSession, results.schema
+    results.write.mode("overwrite").parquet(f"{path}-run")  # each row is worked on once
+    done = spark.read.schema(kind).parquet(f"{path}-run")
+    done.orderBy(key).write.mode("overwrite").json(path)
+    counts = {r.status: r.n for r in tally(done).collect()}
+    files.delete(spark, f"{path}-run")
+    return counts

@@ -26,14 +26,19 @@ def prices(spark: SparkSession) -> DataFrame:
 
 
 def _matching(models: DataFrame, table: DataFrame, choice: Column) -> DataFrame:
-    return models.join(F.broadcast(table), models["model"].startswith(table["prefix"]), "left").groupBy("model").agg(choice.alias("hit"))
+    """Models that begin with a prefix of the table, with the chosen one: each name is cut to every length that prefixes
+    have, and the cuts are joined by equality."""
+    lengths = sorted(r[0] for r in table.select(F.length("prefix").alias("n")).filter("n IS NOT NULL").distinct().collect())
+    fitting = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("model"))
+    cuts = models.select("model", F.explode(F.transform(fitting, lambda n: F.left("model", n))).alias("prefix"))
+    return cuts.join(table, "prefix").groupBy("model").agg(choice.alias("hit"))
 
 
 def by_longest_prefix(calls: DataFrame, table: DataFrame) -> DataFrame:
     """calls with the rates of the longest prefix of their model (an exact name is the longest); null if none.
 
-    The prefix join runs over the distinct models only; `table` is a price list of a few rows."""
-    # a price list of a few rows meets each distinct model once; their list is broadcast only if it is short
+    The prefix join runs over the distinct models only."""
+    # the list of distinct models is broadcast only if it is short
     hits = _matching(calls.select("model").distinct(), table, F.max_by(F.struct("prefix", "rate_in", "rate_out"), F.length("prefix")))
     return calls.join(mapping_side(hits), "model", "left").select(*calls.columns, "hit.prefix", "hit.rate_in", "hit.rate_out")
 
@@ -41,7 +46,8 @@ def by_longest_prefix(calls: DataFrame, table: DataFrame) -> DataFrame:
 def by_first_prefix(models: DataFrame, table: DataFrame) -> DataFrame:
     """For each model its own entry, else the first of the table's order that it begins with."""
     rank = F.struct((F.col("prefix") != F.col("model")).alias("inexact"), "ord")
-    return _matching(models.select("model").distinct(), table, F.min_by("prefix", rank)).select("model", F.col("hit").alias("config"))
+    known = models.select("model").distinct()
+    return known.join(_matching(known, table, F.min_by("prefix", rank)), "model", "left").select("model", F.col("hit").alias("config"))
 
 
 def cost(tokens_in: Column, tokens_out: Column, rate_in: Column, rate_out: Column, digits: int = 6) -> Column:

@@ -18,12 +18,22 @@ def mapping_side(mappings: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(mappings) if rows <= BROADCAST_ROWS else mappings
 
 
+def _key(exact: bool):
+    return (lambda c: F.col(c)) if exact else (lambda c: F.lower(F.trim(c)))
+
+
+def lookup(mappings: DataFrame, *, exact: bool = False) -> DataFrame:
+    """An alias table by key: __variant, __canonical (of several the least), and how many variants have the key."""
+    rows = mappings.select(_key(exact)("variant_name").alias("__variant"), F.col("canonical_name").alias("__canonical"))
+    return rows.groupBy("__variant").agg(F.min("__canonical").alias("__canonical"), F.count(F.lit(1)).alias("variants"))
+
+
 def canonical(df: DataFrame, column: str, mappings: DataFrame, out: str, *, exact: bool = False) -> DataFrame:
     """df with `out`: the canonical name of `column`, or the name itself where no alias is known.
 
     Keys are compared trimmed and in lower case, or as they are (`exact`)."""
-    key = (lambda c: F.col(c)) if exact else (lambda c: F.lower(F.trim(c)))
-    side = mappings.select(key("variant_name").alias("__variant"), F.col("canonical_name").alias("__canonical")).dropDuplicates(["__variant"])
+    key = _key(exact)
+    side = lookup(mappings, exact=exact).drop("variants")
     return df.join(mapping_side(side), key(column) == F.col("__variant"), "left").withColumn(out, F.coalesce("__canonical", column)).drop("__variant", "__canonical")
 
 

@@ -19,9 +19,9 @@ def since(column: str, as_of: str, days: int) -> Column:
 
 
 def distribution(df: DataFrame, by: str) -> DataFrame:
-    """Rows and percent of all by value. The total is one row, broadcast, so no task gathers all values."""
+    """Rows and percent of all by value. The total sums the values' counts and is one row, broadcast, so no task gathers all values."""
     grouped = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("__total"))
+    total = grouped.agg(F.sum("n").alias("__total"))
     return grouped.join(F.broadcast(total)).withColumn("pct", F.round(F.col("n") * F.lit(100.0) / F.col("__total"), 2)).drop("__total")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import logging
+import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -71,10 +72,9 @@ def request_key(stem: Column, generation: Column, event: Column) -> Column:
     return F.concat(F.lit("auto-"), stem, F.lit("-"), F.coalesce(generation, event))
 
 
-def acquire(requests: DataFrame, claims: DataFrame, key: str = "key", day: str = "day") -> tuple[DataFrame, DataFrame]:
-    """Requests that get their day's claim (the first of each key, if none holds it), and the claims afterwards."""
-    asked = requests.withColumn("__id", F.monotonically_increasing_id())
-    first = asked.groupBy(key, day).agg(F.min_by(F.struct(*requests.columns), "__id").alias("r")).select("r.*")
+def acquire(requests: DataFrame, claims: DataFrame, order: list[str], key: str = "key", day: str = "day") -> tuple[DataFrame, DataFrame]:
+    """Requests that get their day's claim (the first of each key by `order`, if none holds it), and the claims afterwards."""
+    first = requests.groupBy(key, day).agg(F.min_by(F.struct(*requests.columns), F.struct(*order, *requests.columns)).alias("r")).select("r.*")
     granted = first.join(claims.select(key, day), [key, day], "left_anti")
     return granted, claims.unionByName(granted.select(key, day))
 
@@ -121,18 +121,60 @@ class Claims:
             raise
 
 
-def cached(requests: DataFrame, cache: DataFrame, key: str = "key") -> DataFrame:
-    """Requests with the cached result (`result`, null on a miss)."""
-    return requests.join(cache.select(key, "result"), key, "left")
+class ResultCache:
+    """Results by key and day, in a folder with one folder a day; of several for one key the last written counts.
 
+    Writing appends, so writers don't get in each other's way; `compact` leaves one row a key in a day, and `forget`
+    removes days whole. Lookups read the days that are asked for."""
 
-def cache(results: DataFrame, path: str, key: str = "key") -> None:
-    """Adds results (key, result) to the cache table at path."""
-    results.select(key, "result").write.mode("append").parquet(path)
+    SCHEMA = "key string, result string, cached_at timestamp, written bigint, day date"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def put(self, results: DataFrame, day: str = "day", cached_at: Column | None = None) -> None:
+        """Adds results (key, result, day); a null result is none. Of rows with one key and day the latest by cached_at counts."""
+        at = F.current_timestamp() if cached_at is None else cached_at
+        rows = results.filter("result IS NOT NULL").select("key", "result", at.cast("timestamp").alias("cached_at"), F.lit(time.time_ns()).alias("written"), F.col(day).cast("date").alias("day"))
+        rows.write.mode("append").partitionBy("day").parquet(self.path)
+
+    def read(self) -> DataFrame:
+        """One row for each key and day: key, day, result, cached_at."""
+        if not files.exists(self.spark, self.path):
+            return self.spark.createDataFrame([], "key string, day date, result string, cached_at timestamp")
+        rows = self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        last = rows.groupBy("key", "day").agg(F.max_by(F.struct("result", "cached_at"), F.struct("written", "cached_at", "result")).alias("r"))
+        return last.select("key", "day", "r.*")
+
+    def find(self, requests: DataFrame, key: str = "key", day: str = "day") -> DataFrame:
+        """requests with `result`, null on a miss: one row for each."""
+        known = self.read().select(F.col("key").alias("__key"), F.col("day").alias("__day"), "result")
+        same = (requests[key] == F.col("__key")) & (requests[day].cast("date") == F.col("__day"))
+        return requests.join(known, same, "left").drop("__key", "__day")
+
+    def days(self) -> list[str]:
+        return [n.removeprefix("day=") for n in files.names(self.spark, self.path) if n.startswith("day=")]
+
+    def compact(self, day: str) -> None:
+        """Leaves one row a key in a day. Readers meanwhile see rows twice, which changes nothing, as the last counts."""
+        at = f"{self.path}/day={day}"
+        old = [n for n in files.names(self.spark, at) if n.startswith("part-")]
+        rows = self.spark.read.schema(self.SCHEMA).parquet(self.path).filter(F.col("day") == F.lit(day).cast("date"))
+        last = rows.groupBy("key").agg(F.max_by(F.struct("result", "cached_at", "written"), F.struct("written", "cached_at", "result")).alias("r"))
+        last.select("key", "r.*").write.mode("append").parquet(at)
+        for name in old:
+            files.delete(self.spark, f"{at}/{name}")
+
+    def forget(self, before: str) -> list[str]:
+        """Removes the days before one; gives them."""
+        gone = [d for d in self.days() if d < before]
+        for d in gone:
+            files.delete(self.spark, f"{self.path}/day={d}")
+        return gone
 
 
 def write_each(df: DataFrame, name: Column, path: str) -> None:
-    """A folder of JSON for each row, named after it."""
+    """A folder of JSON for each row, named after it: for exports that people open, not for tables of any size."""
     df.select(name.alias("name"), F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").partitionBy("name").text(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colloquy import schemas
@@ -13,6 +13,7 @@ from colloquy.functions import columns as C
 from colloquy.operators import batch, clients, completion, costs, merge, names, redaction, routing, scoring, sinks, store, talent
 from colloquy.plans.registry import Registry
 from colloquy.sources import files, table, transcripts
+from colloquy.streaming import intake
 
 R = Registry()
 c = F.col
@@ -227,16 +228,20 @@ def table_lifecycle(spark: SparkSession, sf: str) -> DataFrame:
     return swapped
 
 
-@R.query("""
-SELECT column_name, lacking, nullable FROM (VALUES ('c_custkey', false, true), ('c_name', false, true), ('c_phone', true, true), ('C_ACCTBAL', false, false)) AS t(column_name, lacking, nullable)""")
+@R.query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS c_name, CAST(NULL AS VARCHAR) AS c_phone, c_acctbal FROM customer")
 def schema_difference(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers brought to a schema that has a column more, and whose required column was relaxed so that it may be null."""
     from pyspark.sql import types as T
 
     wanted = T.StructType([T.StructField("c_custkey", T.LongType(), False), T.StructField("c_name", T.StringType(), False), T.StructField("c_phone", T.StringType()), T.StructField("C_ACCTBAL", T.DoubleType(), False)])
-    lacking = set(merge.missing_columns(table(spark, sf, "customer"), wanted))
     relaxed, changed, already, missing = merge.relax(wanted, ["c_custkey", "c_name", "c_phone", "c_fax"])
     assert (changed, already, missing) == (["c_custkey", "c_name"], ["c_phone"], ["c_fax"])
-    return spark.createDataFrame([(f.name, f.name in lacking, f.nullable) for f in relaxed.fields], "column_name string, lacking boolean, nullable boolean")
+    customers = table(spark, sf, "customer").select("c_custkey", F.when(c("c_custkey") % 2 == 0, c("c_name")).alias("c_name"), "c_acctbal")
+    assert merge.missing_columns(customers, wanted) == ["c_phone"]
+    full = merge.add_columns(customers, relaxed).select("c_custkey", "c_name", "c_phone", "c_acctbal")
+    path = files.shared_folder(spark, "relaxed")
+    full.write.parquet(path)
+    return spark.read.schema(relaxed).parquet(path).withColumnRenamed("C_ACCTBAL", "c_acctbal")
 
 
 @R.query("""
@@ -304,19 +309,23 @@ def claims_and_release(spark: SparkSession, sf: str) -> DataFrame:
     """Claims after requests took theirs and those whose work failed gave them back."""
     events = table(spark, sf, "events").select(c("user_id").alias("key"), c("ts").cast("date").alias("day"), "event_id", "event_type")
     held = events.filter("event_type = 'signup'").select("key", "day").distinct()
-    granted, claims = store.acquire(events.filter("event_type = 'click'").orderBy("event_id"), held)
+    granted, claims = store.acquire(events.filter("event_type = 'click'"), held, ["event_id"])
     left = store.release(claims, granted.filter("event_id % 2 = 0"))
     return left.groupBy("key", "day").agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.query("SELECT event_id, CASE WHEN event_type = 'click' THEN 'value ' || event_id END AS result FROM events")
+@R.query("""
+SELECT event_id, CASE WHEN event_type <> 'click' OR CAST(ts AS DATE) < DATE '2024-01-03' THEN NULL WHEN event_id % 3 = 0 THEN 'second ' || event_id ELSE 'first ' || event_id END AS result FROM events""")
 def cached_results(spark: SparkSession, sf: str) -> DataFrame:
-    path = files.shared_folder(spark, "cache")
-    events = table(spark, sf, "events")
-    key = routing.cache_key(c("ts").cast("date"), c("event_id"), F.lit("m"), c("event_type"))
-    for part in (0, 1):
-        store.cache(events.filter((c("event_type") == "click") & (c("event_id") % 2 == part)).select(key.alias("key"), F.concat(F.lit("value "), "event_id").alias("result")), path)
-    return store.cached(events.select("event_id", key.alias("key")), spark.read.parquet(path)).select("event_id", "result")
+    """Results cached, some of them once more, a day of them compacted, and old days forgotten."""
+    cache = store.ResultCache(spark, files.shared_folder(spark, "cache"))
+    day = c("ts").cast("date")
+    asked = table(spark, sf, "events").select("event_id", "event_type", day.alias("day"), routing.cache_key(day, c("event_id"), F.lit("m"), c("event_type")).alias("key"))
+    for said, rows in (("first ", asked), ("second ", asked.filter("event_id % 3 = 0"))):
+        cache.put(rows.filter("event_type = 'click'").select("key", F.concat(F.lit(said), "event_id").alias("result"), "day"))
+    cache.compact("2024-01-05")
+    cache.forget("2024-01-03")
+    return cache.find(asked).select("event_id", "result")
 
 
 class _Odd:
@@ -337,17 +346,23 @@ class _Odd:
 SELECT event_id, CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'timeout' WHEN 'signup' THEN 'error' ELSE 'success' END AS status FROM events""")
 def batch_results(spark: SparkSession, sf: str) -> DataFrame:
     results = batch.run(table(spark, sf, "events").select("event_id", "event_type"), "event_id", _Odd)
-    path = f"{files.shared_folder(spark, 'batch')}/results.json"
+    path = files.shared_folder(spark, "batch")
     counts = batch.report(results, path, "event_id")
-    read = spark.read.option("multiLine", True).json(path)
+    read = spark.read.json(path)
     assert sum(counts.values()) == read.count()
     return read.select("event_id", "status")
 
 
-@R.query("SELECT k AS attempt, least(30.0, 1.0 * power(2, k - 1)) AS seconds FROM range(1, 9) AS t(k)")
+@R.query("""
+SELECT event_id, attempts, seconds, make_timestamp(epoch_us(ts) + CAST(seconds * 1000000 AS BIGINT)) AS due
+FROM (SELECT event_id, ts, attempts, least(30.0, 1.0 * power(2, attempts - 1)) AS seconds FROM (SELECT event_id, ts, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS attempts FROM events WHERE event_type = 'error'))""")
 def retry_delays(spark: SparkSession, sf: str) -> DataFrame:
-    waits = completion.delays(Config(retry_attempts=9), jitter=lambda: 0.0)
-    return spark.createDataFrame([(k, float(w)) for k, w in enumerate(waits, 1)], "attempt bigint, seconds double")
+    """When each error of a user's day is tried again, by how many came before it."""
+    # (a key is a user and a day, whose errors are few)
+    nth = F.row_number().over(Window.partitionBy("user_id", c("ts").cast("date")).orderBy("ts", "event_id"))
+    errors = table(spark, sf, "events").filter("event_type = 'error'").select("event_id", "ts", nth.cast("bigint").alias("attempts"))
+    waits = errors.withColumn("seconds", intake.delay(c("attempts")))
+    return waits.select("event_id", "attempts", "seconds", F.timestamp_micros(F.unix_micros(c("ts").cast("timestamp")) + (c("seconds") * 1_000_000).cast("bigint")).cast("timestamp_ntz").alias("due"))
 
 
 @R.query("SELECT event_id, event_type IN ('click', 'view') OR status = 429 OR (status BETWEEN 500 AND 599) AS transient FROM (SELECT event_id, event_type, CAST(400 + event_id % 200 AS INT) AS status FROM events)")

@@ -139,9 +139,11 @@ def qualified_by_client(spark: SparkSession, sf: str) -> DataFrame:
     return reports.recent(rows.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select("client", "o_orderkey", "o_totalprice"), [F.desc("o_totalprice"), F.asc("o_orderkey")], 200)
 
 
-@R.query("SELECT variant_name, canonical_name FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in ALIASES) + ") AS t(variant_name, canonical_name) ORDER BY variant_name")
+@R.query("SELECT lower(trim(s_name)) AS variant_name, min(n_name) AS canonical_name, count(*) AS variants FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1")
 def mappings_list(spark: SparkSession, sf: str) -> DataFrame:
-    return _aliases(spark).orderBy("variant_name")
+    """An alias table as it is looked up: variants by their key, the least canonical name of each."""
+    pairs = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_name").alias("variant_name"), F.col("n_name").alias("canonical_name"))
+    return names.lookup(pairs).select(F.col("__variant").alias("variant_name"), F.col("__canonical").alias("canonical_name"), "variants")
 
 
 @R.query("""

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from colloquy.operators.dedup import latest_wins
 from colloquy.sources import files
@@ -44,16 +45,21 @@ class KeyedTable:
         done = self.batches()
         if batch_id in done:
             return
-        before = {b: at for b, at in self._manifest(done[-1]).items() if b != "schema"} if done else {}
+        manifest = self._manifest(done[-1]) if done else {}
+        before = {b: at for b, at in manifest.items() if b != "schema"}
+        # columns are never lost: a batch that lacks some has them as null, one that brings some adds them
+        known = StructType.fromJson(manifest["schema"]) if done else batch.schema
+        schema = StructType([*known.fields, *(f for f in batch.schema.fields if f.name not in known.names)])
+        batch = batch.select(*[F.col(f"`{f.name}`") if f.name in batch.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
         touched = {str(r[0]) for r in batch.select(self._bucket()).distinct().collect()}
         old = {b: at for b, at in before.items() if b in touched}
-        rows = batch.unionByName(self._rows(old, batch.schema)) if old else batch
+        rows = batch.unionByName(self._rows(old, schema)) if old else batch
         at = f"rows-{batch_id}-{uuid.uuid4().hex}"
         merged = latest_wins(rows, [self.key], self.order).withColumn("__bucket", self._bucket())
         merged.repartition("__bucket").write.partitionBy("__bucket").parquet(f"{self.folder}/{at}")
         now = before | {b: at for b in touched}
         draft = f"{self.folder}/drafts/{uuid.uuid4().hex}"
-        files.put(self.spark, draft, json.dumps({"schema": batch.schema.jsonValue()} | now))
+        files.put(self.spark, draft, json.dumps({"schema": schema.jsonValue()} | now))
         fs, place = files.store(self.spark, f"{self.folder}/manifests")
         fs.mkdirs(place)
         files.rename(self.spark, draft, f"{self.folder}/manifests/manifest-{batch_id}")
@@ -69,8 +75,6 @@ class KeyedTable:
                 files.delete(self.spark, f"{self.folder}/{name}")
 
     def read(self) -> DataFrame:
-        from pyspark.sql.types import StructType
-
         manifest = self._manifest(self.batches()[-1])
         return self._rows({b: at for b, at in manifest.items() if b != "schema"}, StructType.fromJson(manifest["schema"]))
 

@@ -161,3 +161,52 @@ def test_reports_say_what_they_leave_out(spark, monkeypatch):
     monkeypatch.setattr(sinks, "REPORT_ROWS", 3)
     assert "2 more rows are not shown" in sinks.markdown(spark.range(5), "t") and "2 more rows" in sinks.html_page(spark.range(5), "t")
     assert "more rows" not in sinks.markdown(spark.range(3), "t")
+
+
+def test_a_column_that_a_batch_lacks_stays(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), "k", ["at"])
+    table.upsert(spark.createDataFrame([("a", 1, 1, "w"), ("b", 1, 1, "x")], "k string, v int, at int, w string"), 0)
+    table.upsert(spark.createDataFrame([("c", 2, 2)], ROWS), 1)
+    table.upsert(spark.createDataFrame([("a", 3, 3, True)], "k string, v int, at int, z boolean"), 2)
+    assert table.read().columns == ["k", "v", "at", "w", "z"]
+    assert {r.k: (r.v, r.w, r.z) for r in table.read().collect()} == {"a": (3, None, True), "b": (1, "x", None), "c": (2, None, None)}
+
+
+def test_the_last_result_of_a_key_and_day_counts(spark, tmp_path):
+    cache = store.ResultCache(spark, f"{tmp_path}/cache")
+    frame = lambda *r: spark.createDataFrame(list(r), "key string, result string, day string")
+    asked = spark.createDataFrame([("a", "2024-01-02"), ("a", "2024-01-03"), ("b", "2024-01-02"), (None, "2024-01-02"), ("a", "2024-01-02")], "key string, day string")
+    found = lambda: sorted((str(r.key), r.day, str(r.result)) for r in cache.find(asked).collect())
+    assert [r[2] for r in found()] == ["None"] * 5
+    cache.put(frame(("a", "old", "2024-01-02"), ("b", "b", "2024-01-02"), ("b", None, "2024-01-02")))
+    cache.put(frame(("a", "new", "2024-01-02"), ("a", "next day", "2024-01-03")))
+    want = [("None", "2024-01-02", "None"), ("a", "2024-01-02", "new"), ("a", "2024-01-02", "new"), ("a", "2024-01-03", "next day"), ("b", "2024-01-02", "b")]
+    assert found() == want
+    for _ in range(2):
+        cache.compact("2024-01-02")
+        assert found() == want and spark.read.parquet(f"{tmp_path}/cache/day=2024-01-02").count() == 2
+    cache.put(frame(("a", "newest", "2024-01-02")))
+    assert [r[2] for r in found()] == ["None", "newest", "newest", "next day", "b"]
+    assert cache.forget("2024-01-03") == ["2024-01-02"] and cache.days() == ["2024-01-03"]
+    assert [r[2] for r in found()] == ["None", "None", "None", "next day", "None"]
+
+
+def test_prefixes_are_joined_by_equality(spark):
+    from colloquy.operators import costs
+
+    prefixes = spark.range(100_000).selectExpr("concat('p', id) AS prefix", "CAST(id AS INT) AS ord", "id * 1.0D AS rate_in", "0.5D AS rate_out")
+    models = spark.createDataFrame([("p1-mini",), ("p99999",), ("p777777x",), ("q1",), ("",), (None,), ("p12",)], "model string")
+    got = costs.by_longest_prefix(models, prefixes)
+    assert "NestedLoop" not in got._jdf.queryExecution().toString()
+    assert {r.model: r.prefix for r in got.collect()} == {"p1-mini": "p1", "p99999": "p99999", "p777777x": "p77777", "q1": None, "": None, None: None, "p12": "p12"}
+    first = costs.by_first_prefix(models, prefixes)
+    assert "NestedLoop" not in first._jdf.queryExecution().toString()
+    assert {r.model: r.config for r in first.collect()} == {"p1-mini": "p1", "p99999": "p99999", "p777777x": "p7", "q1": None, "": None, None: None, "p12": "p12"}
+
+
+def test_the_least_of_several_aliases_wins(spark):
+    from colloquy.operators import names
+
+    mappings = spark.createDataFrame([("A ", "z"), ("a", "y"), ("b", "x")], "variant_name string, canonical_name string")
+    got = names.canonical(spark.createDataFrame([("a",), (" B",), ("c",)], "n string"), "n", mappings, "out")
+    assert {r.n: r.out for r in got.collect()} == {"a": "y", " B": "x", "c": "c"}
