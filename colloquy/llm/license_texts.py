@@ -1,4 +1,5 @@
-"""Public licence texts and notices that the index holds: short licences whole, long ones by the notice that files carry.
+"""Public licence texts and notices that the index holds: short licences whole, long ones by the notice that files carry,
+and names where a text says that it is under one.
 
 Each is (label, text, mandatory phrases). A phrase is compared word by word, in lower case; where none is named,
 the whole text must stand as it is.
@@ -27,6 +28,21 @@ LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON A
 CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE,
 EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 
+BSD_3 = BSD_2.replace(" THIS SOFTWARE IS", """ 3. Neither the name of the copyright holder nor the names of its
+contributors may be used to endorse or promote products derived from this software without specific prior written
+permission. THIS SOFTWARE IS""", 1)
+
+ZERO_BSD = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING
+ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+THIS SOFTWARE."""
+
+WTFPL = """Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it
+is allowed as long as the name is changed. DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR COPYING,
+DISTRIBUTION AND MODIFICATION 0. You just DO WHAT THE FUCK YOU WANT TO."""
+
 ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
 granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
 PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
@@ -48,12 +64,23 @@ transmit the Software, and to prepare derivative works of the Software, and to p
 is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement,
 including the above license grant, this restriction and the following disclaimer, must be included in all copies of the
 Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely
-in the form of machine-executable object code generated by a source language processor."""
+in the form of machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED "AS IS",
+WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS
+FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE
+SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
 
 UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,
 publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any
 purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or
-authors of this software dedicate any and all copyright interest in the software to the public domain."""
+authors of this software dedicate any and all copyright interest in the software to the public domain. We make this
+dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this
+dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under
+copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING
+FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please
+refer to https://unlicense.org"""
 
 APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
 with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by
@@ -62,7 +89,7 @@ WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License
 permissions and limitations under the License."""
 
 _GNU = """{0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2}General Public License as
-published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. {0} is
+published by the Free Software Foundation, either version {4} of the License, or (at your option) any later version. {0} is
 distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
 MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {2}General Public License for more details. You should have
 received a copy of the GNU {2}General Public License along with {3}. If not, see <https://www.gnu.org/licenses/>."""
@@ -83,40 +110,40 @@ def _until(text: str, end: str) -> str:
     return text[: text.index(end) + len(end)]
 
 
+#: Names of licences, which count where a text says that it is under one.
+NAMES = (("bsd", "BSD 3-Clause License"), ("bsd", "BSD 2-Clause License"), ("isc", "ISC License"), ("mpl", "Mozilla Public License"), ("epl", "Eclipse Public License"), ("lgpl", "GNU Lesser General Public License"), ("agpl", "GNU Affero General Public License"))
+NAMED = ("under the {}", "under the terms of the {}", "{} Copyright")
+
 TEXTS = (
     ("mit", MIT, ("Permission is hereby granted, free of charge, to any person obtaining a copy", "to deal in the Software without restriction")),
     ("bsd", BSD_2, ("Redistribution and use in source and binary forms", "conditions and the following disclaimer")),
-    ("isc", ISC, ("for any purpose with or without fee is hereby granted",)),
+    ("bsd", BSD_3, ("Redistribution and use in source and binary forms", "may be used to endorse or promote products derived from this software")),
+    ("0bsd", ZERO_BSD, ("for any purpose with or without fee is hereby granted THE SOFTWARE IS PROVIDED",)),
+    ("wtfpl", WTFPL, ("DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE",)),
+    ("isc", ISC, ("with or without fee is hereby granted provided that the above copyright notice",)),
     ("zlib", ZLIB, ("must not be misrepresented", "altered source versions must be plainly marked as such")),
     ("boost", BOOST, ("to any person or organization obtaining a copy of the software", "machine-executable object code generated by a source language processor")),
     ("unlicense", UNLICENSE, ("free and unencumbered software released into the public domain",)),
     ("apache", APACHE, ("you may not use this file except in compliance with the License",)),
-    ("gpl", _GNU.format("This program", ":", "", "this program"), ("under the terms of the GNU General Public License as published by the Free Software Foundation",)),
-    ("lgpl", _GNU.format("This library", ";", "Lesser ", "this library"), ("under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",)),
-    ("agpl", _GNU.format("This program", ":", "Affero ", "this program"), ("under the terms of the GNU Affero General Public License as published by the Free Software Foundation",)),
+    ("gpl", _GNU.format("This program", ":", "", "this program", 3), ("under the terms of the GNU General Public License as published by the Free Software Foundation",)),
+    ("lgpl", _GNU.format("This library", ";", "Lesser ", "this library", 3), ("under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",)),
+    ("agpl", _GNU.format("This program", ":", "Affero ", "this program", 3), ("under the terms of the GNU Affero General Public License as published by the Free Software Foundation",)),
     ("mpl", MPL, ("subject to the terms of the Mozilla Public License",)),
     ("epl", EPL, ("under the terms of the Eclipse Public License",)),
     ("cc0", CC0, ("has dedicated all copyright and related and neighboring rights",)),
     ("mit", _until(MIT, "without restriction"), ("Permission is hereby granted, free of charge", "deal in the Software without restriction")),
     ("bsd", _until(BSD_2, "are met"), ("Redistribution and use in source and binary forms",)),
-    ("isc", _until(ISC, "granted"), ("for any purpose with or without fee is hereby granted",)),
     ("unlicense", _until(UNLICENSE, "public domain"), ("free and unencumbered software",)),
     ("apache", _until(APACHE, "except in compliance\nwith the License"), ("you may not use this file except in compliance with the License",)),
-    ("gpl", _until(_GNU.format("This program", ":", "", "this program"), "Free Software Foundation"), ("under the terms of the GNU General Public License",)),
-    ("lgpl", _until(_GNU.format("This library", ";", "Lesser ", "this library"), "Free Software Foundation"), ("GNU Lesser General Public License",)),
-    ("agpl", "you should have received a copy of the GNU Affero General Public License along with this program", ("GNU Affero General Public License",)),
+    ("gpl", _until(_GNU.format("This program", ":", "", "this program", 3), "Free Software Foundation"), ("under the terms of the GNU General Public License",)),
+    ("lgpl", _until(_GNU.format("This library", ";", "Lesser ", "this library", 3), "Free Software Foundation"), ("GNU Lesser General Public License",)),
+    ("agpl", "You should have received a copy of the GNU Affero General Public License along with this program", ("GNU Affero General Public License",)),
     ("cc-by", "licensed under a Creative Commons Attribution", ()),
     ("cc-by", "licensed under CC BY", ()),
     ("cc-by-nc", "licensed under CC BY-NC", ()),
     ("cc-by-sa", "licensed under CC BY-SA", ()),
     ("cc-by-nd", "licensed under CC BY-ND", ()),
     ("cc0", "CC0 1.0 Universal", ()),
-    ("bsd", "BSD 3-Clause License", ()),
-    ("bsd", "BSD 2-Clause License", ()),
-    ("isc", "ISC License", ()),
-    ("mpl", "Mozilla Public License", ()),
-    ("epl", "Eclipse Public License", ()),
-    ("lgpl", "GNU Lesser General Public License", ()),
-    ("agpl", "GNU Affero General Public License", ()),
+    *((label, text.format(name), ()) for label, name in NAMES for text in NAMED),
     *((label, f"SPDX-License-Identifier: {name}", ()) for label, name in (("mit", "MIT"), ("apache", "Apache-2.0"), ("gpl", "GPL"), ("lgpl", "LGPL"), ("agpl", "AGPL"), ("bsd", "BSD"), ("isc", "ISC"), ("mpl", "MPL"), ("epl", "EPL"), ("zlib", "Zlib"), ("cc0", "CC0"))),
 )
