@@ -395,7 +395,10 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
 
     open_left = opened(open_)
     able = _able(open_left, of_reps, how)
-    left = opened(open_left.join(able.hint("merge"), "rep", "left_semi"))
+    still = cut(open_left.join(able.hint("merge"), "rep", "left_semi").select("bucket", "band", "rep", "comp", "is_stray"), "still")
+    sizes = still.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.ceil(F.count_if("is_stray") / BLOCK).cast("int").alias("stray_blocks"), (F.min("comp") != F.max("comp")).alias("mixed"))
+    sizes = cut(sizes.filter("mixed AND stray_blocks > 0").drop("mixed"), "sizes")
+    left = still.join(sizes, "bucket")
     every, own = lambda n: F.sequence(F.lit(0), F.col(n) - 1), lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     # (each role is one entry of an array, so that signatures are joined and dealt out once)
     other = F.transform(every("stray_blocks"), lambda j: F.struct(own("blocks").alias("i"), j.alias("j"), F.lit(False).alias("as_stray")))
@@ -407,7 +410,7 @@ def assign(docs: DataFrame, how: Similar = Similar(), *, id_col: str = "doc_id",
     asking = cut(T.map_groups(blocks, ["bucket", "i", "j"], role_type, _asking(how)), "asking")
     sets = of_reps.join(asking.select("rep").distinct(), "rep", "left_semi").join(marks, "rep")
     join(T.map_groups(asking.join(sets.hint("merge"), "rep"), ["bucket", "i", "j"], f"a {id_type}, b {id_type}", _linking(how)))
-    drop(members, facts, marks, open_, pivots, open_left, able, left, asking)
+    drop(members, facts, marks, open_, pivots, open_left, able, still, sizes, asking)
 
     named = classes.select(*KEY, "rep").join(comps, F.col("rep") == F.col("id"), "left").select(*KEY, F.coalesce("least", "rep").alias("component_id"))
     joined = sketches.drop("signature").join(named, KEY, "left")

@@ -545,10 +545,32 @@ def test_licenses_labels_of_the_method(spark):
         assert label in got[k].labels.split(",") and got[k].score > 0.9, license_texts.TEXTS[k]
     assert got[100].labels == got[107].labels == "mit" and got[101].labels == got[102].labels == got[106].labels == ""
     assert got[103].labels == "bsd,isc" and got[104].labels == got[105].labels == "zlib"
+    more = {
+        1: ("Licensed under CC BY-NC 4.0", "cc-by-nc"), 2: ("licensed under CC BY 4.0", "cc-by"), 3: ("I do not like the ISC License", ""), 4: ("released under the ISC License.", "isc"),
+        5: (license_texts.ZERO_BSD, "0bsd"), 6: (license_texts.MIT + license_texts.BSD_3 + license_texts.UNLICENSE, "bsd,mit,unlicense"), 7: (f"{license_texts.BOOST} {around} {license_texts.ZLIB}", "boost,zlib"),
+        8: ("the ISC " * 300 + license_texts.MIT + " License of ISC" * 300, "mit"), 9: ("GNU Lesser General Public License Copyright", "gpl,lgpl"),
+    }
+    got = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame([(k, t) for k, (t, _) in more.items()], "doc_id bigint, text string")).collect()}
+    assert got == {k: want for k, (_, want) in more.items()}
     own = licenses.scan(spark.createDataFrame([(1, "all rights kept by nobody ever")], "doc_id bigint, text string"), templates=(licenses.Template("own", "rights kept by nobody"),)).first()
     assert (own.labels, own.score) == ("own", 1.0)
 
 
+def test_licenses_look_up_each_windows_rarest_words():
+    index = licenses.Index()
+    text = " ".join(index.templates[k].text for k in range(len(index.templates)))
+    part = next(T.slices(pa.array([text, "the of and " * 50])))
+    starts, ends, owner = part.spans(T.ALNUM)
+    codes = index.encode(part.hashes(starts, ends, T.BYTES_LOWER))
+    first = np.array([0, (owner == 0).sum()])
+    looked = set(index.looked_up(codes, owner, first).tolist())
+    for w in range(0, int(first[1]), licenses.WINDOW):
+        here = [k for k in range(w, min(w + licenses.WINDOW, int(first[1]))) if index.is_rare[codes[k]]]
+        best = sorted({int(codes[k]) for k in here}, key=lambda c: (-index.idf[c], c))[: licenses.TOP]
+        assert {k for k in looked if w <= k < w + licenses.WINDOW} == {k for k in here if codes[k] in best} | {k for k in range(w, min(w + licenses.WINDOW, int(first[1]))) if index.is_anchor[codes[k]]}
+    assert not any(k >= first[1] for k in looked)
+
+
 # --- 8 near dedup ----------------------------------------------------------------------------------------
 
 
