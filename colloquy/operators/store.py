@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import logging
 import time
 from collections.abc import Iterator
@@ -18,6 +19,10 @@ from colloquy.operators.merge import missing_columns
 from colloquy.sources import files
 
 
+#: The property of a table that names its required columns.
+_REQUIRED = "colloquy.required"
+
+
 def _name(name: str) -> str:
     return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
 
@@ -26,9 +31,27 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(name)}")
 
 
-def create_table(spark: SparkSession, name: str, schema: StructType) -> None:
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} ({columns}) USING parquet")
+def create_table(spark: SparkSession, name: str, schema: StructType, required: tuple[str, ...] = (), defaults: dict[str, str] | None = None) -> None:
+    """Creates a table if there is none. Required columns are kept with it, for `insert` to refuse nulls by (Spark itself
+    doesn't); defaults (SQL) are what an insert that names other columns alone puts in."""
+    defaults = defaults or {}
+    required = tuple(f.name for f in schema.fields if f.name in required or not f.nullable)
+    more = lambda f: (" NOT NULL" if f.name in required else "") + (f" DEFAULT {defaults[f.name]}" if f.name in defaults else "")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{more(f)}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} ({columns}) USING parquet TBLPROPERTIES ('{_REQUIRED}' = '{json.dumps(required)}')")
+
+
+def insert(rows: DataFrame, name: str) -> None:
+    """Adds rows by column names to a table of `create_table`: columns that rows lack get their defaults, and a null in a
+    required one fails the whole insert."""
+    spark = rows.sparkSession
+    kept = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {_name(name)}").collect()}
+    required = json.loads(kept.get(_REQUIRED, "[]"))
+    if lacking := [c for c in required if c not in rows.columns and spark.table(name).schema[c].metadata.get("CURRENT_DEFAULT") is None]:
+        raise ValueError(f"{name}: required columns are missing: {lacking}")
+    refuse = lambda c: F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{name}.{c} is required, but null"))).otherwise(F.col(c)).alias(c)
+    checked = rows.select(*[refuse(c) if c in required else F.col(c) for c in rows.columns])
+    spark.sql(f"INSERT INTO {_name(name)} ({', '.join(f'`{c}`' for c in rows.columns)}) SELECT * FROM {{rows}}", rows=checked)
 
 
 def evolve_table(spark: SparkSession, name: str, schema: StructType, apply: bool = True) -> list[str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.operators import tables
+from colloquy.operators import spans, tables
 from colloquy.plans.registry import Registry
 from colloquy.sources import files, landing, table
 from colloquy.streaming import claims, intake
@@ -98,3 +98,21 @@ def landed_files(spark: SparkSession, sf: str) -> DataFrame:
         stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     lines = spark.read.parquet(f"{folder}/out").select("content_type", F.explode(F.split("text", "\n")).alias("line")).filter("line <> ''")
     return lines.select(F.from_json("line", turns.schema).alias("t"), "content_type").select("t.*", "content_type")
+
+
+_SPANS = r"SELECT DISTINCT span FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS span FROM benchmark) WHERE length(span) >= 8"
+
+
+@R.query(f"""
+WITH s AS ({_SPANS}), d AS (SELECT doc_id, text, (SELECT count(*) FROM s WHERE contains(lower(d.text), s.span)) AS n FROM documents d)
+SELECT doc_id, coalesce(n > 0, false) AS residue, n AS spans, false AS after FROM d""")
+def many_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Every long word of the benchmark as a span: how many of them stand in each document, and whether one is left after they are scrubbed."""
+    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), 0)).alias("span")
+    known = table(spark, sf, "benchmark").select(words).distinct().filter("length(span) >= 8").select("span", c("span").alias("category"))
+    docs = table(spark, sf, "documents").select("doc_id", "text", c("text").alias("scrubbed"))
+    found = spans.found(docs, ["text"], known)
+    counted = found.select("doc_id", F.size(F.array_distinct(F.transform(F.coalesce(spans.FOUND + "text", F.array().cast(spans.MATCHES)), lambda m: m["category"]))).cast("bigint").alias("spans"))
+    placed = known.select("span", F.lit("x").alias("category"))
+    after = spans.residue(spans.scrub(docs.select("doc_id", "scrubbed"), ["scrubbed"], placed), ["scrubbed"], placed).select("doc_id", c("residue").alias("after"))
+    return counted.join(after, "doc_id").select("doc_id", (c("spans") > 0).alias("residue"), "spans", "after")

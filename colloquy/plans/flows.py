@@ -31,35 +31,36 @@ def scan_files(spark: SparkSession, sf: str) -> DataFrame:
     return transcripts.scan(spark, folder).select("stem", "size", "md5", "text")
 
 
-_WORDS = "regexp_extract_all(text, '[A-Za-z]+')"
+_WORDS = r"regexp_extract_all(text, '\p{L}+')"
+_LETTERS = r"\p{L}+"
 
 
 @R.query(f"""
-SELECT 'n' || doc_id AS granola_note_id, array_to_string(ws[1:4], ' ') AS title, array_to_string(ws[5:7], ', ') AS attendees, coalesce(lang, '') AS creator_name, '' AS calendar_event_id
-FROM (SELECT doc_id, lang, {_WORDS} AS ws FROM documents) WHERE len(ws) >= 7""")
+SELECT 'n' || doc_id AS granola_note_id, array_to_string(ws, ' ') AS title, array_to_string(ws, ', ') AS attendees, coalesce(lang, '') AS creator_name, '' AS calendar_event_id
+FROM (SELECT doc_id, lang, {_WORDS} AS ws FROM documents) WHERE len(ws) >= 1""")
 def header_repair(spark: SparkSession, sf: str) -> DataFrame:
     """Headers with an unquoted list of people, a missing value and a comma too many, made of the documents' words."""
-    ws = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0)
-    some = lambda lo, n, by: F.array_join(F.slice("ws", lo, n), by)
+    ws = F.regexp_extract_all("text", F.lit(_LETTERS), 0)
     header = F.concat(
-        F.lit('```json\n{\n  "granola_note_id": "n'), "doc_id", F.lit('",\n  "title": "'), some(1, 4, " "), F.lit('",\n  "attendees": '), some(5, 3, ", "),
+        F.lit('```json\n{\n  "granola_note_id": "n'), "doc_id", F.lit('",\n  "title": "'), F.array_join("ws", " "), F.lit('",\n  "attendees": '), F.array_join("ws", ", "),
         F.lit(',\n  "creator_name": "'), F.coalesce("lang", F.lit("")), F.lit('",\n  "calendar_event_id": ,\n}\n```\n'),
     )
-    docs = table(spark, sf, "documents").select("doc_id", "lang", ws.alias("ws")).filter(F.size("ws") >= 7)
+    docs = table(spark, sf, "documents").select("doc_id", "lang", ws.alias("ws")).filter(F.size("ws") >= 1)
     return docs.select(transcripts.metadata(header).alias("m")).select("m.granola_note_id", "m.title", "m.attendees", F.coalesce("m.creator_name", F.lit("")).alias("creator_name"), F.coalesce("m.calendar_event_id", F.lit("")).alias("calendar_event_id"))
 
 
 @R.query(f"""
-SELECT doc_id, array_to_string(ws[1:4], ' ') AS title, lower(ws[5]) || ' ' || ws[6] AS creator_name, lower(ws[5]) || '@x.org' AS creator_email, ws[7] || ', ' || ws[8] AS attendees
-FROM (SELECT doc_id, {_WORDS} AS ws FROM documents) WHERE len(ws) >= 8""")
+SELECT doc_id, array_to_string(ws, ' ') AS title, lower(ws[1]) || ' ' || ws[-1] AS creator_name, 'u' || doc_id || '@x.org' AS creator_email, array_to_string(ws, ', ') AS attendees
+FROM (SELECT doc_id, {_WORDS} AS ws FROM documents) WHERE len(ws) >= 1""")
 def markdown_header(spark: SparkSession, sf: str) -> DataFrame:
-    ws = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0)
-    w = lambda k: F.element_at("ws", k)
+    """Headers of a note whose title and people are all words of a document; one without an address isn't among the people."""
+    ws = F.regexp_extract_all("text", F.lit(_LETTERS), 0)
+    people = F.array_join(F.transform("ws", lambda w, k: F.when(k % 2 == 0, F.concat(w, F.lit(" <a@x.org>"))).otherwise(F.concat(w, F.lit(" (b@x.org)")))), ", ")
     text = F.concat(
-        F.lit("# "), F.array_join(F.slice("ws", 1, 4), " "), F.lit("\n\n**Creator:** "), F.lower(w(5)), F.lit(" "), w(6), F.lit(" ("), F.lower(w(5)), F.lit("@x.org)\n**Attendees:** "),
-        w(7), F.lit(" <a@x.org>, nobody, "), w(8), F.lit(" (b@x.org)\n## Enhanced Notes\n**Creator:** no one\n"),
+        F.lit("# "), F.array_join("ws", " "), F.lit("\n\n**Creator:** "), F.lower(F.element_at("ws", 1)), F.lit(" "), F.element_at("ws", -1), F.lit(" (u"), "doc_id", F.lit("@x.org)\n**Attendees:** nobody, "),
+        people, F.lit("\n## Enhanced Notes\n**Creator:** no one\n"),
     )
-    docs = table(spark, sf, "documents").select("doc_id", ws.alias("ws")).filter(F.size("ws") >= 8)
+    docs = table(spark, sf, "documents").select("doc_id", ws.alias("ws")).filter(F.size("ws") >= 1)
     return docs.select("doc_id", transcripts.metadata(text).alias("m")).select("doc_id", "m.title", "m.creator_name", "m.creator_email", "m.attendees")
 
 
@@ -120,18 +121,18 @@ def plain_dates(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", C.local_date(text, F.lit("2000-01-01").cast("date")).alias("day"))
 
 
-_PARSED = """
+_PARSED = r"""
 SELECT 'm' || doc_id AS meeting_id, 'granola_drive' AS source, make_date(2024, 1, CAST(doc_id % 28 + 1 AS INT)) AS date, 'Weekly ' || doc_id AS title, ['Ann', coalesce(lang, 'xx')] AS participants,
-       note AS enhanced_notes, NULL AS reject FROM (SELECT doc_id, lang, array_to_string(regexp_extract_all(text, '[A-Za-z]+')[1:30], ' ') AS note FROM documents WHERE doc_id % 2 = 0) WHERE note <> ''
+       note AS enhanced_notes, NULL AS reject FROM (SELECT doc_id, lang, array_to_string(regexp_extract_all(text, '\p{L}+'), ' ') AS note FROM documents WHERE doc_id % 2 = 0) WHERE note <> ''
 UNION ALL
 SELECT 'd' || doc_id, 'plaintext', CASE WHEN doc_id % 5 <> 0 THEN make_date(2024, 2, CAST(doc_id % 28 + 1 AS INT)) END, 'Plain ' || doc_id, ['Bob', coalesce(lang, 'xx')], '', CASE WHEN doc_id % 5 = 0 THEN 'no date' END
-FROM (SELECT doc_id, lang, array_to_string(regexp_extract_all(text, '[A-Za-z]+')[1:30], ' ') AS note FROM documents WHERE doc_id % 2 = 1) WHERE note <> ''"""
+FROM (SELECT doc_id, lang, array_to_string(regexp_extract_all(text, '\p{L}+'), ' ') AS note FROM documents WHERE doc_id % 2 = 1) WHERE note <> ''"""
 
 
 @R.query(_PARSED)
 def parsed_files(spark: SparkSession, sf: str) -> DataFrame:
     """Fenced and plain files around the documents' words, parsed; those without a date are rejected."""
-    docs = table(spark, sf, "documents").select("doc_id", F.coalesce("lang", F.lit("xx")).alias("lang"), F.array_join(F.slice(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0), 1, 30), " ").alias("note")).filter("note <> ''")
+    docs = table(spark, sf, "documents").select("doc_id", F.coalesce("lang", F.lit("xx")).alias("lang"), F.array_join(F.regexp_extract_all("text", F.lit(_LETTERS), 0), " ").alias("note")).filter("note <> ''")
     day = lambda month: F.date_format(F.make_date(F.lit(2024), F.lit(month), (c("doc_id") % 28 + 1).cast("int")), "yyyy-MM-dd")
     fenced = F.concat(
         F.lit('```json\n{"granola_note_id": "m'), "doc_id", F.lit('", "title": "Weekly '), "doc_id", F.lit('", "creator_name": "Ann", "attendees": "'), "lang",

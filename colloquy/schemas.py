@@ -71,6 +71,10 @@ MEETING_INTEL = _schema(f"""
 MAPPINGS = _schema("variant_name string, canonical_name string, notes string, created_at timestamp, updated_at timestamp")
 COST_LOG = _schema("log_id string, meeting_id string, scoring_domain string, model string, prompt_label string, tokens_in bigint, tokens_out bigint, cost_estimate_usd double, scored_at timestamp")
 
+#: Columns that refuse nulls, and what columns have that an insert doesn't name.
+REQUIRED = {"meeting_intel": ("meeting_id", "date", "source", "scored_at", "llm_model"), "mappings": ("variant_name", "canonical_name")}
+DEFAULTS = {"mappings": {"created_at": "current_timestamp()", "updated_at": "current_timestamp()"}}
+
 #: Columns of MEETING_INTEL by who writes them.
 TEXTS = ("enhanced_notes", "my_notes", "full_transcript")
 SHARED = tuple(MEETING_INTEL.names[1:5] + MEETING_INTEL.names[6:16] + ["scored_at", "llm_model", "scoring_domain"])

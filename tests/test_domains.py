@@ -157,3 +157,20 @@ def test_claims(spark):
 def test_each_row_to_its_file(spark, tmp_path):
     store.write_each(spark.createDataFrame([("a/b", 1), ("c", 2)], "id string, n int"), F.translate("id", "/", "_"), f"{tmp_path}/each")
     assert sorted(p.name for p in (tmp_path / "each").iterdir() if p.is_dir()) == ["name=a_b", "name=c"]
+
+
+def test_required_columns_and_defaults(spark):
+    spark.sql("DROP TABLE IF EXISTS strict_maps")
+    store.create_table(spark, "strict_maps", schemas.MAPPINGS, schemas.REQUIRED["mappings"], schemas.DEFAULTS["mappings"])
+    pair = "variant_name string, canonical_name string"
+    try:
+        store.insert(spark.createDataFrame([("a", "A")], pair), "strict_maps")
+        row = spark.table("strict_maps").first()
+        assert (row.variant_name, row.canonical_name, row.notes) == ("a", "A", None) and row.created_at is not None and row.updated_at is not None
+        with pytest.raises(Exception, match="canonical_name is required"):
+            store.insert(spark.createDataFrame([("b", "B"), ("c", None)], pair), "strict_maps")
+        with pytest.raises(ValueError, match="canonical_name"):
+            store.insert(spark.createDataFrame([("b",)], "variant_name string"), "strict_maps")
+        assert spark.table("strict_maps").count() == 1
+    finally:
+        spark.sql("DROP TABLE IF EXISTS strict_maps")
