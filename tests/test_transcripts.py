@@ -76,7 +76,7 @@ def test_scan_ingest_and_dedupe(spark, tmp_path, capsys):
 def test_score_and_upload_commands(spark, tmp_path):
     transcripts.parse(files(spark, fenced=FENCED)).drop("reject").write.parquet(f"{tmp_path}/in")
     good = json.dumps({"qualified": True, "reason": "r", "summary": "s", "evidence": "e"})
-    (tmp_path / "answers.json").write_text(json.dumps({"now": good, "next": good, "measure": good, "sales_discovery": '{"score": 3}'}))
+    (tmp_path / "answers.json").write_text(json.dumps({"now": good, "next": good, "measure": good, "sales_discovery": json.dumps({"qualified": True, "score": 3, "reason": "r", "evidence": "e", "coaching_note": "n"}), "sales_scoping": '{"score": 3}'}))
     assert cli.main(["score", f"{tmp_path}/in", f"{tmp_path}/answers.json", f"{tmp_path}/out"]) == 0
     row = spark.read.parquet(f"{tmp_path}/out").first()
     assert (row.total_qualified_sections, row.qualified, row.sales_total_score) == (3, True, 3)
