@@ -154,7 +154,7 @@ def brute_manifest(rows):
     return Counter((doc, own, subs[s][0], root, digest(*path, *tops[k])) for k, s in enumerate(order) for (_, doc, own), path in zip(sorted(groups[s]), subs[s][1]))
 
 
-@pytest.mark.parametrize(("part_rows", "rounds", "run"), [(1 << 17, 6, 7), (4, 2, 1), (1, 1, 2), (30, 6, 1)])
+@pytest.mark.parametrize(("part_rows", "rounds", "run"), [(1 << 17, 6, 7), (4, 2, 1), (1, 1, 2)])
 def test_manifest(monkeypatch, docs, rows, part_rows, rounds, run):
     for name, value in (("PART_ROWS", part_rows), ("LEAST_ROWS", 10), ("ROUND", rounds), ("RUN", run)):
         monkeypatch.setattr(manifest, name, value)
@@ -173,7 +173,7 @@ def test_manifest_finds_what_was_tampered_with(docs, rows):
     assert all((r.seen == r.leaf) == r.verified for r in made) and len({r.root for r in made}) == 1
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 9, 10, 27, 28, 82])
+@pytest.mark.parametrize("n", [0, 1, 2, 4, 28])
 def test_manifest_of_a_few_rows(spark, n):
     docs = spark.range(n).selectExpr("id AS doc_id", "CAST(NULL AS STRING) AS source", "CAST(id AS STRING) AS text")
     made = manifest.folded(manifest.build(docs, ["doc_id", "text"], group_col="source", order_col="doc_id")).collect()
