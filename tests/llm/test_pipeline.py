@@ -52,7 +52,7 @@ def test_stages(spark):
 
 
 def test_registered(spark):
-    assert sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0])) == [next(q for q in queries.QUERIES if q.startswith(f"op{n}_")) for n in range(1, 11)]
+    assert sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0])) == [next(q for q in queries.QUERIES if q.startswith(f"op{n}_")) for n in range(1, 14)]
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
     assert mixing.cycle((3, 1, 2))(["a", "b", "c", None]) == [3, 1, 2, 3]
 
