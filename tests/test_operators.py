@@ -216,7 +216,7 @@ def test_retries():
 def test_scoring_from_recorded_answers(spark):
     good = json.dumps({"qualified": True, "reason": "r", "summary": "s", "evidence": " ".join("abcdefghijklmnopqrstuvwxyz" + "012")})
     answers = {"p-now": good, "p-next": good, "p-measure": '{"qualified": "yes"}', "p-blocker": None, "p-fit": json.dumps({**json.loads(good), "services": ["evolve", "x"]})}
-    answers |= {f"s-{c}": json.dumps({"score": k, "reason": "r", "qualified": False}) for k, c in enumerate(schemas.SALES_CRITERIA)}
+    answers |= {f"s-{c}": json.dumps({"score": k, "reason": "r", "qualified": False, "evidence": None, "coaching_note": None}) for k, c in enumerate(schemas.SALES_CRITERIA)}
     prompts = {s: f"p-{s}" for s in completion.SECTIONS} | {f"sales_{c}": f"s-{c}" for c in schemas.SALES_CRITERIA}
     df = spark.createDataFrame([("m1", "text")], "meeting_id string, full_transcript string")
     raw = completion.ask(df, prompts, "full_transcript", lambda: completion.Recorded(answers))
