@@ -1,14 +1,19 @@
 """Claims of a day as keyed state of a stream.
 
 Requests and what became of the work they were granted come as one stream of rows (key, ts, event_id, kind). For each
-key and day of event time a value state holds whether the work is under way or done. A request is granted if
+key and day of event time the state holds whether the work is under way or done. A request is granted if
 neither holds; `completed` ends the work for the day, `failed` gives the claim back, so that the next request runs
 again; at the day's end a timer on the watermark drops the state. What a key did before a restart is in the
 query's checkpoint.
 
+Keys are dealt by their hash into BUCKETS for each day, and a bucket is one group with one value state and one timer: a call
+of Python costs some ten milliseconds with its messages to the state store, which a call for each key would pay.
+A bucket's state is read and written whole, so a micro-batch costs what the days it touches hold.
+
 Rows of one key are taken in order of ts and event_id within a micro-batch; over micro-batches they are taken as
-they come. A key's rows of one micro-batch are held by one task, so bound micro-batches (`maxFilesPerTrigger`).
-Rows older than the watermark are left out, null keys are a key of their own.
+they come. A bucket's rows of one micro-batch are held by one task, so bound micro-batches (`maxFilesPerTrigger`).
+Rows older than the watermark are left out, null keys are a key of their own. Keys are of an atomic type whose text
+tells its values apart.
 """
 
 from __future__ import annotations
@@ -30,43 +35,43 @@ REQUEST, COMPLETED, FAILED = "request", "completed", "failed"
 ANSWER = "event_id bigint, ts timestamp, kind string, answer string"
 
 
+#: Groups a day's keys are dealt into. A checkpoint holds only with the number it began with.
+BUCKETS = 64
+
+
 class DayClaims(StatefulProcessor):
-    """The state of one key on one day: null, `pending` or `completed`."""
+    """The states of a bucket's keys on one day: those whose work is under way, and those whose work is done."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.status = handle.getValueState("status", "status string")
+        self.held = handle.getValueState("held", "pending array<string>, completed array<string>")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(rows).sort_values(["ts", "event_id"], kind="stable")
-        found = self.status.get()
-        first, now = found is None, found[0] if found else None
+        found = self.held.get()
+        pending, completed = map(set, found or ((), ()))
         answers = []
-        for kind in batch["kind"]:
+        for who, kind in zip(batch["key"].tolist(), batch["kind"].tolist()):
             if kind == REQUEST:
-                answers.append("granted" if now is None else "duplicate")
-                now = now or "pending"
-            elif now == "pending" and kind == COMPLETED:
-                answers.append("taken")
-                now = "completed"
-            elif now == "pending" and kind == FAILED:
+                answers.append("duplicate" if who in pending or who in completed else "granted")
+                if who not in completed:
+                    pending.add(who)
+            elif who in pending and kind in (COMPLETED, FAILED):
                 answers.append("taken")
-                now = None
+                pending.remove(who)
+                if kind == COMPLETED:
+                    completed.add(who)
             else:
                 answers.append("ignored")
-        if now is None:
-            self.status.clear()
-        else:
-            self.status.update((now,))
-            if first:
-                self.handle.registerTimer(int(batch["until"].iloc[0]))
-        out = batch[["event_id", "ts", "kind"]].assign(answer=answers)
-        out.insert(0, "key", key[0])
-        out.insert(1, "day", key[1])
+        self.held.update(([*pending], [*completed]))
+        if not found:
+            self.handle.registerTimer(int(batch["until"].iloc[0]))
+        out = batch[["key", "event_id", "ts", "kind"]].assign(answer=answers)
+        out.insert(1, "day", key[0])
         yield out
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.status.clear()
+        self.held.clear()
         return iter(())
 
     def close(self) -> None:
@@ -78,9 +83,11 @@ def answers(events: DataFrame, key: Column, kind: Column, late: str = "1 day") -
     day = F.col("ts").cast("date")
     until = (F.unix_timestamp(F.date_add(day, 1).cast("timestamp")) * 1000).alias("until")
     rows = events.select(key.alias("key"), day.alias("day"), F.col("event_id").cast("bigint").alias("event_id"), F.col("ts").cast("timestamp").alias("ts"), kind.alias("kind"), until)
-    key_type = rows.schema["key"].dataType.simpleString()
-    keyed = rows.withWatermark("ts", late).groupBy("key", "day")
-    return keyed.transformWithStateInPandas(DayClaims(), f"key {key_type}, day date, {ANSWER}", "Append", "EventTime")
+    # pandas has no whole numbers with nulls, so keys go as text
+    texts = rows.withColumns({"bucket": F.pmod(F.xxhash64("key"), F.lit(BUCKETS)), "key": F.col("key").cast("string")})
+    grouped = texts.withWatermark("ts", late).groupBy("day", "bucket")
+    told = grouped.transformWithStateInPandas(DayClaims(), f"key string, day date, {ANSWER}", "Append", "EventTime")
+    return told.withColumn("key", F.col("key").cast(rows.schema["key"].dataType))
 
 
 @contextmanager

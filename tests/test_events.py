@@ -35,6 +35,19 @@ def test_claims_are_kept_released_and_dropped_over_restarts(spark, tmp_path):
     assert got[4] == got[0] | {6: "duplicate", 7: "granted", 8: "taken", 9: "ignored", 10: "duplicate", 11: "duplicate", 12: "taken", 13: "granted", 14: "granted", 15: "granted", 16: "taken"}
 
 
+def test_claims_of_many_keys_share_a_group(spark, tmp_path):
+    big = 2**60  # told apart by its last digit, beside a null key
+    rows = [(k, at(1, 1), k if k < 300 else [big, big + 1, None][k - 300], "request") for k in range(303)]
+    spark.createDataFrame(rows, EVENTS).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(EVENTS).parquet(f"{tmp_path}/in")
+    claims.run(stream, F.col("user_id"), F.col("kind"), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted((r.event_id, r.key, r.answer) for r in got.collect()) == [(r[0], r[2], "granted") for r in rows]
+    # states are kept for buckets, so calls of Python don't grow with the keys
+    held = spark.read.format("statestore").option("stateVarName", "held").load(f"{tmp_path}/checkpoint")
+    assert held.count() <= claims.BUCKETS
+
+
 # --- intake
 
 ARRIVALS = "k string, ts timestamp, needs int, kind string"
