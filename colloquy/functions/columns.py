@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often body names it, and for no element of an array anew."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
+def scalar(got: Column) -> Column:
+    """What was found in JSON if it is a scalar, else null."""
+    return F.when(~F.coalesce(F.substring(F.ltrim(got), 1, 1).isin("[", "{"), F.lit(False)), got)
+
+
 def json_scalar(json: Column | str, path: str) -> Column:
     """A scalar at a JSON path; null for objects, arrays and JSON null."""
-    got = F.get_json_object(json, path)
-    return F.when(~F.coalesce(F.ltrim(got).rlike(r"^[\[{]"), F.lit(False)), got)
+    return scalar(F.get_json_object(json, path))
 
 
 def json_array(json: Column | str, path: str) -> Column:
@@ -46,9 +56,9 @@ def clamp_score(value: Column, most: int = 3) -> Column:
 
 
 def first_words(text: Column, n: int = 25) -> Column:
-    """The first n words, joined by one space; null if there is none."""
-    cut = F.array_join(F.slice(F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " "), 1, n), " ")
-    return F.nullif(cut, F.lit(""))
+    """The first n words, joined by one space; null if there is none. What follows them isn't looked at."""
+    cut = F.regexp_extract(text, rf"^\s*+((?:\S++\s++){{0,{n - 1}}}\S++)", 1)
+    return F.nullif(F.regexp_replace(cut, r"\s+", " "), F.lit(""))
 
 
 def first_k(array: Column, k: int) -> Column:

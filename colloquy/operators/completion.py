@@ -13,11 +13,13 @@ import re
 import threading
 import time
 import uuid
+from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,16 +116,25 @@ def with_retries(call: Callable[[], str | None], config: Config = Config(), slee
             sleep(wait)
 
 
-_FENCE = re.compile(r"(?s)^```(?:json)?\s*(.*?)\s*```$")
+#: A code fence and what is in it; greedy, as a lazy one tries its end at every character.
+FENCE = r"(?s)^```(?:json)?\s*(.*\S)?\s*```$"
+_FENCE = re.compile(FENCE)
 
 
-def is_json(answer: str) -> bool:
-    """Whether an answer, without the code fence around it, is JSON."""
+@lru_cache(maxsize=64)  # whether an answer is JSON and whether it has its shape is asked one after the other
+def _read(answer: str) -> tuple[bool, object]:
+    """Whether an answer, without the code fence around it, is JSON, and what it says."""
+    bare = answer.strip()
+    fenced = _FENCE.match(bare)
     try:
-        json.loads(_FENCE.sub(r"\1", answer.strip()))
+        return True, json.loads((fenced[1] or "") if fenced else bare)
     except ValueError:
-        return False
-    return True
+        return False, None
+
+
+def is_json(answer: str) -> bool:
+    """Whether an answer, without the code fence around it, is JSON."""
+    return _read(answer)[0]
 
 
 def checked(call: Callable[[], str | None], fallback: Callable[[], str | None] | None = None, as_json: bool = True) -> str | None:
@@ -163,7 +174,7 @@ def shaped(once: Callable[[str], str | None], name: str, prompt: str) -> str | N
     answer, wanted = once(prompt), shape(name)
     if wanted is None or answer is None or not is_json(answer):
         return answer
-    value = json.loads(_FENCE.sub(r"\1", answer.strip()))
+    value = _read(answer)[1]
     return answer if isinstance(value, dict) and wanted[1](value) else once(f"{prompt}\n\n{AGAIN}{wanted[0]}.")
 
 
@@ -248,11 +259,12 @@ def ask(df: DataFrame, prompts: dict[str, str], context: str, make: Callable[[],
     `scoring_max_concurrency` partitions, each of which has `questions_in_flight` questions under way (a completer
     must bear as many threads); all partitions together send `requests_per_second` at most, if that is set. With
     `journal`, a folder that all executors share, answers are kept there as they come, by `label`, prompt and text, and
-    none is asked for twice. What comes before runs as wide as it is.
+    none is asked for twice. What comes before runs as wide as it is, and what comes after as wide as other shuffles: a
+    job that reads the answers anew doesn't ask for them again as long as that shuffle is there.
     """
     tasks = max(1, config.scoring_max_concurrency)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pace = Pace(config.requests_per_second / tasks) if config.requests_per_second else None
 
         def wrapped(made: Completer, of: str) -> Completer:
@@ -262,65 +274,130 @@ def ask(df: DataFrame, prompts: dict[str, str], context: str, make: Callable[[],
         completer, other = wrapped(make(), ""), fallback and wrapped(fallback(), " (fallback)")
         one = lambda text: answer_all(text, prompts, completer, other, config, prose)
         with ThreadPoolExecutor(max(1, config.questions_in_flight)) as pool:
-            for batch in batches:
-                yield batch.assign(raw=[*pool.map(one, batch[context])])
+            ahead = deque()
+            for rows in (batch.slice(at, _ASKED_ROWS) for batch in batches for at in range(0, batch.num_rows, _ASKED_ROWS)):
+                ahead.append((rows, pool.map(one, rows.column(rows.schema.get_field_index(context)).to_pylist())))
+                if len(ahead) > 1:  # the next rows are under way while these are waited for
+                    yield answered(*ahead.popleft())
+            for rows, got in ahead:
+                yield answered(rows, got)
+
+    def answered(rows: pa.RecordBatch, got: Iterator[dict]) -> pa.RecordBatch:
+        raw = pa.array([[*answers.items()] for answers in got], pa.map_(pa.string(), pa.string()))
+        return pa.RecordBatch.from_arrays([*rows.columns, raw], names=[*rows.schema.names, "raw"])
 
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.repartition(tasks).mapInPandas(run, f"{kind}, raw map<string,string>")
+    asked = df.repartition(tasks).mapInArrow(run, f"{kind}, raw map<string,string>")
+    wide = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # dealt by what was given, as rows with all their answers would be sorted before they are dealt in turn
+    given = [f.name for f in df.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    return asked.repartition(wide, F.xxhash64(*[F.col(f"`{name}`") for name in given])) if wide > tasks else asked
+
+
+#: Rows whose answers a task holds at once; as many more are under way.
+_ASKED_ROWS = 256
 
 
 def strip_fence(text: Column) -> Column:
     """An answer without the code fence around it."""
-    return F.regexp_replace(F.trim(text), r"(?s)^```(?:json)?\s*(.*?)\s*```$", "$1")
+    return C.let(F.trim(text), lambda t: F.when(t.startswith("```"), F.regexp_replace(t, FENCE, "$1")).otherwise(t))
 
 
 def evidence(json: Column) -> Column:
     """The evidence of an answer, cut to its first words; a list is joined by spaces, without null and empty entries."""
-    parts = F.from_json(F.get_json_object(json, "$.evidence"), "array<string>")
-    whole = F.when(F.get_json_object(json, "$.evidence").startswith("["), F.array_join(F.filter(parts, lambda p: p != ""), " ")).otherwise(C.json_scalar(json, "$.evidence"))
-    return C.first_words(whole)
+    listed = lambda got: F.array_join(F.filter(F.from_json(got, "array<string>"), lambda p: p != ""), " ")
+    return C.let(F.get_json_object(json, "$.evidence"), lambda got: C.first_words(F.when(got.startswith("["), listed(got)).otherwise(C.scalar(got))))
+
+
+def _scalar(json: Column, key: str) -> Column:
+    return C.let(F.get_json_object(json, f"$.{key}"), C.scalar)
+
+
+def _keys(json: Column, but: str | None = None) -> Column:
+    """The sorted keys of an object (without one that may be there or not), as JSON; null for anything else."""
+    keys = F.json_object_keys(json)
+    return F.to_json(F.sort_array(keys if but is None else F.array_remove(keys, but)))
+
+
+def _said(json: Column, key: str) -> Column:
+    """The value of a key as JSON, so that texts are quoted and told from numbers and booleans; null if it is missing or null."""
+    return F.to_json(F.try_variant_get(F.try_parse_json(json), f"$.{key}", "variant"))
+
+
+_WANTED = json.dumps(SECTION_KEYS, separators=(",", ":"))
+
 
+def _section_marks(keys: Column, said: Column) -> tuple[Column, Column]:
+    fine = F.coalesce((keys == _WANTED) & said.isin("true", "false"), F.lit(False))
+    return fine, fine & (said == "true")
 
-def _kind(json: Column, key: str) -> Column:
-    """The type of a key's value, as variants name it; null if it is missing or null."""
-    return F.schema_of_variant(F.try_variant_get(F.try_parse_json(json), f"$.{key}", "variant"))
 
+def _section(json: Column, keys: Column, fine: Column, qualified: Column, services: Column | None = None) -> Column:
+    """A validated section: exactly the wanted keys and a boolean, else an unqualified one that says why.
 
-def _section(json: Column, more: tuple[str, ...] = ()) -> Column:
-    """A validated section: exactly the wanted keys (and some of `more`) and a boolean, else an unqualified one that says why."""
-    keys = F.filter(F.array_sort(F.json_object_keys(json)), lambda k: ~k.isin(*more)) if more else F.array_sort(F.json_object_keys(json))
-    wanted, none = F.array(*[F.lit(k) for k in SECTION_KEYS]), F.lit(None).cast("string")
-    failed = lambda reason, summary: F.struct(F.lit(False).alias("qualified"), F.lit(reason).alias("reason"), summary.alias("summary"), none.alias("evidence"))
-    valid = F.struct((C.json_scalar(json, "$.qualified") == "true").alias("qualified"), C.json_scalar(json, "$.reason").alias("reason"), C.json_scalar(json, "$.summary").alias("summary"), evidence(json).alias("evidence"))
-    return F.when(keys.isNull(), failed("invalid response", none)).when(keys != wanted, failed(INVALID, F.lit(INVALID_SECTION))).when(F.coalesce(_kind(json, "qualified") != "BOOLEAN", F.lit(True)), failed(INVALID, F.lit(INVALID_QUALIFIED))).otherwise(valid)
+    Each field is told for itself, so that a query which asks for some doesn't pay for the others."""
+    reason = F.when(fine, _scalar(json, "reason")).when(keys.isNull(), "invalid response").otherwise(INVALID)
+    summary = F.when(fine, _scalar(json, "summary")).when(keys != _WANTED, INVALID_SECTION).when(keys == _WANTED, INVALID_QUALIFIED)
+    fields = {"qualified": qualified, "reason": reason, "summary": summary, **({} if services is None else {"services": services}), "evidence": F.when(fine, evidence(json))}
+    return F.struct(*[value.alias(name) for name, value in fields.items()])
+
+
+def _fit(json: Column, keys: Column, fine: Column, qualified: Column) -> Column:
+    return _section(json, keys, fine, qualified, names.services(C.json_array(json, "$.services")))
+
+
+def _sales_marks(keys: Column, said: Column) -> tuple[Column, Column]:
+    lacking = F.size(F.array_except(F.array(*[F.lit(k) for k in SALES_KEYS]), F.from_json(keys, "array<string>"))) > 0
+    fine = ~F.coalesce(lacking, F.lit(False))
+    return fine, F.when(fine, C.clamp_score(F.when(said.rlike("^-?[0-9]"), said.try_cast("double")))).otherwise(0)
+
+
+def _sales(json: Column, keys: Column, fine: Column, score: Column) -> Column:
+    """A criterion: a number as score, cut to 0..3, and qualified from 2 on whatever the answer says. JSON without one of
+    the wanted keys is an assessment that says so."""
+    told = lambda value, failed: F.when(fine, value).otherwise(failed)
+    fields = {"qualified": score >= 2, "score": score, "reason": told(_scalar(json, "reason"), INVALID), "evidence": F.when(fine, evidence(json)), "coaching_note": told(_scalar(json, "coaching_note"), INVALID_NOTE)}
+    return F.struct(*[value.alias(name) for name, value in fields.items()])
+
+
+#: How answers are validated: a section from the answer, its keys (without one that may be there or not) and two marks,
+#: whether it has its shape and its verdict, which are told from the keys and what the answer says of one of them.
+_KINDS = {**{s: (_section, _section_marks, "qualified", None) for s in SECTIONS[:-1]}, "fit": (_fit, _section_marks, "qualified", "services"), **{f"sales_{c}": (_sales, _sales_marks, "score", None) for c in schemas.SALES_CRITERIA}}
+
+
+def _validate(answer: Column, name: str) -> Column:
+    """One answer to a prompt of this name as a validated section."""
+    make, marks, key, but = _KINDS[name]
+    marked = lambda json, keys, said: C.let(F.struct(*[mark.alias(kind) for kind, mark in zip(("fine", "verdict"), marks(keys, said))]), lambda m: make(json, keys, m["fine"], m["verdict"]))
+    return C.let(strip_fence(answer), lambda json: C.let(_keys(json, but), lambda keys: marked(json, keys, _said(json, key))))
 
 
 def section(answer: Column) -> Column:
-    return _section(strip_fence(answer)).cast(schemas.SECTION)
+    return _validate(answer, SECTIONS[0]).cast(schemas.SECTION)
 
 
 def fit_section(answer: Column) -> Column:
-    json = strip_fence(answer)
-    base = _section(json, ("services",))
-    return F.struct(base["qualified"].alias("qualified"), base["reason"].alias("reason"), base["summary"].alias("summary"), names.services(C.json_array(json, "$.services")).alias("services"), base["evidence"].alias("evidence")).cast(schemas.FIT)
+    return _validate(answer, "fit").cast(schemas.FIT)
 
 
 def sales_section(answer: Column) -> Column:
-    """A criterion: a number as score, cut to 0..3, and qualified from 2 on whatever the answer says. JSON without one of
-    the wanted keys is an assessment that says so."""
-    json = strip_fence(answer)
-    number = _kind(json, "score").rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)")
-    score = C.clamp_score(F.when(number, C.json_scalar(json, "$.score").try_cast("double")))
-    made = F.struct((score >= 2).alias("qualified"), score.alias("score"), C.json_scalar(json, "$.reason").alias("reason"), evidence(json).alias("evidence"), C.json_scalar(json, "$.coaching_note").alias("coaching_note"))
-    failed = F.struct(F.lit(False).alias("qualified"), F.lit(0).alias("score"), F.lit(INVALID).alias("reason"), F.lit(None).cast("string").alias("evidence"), F.lit(INVALID_NOTE).alias("coaching_note"))
-    lacking = F.size(F.array_except(F.array(*[F.lit(k) for k in SALES_KEYS]), F.json_object_keys(json))) > 0
-    return F.when(F.coalesce(lacking, F.lit(False)), failed.cast(schemas.SALES)).otherwise(made.cast(schemas.SALES))
+    return _validate(answer, f"sales_{schemas.SALES_CRITERIA[0]}").cast(schemas.SALES)
+
+
+def _validated(df: DataFrame, prompts: list[str]) -> DataFrame:
+    """df with the answers in `raw` to these prompts as validated sections. What several fields rest on are columns of
+    their own for as long, so that an answer is read once for each of them and not for each place that names it."""
+    kept = {(kind, p): F.col(f"__{kind}_{p}") for kind in ("json", "keys", "said", "fine", "verdict") for p in prompts}
+    made = df.withColumns({f"__json_{p}": strip_fence(F.try_element_at("raw", F.lit(p))) for p in prompts})
+    made = made.withColumns({f"__keys_{p}": _keys(kept["json", p], _KINDS[p][3]) for p in prompts} | {f"__said_{p}": _said(kept["json", p], _KINDS[p][2]) for p in prompts})
+    made = made.withColumns({f"__{kind}_{p}": mark for p in prompts for kind, mark in zip(("fine", "verdict"), _KINDS[p][1](kept["keys", p], kept["said", p]))})
+    made = made.withColumns({p: _KINDS[p][0](*[kept[kind, p] for kind in ("json", "keys", "fine", "verdict")]) for p in prompts})
+    return made.drop(*[f"__{kind}_{p}" for kind, p in kept])
 
 
 def opportunity(df: DataFrame, config: Config = Config()) -> DataFrame:
     """Answers in `raw` as validated sections, with how many qualify and whether that is enough."""
-    raw = lambda name: F.try_element_at("raw", F.lit(name))
-    made = df.withColumns({**{s: section(raw(s)) for s in SECTIONS[:-1]}, "fit": fit_section(raw("fit"))})
+    made = _validated(df, [*SECTIONS])
     n, enough = scoring.sections_qualified([F.col(s)["qualified"] for s in SECTIONS], config.qualification_threshold)
     return made.withColumns({"total_qualified_sections": n.cast("bigint"), "qualified": enough})
 
@@ -335,7 +412,7 @@ def taxonomy(df: DataFrame, answer: str = "taxonomy") -> DataFrame:
 
 def sales(df: DataFrame, config: Config = Config()) -> DataFrame:
     """Answers in `raw` (sales_<criterion>) as eight assessments with totals, strengths and coaching."""
-    made = df.withColumns({f"sales_{c}": sales_section(F.try_element_at("raw", F.lit(f"sales_{c}"))) for c in schemas.SALES_CRITERIA})
+    made = _validated(df, [f"sales_{c}" for c in schemas.SALES_CRITERIA])
     scores = F.array(*[F.col(f"sales_{c}")["score"] for c in schemas.SALES_CRITERIA])
     total, good = scoring.total(scores), scoring.total_qualified(scores)
     return made.withColumns({"sales_total_score": total.cast("bigint"), "sales_total_qualified": good.cast("bigint"), "sales_qualified": good >= config.sales_qualification_threshold, "sales_strengths": scoring.strengths(scores), "sales_improvements": scoring.improvements(scores), "sales_overall_coaching": scoring.coaching(total)})

@@ -155,3 +155,22 @@ def test_a_journal_is_found_by_any_path_of_its_folder(spark, tmp_path):
     other = completion.Journal(Paid(str(folder), broken), f"file:{tmp_path}/journal", "m")
     assert other.complete("P", "2") == '{"said": "2"}' and len(paid(folder)) == 5
     assert completion.Journal(Paid(str(folder)), f"{tmp_path}/journal", "n").path("P", "2") != journal.path("P", "2")
+
+
+def test_answers_are_validated_as_wide_as_shuffles_and_only_as_far_as_asked(spark):
+    frame = spark.range(20).selectExpr("id", "CAST(id AS STRING) AS text", "IF(id % 2 = 0, id, NULL) AS odd")
+    answer = json.dumps({"qualified": True, "reason": "r", "summary": "s", "evidence": "e"})
+    asked = completion.ask(frame, {s: s for s in completion.SECTIONS}, "text", lambda: completion.Recorded({"now": answer}), Config(scoring_max_concurrency=2))
+    assert asked.rdd.getNumPartitions() == 8 and {(r.id, r.odd) for r in asked.collect()} == {(k, None if k % 2 else k) for k in range(20)}
+    scored = completion.opportunity(asked)
+    plan = lambda *columns: scored.select(*columns)._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in plan("total_qualified_sections", "qualified")
+    assert plan("now").count("get_json_object") == 3  # reason, summary and evidence, once each
+    assert [tuple(r.now) for r in scored.select("now").distinct().collect()] == [(True, "r", "s", "e")]
+
+
+def test_a_fence_ends_at_its_last_mark(spark):
+    answers = ["```json\n{}\n```", "```{}```", "```\n{} ``` \n\n```", "``````", "`````", " {} ", "```json\n{}\n```\n", "{}```", "```json {}"]
+    told = ["{}", "{}", "{} ```", "", "`````", "{}", "{}\n", "{}```", "```json {}"]
+    assert [r.b for r in spark.createDataFrame([(k, a) for k, a in enumerate(answers)], "k int, a string").orderBy("k").select(completion.strip_fence(F.col("a")).alias("b")).collect()] == told
+    assert [completion.is_json(a) for a in answers] == [True, True, False, False, False, True, True, False, False]
