@@ -198,7 +198,9 @@ class ResultCache:
 
 def write_each(df: DataFrame, name: Column, path: str) -> None:
     """A folder of JSON for each row, named after it: for exports that people open, not for tables of any size."""
-    df.select(name.alias("name"), F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").partitionBy("name").text(path)
+    rows = df.select(name.alias("name"), F.to_json(F.struct(*df.columns)).alias("value"))
+    # a file costs much more than its bytes, by which few rows would go to one task
+    rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name").write.mode("overwrite").partitionBy("name").text(path)
 
 
 def recent_jobs(jobs: DataFrame, n: int = 10) -> DataFrame:

@@ -174,3 +174,9 @@ def test_required_columns_and_defaults(spark):
         assert spark.table("strict_maps").count() == 1
     finally:
         spark.sql("DROP TABLE IF EXISTS strict_maps")
+
+
+def test_documents_are_written_by_many_tasks(spark, tmp_path):
+    store.write_each(spark.range(40).coalesce(1), F.col("id").cast("string"), f"{tmp_path}/each")
+    parts = {f.name.split("-")[1] for f in tmp_path.glob("each/*/part-*")}
+    assert len(parts) > 1 and len([*tmp_path.glob("each/name=*")]) == 40
