@@ -5,18 +5,19 @@ from __future__ import annotations
 import hashlib
 import json
 import logging
+import re
 import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from colloquy import schemas
 from colloquy.config import Config
 from colloquy.operators.merge import missing_columns
-from colloquy.sources import files
+from colloquy.sources import each, files
 
 
 #: The property of a table that names its required columns.
@@ -68,9 +69,22 @@ def staged(spark: SparkSession, path: str, schema: StructType | None = None) ->
 
 
 def documents(spark: SparkSession, path: str) -> DataFrame:
-    """Transcripts kept as one JSON document a file; what can't be read is in `_corrupt`."""
+    """Transcripts kept as one JSON document a file; what can't be read is in `_corrupt`.
+
+    `folder/*` are the files of a folder and of the folders in it. On a local or mounted store one task lists that folder
+    and as many as a shuffle has read the files, so that the driver holds none of their names."""
     schema = StructType([*schemas.TRANSCRIPT.fields]).add("_corrupt", "string")
-    return spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(path)
+    options = {"columnNameOfCorruptRecord": "_corrupt"}
+    folder = path.removesuffix("/*")
+    if folder == path or not folder or re.search(r"[*?{}\[\]\\]", folder) or not files.exists(spark, folder) or (place := files.local(spark, folder)) is None:
+        return spark.read.schema(schema).options(multiLine=True, **options).json(path)
+    read = each.read(spark, place).select(F.col("content").cast("string").alias("text"), "broken")
+    # as the JSON source has it: a file may hold an array of documents, and one without any gives no row
+    text = F.when(F.col("broken"), "{").otherwise(F.col("text"))
+    one = F.array(F.from_json(text, schema, options))
+    found = F.when(F.ltrim(text).startswith("["), F.coalesce(F.from_json(text, ArrayType(schema)), one)).otherwise(one)
+    rows = read.select("text", "broken", F.explode(found).alias("d")).filter("d IS NOT NULL")
+    return rows.select("d.*", "text", "broken").withColumn("_corrupt", F.when(F.col("broken"), F.col("text")).otherwise(F.col("_corrupt"))).drop("text", "broken")
 
 
 def mappings(spark: SparkSession, name: str) -> DataFrame:
@@ -197,10 +211,18 @@ class ResultCache:
 
 
 def write_each(df: DataFrame, name: Column, path: str) -> None:
-    """A folder of JSON for each row, named after it: for exports that people open, not for tables of any size."""
+    """A folder of JSON for each row, named after it: for exports that people open, not for tables of any size.
+
+    On a local or mounted store tasks write the files by themselves: Spark's writer starts some processes a file there
+    (to set permissions, where Hadoop's native library is missing), and its driver moves each folder."""
     rows = df.select(name.alias("name"), F.to_json(F.struct(*df.columns)).alias("value"))
     # a file costs much more than its bytes, by which few rows would go to one task
-    rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name").write.mode("overwrite").partitionBy("name").text(path)
+    dealt = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name")
+    place = files.local(df.sparkSession, path)
+    if place is None:
+        dealt.write.mode("overwrite").partitionBy("name").text(path)
+    else:
+        each.write(dealt.sortWithinPartitions("name"), place)
 
 
 def recent_jobs(jobs: DataFrame, n: int = 10) -> DataFrame:

@@ -151,10 +151,10 @@ def parsed_files(spark: SparkSession, sf: str) -> DataFrame:
 @R.query("SELECT conv_id || '-' || turn AS meeting_id, role AS title, text AS full_transcript, count(*) AS n FROM conversations GROUP BY ALL")
 def json_documents(spark: SparkSession, sf: str) -> DataFrame:
     """One JSON document for each turn, written and scanned again."""
-    rows = table(spark, sf, "conversations").groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
-    made = rows.select(F.concat_ws("-", "conv_id", "turn").alias("meeting_id"), c("role").alias("title"), c("text").alias("full_transcript"), c("n").cast("string").alias("desk"))
+    turns = table(spark, sf, "conversations").select(F.concat("conv_id", F.lit("-"), "turn").alias("meeting_id"), c("role").alias("title"), c("text").alias("full_transcript"))
+    made = turns.groupBy(*turns.columns).agg(F.count(F.lit(1)).cast("string").alias("desk"))
     path = files.shared_folder(spark, "documents")
-    store.write_each(made, F.concat_ws("-", C.file_safe(c("meeting_id")), F.md5(F.concat_ws("|", "title", "full_transcript"))), path)
+    store.write_each(made, F.concat_ws("-", C.file_safe(c("meeting_id")), F.md5(F.to_json(F.struct(*turns.columns)))), path)
     read = store.documents(spark, f"{path}/*").filter("_corrupt IS NULL")
     return read.select("meeting_id", "title", "full_transcript", c("desk").cast("bigint").alias("n"))
 

@@ -14,6 +14,13 @@ def store(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def local(spark: SparkSession, path: str) -> str | None:
+    """The path as workers open it by themselves, if its store is the local one or a mounted one (file:); else none."""
+    fs, place = store(spark, path)
+    full = fs.makeQualified(place).toString()
+    return f"/{full.removeprefix('file:').lstrip('/')}" if full.startswith("file:") else None
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, place = store(spark, path)
     return fs.exists(place)
